@@ -59,11 +59,16 @@ def split_gift(col: Column) -> tuple[Column, Column]:
 def check_name(col: Column) -> Column:
     """Null under 10 characters or 3 words; words of 3 letters or more capitalised, others lower."""
     words = F.split(col, " ", -1)
+
+    def capital(letter: Column) -> Column:
+        # the one common letter whose title case is not its upper case
+        return F.when(letter == "ß", F.lit("Ss")).otherwise(F.upper(letter))
+
     cased = F.transform(
         words,
         lambda w: F.when(
             F.length(w) >= 3,
-            F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substr(w, F.lit(2)))),
+            F.concat(capital(F.substring(w, 1, 1)), F.lower(F.substr(w, F.lit(2)))),
         ).otherwise(F.lower(w)),
     )
     return F.when((F.length(col) >= 10) & (F.size(words) > 2), F.array_join(cased, " "))

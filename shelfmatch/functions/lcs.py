@@ -102,3 +102,21 @@ def lcs_length(a: pd.Series, b: pd.Series) -> pd.Series:
     if known.any():
         out[known] = lcs_lengths(a[known].to_numpy(object), b[known].to_numpy(object))
     return out
+
+
+def indel_percents(lcs: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Indel similarity 1 - (total - 2 lcs) / total as whole percents; 100 where total is 0."""
+    share = 1 - (total - lcs * 2) / np.maximum(total, 1)
+    return np.where(total == 0, 100.0, np.rint(share * 100))
+
+
+@F.pandas_udf(IntegerType())
+def indel_percent(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Indel similarity of two texts, whole percent; null where a side is null."""
+    known = a.notna() & b.notna()
+    out = pd.Series(pd.NA, index=a.index, dtype="Int32")
+    if known.any():
+        left, right = a[known], b[known]
+        total = (left.str.len() + right.str.len()).to_numpy(np.float64)
+        out[known] = indel_percents(lcs_lengths(left.to_numpy(object), right.to_numpy(object)), total).astype(np.int32)
+    return out

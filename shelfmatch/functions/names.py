@@ -16,6 +16,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import name_rules as R
+from .binding import let
 
 
 @dataclass(frozen=True)
@@ -66,12 +67,10 @@ def apply_rules(col: Column, rules: list, names: NameRules | None = None) -> Col
 
 
 def _guarded(col: Column, word: str, rules: list, names: NameRules) -> Column:
-    # one-element array: the lambda variable stands for the text so far, which
-    # would otherwise be repeated in the condition and in both branches
     def step(v: Column) -> Column:
         return F.when(v.contains(word), apply_rules(v, rules, names)).otherwise(v)
 
-    return F.transform(F.array(col), step).getItem(0)
+    return let(col, step)
 
 
 def squeeze(col: Column) -> Column:
@@ -112,11 +111,11 @@ def fold_accents(col: Column) -> Column:
 
     def fold(text: Column) -> Column:
         translated = F.translate(text, single_from, single_to)
-        expanded = F.transform(F.array(translated), expand).getItem(0)
+        expanded = let(translated, expand)
         ascii_only = F.regexp_replace(expanded, r"[^\x00-\x7F]+", "")
         return F.when(text.rlike(r"[^\x00-\x7F]"), ascii_only).otherwise(text)
 
-    return F.transform(F.array(col), fold).getItem(0)
+    return let(col, fold)
 
 
 def homogenize_units(col: Column, names: NameRules | None = None) -> Column:

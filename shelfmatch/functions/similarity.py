@@ -5,10 +5,11 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .lcs import lcs_length
+from .binding import let
+from .lcs import indel_percent
 from .rounding import round_exact
 
 # Letters that may follow the number of a measure unit.
@@ -75,17 +76,9 @@ def char_set(text: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(F.split(text, ""), lambda c: c != "")))
 
 
-def indel_percent(lcs: Column, len_a: Column, len_b: Column) -> Column:
-    """Indel similarity as an integer percent; both empty is 100."""
-    total = (len_a + len_b).cast("double")
-    gap = total - lcs * 2
-    return F.when(total == 0, 100).otherwise(F.rint((1 - gap / total) * 100)).cast("int")
-
-
 def token_sort_ratio(a: Column, b: Column) -> Column:
-    """Indel similarity of the sorted tokens, integer percent."""
-    sa, sb = token_sort(a), token_sort(b)
-    return indel_percent(lcs_length(sa, sb), F.length(sa), F.length(sb))
+    """Indel similarity of the sorted tokens, integer percent; two empty texts are equal."""
+    return indel_percent(token_sort(a), token_sort(b))
 
 
 def percent_to_distance(percent: Column) -> Column:
@@ -97,9 +90,12 @@ def token_sort_distance(a: Column, b: Column) -> Column:
 
 
 def dice_of_sets(sa: Column, sb: Column) -> Column:
-    shared = F.size(F.array_intersect(sa, sb))
-    total = F.size(sa) + F.size(sb)
-    return F.when(total == 0, 0.0).otherwise(1 - shared * 2.0 / total)
+    def dice(v: Column) -> Column:
+        shared = F.size(F.array_intersect(v["a"], v["b"]))
+        total = F.size(v["a"]) + F.size(v["b"])
+        return F.when(total == 0, 0.0).otherwise(1 - shared * 2.0 / total)
+
+    return let(F.struct(sa.alias("a"), sb.alias("b")), dice)
 
 
 def dice_distance(a: Column, b: Column) -> Column:
@@ -119,14 +115,18 @@ def combined_distance(a: Column, b: Column, dice_weight: float = 0.7) -> Column:
 
 def jaccard_similarity(a: Column, b: Column) -> Column:
     """Jaccard similarity of two arrays as sets; two empty arrays are equal."""
-    union = F.size(F.array_union(a, b))
-    return F.when(union == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / union)
+    def jaccard(v: Column) -> Column:
+        union = F.size(F.array_union(v["a"], v["b"]))
+        return F.when(union == 0, 1.0).otherwise(F.size(F.array_intersect(v["a"], v["b"])) / union)
+
+    return let(F.struct(a.alias("a"), b.alias("b")), jaccard)
 
 
 def unit_parts(unit: Column) -> Column:
     """Number and letter runs of a unit; an empty text leads when it starts with a digit."""
     runs = F.regexp_extract_all(unit, F.lit(r"\d+|\D+"), F.lit(0))
-    return F.when(unit.rlike(r"^\d"), F.concat(F.array(F.lit("")), runs)).otherwise(runs)
+    lead = F.when(unit.rlike(r"^\d"), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    return F.concat(lead, runs)
 
 
 def unit_distance(a: Column, b: Column) -> Column:
@@ -135,9 +135,12 @@ def unit_distance(a: Column, b: Column) -> Column:
 
 
 def unit_list_distance(ua: Column, ub: Column) -> Column:
-    both_single = (F.size(ua) == 1) & (F.size(ub) == 1)
-    parts = jaccard_similarity(unit_parts(F.get(ua, F.lit(0))), unit_parts(F.get(ub, F.lit(0))))
-    return 1 - F.when(both_single, parts).otherwise(jaccard_similarity(ua, ub))
+    def distance(v: Column) -> Column:
+        both_single = (F.size(v["a"]) == 1) & (F.size(v["b"]) == 1)
+        parts = jaccard_similarity(unit_parts(F.get(v["a"], F.lit(0))), unit_parts(F.get(v["b"], F.lit(0))))
+        return 1 - F.when(both_single, parts).otherwise(jaccard_similarity(v["a"], v["b"]))
+
+    return let(F.struct(ua.alias("a"), ub.alias("b")), distance)
 
 
 def raw_confidence(closeness: Column, unit_dist: Column, scoring: Scoring = Scoring()) -> Column:
@@ -147,16 +150,31 @@ def raw_confidence(closeness: Column, unit_dist: Column, scoring: Scoring = Scor
 
 def calibrate(raw: Column, decay: float = 1.02) -> Column:
     """``exp(1 - 1/x^decay)``; 0 at 0 and, without a clamp, below."""
-    return F.when(raw <= 0, 0.0).otherwise(F.exp(1 - 1 / F.pow(raw, F.lit(decay))))
+    return let(raw, lambda x: F.when(x <= 0, 0.0).otherwise(F.exp(1 - 1 / F.pow(x, F.lit(decay)))))
 
 
 def confidence_of(closeness: Column, unit_dist: Column, scoring: Scoring = Scoring()) -> Column:
     """Rounded confidence from ``1 - combined_distance`` and the unit distance."""
     value = calibrate(raw_confidence(closeness, unit_dist, scoring), scoring.decay)
-    return round_exact(value, scoring.digits)
+    return let(value, lambda v: round_exact(v, scoring.digits))
 
 
 def confidence(a: Column, b: Column, scoring: Scoring = Scoring()) -> Column:
     """Match confidence of two normalised names, 0 to 1."""
     closeness = 1 - combined_distance(a, b, scoring.dice_weight)
     return confidence_of(closeness, unit_distance(a, b), scoring)
+
+
+def score_pairs(pairs: DataFrame, a: str, b: str, scoring: Scoring = Scoring()) -> DataFrame:
+    """Add ``closeness`` (1 - combined distance), ``unit_dist`` and ``confidence`` of two name columns.
+
+    The features of a name are computed once per row, whatever the columns hold.
+    """
+    ba, bb = remove_units(F.col(a)), remove_units(F.col(b))
+    featured = pairs.withColumns({"_ba": ba, "_bb": bb}).withColumn("_percent", token_sort_ratio(F.col("_ba"), F.col("_bb")))
+    closeness = 1 - mix_distances(percent_to_distance(F.col("_percent")), dice_distance(F.col("_ba"), F.col("_bb")), scoring.dice_weight)
+    return (
+        featured.withColumns({"closeness": closeness, "unit_dist": unit_distance(F.col(a), F.col(b))})
+        .withColumn("confidence", confidence_of(F.col("closeness"), F.col("unit_dist"), scoring))
+        .drop("_ba", "_bb", "_percent")
+    )

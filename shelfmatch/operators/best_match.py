@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import similarity as S
-from ..functions.lcs import encode, lcs_pairs
+from ..functions.lcs import encode, indel_percents, lcs_pairs
 from ..functions.similarity import Scoring
 from .lineage import cut_lineage
 
@@ -154,8 +154,7 @@ def _dice(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.nd
 
 def _closeness(lcs: np.ndarray, total: np.ndarray, dice: np.ndarray, scoring: Scoring) -> np.ndarray:
     """The closeness of ``similarity``, on arrays and with the same operations."""
-    percent = np.where(total == 0, 100.0, np.rint((1 - (total - lcs * 2) / np.maximum(total, 1)) * 100))
-    lev = (100 - percent) * 0.01
+    lev = (100 - indel_percents(lcs, total)) * 0.01
     w = scoring.dice_weight
     return 1 - (lev * (2 - w) + dice * w) / 2
 
