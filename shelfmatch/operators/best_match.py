@@ -186,7 +186,7 @@ def _near(bound, dice, total, starts, codes, lengths, k, l_base, r_base, scoring
 
 def _least_closeness(best: np.ndarray, scoring: Scoring, least_raw: float) -> np.ndarray:
     """``Scoring.least_closeness`` on an array."""
-    worst_raw = np.maximum(best - scoring.unit_weight, 1e-300)
+    worst_raw = np.maximum(best - scoring.unit_weight, 1e-3)
     worst = np.exp(1 - worst_raw ** -scoring.decay) - 10**-scoring.digits
     raw = (1 - np.log(np.maximum(worst, 1e-300))) ** (-1 / scoring.decay)
     return np.maximum(np.where(worst > 0, raw, -np.inf), least_raw)
