@@ -200,7 +200,7 @@ def text_predicates(spark, sf):
 
 
 @query("price_diff_index", f"""
-select sku, round(price - other, 2) as price_diff, round(round(price - other, 2) / price, 2) as price_index
+select sku, round(price - other, 2) as price_diff, round(round(price - other, 2) / price, 2) + 0.0::double as price_index
 from (select sku, c.price, {price_sql('s.price')} as other from ({I.CATALOG}) c join ({I.SCRAPED}) s on c.sku::bigint = s.row_key)""")
 def price_diff_index(spark, sf):
     own, other = I.read(spark, sf, I.CATALOG), I.read(spark, sf, I.SCRAPED).select("row_key", C.parse_price(F.col("price")).alias("other"))
@@ -272,10 +272,10 @@ def insert_if_absent(spark, sf):
 
 
 @query("skip_processed", f"""
-with done as (select distinct company from ({I.SCRAPED}) where date = '05-01-26')
+with done as (select distinct company from ({I.SCRAPED}) where url = 'short')
 select file_name from ({I.FILES}) where replace(list_last(string_split(file_name, '-')), '.txt', '') not in (select company from done)""")
 def skip_processed(spark, sf):
-    done = I.read(spark, sf, I.SCRAPED).where("date = '05-01-26'").select(F.col("company").alias("done")).distinct()
+    done = I.read(spark, sf, I.SCRAPED).where("url = 'short'").select(F.col("company").alias("done")).distinct()
     files = I.read(spark, sf, I.FILES)
     return files.join(done, listing.competitor_of(F.col("file_name")) == F.col("done"), "left_anti")
 

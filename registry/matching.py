@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfmatch.functions import fields as C
-from shelfmatch.functions import names as N
 from shelfmatch.operators import reports
 from shelfmatch.operators.best_match import best_match
 from shelfmatch.operators.lineage import cut_lineage
-from shelfmatch.plans.daily import match_day
+from shelfmatch.plans.daily import match_day, with_clean_names
 from shelfmatch.sources.scraped import clean_scraped
 
 from . import duck as D
@@ -32,13 +31,11 @@ def query(name: str, sql: str | None = None):
 
 
 def _catalog(spark, sf):
-    own = I.read(spark, sf, I.CATALOG)
-    return cut_lineage(N.normalize_names(own, "sku_name", "mkp_sku_name_clean"))
+    return with_clean_names(I.read(spark, sf, I.CATALOG), "sku_name", "mkp_sku_name_clean")
 
 
 def _scraped(spark, sf):
-    rows = I.read(spark, sf, I.SCRAPED)
-    return cut_lineage(N.normalize_names(rows, "name", "comp_sku_name_clean"))
+    return with_clean_names(I.read(spark, sf, I.SCRAPED), "name", "comp_sku_name_clean")
 
 
 CATALOG_CLEAN = f"select sku, sku_name, price, x as name from ({D.normalize(I.CATALOG, 'sku_name')})"
@@ -81,7 +78,7 @@ def best_match_rows(spark, sf):
 REPORT_SQL = f"""
 select date '2026-01-05' as scraping_date, b.sku as mkp_sku_id, s.row_key as scrap_id, c.sku_name as mkp_sku_name, s.company as competitor_name,
        s.raw_name as competitor_sku_name, b.confidence, c.price as mkp_price, s.competitor_price,
-       round(c.price - s.competitor_price, 2) as price_diff, round(round(c.price - s.competitor_price, 2) / c.price, 2) as price_index,
+       round(c.price - s.competitor_price, 2) as price_diff, round(round(c.price - s.competitor_price, 2) / c.price, 2) + 0.0::double as price_index,
        c.name as mkp_sku_name_clean, s.name as comp_sku_name_clean, coalesce(s.url, '') as competitor_url
 from (select *, {FQ.price_sql('price')} as competitor_price from ({SCRAPED_CLEAN})) s
 join ({best_sql(SCRAPED_CLEAN, 0.35)}) b on b.comp_sku_name_clean = s.name

@@ -128,7 +128,8 @@ def coarsen_quantities(col: Column, names: NameRules | None = None) -> Column:
 
 def drop_stop_words(col: Column, names: NameRules | None = None) -> Column:
     """Tokens (split on single blanks) that are stop words go; the blanks between the others stay."""
-    stop = F.array(*[F.lit(w) for w in (names or NameRules()).all_stop_words()])
+    # one literal, split when the plan is optimised
+    stop = F.split(F.lit(" ".join((names or NameRules()).all_stop_words())), " ")
     kept = F.filter(F.split(col, " ", -1), lambda w: ~F.array_contains(stop, w))
     return F.array_join(kept, " ")
 
@@ -179,3 +180,16 @@ def normalize_names(df, source: str, target: str, rules: NameRules | None = None
     """Add ``target``, the normalised ``source``.  ``normalizer`` may be any Column -> Column."""
     fn = normalizer or (lambda c: normalize_name(c, rules))
     return df.withColumn(target, fn(F.col(source)))
+
+
+def spread(df, *keys: str):
+    """Over all cores: adaptive execution would put few small rows into one task,
+    but what follows is heavy per row."""
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(n, *keys)
+
+
+def distinct_texts(df, source: str):
+    """The distinct texts of a column, spread for the work per text that follows."""
+    return spread(df.select(source).where(F.col(source).isNotNull()).distinct(), source)

@@ -165,6 +165,18 @@ def confidence(a: Column, b: Column, scoring: Scoring = Scoring()) -> Column:
     return confidence_of(closeness, unit_distance(a, b), scoring)
 
 
+def with_confidence(df: DataFrame, scoring: Scoring = Scoring()) -> DataFrame:
+    """Add ``confidence`` from columns ``closeness`` and ``unit_dist``, in plain steps that compile."""
+    x = F.col("_raw")
+    value = F.when(x <= 0, 0.0).otherwise(F.exp(1 - 1 / F.pow(x, F.lit(scoring.decay))))
+    return (
+        df.withColumn("_raw", raw_confidence(F.col("closeness"), F.col("unit_dist"), scoring))
+        .withColumn("_value", value)
+        .withColumn("confidence", round_exact(F.col("_value"), scoring.digits))
+        .drop("_raw", "_value")
+    )
+
+
 def score_pairs(pairs: DataFrame, a: str, b: str, scoring: Scoring = Scoring()) -> DataFrame:
     """Add ``closeness`` (1 - combined distance), ``unit_dist`` and ``confidence`` of two name columns.
 
@@ -173,8 +185,5 @@ def score_pairs(pairs: DataFrame, a: str, b: str, scoring: Scoring = Scoring())
     ba, bb = remove_units(F.col(a)), remove_units(F.col(b))
     featured = pairs.withColumns({"_ba": ba, "_bb": bb}).withColumn("_percent", token_sort_ratio(F.col("_ba"), F.col("_bb")))
     closeness = 1 - mix_distances(percent_to_distance(F.col("_percent")), dice_distance(F.col("_ba"), F.col("_bb")), scoring.dice_weight)
-    return (
-        featured.withColumns({"closeness": closeness, "unit_dist": unit_distance(F.col(a), F.col(b))})
-        .withColumn("confidence", confidence_of(F.col("closeness"), F.col("unit_dist"), scoring))
-        .drop("_ba", "_bb", "_percent")
-    )
+    scored = featured.withColumns({"closeness": closeness, "unit_dist": unit_distance(F.col(a), F.col(b))})
+    return with_confidence(scored.drop("_ba", "_bb", "_percent"), scoring)

@@ -18,6 +18,7 @@ The result is exact.  Ties in the rounded confidence go to the smallest id.
 from __future__ import annotations
 
 import math
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -61,13 +62,37 @@ def _length_class(text: Column) -> Column:
     return F.when(n == 0, 0).otherwise(1 + F.floor(F.log2(n.cast("double")))).cast("int")
 
 
-def _class_blocks(forms: DataFrame, block_chars: int) -> DataFrame:
-    """Blocks per length class (at most 32 rows), sized so that a block stays small."""
-    longest = F.pow(F.lit(2.0), F.col("cls"))
-    return forms.groupBy("cls").agg(
-        F.ceil(F.count("*") * F.max(longest) / block_chars).cast("int").alias("n_blocks")
+class Blocks(NamedTuple):
+    """Blocks per length class of one side (at most 32 entries), and its longest unit list."""
+
+    per_class: dict[int, int]
+    most_units: int
+
+
+def plan_blocks(left: DataFrame, right: DataFrame, block_chars: int = BLOCK_CHARS) -> tuple[Blocks, Blocks]:
+    """Sizes of both sides from one aggregation; two rows per length class reach the driver."""
+    def sized(df: DataFrame, side: str) -> DataFrame:
+        return df.select(
+            F.lit(side).alias("side"), _length_class(F.col("form_text")).alias("cls"),
+            F.xxhash64("form_text", "form_chars").alias("form"), F.size("unit_set").alias("n_units"),
+        )
+
+    rows = (
+        sized(left, "l").unionByName(sized(right, "r"))
+        .groupBy("side", "cls")
+        .agg(F.approx_count_distinct("form").alias("n"), F.max("n_units").alias("n_units"))
+        .collect()
     )
 
+    def blocks(side: str) -> Blocks:
+        mine = [r for r in rows if r.side == side]
+        return Blocks(
+            {r.cls: max(1, math.ceil(r.n * 2**r.cls / block_chars)) for r in mine},
+            max((r.n_units for r in mine), default=0),
+        )
+
+    return blocks("l"), blocks("r")
+
 
 def _reach(least_raw: float, dice_weight: float) -> int:
     """Length classes apart at which a pair can still reach ``least_raw``."""
@@ -79,23 +104,20 @@ def _reach(least_raw: float, dice_weight: float) -> int:
     return int(math.floor(math.log2((2 - ratio) / ratio))) + 1
 
 
-def _placed(forms: DataFrame, own: DataFrame, other: DataFrame, side: str, reach: int) -> DataFrame:
+def _placed(forms: DataFrame, own: Blocks, other: Blocks, side: str, reach: int) -> DataFrame:
     """One row per form and per block pair it takes part in."""
-    other_cls = other.select(F.col("cls").alias("_cls"), F.col("n_blocks").alias("_n"))
-    own_block = F.pmod(F.xxhash64("form_text", "form_chars"), F.col("n_blocks")).cast("int")
+    own_n = F.create_map(*[F.lit(x) for item in own.per_class.items() for x in item])
+    partners = F.array(*[F.struct(F.lit(c).alias("cls"), F.lit(n).alias("n")) for c, n in other.per_class.items()])
     rows = (
-        forms.join(F.broadcast(own), "cls")  # at most 32 rows
-        .withColumn("own_block", own_block)
-        .withColumn("_cls", F.explode(F.sequence(F.greatest(F.lit(0), F.col("cls") - reach), F.least(F.lit(32), F.col("cls") + reach))))
-        .join(F.broadcast(other_cls), "_cls")  # at most 32 rows
-        .withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+        forms.withColumn("cls", _length_class(F.col("form_text")))
+        .withColumn("own_block", F.pmod(F.xxhash64("form_text", "form_chars"), F.element_at(own_n, F.col("cls"))).cast("int"))
+        .withColumn("p", F.explode(F.filter(partners, lambda p: F.abs(p["cls"] - F.col("cls")) <= reach)))
+        .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("p.n") - 1)))
     )
-    keys = {
-        "l": ["cls", "own_block", "_cls", "_block"],
-        "r": ["_cls", "_block", "cls", "own_block"],
-    }[side]
+    mine, partner = [F.col("cls"), F.col("own_block")], [F.col("p.cls"), F.col("block")]
+    keys = mine + partner if side == "l" else partner + mine
     return rows.select(
-        *[F.col(c).alias(k) for c, k in zip(keys, ["lc", "lb", "rc", "rb"])],
+        *[c.alias(k) for c, k in zip(keys, ["lc", "lb", "rc", "rb"])],
         F.lit(side).alias("side"), "form_text", "form_chars", "grp",
     )
 
@@ -192,18 +214,15 @@ def _least_closeness(best: np.ndarray, scoring: Scoring, least_raw: float) -> np
     return np.maximum(np.where(worst > 0, raw, -np.inf), least_raw)
 
 
-def near_forms(left: DataFrame, right: DataFrame, scoring: Scoring, threshold: float, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """Pairs of forms that can hold a best match: left_text, left_chars, grp, right_text, right_chars, closeness.
+def near_forms(left: DataFrame, right: DataFrame, sizes: tuple[Blocks, Blocks], scoring: Scoring, threshold: float) -> DataFrame:
+    """Pairs of forms that can hold a best match: left_text, left_chars, grp, right_text, right_chars, closeness, nearest.
 
     ``left`` has distinct form_text, form_chars; ``right`` the same and ``grp``.
     """
     least = scoring.least_raw(threshold)
     reach = _reach(least, scoring.dice_weight)
-    left = left.withColumn("cls", _length_class(F.col("form_text"))).withColumn("grp", F.lit(""))
-    right = right.withColumn("cls", _length_class(F.col("form_text")))
-    left_blocks, right_blocks = _class_blocks(left, block_chars), _class_blocks(right, block_chars)
-    rows = _placed(left, left_blocks, right_blocks, "l", reach).unionByName(
-        _placed(right, right_blocks, left_blocks, "r", reach)
+    rows = _placed(left.withColumn("grp", F.lit("")), *sizes, "l", reach).unionByName(
+        _placed(right, *sizes[::-1], "r", reach)
     )
 
     def score(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -230,6 +249,7 @@ def near_forms(left: DataFrame, right: DataFrame, scoring: Scoring, threshold: f
     return (
         near.withColumn("_best", F.max("closeness").over(w))
         .where(F.col("closeness") >= scoring.least_closeness(F.col("_best"), least) - SLACK)
+        .withColumn("nearest", F.col("closeness") == F.col("_best"))
         .drop("_best")
     )
 
@@ -271,63 +291,96 @@ def _is_single() -> Column:
     return F.size("units") == 1
 
 
-def _union_size(a: Column, b: Column, shared: Column) -> Column:
-    return a + b - shared
-
-
 def _unit_dist(n_left: Column, n_right: Column, shared: Column) -> Column:
-    union = _union_size(n_left, n_right, shared)
+    union = n_left + n_right - shared
     return 1 - F.when(union == 0, 1.0).otherwise(shared / union)
 
 
-def _resolve_units(left: DataFrame, right: DataFrame, near: DataFrame, left_name: str, right_id: str, scoring: Scoring) -> DataFrame:
-    """Candidates (left_name, grp, right_id, confidence) with the best units of every near form."""
-    # Right side: whole units as "s" (single) or "w" (several or none), the parts
-    # of a single unit as "p"; smallest id per subset and size.
-    index_rows = F.when(
-        _is_single(), F.concat(_probe("p", _parts()), _probe("s", F.col("unit_set")))
-    ).otherwise(_probe("w", F.col("unit_set")))
+def _left_probes() -> Column:
+    """What a left name is looked up by: a single unit meets single units by its
+    parts and other lists whole; several units (or none) meet all lists whole."""
+    whole = F.col("unit_set")
+    return F.when(_is_single(), F.concat(_probe("p", _parts()), _probe("w", whole))).otherwise(
+        F.concat(_probe("s", whole), _probe("w", whole))
+    )
+
+
+def _right_entries() -> Column:
+    """What a right name is found by: whole units as "s" (single) or "w", parts of a single unit as "p"."""
+    whole = F.col("unit_set")
+    return F.when(_is_single(), F.concat(_probe("p", _parts()), _probe("s", whole))).otherwise(_probe("w", whole))
+
+
+class _Sides(NamedTuple):
+    """What the unit step needs of a call to ``best_match``."""
+
+    left: DataFrame
+    right: DataFrame
+    left_name: str
+    right_id: str
+    scoring: Scoring
+    threshold: float
+    any_long: bool
+
+
+FORM_KEYS = ["grp", "right_text", "right_chars"]
+
+
+def _best_units(forms: DataFrame, sides: _Sides) -> DataFrame:
+    """left_name, grp, best (r, id, c) and raw over the given (left name, right form) rows.
+
+    Only the best unit list of a right form matters to a left name, so the right
+    side is aggregated to its smallest id per unit subset before the join.
+    """
+    left_name, right_id, scoring = sides.left_name, sides.right_id, sides.scoring
     index = (
-        right.select(right_id, "grp", "form_text", "form_chars", F.explode(index_rows).alias("u"))
-        .groupBy("grp", F.col("form_text").alias("right_text"), F.col("form_chars").alias("right_chars"),
-                 F.col("u.kind").alias("kind"), F.col("u.key").alias("key"), F.col("u.n_units").alias("n_right"))
+        sides.right.select(right_id, "grp", F.col("form_text").alias("right_text"), F.col("form_chars").alias("right_chars"), F.explode("entries").alias("u"))
+        .groupBy(*FORM_KEYS, F.col("u.kind").alias("kind"), F.col("u.key").alias("key"), F.col("u.n_units").alias("n_right"))
         .agg(F.min(right_id).alias(right_id))
     )
-    # Left side: a single unit meets single units by parts and the others whole.
-    # The sizes to meet are not in the key: one probe reads all sizes of a subset.
-    probe_rows = F.when(
-        _is_single(), F.concat(_probe("p", _parts()), _probe("w", F.col("unit_set")))
-    ).otherwise(F.concat(_probe("s", F.col("unit_set")), _probe("w", F.col("unit_set"))))
-    forms = left.select(
-        left_name, F.col("form_text").alias("left_text"), F.col("form_chars").alias("left_chars"), "units", "unit_set"
-    ).join(near, ["left_text", "left_chars"])
     found = (
-        forms.select(left_name, "grp", "right_text", "right_chars", "closeness", F.explode(probe_rows).alias("u"))
-        .select(left_name, "grp", "right_text", "right_chars", "closeness",
-                F.col("u.kind").alias("kind"), F.col("u.key").alias("key"),
+        forms.select(left_name, *FORM_KEYS, "closeness", F.explode("probes").alias("u"))
+        .select(left_name, *FORM_KEYS, "closeness", F.col("u.kind").alias("kind"), F.col("u.key").alias("key"),
                 F.col("u.n_units").alias("n_left"), F.col("u.shared").alias("shared"))
-        .join(index, ["grp", "right_text", "right_chars", "kind", "key"])
-        .select(left_name, "grp", right_id, "closeness", _unit_dist(F.col("n_left"), F.col("n_right"), F.col("shared")).alias("unit_dist"))
+        .join(index, [*FORM_KEYS, "kind", "key"])
+        .select(left_name, "grp", right_id, "closeness", "n_left", "n_right", "shared")
     )
-    if _any_long_units(left, right):
-        found = found.unionByName(_long_units(forms, right, left_name, right_id))
-    return found.select(
-        left_name, "grp", right_id,
-        S.confidence_of(F.col("closeness"), F.col("unit_dist"), scoring).alias("confidence"),
+    if sides.any_long:
+        found = found.unionByName(_long_units(forms, sides))
+    scored = S.with_confidence(
+        found.withColumn("unit_dist", _unit_dist(F.col("n_left"), F.col("n_right"), F.col("shared"))), scoring
     )
+    # confidence as an integer, so that the smallest struct is: best first, then id
+    rank = F.struct(
+        (-F.round(F.col("confidence") * 10**scoring.digits)).cast("int").alias("r"), F.col(right_id).alias("id"),
+        F.col("confidence").alias("c"),
+    )
+    raw = F.col("closeness") - F.col("unit_dist") * scoring.unit_weight
+    return scored.groupBy(left_name, "grp").agg(F.min(rank).alias("best"), F.max(raw).alias("raw"))
+
+
+def _resolve_units(sides: _Sides, near: DataFrame) -> DataFrame:
+    """Best right name per (left_name, grp): the nearest form first, then what can still beat it."""
+    left_name, scoring = sides.left_name, sides.scoring
+    forms = sides.left.withColumnsRenamed({"form_text": "left_text", "form_chars": "left_chars"}).join(near, ["left_text", "left_chars"])
+    nearest = cut_lineage(_best_units(forms.where("nearest"), sides))
+    # with units of its own at best, a form needs a closeness of what is reached already
+    needed = scoring.least_closeness(F.col("raw") + scoring.unit_weight, scoring.least_raw(sides.threshold)) - SLACK
+    others = (
+        forms.where("not nearest")
+        .join(nearest.select(left_name, "grp", needed.alias("needed")), [left_name, "grp"])
+        .where("closeness >= needed")
+    )
+    both = nearest.unionByName(_best_units(others, sides))
+    return both.groupBy(left_name, "grp").agg(F.min("best").alias("b")).where(F.col("b.c") >= sides.threshold)
 
 
-def _any_long_units(left: DataFrame, right: DataFrame) -> bool:
-    """One pass over the materialised names; keeps the plan short where it can be."""
-    sizes = left.select(F.size("unit_set").alias("n")).unionByName(right.select(F.size("unit_set").alias("n")))
-    return (sizes.agg(F.max("n")).first()[0] or 0) > SUBSET_UNITS
-
-
-def _long_units(forms: DataFrame, right: DataFrame, left_name: str, right_id: str) -> DataFrame:
+def _long_units(forms: DataFrame, sides: _Sides) -> DataFrame:
     """The same for names with more than SUBSET_UNITS units: shared units are counted per pair.
 
     Such names are never single, so whole units are what counts.
     """
+    left_name, right_id, right = sides.left_name, sides.right_id, sides.right
     many = F.size("unit_set") > SUBSET_UNITS
     lhs = forms.select(
         left_name, "grp", "right_text", "right_chars", "closeness",
@@ -346,14 +399,20 @@ def _long_units(forms: DataFrame, right: DataFrame, left_name: str, right_id: st
     )
     return (
         pairs.groupBy(left_name, "grp", right_id, "closeness", "n_left", "n_right")
-        .agg(F.count("*").alias("shared"))
-        .select(left_name, "grp", right_id, "closeness", _unit_dist(F.col("n_left"), F.col("n_right"), F.col("shared")).alias("unit_dist"))
+        .agg(F.count("*").cast("int").alias("shared"))
+        .select(left_name, "grp", right_id, "closeness", "n_left", "n_right", "shared")
     )
 
 
 # ---------------------------------------------------------------- the operator
 
 
+def _no_match(left: DataFrame, right: DataFrame, left_name: str, right_id: str, by: str | None) -> DataFrame:
+    keys = [F.col(left_name)] if by is None else [F.col(left_name), F.lit(None).cast(right.schema[by].dataType).alias(by)]
+    return left.where(F.lit(False)).select(
+        *keys, F.lit(None).cast(right.schema[right_id].dataType).alias(right_id), F.lit(None).cast("double").alias("confidence"))
+
+
 def best_match(
     left: DataFrame,
     right: DataFrame,
@@ -370,25 +429,23 @@ def best_match(
     With ``by``, a column of ``right``, every left name gets one match per value of it.
     """
     group = F.lit("") if by is None else F.col(by)
-    lhs = cut_lineage(name_features(left.select(left_name).where(F.col(left_name).isNotNull()).distinct(), left_name))
+    names = left.select(left_name).where(F.col(left_name).isNotNull()).distinct()
+    lhs = cut_lineage(name_features(names, left_name).withColumn("probes", _left_probes()))
     names = (
         right.where(F.col(right_name).isNotNull() & group.isNotNull())
         .groupBy(group.alias("grp"), F.col(right_name))
         .agg(F.min(right_id).alias(right_id))
     )
-    rhs = cut_lineage(name_features(names, right_name))
+    rhs = cut_lineage(name_features(names, right_name).withColumn("entries", _right_entries()))
+    sizes = plan_blocks(lhs, rhs, block_chars)
+    if not (sizes[0].per_class and sizes[1].per_class):
+        return _no_match(left, right, left_name, right_id, by)
     near = near_forms(
         lhs.select("form_text", "form_chars").distinct(),
         rhs.select("grp", "form_text", "form_chars").distinct(),
-        scoring, threshold, block_chars,
-    )
-    scored = _resolve_units(lhs, rhs, near, left_name, right_id, scoring)
-    # confidence as an integer so that the order of a struct is: best first, then id
-    rank = F.struct((-F.round(F.col("confidence") * 10**scoring.digits)).cast("int").alias("r"), F.col(right_id).alias("id"), F.col("confidence").alias("c"))
-    best = (
-        scored.where(F.col("confidence") >= threshold)
-        .groupBy(left_name, "grp")
-        .agg(F.min(rank).alias("b"))
+        sizes, scoring, threshold,
     )
+    any_long = max(s.most_units for s in sizes) > SUBSET_UNITS
+    best = _resolve_units(_Sides(lhs, rhs, left_name, right_id, scoring, threshold, any_long), cut_lineage(near))
     keys = [left_name] if by is None else [left_name, F.col("grp").alias(by)]
     return best.select(*keys, F.col("b.id").alias(right_id), F.col("b.c").alias("confidence"))

@@ -13,12 +13,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_date
-from ..functions.names import NameRules, normalize_names
+from ..functions.names import NameRules, distinct_texts, normalize_names
 from ..functions.similarity import Scoring
 from ..operators.best_match import best_match
 from ..operators.catalog import catalog_names
 from ..operators.checks import DataCheckError, check_not_empty, check_single_date
 from ..operators.lineage import cut_lineage
+from ..operators.reports import matched_rows
 from ..sources import tables
 from ..sources.listing import list_files, require_files
 from ..sources.prices import price_file, read_prices
@@ -34,6 +35,13 @@ class DailyResult(NamedTuple):
     files: DataFrame
 
 
+def with_clean_names(df: DataFrame, source: str, target: str, rules: NameRules | None = None, normalizer=None) -> DataFrame:
+    """Add the normalised name.  Every distinct text is normalised once and written
+    down: filters on the result would otherwise run all the rules a second time."""
+    texts = cut_lineage(normalize_names(distinct_texts(df, source), source, target, rules, normalizer))
+    return df.join(texts, source)
+
+
 def match_day(
     scraped: DataFrame, catalog: DataFrame, threshold: float = 0.40, rules: NameRules | None = None,
     scoring: Scoring = Scoring(), normalizer=None,
@@ -43,17 +51,10 @@ def match_day(
     ``scraped`` has competitor_sku_name, ``catalog`` sku and sku_name.  Names are
     normalised once per distinct text.
     """
-    def clean(df: DataFrame, source: str, target: str) -> DataFrame:
-        return normalize_names(df.select(source).where(F.col(source).isNotNull()).distinct(), source, target, rules, normalizer)
-
-    comp = cut_lineage(clean(scraped, "competitor_sku_name", "comp_sku_name_clean"))
-    own = clean(catalog, "sku_name", "mkp_sku_name_clean")
-    matches = best_match(
-        comp, catalog.join(own, "sku_name").select("sku", "mkp_sku_name_clean"),
-        threshold=threshold, scoring=scoring,
-    )
-    by_raw_name = comp.join(matches, "comp_sku_name_clean").drop("comp_sku_name_clean")
-    return scraped.join(by_raw_name, "competitor_sku_name")
+    scraped = with_clean_names(scraped, "competitor_sku_name", "comp_sku_name_clean", rules, normalizer)
+    catalog = with_clean_names(catalog, "sku_name", "mkp_sku_name_clean", rules, normalizer)
+    matches = best_match(scraped, catalog, threshold=threshold, scoring=scoring)
+    return matched_rows(scraped, matches, threshold=threshold)
 
 
 def load_prices(spark: SparkSession, prices_root: str, country: str, day: dt.date, database: str) -> None:
