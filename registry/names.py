@@ -74,7 +74,7 @@ _stage("normalize_sizes", D.steps(R.SIZES), N.homogenize_sizes)
 
 @query("normalize_name", f"select id, x as name from ({D.normalize(NAMES, 'name')})")
 def normalize_name(spark, sf):
-    return _names(spark, sf).select("id", N.normalize_name(F.col("name")).alias("name"))
+    return N.spread(_names(spark, sf)).select("id", N.normalize_name(F.col("name")).alias("name"))
 
 
 @query("normalize_texts", f"select conv_id, turn, x as text from ({D.normalize('select conv_id, turn, text from conversations', 'text')})")

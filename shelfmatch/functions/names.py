@@ -75,7 +75,7 @@ def _guarded(col: Column, word: str, rules: list, names: NameRules) -> Column:
 
 def squeeze(col: Column) -> Column:
     """ASCII white space to single blanks, none at the ends."""
-    return F.trim(F.regexp_replace(col, r"[\t-\r\x1c-\x1f ]+", " "))
+    return F.trim(F.regexp_replace(col, r"[\t-\r\x1c-\x1f ]{2,}|[\t-\r\x1c-\x1f]", " "))
 
 
 def clean_specials(col: Column, names: NameRules | None = None) -> Column:
@@ -99,11 +99,20 @@ def _ascii_folding() -> tuple[str, str, dict[str, str]]:
     return "".join(single_from), "".join(single_to), longer
 
 
+def _ranges(chars) -> str:
+    """Inside of a character class: neighbouring code points as ranges."""
+    codes = set(map(ord, chars))
+    starts = sorted(c for c in codes if c - 1 not in codes)
+    ends = sorted(c for c in codes if c + 1 not in codes)
+    return "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in zip(starts, ends))
+
+
 def fold_accents(col: Column) -> Column:
     """Compatibility decomposition, then everything outside ASCII dropped."""
     single_from, single_to, longer = _ascii_folding()
     table = F.from_json(F.lit(json.dumps(longer)), "map<string,string>")
-    any_longer = "[" + "".join(longer) + "]"
+    # the look-ahead keeps ASCII characters away from the long class
+    any_longer = r"(?=[^\x00-\x7F])[" + _ranges(longer) + "]"
 
     def expand(text: Column) -> Column:
         chars = F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(table, c), c))
@@ -128,9 +137,9 @@ def coarsen_quantities(col: Column, names: NameRules | None = None) -> Column:
 
 def drop_stop_words(col: Column, names: NameRules | None = None) -> Column:
     """Tokens (split on single blanks) that are stop words go; the blanks between the others stay."""
-    # one literal, split when the plan is optimised
-    stop = F.split(F.lit(" ".join((names or NameRules()).all_stop_words())), " ")
-    kept = F.filter(F.split(col, " ", -1), lambda w: ~F.array_contains(stop, w))
+    stop = (names or NameRules()).all_stop_words()
+    # a list of literals becomes a hash set
+    kept = F.filter(F.split(col, " ", -1), lambda w: ~w.isin(stop))
     return F.array_join(kept, " ")
 
 

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions import similarity as S
 from ..functions.lcs import encode, indel_percents, lcs_pairs
+from ..functions.names import distinct_texts, spread
 from ..functions.similarity import Scoring
 from .lineage import cut_lineage
 
@@ -429,14 +430,13 @@ def best_match(
     With ``by``, a column of ``right``, every left name gets one match per value of it.
     """
     group = F.lit("") if by is None else F.col(by)
-    names = left.select(left_name).where(F.col(left_name).isNotNull()).distinct()
-    lhs = cut_lineage(name_features(names, left_name).withColumn("probes", _left_probes()))
+    lhs = cut_lineage(name_features(distinct_texts(left, left_name), left_name).withColumn("probes", _left_probes()))
     names = (
         right.where(F.col(right_name).isNotNull() & group.isNotNull())
         .groupBy(group.alias("grp"), F.col(right_name))
         .agg(F.min(right_id).alias(right_id))
     )
-    rhs = cut_lineage(name_features(names, right_name).withColumn("entries", _right_entries()))
+    rhs = cut_lineage(name_features(spread(names, right_name), right_name).withColumn("entries", _right_entries()))
     sizes = plan_blocks(lhs, rhs, block_chars)
     if not (sizes[0].per_class and sizes[1].per_class):
         return _no_match(left, right, left_name, right_id, by)
