@@ -10,7 +10,9 @@ import functools
 import json
 import unicodedata
 from dataclasses import dataclass, field, replace
+from weakref import WeakKeyDictionary
 
+from pyspark import SparkContext
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -185,10 +187,24 @@ def normalize_name(col: Column, names: NameRules | None = None) -> Column:
     return homogenize_sizes(col, names)
 
 
+_default_normalizer: WeakKeyDictionary = WeakKeyDictionary()
+
+
+def _normalized_text() -> Column:
+    """``normalize_name`` of the column ``_text``, built once per Spark context: some
+    two hundred expressions take longer to build than to plan."""
+    sc = SparkContext._active_spark_context
+    if sc not in _default_normalizer:
+        _default_normalizer[sc] = normalize_name(F.col("_text"))
+    return _default_normalizer[sc]
+
+
 def normalize_names(df, source: str, target: str, rules: NameRules | None = None, normalizer=None):
     """Add ``target``, the normalised ``source``.  ``normalizer`` may be any Column -> Column."""
-    fn = normalizer or (lambda c: normalize_name(c, rules))
-    return df.withColumn(target, fn(F.col(source)))
+    if normalizer is not None or rules is not None:
+        fn = normalizer or (lambda c: normalize_name(c, rules))
+        return df.withColumn(target, fn(F.col(source)))
+    return df.withColumn("_text", F.col(source)).withColumn(target, _normalized_text()).drop("_text")
 
 
 def spread(df, *keys: str):

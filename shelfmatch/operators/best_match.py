@@ -42,7 +42,7 @@ SLACK = 1e-6
 
 
 def name_features(df: DataFrame, name: str) -> DataFrame:
-    """Add ``form_text``, ``form_chars`` (what closeness depends on), ``units``, ``unit_set``."""
+    """Add ``form_text``, ``form_chars`` (what closeness depends on) and the units."""
     base = S.remove_units(F.col(name))
     return (
         df.withColumn("_base", base)
@@ -50,6 +50,7 @@ def name_features(df: DataFrame, name: str) -> DataFrame:
         .withColumn("form_chars", F.array_join(S.char_set(F.col("_base")), ""))
         .withColumn("units", S.extract_units(F.col(name)))
         .withColumn("unit_set", F.array_sort(F.array_distinct("units")))
+        .withColumn("unit_parts", F.array_sort(F.array_distinct(S.unit_parts(F.get("units", F.lit(0))))))
         .drop("_base")
     )
 
@@ -258,40 +259,20 @@ def near_forms(left: DataFrame, right: DataFrame, sizes: tuple[Blocks, Blocks],
 # ---------------------------------------------------------------- step 2: units
 
 
-def _subsets(elements: Column) -> Column:
-    """Every subset of a short sorted array, as struct(key, size)."""
-    def subset(mask: Column) -> Column:
-        return F.filter(elements, lambda _, i: F.getbit(mask, i) == 1)
-
-    masks = F.sequence(F.lit(0), (F.pow(F.lit(2.0), F.size(elements)) - 1).cast("int"))
-    return F.transform(
-        masks,
-        lambda m: F.struct(
-            F.array_join(F.transform(subset(m), lambda u: F.concat(F.lit("/"), u)), "").alias("key"),
-            F.size(subset(m)).alias("shared"),
-        ),
+def _probe(kind: str, elements: str) -> str:
+    """SQL for the array of (kind, n_units, key, shared), one per subset of a sorted array column."""
+    subsets = (
+        f"transform(sequence(0, cast(power(2, size({elements})) as int) - 1), "
+        f"m -> filter({elements}, (x, i) -> getbit(m, i) = 1))"
     )
-
-
-def _probe(kind: str, elements: Column) -> Column:
-    """The array of struct(kind, n_units, key, shared) a unit list is found or looked up by."""
-    n = F.size(elements)
-    only_empty = F.array(F.struct(F.lit("").alias("key"), F.lit(0).alias("shared")))
-    subsets = F.when(n <= SUBSET_UNITS, _subsets(elements)).otherwise(only_empty)
-    return F.transform(
-        subsets,
-        lambda s: F.struct(F.lit(kind).alias("kind"), n.alias("n_units"), s["key"].alias("key"), s["shared"].alias("shared")),
+    only_empty = "array(cast(array() as array<string>))"
+    return (
+        f"transform(if(size({elements}) <= {SUBSET_UNITS}, {subsets}, {only_empty}), "
+        f"s -> named_struct('kind', '{kind}', 'n_units', size({elements}), "
+        f"'key', array_join(transform(s, u -> concat('/', u)), ''), 'shared', size(s)))"
     )
 
 
-def _parts() -> Column:
-    return F.array_sort(F.array_distinct(S.unit_parts(F.get("units", F.lit(0)))))
-
-
-def _is_single() -> Column:
-    return F.size("units") == 1
-
-
 def _unit_dist(n_left: Column, n_right: Column, shared: Column) -> Column:
     union = n_left + n_right - shared
     return 1 - F.when(union == 0, 1.0).otherwise(shared / union)
@@ -300,16 +281,15 @@ def _unit_dist(n_left: Column, n_right: Column, shared: Column) -> Column:
 def _left_probes() -> Column:
     """What a left name is looked up by: a single unit meets single units by its
     parts and other lists whole; several units (or none) meet all lists whole."""
-    whole = F.col("unit_set")
-    return F.when(_is_single(), F.concat(_probe("p", _parts()), _probe("w", whole))).otherwise(
-        F.concat(_probe("s", whole), _probe("w", whole))
-    )
+    single = f"concat({_probe('p', 'unit_parts')}, {_probe('w', 'unit_set')})"
+    several = f"concat({_probe('s', 'unit_set')}, {_probe('w', 'unit_set')})"
+    return F.expr(f"if(size(units) = 1, {single}, {several})")
 
 
 def _right_entries() -> Column:
     """What a right name is found by: whole units as "s" (single) or "w", parts of a single unit as "p"."""
-    whole = F.col("unit_set")
-    return F.when(_is_single(), F.concat(_probe("p", _parts()), _probe("s", whole))).otherwise(_probe("w", whole))
+    single = f"concat({_probe('p', 'unit_parts')}, {_probe('s', 'unit_set')})"
+    return F.expr(f"if(size(units) = 1, {single}, {_probe('w', 'unit_set')})")
 
 
 class _Sides(NamedTuple):
