@@ -1,16 +1,15 @@
 """Best-match join: for every left name the right name of highest confidence.
 
-The score of a pair is ``closeness - unit_weight * unit_distance`` and closeness
-depends on the names *without* their units only.  So the join runs in two steps
-and no step lists all pairs of names:
-
-1. ``near_forms`` works on the distinct unit-free forms of both sides.  Forms are
-   hashed into blocks of bounded size; a task scores one block against another
-   with matrix products as upper bounds and an exact LCS for what is left, and
-   keeps per left form only what can still win: units move a score by at most
-   ``unit_weight``, so a form further than that behind the best one is out.
-2. ``_resolve_units`` finds the best unit list among the names of a near form by
-   an equi-join on unit subsets, which are aggregated before the join.
+The score of a pair is ``closeness - unit_weight * unit_distance``, and closeness
+depends on the names *without* their units only, their forms.  Names are hashed
+into blocks of bounded size, one task scores one block of each side, and all it
+returns is the best right name per left name; so neither the pairs of names nor
+those of forms are ever listed.  Inside a task
+
+1. matrix products of character counts bound the closeness of all forms,
+2. an exact LCS runs where the bound can still win,
+3. units are compared only for names whose forms are close enough to win,
+   whatever their units.
 
 The result is exact.  Ties in the rounded confidence go to the smallest id.
 """
@@ -18,11 +17,11 @@ The result is exact.  Ties in the rounded confidence go to the smallest id.
 from __future__ import annotations
 
 import math
-from typing import NamedTuple
+import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import similarity as S
@@ -31,69 +30,45 @@ from ..functions.names import distinct_texts, spread
 from ..functions.similarity import Scoring
 from .lineage import cut_lineage
 
-# characters of unit-free text in one block: 2^20 are 32k forms of 32 characters
+# characters of unit-free text in one block: 2^20 are 32k names of 32 characters
 BLOCK_CHARS = 1 << 20
-# names with more distinct units than this skip the subset index (2^n entries)
-SUBSET_UNITS = 8
-# rows x columns of one score matrix inside a task
+# names of one form that stay together; a form with more is salted by its units
+FORM_NAMES = 1024
+# rows x columns of one matrix of forms inside a task
 TILE = (512, 4096)
+# name pairs compared at once inside a task
+PAIRS = 1 << 20
 # the bound a pair must miss by before it is dropped, against float noise
 SLACK = 1e-6
 
 
 def name_features(df: DataFrame, name: str) -> DataFrame:
-    """Add ``form_text``, ``form_chars`` (what closeness depends on) and the units."""
+    """Add ``form_text``, ``form_chars`` (what closeness depends on), ``units`` and the block key ``cls``, ``h``."""
     base = S.remove_units(F.col(name))
     return (
         df.withColumn("_base", base)
         .withColumn("form_text", S.token_sort(F.col("_base")))
         .withColumn("form_chars", F.array_join(S.char_set(F.col("_base")), ""))
         .withColumn("units", S.extract_units(F.col(name)))
-        .withColumn("unit_set", F.array_sort(F.array_distinct("units")))
-        .withColumn("unit_parts", F.array_sort(F.array_distinct(S.unit_parts(F.get("units", F.lit(0))))))
+        .withColumn("cls", _length_class(F.col("form_text")))
         .drop("_base")
     )
 
 
-# ---------------------------------------------------------------- step 1: forms
-
-
 def _length_class(text: Column) -> Column:
     """0 for empty, else 1 + floor(log2(length)): at most 32 classes."""
     n = F.length(text)
     return F.when(n == 0, 0).otherwise(1 + F.floor(F.log2(n.cast("double")))).cast("int")
 
 
-class Blocks(NamedTuple):
-    """Blocks per length class of one side (at most 32 entries), and its longest unit list."""
-
-    per_class: dict[int, int]
-    most_units: int
-
-
-def plan_blocks(left: DataFrame, right: DataFrame, block_chars: int = BLOCK_CHARS) -> tuple[Blocks, Blocks]:
-    """Sizes of both sides from one aggregation; two rows per length class reach the driver."""
-    def sized(df: DataFrame, side: str) -> DataFrame:
-        return df.select(
-            F.lit(side).alias("side"), _length_class(F.col("form_text")).alias("cls"),
-            F.xxhash64("form_text", "form_chars").alias("form"), F.size("unit_set").alias("n_units"),
-        )
-
+def plan_blocks(left: DataFrame, right: DataFrame, block_chars: int = BLOCK_CHARS) -> tuple[dict[int, int], dict[int, int]]:
+    """Blocks per length class of both sides; two rows per class reach the driver."""
     rows = (
-        sized(left, "l").unionByName(sized(right, "r"))
-        .groupBy("side", "cls")
-        .agg(F.approx_count_distinct("form").alias("n"), F.max("n_units").alias("n_units"))
-        .collect()
+        left.select(F.lit("l").alias("side"), "cls").unionByName(right.select(F.lit("r").alias("side"), "cls"))
+        .groupBy("side", "cls").agg(F.count("*").alias("n")).collect()
     )
-
-    def blocks(side: str) -> Blocks:
-        mine = [r for r in rows if r.side == side]
-        return Blocks(
-            {r.cls: max(1, math.ceil(r.n * 2**r.cls / block_chars)) for r in mine},
-            max((r.n_units for r in mine), default=0),
-        )
-
-    return blocks("l"), blocks("r")
+    l, r = ({x.cls: max(1, math.ceil(x.n * 2**x.cls / block_chars)) for x in rows if x.side == side} for side in "lr")
+    return l, r
 
 
 def _reach(least_raw: float, dice_weight: float) -> int:
@@ -106,13 +81,27 @@ def _reach(least_raw: float, dice_weight: float) -> int:
     return int(math.floor(math.log2((2 - ratio) / ratio))) + 1
 
 
-def _placed(forms: DataFrame, own: Blocks, other: Blocks, side: str, reach: int) -> DataFrame:
-    """One row per form and per block pair it takes part in."""
-    own_n = F.create_map(*[F.lit(x) for item in own.per_class.items() for x in item])
-    partners = F.array(*[F.struct(F.lit(c).alias("cls"), F.lit(n).alias("n")) for c, n in other.per_class.items()])
+def _salted(names: DataFrame, form_names: int) -> DataFrame:
+    """Add ``h``, the hash a name is placed by: of its form, and of its units where a form has many names."""
+    hot = (
+        names.groupBy("form_text", "form_chars").agg(F.count("*").alias("n"))
+        .where(F.col("n") > form_names)
+        .select("form_text", "form_chars", F.ceil(F.col("n") / form_names).alias("salts"))
+    )
+    salt = F.pmod(F.xxhash64("units"), F.coalesce("salts", F.lit(1)))
+    return (
+        names.join(hot, ["form_text", "form_chars"], "left")
+        .withColumn("h", F.xxhash64("form_text", "form_chars", salt))
+        .drop("salts")
+    )
+
+
+def _placed(names: DataFrame, own: dict[int, int], other: dict[int, int], side: str, reach: int) -> DataFrame:
+    """One row per name and per pair of blocks it takes part in."""
+    own_n = F.create_map(*[F.lit(x) for item in own.items() for x in item])
+    partners = F.array(*[F.struct(F.lit(c).alias("cls"), F.lit(n).alias("n")) for c, n in other.items()])
     rows = (
-        forms.withColumn("cls", _length_class(F.col("form_text")))
-        .withColumn("own_block", F.pmod(F.xxhash64("form_text", "form_chars"), F.element_at(own_n, F.col("cls"))).cast("int"))
+        names.withColumn("own_block", F.pmod(F.col("h"), F.element_at(own_n, F.col("cls"))).cast("int"))
         .withColumn("p", F.explode(F.filter(partners, lambda p: F.abs(p["cls"] - F.col("cls")) <= reach)))
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("p.n") - 1)))
     )
@@ -120,10 +109,13 @@ def _placed(forms: DataFrame, own: Blocks, other: Blocks, side: str, reach: int)
     keys = mine + partner if side == "l" else partner + mine
     return rows.select(
         *[c.alias(k) for c, k in zip(keys, ["lc", "lb", "rc", "rb"])],
-        F.lit(side).alias("side"), "form_text", "form_chars", "grp",
+        F.lit(side).alias("side"), "grp", "key", "form_text", "form_chars", "units",
     )
 
 
+# ---------------------------------------------------------------- inside a task
+
+
 def _presence(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     codes, lengths, k = encode(texts)
     flat = np.zeros((len(texts), k + 1), np.float32)
@@ -142,34 +134,6 @@ def _counted(codes: np.ndarray, k: int, most: np.ndarray) -> np.ndarray:
     return np.concatenate(parts, axis=1).astype(np.float32) if parts else np.zeros((len(codes), 1), np.float32)
 
 
-def score_block(left: pd.DataFrame, right: pd.DataFrame, scoring: Scoring, least_raw: float):
-    """Near pairs of one block pair: positions left and right, closeness."""
-    right = right.sort_values("grp", kind="stable")
-    texts = left.form_text.tolist() + right.form_text.tolist()
-    codes, lengths, k = encode(texts)
-    sets, set_sizes = _presence(left.form_chars.tolist() + right.form_chars.tolist())
-    n = len(left)
-    counts = np.zeros((len(codes), k + 1), np.int64)
-    np.add.at(counts, (np.repeat(np.arange(len(codes)), codes.shape[1]), codes.reshape(-1)), 1)
-    # an occurrence the other side never has cannot be shared
-    most = np.minimum(counts[:n].max(axis=0), counts[n:].max(axis=0))
-    groups = right.grp.to_numpy()
-    out = []
-    for r0 in range(0, len(right), TILE[1]):
-        r1 = min(len(right), r0 + TILE[1])
-        tall_r = _counted(codes[n + r0 : n + r1], k, most)
-        starts = np.flatnonzero(np.r_[True, groups[r0 + 1 : r1] != groups[r0 : r1 - 1]])
-        for l0 in range(0, n, TILE[0]):
-            l1 = min(n, l0 + TILE[0])
-            total = (lengths[l0:l1, None] + lengths[None, n + r0 : n + r1]).astype(np.float64)
-            shared = (_counted(codes[l0:l1], k, most) @ tall_r.T).astype(np.float64)
-            dice = _dice(sets[l0:l1], sets[n + r0 : n + r1], set_sizes[l0:l1], set_sizes[n + r0 : n + r1])
-            bound = _closeness(shared, total, dice, scoring)
-            out.append(_near(bound, dice, total, starts, codes, lengths, k, l0, n + r0, scoring, least_raw))
-    li, ri, close = (np.concatenate(c) for c in zip(*out))
-    return li, right.index.to_numpy()[ri - n], close
-
-
 def _dice(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
     total = (na[:, None] + nb[None, :]).astype(np.float64)
     shared = (a @ b.T).astype(np.float64)
@@ -183,206 +147,145 @@ def _closeness(lcs: np.ndarray, total: np.ndarray, dice: np.ndarray, scoring: Sc
     return 1 - (lev * (2 - w) + dice * w) / 2
 
 
-def _near(bound, dice, total, starts, codes, lengths, k, l_base, r_base, scoring, least_raw):
-    """Exact closeness where the bound lets a pair into the margin of the best one of its group."""
-    n_left, n_right = bound.shape
-    widths = np.diff(np.r_[starts, n_right])
-    seg_of = np.repeat(np.arange(len(starts)), widths)
-
-    def exact(li, ri):
-        lcs = lcs_pairs(codes, lengths, k, li + l_base, ri + r_base)
-        return _closeness(lcs, total[li, ri], dice[li, ri], scoring)
-
-    # score the most promising pair of every row and group first
-    best = np.full((n_left, len(starts)), -np.inf)
-    tops = np.stack([s + bound[:, s : s + w].argmax(axis=1) for s, w in zip(starts, widths)], axis=1)
-    rows = np.repeat(np.arange(n_left), len(starts))
-    cols = tops.reshape(-1)
-    hopeful = bound[rows, cols] >= least_raw - SLACK
-    rows, cols = rows[hopeful], cols[hopeful]
-    best[rows, seg_of[cols]] = exact(rows, cols)
-    li, ri = np.nonzero(bound >= (_least_closeness(best, scoring, least_raw) - SLACK)[:, seg_of])
-    close = exact(li, ri)
-    np.maximum.at(best, (li, seg_of[ri]), close)
-    keep = close >= (_least_closeness(best, scoring, least_raw) - SLACK)[li, seg_of[ri]]
-    return li[keep] + l_base, ri[keep] + r_base, close[keep]
-
-
-def _least_closeness(best: np.ndarray, scoring: Scoring, least_raw: float) -> np.ndarray:
-    """``Scoring.least_closeness`` on an array."""
-    worst_raw = np.maximum(best - scoring.unit_weight, 1e-3)
-    worst = np.exp(1 - worst_raw ** -scoring.decay) - 10**-scoring.digits
-    raw = (1 - np.log(np.maximum(worst, 1e-300))) ** (-1 / scoring.decay)
-    return np.maximum(np.where(worst > 0, raw, -np.inf), least_raw)
-
-
-def near_forms(left: DataFrame, right: DataFrame, sizes: tuple[Blocks, Blocks], scoring: Scoring, threshold: float) -> DataFrame:
-    """Pairs of forms that can hold a best match: left_text, left_chars, grp, right_text, right_chars, closeness, nearest.
-
-    ``left`` has distinct form_text, form_chars; ``right`` the same and ``grp``.
-    """
-    least = scoring.least_raw(threshold)
-    reach = _reach(least, scoring.dice_weight)
-    rows = _placed(left.withColumn("grp", F.lit("")), *sizes, "l", reach).unionByName(
-        _placed(right, *sizes[::-1], "r", reach)
-    )
-
-    def score(pdf: pd.DataFrame) -> pd.DataFrame:
-        is_left = (pdf.side == "l").to_numpy()
-        a = pdf[is_left].reset_index(drop=True)
-        b = pdf[~is_left].reset_index(drop=True)
-        if a.empty or b.empty:
-            li, ri, close = np.zeros(0, int), np.zeros(0, int), np.zeros(0)
-        else:
-            li, ri, close = score_block(a, b, scoring, least)
-        return pd.DataFrame({
-            "left_text": a.form_text.to_numpy(object)[li],
-            "left_chars": a.form_chars.to_numpy(object)[li],
-            "grp": b.grp.to_numpy(object)[ri],
-            "right_text": b.form_text.to_numpy(object)[ri],
-            "right_chars": b.form_chars.to_numpy(object)[ri],
-            "closeness": close,
-        })
-
-    schema = "left_text string, left_chars string, grp string, right_text string, right_chars string, closeness double"
-    near = rows.groupBy("lc", "lb", "rc", "rb").applyInPandas(score, schema)
-    # a block knows its own best only: apply the margin once more over all blocks
-    w = Window.partitionBy("left_text", "left_chars", "grp")
-    return (
-        near.withColumn("_best", F.max("closeness").over(w))
-        .where(F.col("closeness") >= scoring.least_closeness(F.col("_best"), least) - SLACK)
-        .withColumn("nearest", F.col("closeness") == F.col("_best"))
-        .drop("_best")
-    )
-
-
-# ---------------------------------------------------------------- step 2: units
-
-
-def _probe(kind: str, elements: str) -> str:
-    """SQL for the array of (kind, n_units, key, shared), one per subset of a sorted array column."""
-    subsets = (
-        f"transform(sequence(0, cast(power(2, size({elements})) as int) - 1), "
-        f"m -> filter({elements}, (x, i) -> getbit(m, i) = 1))"
-    )
-    only_empty = "array(cast(array() as array<string>))"
-    return (
-        f"transform(if(size({elements}) <= {SUBSET_UNITS}, {subsets}, {only_empty}), "
-        f"s -> named_struct('kind', '{kind}', 'n_units', size({elements}), "
-        f"'key', array_join(transform(s, u -> concat('/', u)), ''), 'shared', size(s)))"
-    )
-
-
-def _unit_dist(n_left: Column, n_right: Column, shared: Column) -> Column:
-    union = n_left + n_right - shared
-    return 1 - F.when(union == 0, 1.0).otherwise(shared / union)
-
-
-def _left_probes() -> Column:
-    """What a left name is looked up by: a single unit meets single units by its
-    parts and other lists whole; several units (or none) meet all lists whole."""
-    single = f"concat({_probe('p', 'unit_parts')}, {_probe('w', 'unit_set')})"
-    several = f"concat({_probe('s', 'unit_set')}, {_probe('w', 'unit_set')})"
-    return F.expr(f"if(size(units) = 1, {single}, {several})")
-
-
-def _right_entries() -> Column:
-    """What a right name is found by: whole units as "s" (single) or "w", parts of a single unit as "p"."""
-    single = f"concat({_probe('p', 'unit_parts')}, {_probe('s', 'unit_set')})"
-    return F.expr(f"if(size(units) = 1, {single}, {_probe('w', 'unit_set')})")
-
-
-class _Sides(NamedTuple):
-    """What the unit step needs of a call to ``best_match``."""
-
-    left: DataFrame
-    right: DataFrame
-    left_name: str
-    right_id: str
-    scoring: Scoring
-    threshold: float
-    any_long: bool
-
-
-FORM_KEYS = ["grp", "right_text", "right_chars"]
-
-
-def _best_units(forms: DataFrame, sides: _Sides) -> DataFrame:
-    """left_name, grp, best (r, id, c) and raw over the given (left name, right form) rows.
-
-    Only the best unit list of a right form matters to a left name, so the right
-    side is aggregated to its smallest id per unit subset before the join.
-    """
-    left_name, right_id, scoring = sides.left_name, sides.right_id, sides.scoring
-    index = (
-        sides.right.select(right_id, "grp", F.col("form_text").alias("right_text"), F.col("form_chars").alias("right_chars"), F.explode("entries").alias("u"))
-        .groupBy(*FORM_KEYS, F.col("u.kind").alias("kind"), F.col("u.key").alias("key"), F.col("u.n_units").alias("n_right"))
-        .agg(F.min(right_id).alias(right_id))
-    )
-    found = (
-        forms.select(left_name, *FORM_KEYS, "closeness", F.explode("probes").alias("u"))
-        .select(left_name, *FORM_KEYS, "closeness", F.col("u.kind").alias("kind"), F.col("u.key").alias("key"),
-                F.col("u.n_units").alias("n_left"), F.col("u.shared").alias("shared"))
-        .join(index, [*FORM_KEYS, "kind", "key"])
-        .select(left_name, "grp", right_id, "closeness", "n_left", "n_right", "shared")
-    )
-    if sides.any_long:
-        found = found.unionByName(_long_units(forms, sides))
-    scored = S.with_confidence(
-        found.withColumn("unit_dist", _unit_dist(F.col("n_left"), F.col("n_right"), F.col("shared"))), scoring
-    )
-    # confidence as an integer, so that the smallest struct is: best first, then id
-    rank = F.struct(
-        (-F.round(F.col("confidence") * 10**scoring.digits)).cast("int").alias("r"), F.col(right_id).alias("id"),
-        F.col("confidence").alias("c"),
-    )
-    raw = F.col("closeness") - F.col("unit_dist") * scoring.unit_weight
-    return scored.groupBy(left_name, "grp").agg(F.min(rank).alias("best"), F.max(raw).alias("raw"))
-
-
-def _resolve_units(sides: _Sides, near: DataFrame) -> DataFrame:
-    """Best right name per (left_name, grp): the nearest form first, then what can still beat it."""
-    left_name, scoring = sides.left_name, sides.scoring
-    forms = sides.left.withColumnsRenamed({"form_text": "left_text", "form_chars": "left_chars"}).join(near, ["left_text", "left_chars"])
-    nearest = cut_lineage(_best_units(forms.where("nearest"), sides))
-    # with units of its own at best, a form needs a closeness of what is reached already
-    needed = scoring.least_closeness(F.col("raw") + scoring.unit_weight, scoring.least_raw(sides.threshold)) - SLACK
-    others = (
-        forms.where("not nearest")
-        .join(nearest.select(left_name, "grp", needed.alias("needed")), [left_name, "grp"])
-        .where("closeness >= needed")
-    )
-    both = nearest.unionByName(_best_units(others, sides))
-    return both.groupBy(left_name, "grp").agg(F.min("best").alias("b")).where(F.col("b.c") >= sides.threshold)
+def _least_closeness(raw: np.ndarray, scoring: Scoring, least_raw: float) -> np.ndarray:
+    """Closeness a form needs to beat or tie a name that has reached ``raw``, units at their best."""
+    reached = np.exp(1 - np.maximum(raw, 1e-3) ** -scoring.decay) - 10**-scoring.digits
+    floor = (1 - np.log(np.maximum(reached, 1e-300))) ** (-1 / scoring.decay)
+    return np.maximum(np.where(reached > 0, floor, -np.inf), least_raw) - SLACK
+
+
+class _Units:
+    """Unit lists of both sides as padded id arrays, for distances of many name pairs."""
+
+    def __init__(self, left: list, right: list):
+        lists = [list(u) for u in left] + [list(u) for u in right]
+        self.n_left = len(left)
+        self.single = np.array([len(u) == 1 for u in lists])
+        self.whole, self.whole_n = self._ids([set(u) for u in lists])
+        parts = [set(re.split(r"(\d+)", u[0])) if len(u) == 1 else set() for u in lists]
+        self.parts, self.parts_n = self._ids(parts)
+
+    @staticmethod
+    def _ids(sets: list[set]) -> tuple[np.ndarray, np.ndarray]:
+        ids: dict[str, int] = {}
+        sizes = np.array([len(s) for s in sets])
+        out = np.full((len(sets), max(1, int(sizes.max(initial=0)))), -1, np.int32)
+        for row, s in enumerate(sets):
+            for col, u in enumerate(s):
+                out[row, col] = ids.setdefault(u, len(ids))
+        return out, sizes
+
+    @staticmethod
+    def _distance(ids: np.ndarray, sizes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        shared = np.zeros(len(a), np.int64)
+        ids_b = ids[b]
+        for col in range(int(sizes[a].max(initial=0))):
+            mine = ids[a, col]
+            shared += ((ids_b == mine[:, None]).any(axis=1)) & (mine >= 0)
+        union = sizes[a] + sizes[b] - shared
+        return 1 - np.where(union == 0, 1.0, shared / np.maximum(union, 1))
+
+    def distance(self, li: np.ndarray, ri: np.ndarray) -> np.ndarray:
+        b = ri + self.n_left
+        out = self._distance(self.whole, self.whole_n, li, b)
+        both = np.flatnonzero(self.single[li] & self.single[b])
+        out[both] = self._distance(self.parts, self.parts_n, li[both], b[both])
+        return out
+
+
+class _Members:
+    """Names of every form: positions sorted by form, with start and count."""
+
+    def __init__(self, form_of: np.ndarray, n_forms: int):
+        self.order = np.argsort(form_of, kind="stable")
+        self.count = np.bincount(form_of, minlength=n_forms)
+        self.start = np.cumsum(self.count) - self.count
+
+
+def _name_pairs(fi: np.ndarray, gi: np.ndarray, left: _Members, right: _Members):
+    """Chunks of (position in fi, left name, right name) for pairs of forms."""
+    counts = left.count[fi] * right.count[gi]
+    ends = np.cumsum(counts)
+    at = 0
+    while at < len(fi):
+        done = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, done + PAIRS, side="right")))
+        n = counts[at:to]
+        pair = np.repeat(np.arange(at, to), n)
+        offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        width = right.count[gi[pair]]
+        yield pair, left.order[left.start[fi[pair]] + offset // width], right.order[right.start[gi[pair]] + offset % width]
+        at = to
+
+
+def score_block(left: pd.DataFrame, right: pd.DataFrame, scoring: Scoring, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per left name with a match: its position, the position of the best right name, the confidence."""
+    least_raw = scoring.least_raw(threshold)
+    right_order = np.argsort(right.key.to_numpy(object), kind="stable")
+    id_rank = np.empty(len(right), np.int64)
+    id_rank[right_order] = np.arange(len(right))
+    lf, left_forms = pd.factorize(pd.MultiIndex.from_frame(left[["form_text", "form_chars"]]))
+    rf, right_forms = pd.factorize(pd.MultiIndex.from_frame(right[["form_text", "form_chars"]]))
+    nl, nr = len(left_forms), len(right_forms)
+    codes, lengths, k = encode([f[0] for f in left_forms] + [f[0] for f in right_forms])
+    sets, set_sizes = _presence([f[1] for f in left_forms] + [f[1] for f in right_forms])
+    counts = np.zeros((nl + nr, k + 1), np.int64)
+    np.add.at(counts, (np.repeat(np.arange(nl + nr), codes.shape[1]), codes.reshape(-1)), 1)
+    # an occurrence the other side never has cannot be shared
+    most = np.minimum(counts[:nl].max(axis=0), counts[nl:].max(axis=0))
+    lm, rm = _Members(lf, nl), _Members(rf, nr)
+    units = _Units(left.units.tolist(), right.units.tolist())
+    reached = np.full(len(left), -np.inf)
+    best = np.full(len(left), -1, np.int64)
+
+    def take(fi, gi, close):
+        """Compare the names of pairs of forms and keep the best."""
+        for pair, li, ri in _name_pairs(fi, gi, lm, rm):
+            c = close[pair]
+            hopeful = c >= _least_closeness(reached[li], scoring, least_raw)
+            li, ri = li[hopeful], ri[hopeful]
+            raw = c[hopeful] - units.distance(li, ri) * scoring.unit_weight
+            value = np.where(raw > 0, np.exp(1 - np.maximum(raw, 1e-3) ** -scoring.decay), 0.0)
+            rounded = np.rint(value * 10**scoring.digits).astype(np.int64)
+            np.maximum.at(best, li, rounded * len(right) + (len(right) - 1 - id_rank[ri]))
+            np.maximum.at(reached, li, raw)
+
+    def needed() -> np.ndarray:
+        """Least closeness that helps any name of a left form."""
+        floor = np.full(nl, np.inf)
+        np.minimum.at(floor, lf, _least_closeness(reached, scoring, least_raw))
+        return floor
+
+    for r0 in range(0, nr, TILE[1]):
+        r1 = min(nr, r0 + TILE[1])
+        tall_r = _counted(codes[nl + r0 : nl + r1], k, most)
+        for l0 in range(0, nl, TILE[0]):
+            l1 = min(nl, l0 + TILE[0])
+            total = (lengths[l0:l1, None] + lengths[None, nl + r0 : nl + r1]).astype(np.float64)
+            shared = (_counted(codes[l0:l1], k, most) @ tall_r.T).astype(np.float64)
+            dice = _dice(sets[l0:l1], sets[nl + r0 : nl + r1], set_sizes[l0:l1], set_sizes[nl + r0 : nl + r1])
+            bound = _closeness(shared, total, dice, scoring)
 
+            def exact(fi, gi):
+                lcs = lcs_pairs(codes, lengths, k, fi + l0, gi + nl + r0)
+                return _closeness(lcs, total[fi, gi], dice[fi, gi], scoring)
 
-def _long_units(forms: DataFrame, sides: _Sides) -> DataFrame:
-    """The same for names with more than SUBSET_UNITS units: shared units are counted per pair.
+            # the most promising form first, then what can still beat it
+            fi = np.arange(l1 - l0)
+            gi = bound.argmax(axis=1)
+            hopeful = bound[fi, gi] >= needed()[l0:l1]
+            fi, gi = fi[hopeful], gi[hopeful]
+            take(fi + l0, gi + r0, exact(fi, gi))
+            bound[fi, gi] = -np.inf
+            fi, gi = np.nonzero(bound >= needed()[l0:l1, None])
+            close = exact(fi, gi)
+            near = close >= needed()[l0:l1][fi]
+            order = np.argsort(-close[near], kind="stable")
+            take(fi[near][order] + l0, gi[near][order] + r0, close[near][order])
 
-    Such names are never single, so whole units are what counts.
-    """
-    left_name, right_id, right = sides.left_name, sides.right_id, sides.right
-    many = F.size("unit_set") > SUBSET_UNITS
-    lhs = forms.select(
-        left_name, "grp", "right_text", "right_chars", "closeness",
-        F.size("unit_set").alias("n_left"), many.alias("left_many"),
-        F.explode("unit_set").alias("unit"),
-    )
-    rhs = right.select(
-        right_id, "grp", F.col("form_text").alias("right_text"), F.col("form_chars").alias("right_chars"),
-        F.size("unit_set").alias("n_right"), many.alias("right_many"),
-        F.explode("unit_set").alias("unit"),
-    )
-    keys = ["grp", "right_text", "right_chars", "unit"]
-    pairs = (
-        lhs.where("left_many").join(rhs, keys)
-        .unionByName(lhs.where("not left_many").join(rhs.where("right_many"), keys))
-    )
-    return (
-        pairs.groupBy(left_name, "grp", right_id, "closeness", "n_left", "n_right")
-        .agg(F.count("*").cast("int").alias("shared"))
-        .select(left_name, "grp", right_id, "closeness", "n_left", "n_right", "shared")
-    )
+    confidence = (best // len(right)) / 10**scoring.digits
+    li = np.flatnonzero((best >= 0) & (confidence >= threshold))
+    return li, right_order[len(right) - 1 - best[li] % len(right)], confidence[li]
 
 
 # ---------------------------------------------------------------- the operator
@@ -404,28 +307,45 @@ def best_match(
     scoring: Scoring = Scoring(),
     by: str | None = None,
     block_chars: int = BLOCK_CHARS,
+    form_names: int = FORM_NAMES,
 ) -> DataFrame:
-    """One row per distinct left name with a match: left_name, [by,] right_id, confidence.
+    """One row per distinct left name with a match: left_name, [by,] right_id (a string), confidence.
 
     With ``by``, a column of ``right``, every left name gets one match per value of it.
     """
     group = F.lit("") if by is None else F.col(by)
-    lhs = cut_lineage(name_features(distinct_texts(left, left_name), left_name).withColumn("probes", _left_probes()))
+    texts = distinct_texts(left, left_name).select(F.col(left_name).alias("key"), F.lit("").alias("grp"))
+    lhs = cut_lineage(name_features(texts, "key"))
     names = (
         right.where(F.col(right_name).isNotNull() & group.isNotNull())
-        .groupBy(group.alias("grp"), F.col(right_name))
-        .agg(F.min(right_id).alias(right_id))
+        .groupBy(group.cast("string").alias("grp"), F.col(right_name).alias("name"))
+        .agg(F.min(right_id).alias("key"))
     )
-    rhs = cut_lineage(name_features(spread(names, right_name), right_name).withColumn("entries", _right_entries()))
-    sizes = plan_blocks(lhs, rhs, block_chars)
-    if not (sizes[0].per_class and sizes[1].per_class):
+    rhs = cut_lineage(name_features(spread(names, "grp", "name"), "name"))
+    own, other = plan_blocks(lhs, rhs, block_chars)
+    if not (own and other):
         return _no_match(left, right, left_name, right_id, by)
-    near = near_forms(
-        lhs.select("form_text", "form_chars").distinct(),
-        rhs.select("grp", "form_text", "form_chars").distinct(),
-        sizes, scoring, threshold,
+    reach = _reach(scoring.least_raw(threshold), scoring.dice_weight)
+    rows = _placed(_salted(lhs, form_names), own, other, "l", reach).unionByName(
+        _placed(_salted(rhs, form_names), other, own, "r", reach)
     )
-    any_long = max(s.most_units for s in sizes) > SUBSET_UNITS
-    best = _resolve_units(_Sides(lhs, rhs, left_name, right_id, scoring, threshold, any_long), cut_lineage(near))
-    keys = [left_name] if by is None else [left_name, F.col("grp").alias(by)]
-    return best.select(*keys, F.col("b.id").alias(right_id), F.col("b.c").alias("confidence"))
+
+    def score(pdf: pd.DataFrame) -> pd.DataFrame:
+        is_left = (pdf.side == "l").to_numpy()
+        a = pdf[is_left].reset_index(drop=True)
+        columns = {"name": [], "grp": [], "id": [], "confidence": []}
+        for g, b in pdf[~is_left].groupby("grp") if len(a) else []:
+            b = b.reset_index(drop=True)
+            li, ri, confidence = score_block(a, b, scoring, threshold)
+            columns["name"] += a.key.to_numpy(object)[li].tolist()
+            columns["grp"] += [g] * len(li)
+            columns["id"] += b.key.to_numpy(object)[ri].tolist()
+            columns["confidence"] += confidence.tolist()
+        return pd.DataFrame({c: np.array(v, object if c != "confidence" else np.float64) for c, v in columns.items()})
+
+    scored = rows.groupBy("lc", "lb", "rc", "rb").applyInPandas(score, "name string, grp string, id string, confidence double")
+    best = scored.groupBy("name", "grp").agg(F.min(F.struct((-F.col("confidence")).alias("c"), "id")).alias("b"))
+    keys = [F.col("name").alias(left_name)]
+    if by is not None:
+        keys.append(F.col("grp").cast(right.schema[by].dataType).alias(by))
+    return best.select(*keys, F.col("b.id").alias(right_id), (-F.col("b.c")).alias("confidence"))

@@ -53,19 +53,18 @@ def reverse_match(
     competitor_name) that reaches the threshold, equal products by smallest name,
     then price, then address.
     """
-    products = scraped.select(
-        "competitor_name", "sku_name_clean",
-        F.struct(
-            F.coalesce("competitor_sku_name", F.lit("")).alias("competitor_sku_name"),
-            "competitor_price", "competitor_url",
-        ).alias("product"),
-    )
+    # an id in the order of ties: name, price, address
+    product = F.struct("competitor_sku_name", "competitor_price", "competitor_url")
+    price = F.lpad(F.round(F.col("competitor_price") * 1e6).cast("decimal(30,0)").cast("string"), 30, "0")
+    ident = F.concat_ws("\x01", *[F.coalesce(c, F.lit("")) for c in (F.col("competitor_sku_name"), price, F.col("competitor_url"))])
+    products = scraped.select("competitor_name", "sku_name_clean", ident.alias("product_id"), product.alias("product"))
     best = best_match(
-        catalog, products, left_name="sku_name_clean", right_name="sku_name_clean", right_id="product",
+        catalog, products, left_name="sku_name_clean", right_name="sku_name_clean", right_id="product_id",
         threshold=threshold, scoring=scoring, by="competitor_name",
     )
+    shown = products.groupBy("competitor_name", "product_id").agg(F.min("product").alias("product"))
     return (
-        catalog.select("sku", "sku_name_clean").join(best, "sku_name_clean")
+        catalog.select("sku", "sku_name_clean").join(best, "sku_name_clean").join(shown, ["competitor_name", "product_id"])
         .select("sku", "competitor_name", "product.*", "confidence")
     )
 

@@ -67,13 +67,14 @@ def test_one_match_per_group(spark, sides):
     assert got == expected
 
 
-def test_one_form_for_all_names(spark):
+@pytest.mark.parametrize("form_names", [1024, 20])
+def test_one_form_for_all_names(spark, form_names):
     """All names share one unit-free form: the hottest key there can be."""
     left = [f"agua {m}ml {p}pz" for m in range(1, 30) for p in range(1, 8)]
     right = [(f"{i:05d}", f"agua {m * 2}ml {p * 3}pz") for i, (m, p) in enumerate((m, p) for m in range(1, 40) for p in range(1, 6))]
     ldf = spark.createDataFrame([(x,) for x in left], "comp_sku_name_clean string")
     rdf = spark.createDataFrame(right, "sku string, mkp_sku_name_clean string")
-    assert collect(best_match(ldf, rdf)) == brute.best(left, right, 0.4)
+    assert collect(best_match(ldf, rdf, form_names=form_names, block_chars=1000)) == brute.best(left, right, 0.4)
 
 
 def test_long_names(spark):
