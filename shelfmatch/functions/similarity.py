@@ -42,17 +42,6 @@ class Scoring:
             return -math.inf
         return (1 / (1 - math.log(t))) ** (1 / self.decay) - 1e-9
 
-    def least_closeness(self, best: Column, least_raw: float) -> Column:
-        """Closeness a name needs to win or tie against one of closeness ``best``.
-
-        The units of the best one may cost it all of ``unit_weight``; what is left
-        is its confidence in the worst case, and one unit of rounding below that
-        still ties.
-        """
-        worst = calibrate(best - self.unit_weight, self.decay) - 10**-self.digits
-        raw = F.pow(1 / (1 - F.log(worst)), F.lit(1 / self.decay)) - 1e-9
-        return F.greatest(F.lit(least_raw), F.when(worst > 0, raw).otherwise(F.lit(-math.inf)))
-
 
 def extract_units(name: Column) -> Column:
     """All number-plus-unit tokens, in order."""

@@ -43,7 +43,7 @@ SLACK = 1e-6
 
 
 def name_features(df: DataFrame, name: str) -> DataFrame:
-    """Add ``form_text``, ``form_chars`` (what closeness depends on), ``units`` and the block key ``cls``, ``h``."""
+    """Add ``form_text``, ``form_chars`` (what closeness depends on), ``units`` and the length class ``cls``."""
     base = S.remove_units(F.col(name))
     return (
         df.withColumn("_base", base)
