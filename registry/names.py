@@ -167,7 +167,7 @@ select k, a, b, a_clean, b_clean, round(close, 2) as lvd_conf, round(1 - udist,
        array_to_string(ua, '|') as a_units, array_to_string(ub, '|') as b_units
 from ({D.scored_pairs(NORMAL_PAIRS, 'a_clean', 'b_clean')})""")
 def pair_explain(spark, sf):
-    explained = evaluation.explain_pairs(I.read(spark, sf, I.RAW_PAIRS), "a", "b")
+    explained = evaluation.explain_pairs(N.spread(I.read(spark, sf, I.RAW_PAIRS)), "a", "b")
     return explained.withColumns({"a_units": F.array_join("a_units", "|"), "b_units": F.array_join("b_units", "|")})
 
 
@@ -180,4 +180,4 @@ from (select k, {D.confidence('close', 'udist')} as conf, k::bigint % 11 / 10.0:
              case k::bigint % 3 when 0 then '<=' when 1 then '>=' else '==' end as op
       from ({D.scored_pairs(NORMAL_PAIRS, 'a_clean', 'b_clean')}))""")
 def expectation_check(spark, sf):
-    return evaluation.check_expected(I.read(spark, sf, EXPECTED)).select("own_key", "confidence", "passed")
+    return evaluation.check_expected(N.spread(I.read(spark, sf, EXPECTED))).select("own_key", "confidence", "passed")
