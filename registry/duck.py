@@ -2,17 +2,11 @@
 
 from __future__ import annotations
 
-import functools
-import os
 import re
-import zipfile
-
-import pyspark
 
 from shelfmatch.functions import name_rules as R
-
-UNIT = r"\d*[\.]?\d+[ml|lt|pz|g|oz|kg]+"
-UNIT_TAIL = r"\d+[ml|lt|pz|g|oz|kg]+(\s|$)"
+from shelfmatch.functions.similarity import UNIT, UNIT_TAIL
+from shelfmatch.functions.stop_words import spanish
 
 
 def quote(text: str) -> str:
@@ -33,14 +27,8 @@ def dedup_tokens(x: str) -> str:
     return f"array_to_string(list_filter({tokens}, lambda w, i: list_position({tokens}, w) = i), ' ')"
 
 
-@functools.cache
 def stop_words() -> list[str]:
-    """The Spanish list that Spark ships, read without a session."""
-    jars = os.path.join(os.path.dirname(pyspark.__file__), "jars")
-    jar = next(j for j in os.listdir(jars) if j.startswith("spark-mllib_"))
-    with zipfile.ZipFile(os.path.join(jars, jar)) as z:
-        text = z.read("org/apache/spark/ml/feature/stopwords/spanish.txt").decode("utf-8")
-    return text.split() + R.EXTRA_STOP_WORDS
+    return spanish() + R.EXTRA_STOP_WORDS
 
 
 def drop_stop_words(x: str) -> str:

@@ -13,12 +13,12 @@ from dataclasses import dataclass, field, replace
 from weakref import WeakKeyDictionary
 
 from pyspark import SparkContext
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import name_rules as R
 from .binding import let
+from .stop_words import spanish
 
 
 @dataclass(frozen=True)
@@ -44,7 +44,7 @@ class NameRules:
     def all_stop_words(self) -> list[str]:
         words = self.stop_words
         if words is None:
-            words = StopWordsRemover.loadDefaultStopWords("spanish")
+            words = spanish()
         return list(words) + R.EXTRA_STOP_WORDS
 
 

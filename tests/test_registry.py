@@ -16,6 +16,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test table
 
 TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE", "boolean": "BOOLEAN"}
 NO_SQL = {"sample_names"}
+QUERIES = {name: fn for m in entry_points.LIBRARY for name, fn in m.SPARK.items()}
 
 
 @pytest.fixture(scope="module")
@@ -32,9 +33,9 @@ def canonical(value):
     return repr(value)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    df = entry_points.queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     columns = sorted(df.columns)
     ours = sorted(tuple(canonical(r[c]) for c in columns) for r in df.collect())
     if name in NO_SQL:
@@ -52,3 +53,25 @@ def test_query(spark, duck, name):
 def test_entry(spark):
     df = entry_points.entry(spark)
     assert df.columns[-2:] == ["sku", "confidence"] and not df.isEmpty()
+
+
+def test_imports_from_a_zip(tmp_path):
+    """A driver may have PySpark on its path as an archive, without the folder of jars beside it."""
+    import subprocess
+    import zipfile
+
+    import pyspark
+
+    package = os.path.dirname(pyspark.__file__)
+    archive = tmp_path / "pyspark.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, files in os.walk(package):
+            for f in files:
+                if f.endswith(".py"):
+                    path = os.path.join(folder, f)
+                    z.write(path, os.path.relpath(path, os.path.dirname(package)))
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = "import pyspark, __spark_entry__ as e; assert '.zip' in pyspark.__file__; print(len(e.queries()), len(e.oracle_sql()))"
+    env = os.environ | {"PYTHONPATH": f"{archive}{os.pathsep}{root}"}
+    done = subprocess.run([sys.executable, "-c", code], env=env, cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
