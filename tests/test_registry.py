@@ -67,7 +67,7 @@ def test_imports_from_a_zip(tmp_path):
     with zipfile.ZipFile(archive, "w") as z:
         for folder, _, files in os.walk(package):
             for f in files:
-                if f.endswith(".py"):
+                if f.endswith((".py", ".json")):
                     path = os.path.join(folder, f)
                     z.write(path, os.path.relpath(path, os.path.dirname(package)))
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
