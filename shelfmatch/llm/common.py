@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +42,17 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
 
+def text_array(column: pa.Array) -> pa.Array:
+    """A text column as an array with 64-bit offsets, whatever its length."""
+    return column.cast(pa.large_string())
+
+
+def slices(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """A binary array of the stretches of ``values`` between neighbouring ``bounds``."""
+    width = values.dtype.itemsize
+    return pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer((bounds * width).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(values))]).cast(pa.binary())
+
+
 def by_batch(fn: Callable[..., dict], schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A mapInArrow function from one that takes the columns of a batch as lists and returns columns."""
 

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged, table, text_of
+from .common import staged, table, text_array, text_of
 from .tokens import encoder
 
 CAPACITY = 2048
@@ -178,10 +178,12 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0
         encode = encoder(path).encode
         task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for b in batches:
-            for i in range(0, b.num_rows, 1000):
-                some, rows = b.slice(i, 1000), []
-                for doc, ids in zip(some.column(0).to_pylist(), encode(some.column(1).to_pylist())):
-                    ids += end
+            if b.num_rows:
+                rows = []
+                flat, bounds = encode(text_array(b.column(1)))
+                raw, bounds = flat.astype("<u4").tobytes(), (4 * bounds).tolist()
+                for doc, first, last in zip(b.column(0).to_pylist(), bounds, bounds[1:]):
+                    ids = raw[first:last] + end
                     for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[at : at + 4 * capacity]
                         n = len(part) // 4

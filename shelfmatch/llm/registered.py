@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import toxicity
 from .common import documents, work_folder
+from .decontaminate import contamination
+from .lm_score import lm_score
 from .packing import pack
 from .quality import quality_rules
+from .secrets import digest, find_secrets
+from .simhash import hex_print, simhash
 from .token_files import crc_of, read_token_files, write_token_files
 
 SPARK: dict = {}
@@ -24,11 +30,40 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash(documents(spark, sf_dir)).select("doc_id", hex_print("print").alias("fingerprint"), "component_id")
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(find_secrets(documents(spark, sf_dir)))
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    scored = toxicity.score(docs, toxicity.fit(docs, labels, ~held_out))
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words")
 
 
+@query
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1")
+    return lm_score(documents(spark, sf_dir), good)
+
+
 @query
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_folder(spark, "token-files")

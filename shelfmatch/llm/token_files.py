@@ -17,11 +17,12 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import staged, table, text_of
+from .common import slices, staged, table, text_array, text_of
 from .tokens import encoder
 
 #: Ids in a block, about; a document is never split.
@@ -61,17 +62,27 @@ def decode_numbers(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out.reshape(-1).view("<u4")[:n]
 
 
+def numbers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where each row's numbers begin (and the end), and all rows' numbers, of a binary column."""
+    sizes = pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64) // 4
+    raw = column.buffers()[2]
+    first = column.buffers()[1]
+    at = int(np.frombuffer(first, "<i4", 1, 4 * column.offset)[0]) if len(column) else 0
+    bounds = np.concatenate(([0], np.cumsum(sizes)))
+    return bounds, np.frombuffer(raw, "<u4", int(bounds[-1]), at) if bounds[-1] else np.zeros(0, "<u4")
+
+
 def token_ids(docs: DataFrame, path: str, end_id: int | None = 0) -> DataFrame:
     """doc_id and ``ids``: little-endian unsigned 32-bit ids of the whole text, then ``end_id``."""
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
-    end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
 
     def run(batches):
         encode = encoder(path).encode
         for b in batches:
-            for i in range(0, b.num_rows, 1000):
-                some = b.slice(i, 1000)
-                yield table(schema, doc_id=some.column(0), ids=[x + end for x in encode(some.column(1).to_pylist())])
+            flat, bounds = encode(text_array(b.column(1)))
+            if end_id is not None:
+                flat, bounds = np.insert(flat, bounds[1:], end_id), bounds + np.arange(len(bounds))
+            yield table(schema, doc_id=b.column(0), ids=slices(flat.astype("<u4"), bounds))
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text")).mapInArrow(run, "doc_id long, ids binary")
 
@@ -82,13 +93,11 @@ def frequency_ranks(tokens: DataFrame) -> np.ndarray:
     def count(batches):
         total = np.zeros(0, np.int64)
         for b in batches:
-            for x in b.column(0):
-                n = np.bincount(np.frombuffer(x.as_buffer(), "<u4"))
-                if len(n) > len(total):
-                    n[: len(total)] += total
-                    total = n
-                else:
-                    total[: len(n)] += n
+            n = np.bincount(numbers(b.column(0))[1])
+            if len(n) < len(total):
+                n, total = total, n
+            n[: len(total)] += total
+            total = n
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], names=["id", "n"])
 
@@ -106,22 +115,20 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int = 0)
     rank[order] = np.arange(len(order), dtype=np.uint32)
     known = spark.sparkContext.broadcast(rank)
     small = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("ranks", pa.binary())])
-    block = pa.schema([("part", pa.int64()), ("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("control", pa.binary()), ("data", pa.binary())])
+    block = pa.schema([("part", pa.int64()), ("block", pa.int64()), ("ahead", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("control", pa.binary()), ("data", pa.binary())])
     width = "<u2" if len(order) <= 1 << 16 else "<u4"
 
     def renumber(batches):
         for b in batches:
-            for i in range(0, b.num_rows, 1000):
-                some = b.slice(i, 1000)
-                ids = [np.frombuffer(x.as_buffer(), "<u4") for x in some.column(1)]
-                yield table(small, doc_id=some.column(0), n=[len(x) for x in ids], ranks=[known.value[x].astype(width).tobytes() for x in ids])
+            bounds, ids = numbers(b.column(1))
+            yield table(small, doc_id=b.column(0), n=np.diff(bounds), ranks=slices(known.value[ids].astype(width), bounds))
 
     def blocks(batches):
-        part, number, held, size = TaskContext.get().partitionId(), 0, [], 0
+        part, number, ahead, held, size = TaskContext.get().partitionId(), 0, 0, [], 0
 
         def full():
             control, data = encode_numbers(np.concatenate([np.frombuffer(r, width).astype("<u4") for _, _, r in held]))
-            return table(block, part=[part], block=[number], doc_ids=[[d for d, _, _ in held]], lengths=[[n for _, n, _ in held]], control=[control], data=[data])
+            return table(block, part=[part], block=[number], ahead=[ahead], doc_ids=[[d for d, _, _ in held]], lengths=[[n for _, n, _ in held]], control=[control], data=[data])
 
         for b in batches:
             for d, n, r in zip(*(c.to_pylist() for c in b.columns)):
@@ -129,13 +136,13 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int = 0)
                 size += n
                 if size >= BLOCK_IDS:
                     yield full()
-                    number, held, size = number + 1, [], 0
+                    number, ahead, held, size = number + 1, ahead + size, [], 0
         if held:
             yield full()
 
     ranked = tokens.mapInArrow(renumber, "doc_id long, n long, ranks binary")
     files = ranked.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    files.mapInArrow(blocks, "part long, block long, doc_ids array<long>, lengths array<long>, control binary, data binary").write.parquet(f"{folder}/blocks")
+    files.mapInArrow(blocks, "part long, block long, ahead long, doc_ids array<long>, lengths array<long>, control binary, data binary").write.parquet(f"{folder}/blocks")
     spark.createDataFrame([(i, int(x)) for i, x in enumerate(order)], "rank int, id long").coalesce(1).write.parquet(f"{folder}/ranks")
 
 
@@ -148,7 +155,6 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     before, total = {}, 0
     for r in sizes.orderBy("part").collect():  # one row for each file part
         before[r["part"]], total = total, total + r["n"]
-    in_part = blocks.select("*", F.coalesce(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x)).over(_earlier()), F.lit(0)).alias("ahead"))
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 
     def decode(batches):
@@ -157,16 +163,9 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                 ids = ids_of.value[decode_numbers(control, data, sum(lengths))].astype("<u4")
                 ends = np.cumsum(lengths)
                 starts = ends - lengths
-                raw = [ids[a:e].tobytes() for a, e in zip(starts, ends)]
-                yield table(schema, doc_id=docs, start=(starts + before[part] + ahead), n_tokens=lengths, ids=raw)
-
-    return in_part.select("part", "ahead", "doc_ids", "lengths", "control", "data").mapInArrow(decode, "doc_id long, start long, n_tokens long, ids binary")
-
-
-def _earlier():
-    from pyspark.sql import Window
+                yield table(schema, doc_id=docs, start=(starts + before[part] + ahead), n_tokens=lengths, ids=slices(ids, np.concatenate(([0], ends))))
 
-    return Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    return blocks.select("part", "ahead", "doc_ids", "lengths", "control", "data").mapInArrow(decode, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def crc_of(tokens: DataFrame) -> DataFrame:

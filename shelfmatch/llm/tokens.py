@@ -1,9 +1,13 @@
-"""Token ids of whole texts by the tokenizers library, with the ids of repeated pieces kept.
+"""Token ids of whole texts by the tokenizers library, which is asked once for each distinct word.
 
-Both vocabularies here split a text into pieces before merging, and merge inside a piece only.  Real text
-repeats its pieces, so a worker asks the library once per piece and remembers the ids.  The split is done here
-only for texts of Latin letters, where it is a plain character rule; any other text, and any text that could
-hold a special token, goes to the library whole.
+Both vocabularies here split a text before merging, and merge inside a piece only, so words can be encoded apart as
+long as no piece reaches over a cut.  Real text repeats its words: they are split and numbered in Arrow, a worker
+remembers the ids of those it has seen, and the text's ids are gathered by number.
+
+* A vocabulary that drops white space and folds case is cut at ASCII white space.
+* A byte-level vocabulary is cut before blanks.  A blank belongs to the word behind it; only where it stands between
+  white space, or between white space and the end, can a piece reach over it, and such texts go to the library whole.
+* Any other tokenizer gets its texts whole.
 """
 
 from __future__ import annotations
@@ -11,45 +15,37 @@ from __future__ import annotations
 import functools
 import json
 import os
-import re
-import sys
-import unicodedata
 from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Pieces a worker remembers before it starts anew.
+#: Words a worker remembers before it starts anew.
 REMEMBERED = 1_000_000
 
-#: Characters of text that are split at a time.
-AT_ONCE = 1 << 20
-
-_PLAIN = re.compile("[^\x00-įı-ſ]|<\\|")
-
-
-def _class(kind: str) -> str:
-    """The Latin characters of one Unicode main category, as a character class body."""
-    return "".join(re.escape(chr(c)) for c in range(0x180) if unicodedata.category(chr(c))[0] == kind)
-
+#: Bytes of text that are split at a time.
+AT_ONCE = 16 << 20
 
-_SPACE, _L, _N = "\t-\r \x85\xa0", _class("L"), _class("N")
-_CONTRACTED = "'s|'t|'re|'ve|'m|'ll|'d"
+_WHITE = r"[\t-\r \x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_UNSURE = f"{_WHITE} (?:{_WHITE}|\\z)"
 
 
-def _rules(config: dict) -> tuple[re.Pattern, bool] | None:
-    """(pieces of a Latin text, lower case first), or None for a tokenizer whose split is not known here."""
+def _cut(config: dict) -> str:
+    """Where a tokenizer's texts can be cut: "white", "blank" or "never"."""
     split = config.get("pre_tokenizer") or {}
     normal = [n["type"] for n in (config.get("normalizer") or {}).get("normalizers", [])]
     if split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space") and config.get("normalizer") is None:
-        return re.compile(f"{_CONTRACTED}| ?[{_L}]+| ?[{_N}]+| ?[^{_SPACE}{_L}{_N}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"), False
+        return "blank"
     if normal == ["NFC", "Replace", "Lowercase"] and [p["type"] for p in split.get("pretokenizers", [])] == ["Split", "ByteLevel"]:
-        if split["pretokenizers"][0]["pattern"].get("Regex", "").startswith(_CONTRACTED + r"|[\p{L}]+|[\p{N}]|"):
-            return re.compile(f"{_CONTRACTED}|[{_L}]+|[{_N}]|[^{_SPACE}{_L}{_N}]+"), True
-    return None
+        rule = split["pretokenizers"][0]
+        if rule["behavior"] == "Removed" and rule["invert"] and r"\s" not in rule["pattern"]["Regex"].replace(r"[^\s", ""):
+            return "white"
+    return "never"
 
 
 class TextEncoder:
-    """``encode(texts)``: the ids of each text as little-endian unsigned 32-bit bytes."""
+    """``encode(texts)``: the ids of all texts one after the other, and where each text's begin (and the end)."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -57,43 +53,70 @@ class TextEncoder:
 
         self.library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
-            self.rules = _rules(json.load(f))
-        self.pieces: dict[str, bytes] = {}
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [_bytes(e.ids) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, pieces: set[str]) -> None:
-        if len(self.pieces) > REMEMBERED:
-            self.pieces.clear()
-        new = list(pieces - self.pieces.keys())
-        for i in range(0, len(new), 10_000):
-            self.pieces.update(zip(new[i : i + 10_000], self._whole(new[i : i + 10_000])))
-
-    def _some(self, texts: list[str]) -> list[bytes]:
-        plain = [self.rules is not None and not _PLAIN.search(t) for t in texts]
-        odd = iter(self._whole([t for t, p in zip(texts, plain) if not p]))
-        if not any(plain):
-            return list(odd)
-        pattern, lower = self.rules
-        cut = [pattern.findall(t.lower() if lower else t) if p else None for t, p in zip(texts, plain)]
-        self._learn(set().union(*(c for c in cut if c is not None)))
-        get = self.pieces.__getitem__
-        return [next(odd) if c is None else b"".join(map(get, c)) for c in cut]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        first, chars = 0, 0
-        for i, t in enumerate(texts, 1):
-            chars += len(t)
-            if chars >= AT_ONCE or i == len(texts):
-                out += self._some(texts[first:i])
-                first, chars = i, 0
-        return out
-
-
-def _bytes(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes() if sys.byteorder == "big" or array("I").itemsize != 4 else array("I", ids).tobytes()
+            self.cut = _cut(json.load(f))
+        self.words: dict[str, bytes] = {}
+
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _known(self, words: list[str]) -> list[bytes]:
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+        ids = list(map(self.words.get, words))
+        new = [i for i, x in enumerate(ids) if x is None]
+        for k in range(0, len(new), 10_000):
+            some = new[k : k + 10_000]
+            for i, e in zip(some, self.library.encode_batch_fast([words[i] for i in some], add_special_tokens=False)):
+                self.words[words[i]] = ids[i] = array("I", e.ids).tobytes()
+        return ids
+
+    def _numbered(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        blank = self.cut == "blank"
+        cut = pc.split_pattern(texts, " ") if blank else pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        bounds = cut.offsets.to_numpy().astype(np.int64)
+        coded = cut.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        number = coded.indices.to_numpy().astype(np.int64)
+        if blank:  # the first word of a text has no blank before it
+            opening = coded.dictionary.take(coded.indices.take(pa.array(bounds[:-1]))).to_pylist()
+            number[bounds[:-1]] = len(words) + np.arange(len(opening))
+            words = [" " + w for w in words] + opening
+        ids = self._known(words)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), np.uint32)
+        begin = np.cumsum(sizes) - sizes
+        many = sizes[number]
+        ends = np.cumsum(many)
+        gathered = flat[np.repeat(begin[number] - (ends - many), many) + np.arange(int(many.sum()))]
+        return gathered, np.concatenate(([0], ends))[bounds]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        parts, starts, total = [], [np.zeros(1, np.int64)], 0
+        size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+        first = 0
+        while first < len(texts):
+            done = size[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(size, done + AT_ONCE, side="right")))
+            some = texts.slice(first, last - first)
+            unsure = np.ones(len(some), bool)
+            if self.cut != "never":
+                unsure = np.zeros(len(some), bool) if self.cut == "white" else pc.match_substring_regex(some, _UNSURE).to_numpy(zero_copy_only=False)
+            if unsure.any():
+                ids = [None] * len(some)
+                sure = np.flatnonzero(~unsure)
+                flat, bounds = self._numbered(some.take(pa.array(sure))) if len(sure) else (None, None)
+                for k, i in enumerate(sure):
+                    ids[i] = flat[bounds[k] : bounds[k + 1]]
+                for i, x in zip(np.flatnonzero(unsure), self.whole(some.filter(pa.array(unsure)).to_pylist())):
+                    ids[i] = x
+                flat, bounds = np.concatenate(ids), np.concatenate(([0], np.cumsum([len(x) for x in ids])))
+            else:
+                flat, bounds = self._numbered(some)
+            parts.append(flat)
+            starts.append(bounds[1:] + total)
+            total += len(flat)
+            first = last
+        return np.concatenate([*parts, np.zeros(0, np.uint32)]), np.concatenate(starts)
 
 
 @functools.cache
