@@ -14,6 +14,8 @@ from .packing import pack
 from .quality import quality_rules
 from .secrets import digest, find_secrets
 from .simhash import hex_print, simhash
+from .suffix_dedup import digest as suffix_digest
+from .suffix_dedup import remove_repeated
 from .token_files import crc_of, read_token_files, write_token_files
 
 SPARK: dict = {}
@@ -30,6 +32,11 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_digest(remove_repeated(documents(spark, sf_dir)))
+
+
 @query
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash(documents(spark, sf_dir)).select("doc_id", hex_print("print").alias("fingerprint"), "component_id")
