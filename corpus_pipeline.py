@@ -2,5 +2,57 @@
 
 from __future__ import annotations
 
-SPARK: dict = {}
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from shelfmatch.llm.common import documents, work_folder
+from shelfmatch.llm.decontaminate import keep_clean
+from shelfmatch.llm.line_dedup import keep_new_lines
+from shelfmatch.llm.packing import pack
+from shelfmatch.llm.quality import keep_good
+from shelfmatch.llm.simhash import keep_one_each
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return keep_good(docs)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines that match an earlier one; a document left without a word goes."""
+    return keep_new_lines(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group."""
+    return keep_one_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark item."""
+    return keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents and their places in sequences."""
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [("quality_rules", quality), ("line_dedup", lines), ("simhash", near_duplicates), ("decontamination", decontamination), ("packing", packing)]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents``; each but the last is written to the shared folder and read again."""
+    docs = documents(spark, sf_dir)
+    for name, stage in STAGES[:-1]:
+        folder = work_folder(spark, f"stage-{name}")
+        stage(spark, docs, sf_dir).write.parquet(folder)
+        docs = spark.read.parquet(folder)
+    return STAGES[-1][1](spark, docs, sf_dir)
+
+
+#: Tokens, fingerprints and edit distances are beyond SQL; tests hold run() against a brute-force version.
+ORACLE_SQL = None
+
+SPARK = {"pipeline": run}
 SQL: dict = {}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from . import toxicity
 from .common import documents, work_folder
 from .decontaminate import contamination
+from .line_dedup import line_dedup
 from .lm_score import lm_score
 from .packing import pack
 from .quality import quality_rules
@@ -37,6 +38,12 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_digest(remove_repeated(documents(spark, sf_dir)))
 
 
+@query
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = line_dedup(documents(spark, sf_dir))
+    return lines.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash(documents(spark, sf_dir)).select("doc_id", hex_print("print").alias("fingerprint"), "component_id")
