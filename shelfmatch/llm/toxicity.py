@@ -1,9 +1,10 @@
-"""Toxicity by class-conditional Kneser-Ney models of word pairs.
+"""Toxicity by class-conditional Kneser-Ney models of the letters of words.
 
-Two models are counted on labelled documents, one on toxic and one on ordinary ones.  A word after another has the
-discounted share of that pair; what the discounts free goes to the word's continuation share in the class (in how many
-pairs it ends), and what is freed there goes to the continuation share over both classes together.  Rare expressions
-thus rest on counts that both models share and say little.  A text's score is the difference of its log-likelihoods
+Two models are counted on labelled documents, one on toxic and one on ordinary ones; a word counts once in a document.
+A model gives a letter after the ``ORDER - 1`` before it (in its word) its discounted share in the class.  What the
+discount frees goes to the shared backoff, a Kneser-Ney model over both classes together whose lower orders count in
+how many contexts a letter was seen.  Rare expressions thus rest on counts that both models share and say little, while
+a stem that the toxic documents favour speaks in all its forms.  A text's score is the difference of its log-likelihoods
 per word, put on the scale of probabilities by a logistic fit on labelled documents that the counts did not see.
 
 The models are fitted on at most ``MAX_LABELLED`` documents of each class, those of the smallest hash of their id, so
@@ -16,6 +17,7 @@ of toxic labels.  An empty table gives an empty result.  Columns other than doc_
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 
@@ -28,83 +30,107 @@ from .common import staged, table, text_of
 
 #: Labelled documents of each class that the models are fitted on.
 MAX_LABELLED = 4000
-DISCOUNT = 0.75
-#: Pairs and words seen less often are left to the shared counts.
-LEAST_COUNT = 2
+ORDER = 7
+#: Taken off each count of a class; off the shared counts ``SHARED_DISCOUNT``.
+DISCOUNT = 2.0
+SHARED_DISCOUNT = 0.75
+#: Words whose differences a worker remembers.
+REMEMBERED = 500_000
 
 _WORD = re.compile(r"[^\W_]+")
-START = "\n"
 
 
 def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def pair_counts(docs: DataFrame) -> DataFrame:
-    """first, second, n0, n1: pairs of neighbouring words by class (``toxic`` 0 or 1)."""
+def grams(word: str) -> list[str]:
+    """Each letter of the word, and its end, with the letters before it."""
+    padded = "\x02" * (ORDER - 1) + word + "\x03"
+    return [padded[i : i + ORDER] for i in range(len(word) + 1)]
+
+
+def gram_counts(docs: DataFrame) -> DataFrame:
+    """gram, n0, n1: by class (``toxic`` 0 or 1) how often a gram occurs in the different words of a document."""
 
     def count(batches):
-        pairs = (Counter(), Counter())
+        words = (Counter(), Counter())
         for b in batches:
             for label, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                w = [START, *words_of(text)]
-                pairs[label].update(zip(w, w[1:]))
+                words[label].update(set(words_of(text)))
         for label in (0, 1):
-            rows = list(pairs[label].items())
+            seen: Counter = Counter()
+            for w, n in words[label].items():
+                for g in grams(w):
+                    seen[g] += n
+            rows = list(seen.items())
             for i in range(0, len(rows), 50_000):
                 some = rows[i : i + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array([k[0] for k, _ in some]), pa.array([k[1] for k, _ in some]), pa.array([label] * len(some), pa.int32()), pa.array([n for _, n in some])], names=["first", "second", "toxic", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([g for g, _ in some]), pa.array([label] * len(some), pa.int32()), pa.array([n for _, n in some])], names=["gram", "toxic", "n"])
+
+    rows = docs.select("toxic", "text").mapInArrow(count, "gram string, toxic int, n long")
+    return rows.groupBy("gram").agg(*(F.sum(F.when(F.col("toxic") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1)))
 
-    rows = docs.select("toxic", "text").mapInArrow(count, "first string, second string, toxic int, n long")
-    return rows.groupBy("first", "second").agg(*(F.sum(F.when(F.col("toxic") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1)))
+
+def _contexts(counts: dict, discount: float) -> dict[str, tuple[float, float]]:
+    """For each context: its count, and the share that the discount frees."""
+    total, freed = Counter(), Counter()
+    for g, n in counts.items():
+        total[g[:-1]] += n
+        freed[g[:-1]] += min(discount, n)
+    return {c: (n, freed[c] / n) for c, n in total.items()}
 
 
 class Model:
-    """Both classes' log-probabilities, as arrays over the words and pairs that were seen often enough."""
-
-    def __init__(self, pairs: list, firsts: list, seconds: list, totals: dict):
-        """pairs: (first, second, n0, n1); firsts: (word, n0, n1, kinds0, kinds1); seconds: (word, kinds0, kinds1)."""
-        vocabulary = sorted({p[0] for p in pairs} | {p[1] for p in pairs} | {f[0] for f in firsts} | {s[0] for s in seconds})
-        self.number = {w: i + 1 for i, w in enumerate(vocabulary)}  # 0: any other word
-        v = len(vocabulary) + 1
-        self.size = v
-        kinds = np.zeros((2, v))
-        for w, k0, k1 in seconds:
-            kinds[:, self.number[w]] = k0, k1
-        shared = (kinds.sum(axis=0) + 1.0) / (totals["kinds"].sum() + v)
-        self.word, self.free, extra = [], [], []
-        for c in (0, 1):
-            n = max(totals["kinds"][c], 1.0)
-            left = min(1.0, DISCOUNT * totals["words"][c] / n + 1e-9)
-            self.word.append(np.maximum(kinds[c] - DISCOUNT, 0) / n + left * shared)
-            free = np.ones(v)
-            for f in firsts:
-                if f[1 + c]:
-                    free[self.number[f[0]]] = DISCOUNT * f[3 + c] / f[1 + c]
-            self.free.append(free)
-        seen = {self.number[f[0]]: (f[1], f[2]) for f in firsts}
-        keys = np.array([self.number[p[0]] * v + self.number[p[1]] for p in pairs], np.int64)
-        order = np.argsort(keys)
-        self.pairs = keys[order]
-        for c in (0, 1):
-            share = [max(p[2 + c] - DISCOUNT, 0) / max(seen[self.number[p[0]]][c], 1) for p in pairs]
-            extra.append(np.array(share)[order])
-        self.extra = extra
+    """Differences of the classes' log-likelihoods by gram, and by context for letters not seen after it."""
+
+    def __init__(self, counts: list[tuple[str, int, int]]):
+        shared = {g: a + b for g, a, b in counts}
+        orders = [shared]
+        for _ in range(ORDER - 1):
+            orders.append(dict(Counter(g[1:] for g in orders[-1])))
+        orders = [(x, _contexts(x, SHARED_DISCOUNT)) for x in reversed(orders)]
+        letters = len(orders[0][0]) + 1
+        classes = [{g: n for g, *both in counts if (n := both[c])} for c in (0, 1)]
+        contexts = [_contexts(x, DISCOUNT) for x in classes]
+
+        def backoff(gram: str) -> float:
+            p = 1 / letters
+            for size, (seen, known) in enumerate(orders, 1):
+                g = gram[-size:]
+                if (c := known.get(g[:-1])) is not None:
+                    p = max(seen.get(g, 0) - SHARED_DISCOUNT, 0) / c[0] + c[1] * p
+            return p
+
+        self.gram, self.context = {}, {}
+        free = {c: [k.get(c, (0, 1.0))[1] for k in contexts] for c in contexts[0].keys() | contexts[1].keys()}
+        for g in shared:
+            p = backoff(g)
+            chance = []
+            for c in (0, 1):
+                n, freed = contexts[c].get(g[:-1], (1, 1.0))
+                chance.append(max(classes[c].get(g, 0) - DISCOUNT, 0) / n + freed * p)
+            self.gram[g] = math.log(chance[1] / chance[0])
+        self.context = {c: math.log(x[1] / x[0]) for c, x in free.items()}
         self.scale, self.shift = 1.0, 0.0
+        self.words: dict[str, float] = {}
+
+    def word(self, word: str) -> float:
+        """Log-likelihood of a word as toxic less that as ordinary."""
+        gram, context = self.gram.get, self.context.get
+        return sum(x if (x := gram(g)) is not None else context(g[:-1], 0.0) for g in grams(word))
 
     def difference(self, text: str) -> float:
-        """Log-likelihood as toxic less that as ordinary, per word."""
+        """The mean difference over the words of a text."""
         words = words_of(text)
         if not words:
             return 0.0
-        get = self.number.get
-        ids = np.fromiter((get(w, 0) for w in [START, *words]), np.int64, len(words) + 1)
-        first, second = ids[:-1], ids[1:]
-        key = first * self.size + second
-        at = np.minimum(np.searchsorted(self.pairs, key), max(len(self.pairs) - 1, 0))
-        hit = self.pairs[at] == key if len(self.pairs) else np.zeros(len(key), bool)
-        chance = [self.free[c][first] * self.word[c][second] + np.where(hit, self.extra[c][at] if len(self.pairs) else 0, 0) for c in (0, 1)]
-        return float(np.log(chance[1] / chance[0]).mean())
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+        known = self.words
+        for w in set(words) - known.keys():
+            known[w] = self.word(w)
+        return sum(map(known.__getitem__, words)) / len(words)
 
     def score(self, text: str) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.scale * self.difference(text) + self.shift, -60, 60))))
@@ -137,16 +163,11 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None) -> Mod
     some = F.broadcast(chosen[0].union(chosen[1]))  # twice MAX_LABELLED rows at most
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
     known = staged(texts.join(some, "doc_id").withColumn("held", F.pmod(F.hash("doc_id"), F.lit(4)) == 0), "labelled")
-    pairs = staged(pair_counts(known.where("not held")), "pairs")
-    firsts = pairs.groupBy("first").agg(F.sum("n0"), F.sum("n1"), F.sum((F.col("n0") > 0).cast("int")), F.sum((F.col("n1") > 0).cast("int")))
-    seconds = pairs.groupBy("second").agg(F.sum((F.col("n0") > 0).cast("long")).alias("k0"), F.sum((F.col("n1") > 0).cast("long")).alias("k1"))
-    t = seconds.agg(F.sum("k0"), F.sum("k1"), F.sum((F.col("k0") > 0).cast("int")), F.sum((F.col("k1") > 0).cast("int"))).first()
-    if None in tuple(t) or 0 in tuple(t):
+    counts = gram_counts(known.where("not held")).toArrow()  # of a bounded sample
+    counts = list(zip(*(counts.column(c).to_pylist() for c in ("gram", "n0", "n1"))))
+    if not all(any(r[k] for r in counts) for k in (1, 2)):
         return n.get(1, 0) / max(1, sum(n.values()))
-    totals = {"kinds": np.array([t[0], t[1]], float), "words": np.array([t[2], t[3]], float)}
-    often = pairs.where(F.col("n0") + F.col("n1") >= LEAST_COUNT)
-    heads = often.select("first").distinct()
-    model = Model([tuple(r) for r in often.collect()], [tuple(r) for r in firsts.join(heads, "first").collect()], [tuple(r) for r in seconds.where(F.col("k0") + F.col("k1") >= LEAST_COUNT).collect()], totals)
+    model = Model(counts)
     shared = spark.sparkContext.broadcast(model)
 
     def rate(batches):
