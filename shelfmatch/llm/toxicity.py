@@ -128,8 +128,9 @@ class Model:
         if len(self.words) > REMEMBERED:
             self.words.clear()
         known = self.words
-        for w in set(words) - known.keys():
-            known[w] = self.word(w)
+        for w in set(words):
+            if w not in known:
+                known[w] = self.word(w)
         return sum(map(known.__getitem__, words)) / len(words)
 
     def score(self, text: str) -> float:
