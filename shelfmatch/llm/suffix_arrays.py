@@ -31,61 +31,49 @@ def _induce_bytes(t: np.ndarray, smaller: np.ndarray, sorted_lms: np.ndarray, si
     """All suffixes in order, from the leftmost-smaller ones in order; one bucket at a time."""
     n, k = len(t), len(sizes)
     ends = np.cumsum(sizes)
-    begins = ends - sizes
-    lms_of = np.split(sorted_lms, np.searchsorted(t[sorted_lms], np.arange(1, k)))
-    larger: list[list[np.ndarray]] = [[] for _ in range(k)]
-    sa = np.full(n, -1, np.int64)
-
-    def deal(found: np.ndarray, into: list[list[np.ndarray]]) -> None:
-        """Append entries, in order, to the lists of their first characters."""
-        c = t[found]
+    head, tail = ends - sizes, ends.copy()
+    begins = head.copy()
+    # the characters before each place, or k where a pass has nothing to put there
+    first = t.astype(np.uint16)
+    before_larger, before_smaller = np.full(n, k, np.uint16), np.full(n, k, np.uint16)
+    before_larger[1:] = np.where(smaller[:-1], k, first[:-1])
+    before_smaller[1:] = np.where(smaller[:-1], first[:-1], k)
+    lms_of = np.split(sorted_lms, np.searchsorted(first[sorted_lms], np.arange(1, k)))
+    sa = np.empty(n, np.int64)
+    places = np.arange(n)
+
+    def deal(found: np.ndarray, before: np.ndarray, right: bool) -> None:
+        """Put what stands before the entries, in order, at the heads or tails of its buckets."""
+        c = before[found]
         order = np.argsort(c, kind="stable")
-        found, c = found[order], c[order]
-        cuts = np.flatnonzero(np.diff(c)) + 1
-        for first, part in zip(c[np.concatenate(([0], cuts))].tolist(), np.split(found, cuts)):
-            into[first].append(part)
+        counts = np.bincount(c, minlength=k + 1)[:k]
+        many = int(counts.sum())
+        if not many:
+            return
+        inside = places[:many] - np.repeat(np.cumsum(counts) - counts, counts)
+        if right:
+            sa[np.repeat(tail - 1, counts) - inside] = found[order[:many]] - 1
+            tail[:] -= counts
+        else:
+            sa[np.repeat(head, counts) + inside] = found[order[:many]] - 1
+            head[:] += counts
 
     for c in range(k):
-        if not sizes[c]:
-            continue
-        mine, i = larger[c], 0
-        while i < len(mine):  # entries of this bucket can place others in it
-            before = mine[i] - 1
-            before = before[before >= 0]
-            before = before[~smaller[before]]
-            if len(before):
-                deal(before, larger)
-            i += 1
+        at = begins[c]
+        while at < head[c]:  # entries of this bucket can place others in it
+            upto = head[c]
+            deal(sa[at:upto], before_larger, right=False)
+            at = upto
         if len(lms_of[c]):
-            before = lms_of[c] - 1
-            before = before[before >= 0]
-            if len(before):
-                deal(before[~smaller[before]], larger) if (~smaller[before]).any() else None
-        if mine:
-            all_larger = np.concatenate(mine)
-            sa[begins[c] : begins[c] + len(all_larger)] = all_larger
-            larger[c] = [all_larger]
-    small: list[list[np.ndarray]] = [[] for _ in range(k)]
+            deal(lms_of[c], before_larger, right=False)
     for c in range(k - 1, -1, -1):
-        if not sizes[c]:
-            continue
-        mine, i = small[c], 0
-        while i < len(mine):
-            before = mine[i] - 1
-            before = before[before >= 0]
-            before = before[smaller[before]]
-            if len(before):
-                deal(before, small)
-            i += 1
-        if larger[c]:
-            before = larger[c][0][::-1] - 1
-            before = before[before >= 0]
-            before = before[smaller[before]]
-            if len(before):
-                deal(before, small)
-        if mine:
-            all_small = np.concatenate(mine)[::-1]
-            sa[ends[c] - len(all_small) : ends[c]] = all_small
+        at = ends[c]
+        while at > tail[c]:
+            upto = tail[c]
+            deal(sa[upto:at][::-1], before_smaller, right=True)
+            at = upto
+        if head[c] > begins[c]:
+            deal(sa[begins[c] : head[c]][::-1], before_smaller, right=True)
     sa[0] = n - 1
     return sa
 
