@@ -111,8 +111,13 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(doc_id, F.lit(-1).cast("long")).alias("id"), F.xxhash64(text).alias("mark"), doc_id.alias("doc_id"), text.cast("binary").alias("text"))
 
 
-#: A run of windows as one number: its first window and how many there are (at most LENGTH).
-_FIRST, _MANY = F.shiftrightunsigned("place", 16).cast("long"), F.col("place").bitwiseAND(0xFFFF)
+def _first():
+    """The first window of a place, which is that and the number of windows (at most LENGTH) in one number."""
+    return F.shiftright("place", 16)
+
+
+def _many():
+    return F.col("place").bitwiseAND(0xFFFF)
 
 
 def places(rows: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -183,7 +188,7 @@ def repeated_windows(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     distinct = staged(distinct.select("hash", "piece", "copies", "one.*"), "distinct-pieces")
     of_anchor = distinct.groupBy("hash").agg(F.count("*").alias("different"), F.min("copies").alias("least"))
     copied = distinct.where("copies > 1").select("hash", "piece")
-    whole = found.join(copied, ["hash", "piece"]).select("id", "mark", _FIRST.alias("from"), (_FIRST + _MANY).alias("to"))
+    whole = found.join(copied, ["hash", "piece"]).select("id", "mark", _first().alias("from"), (_first() + _many()).alias("to"))
     open_anchors = of_anchor.where("least = 1 and different > 1").select("hash", (F.col("different") > CROWDED).alias("crowded"))
     wanted = distinct.join(open_anchors, "hash")
     cut = staged(cut_pieces(rows, wanted.select("id", "mark", "place", "hash", "copies"), length).join(open_anchors, "hash"), "pieces")
@@ -217,7 +222,7 @@ def repeated_windows(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     each = F.posexplode(F.transform(F.sequence(F.lit(1), F.octet_length("bytes") - (length - 1)), lambda i: F.md5(F.substring("bytes", i, length)))).alias("at", "window")
     many = cut.where("crowded").select("id", "mark", "place", "copies", each)
     twice = many.groupBy("window").agg(F.sum("copies").alias("n")).where("n > 1").select("window")
-    many = many.where("copies = 1").join(twice, "window").select("id", "mark", (_FIRST + F.col("at")).alias("from"), (_FIRST + F.col("at") + 1).alias("to"))
+    many = many.where("copies = 1").join(twice, "window").select("id", "mark", (_first() + F.col("at")).alias("from"), (_first() + F.col("at") + 1).alias("to"))
     return whole.union(few).union(many)
 
 
