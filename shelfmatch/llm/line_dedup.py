@@ -4,8 +4,8 @@ A line is the set of its words (runs without ASCII white space, A-Z in lower cas
 different words take no part.  Two lines match at a Jaccard similarity of 0.8 or more.  A line goes if any earlier line
 of the corpus (by doc_id, then place in the text) matches it.
 
-* Words are ordered by rarity: by the number of lines that the words of their hash bucket are in, then by hash.  The
-  table has ``BUCKETS`` entries, whatever the corpus; any order gives right results, a good one short groups.
+* Words are ordered by rarity: by how often the corpus has the words of their hash bucket, then by hash.  The table
+  has ``BUCKETS`` entries, whatever the corpus; any order gives right results, a good one short groups.
 * Equal sets are one set with its earliest place.  Sets are numbered in order of place.
 * Prefix filter: sets that match share one of their rarest ``n - ceil(0.8 n) + 1`` words.  A set goes to the group of
   each of these words; crowded groups are split into pairs of chunks.
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +36,10 @@ BUCKETS = 1 << 20
 #: Sets of a word's group that a task compares with each other, or chunk with chunk.
 CHUNK = 2048
 
+#: Bytes of text whose words are looked at together, and rows whose groups are.
+AT_ONCE = 8 << 20
+ROWS_AT_ONCE = 100_000
+
 _FULL = (1 << 20) - 1
 
 
@@ -47,22 +52,43 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(docs["doc_id"].cast("long"), F.lit(-1).cast("long")).alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
 
 
-def word_frequencies(rows: DataFrame, min_words: int) -> np.ndarray:
-    """Lines by hash bucket of their words."""
+class Words:
+    """The words of all lines of a batch of texts, and what is needed of each different word."""
+
+    def __init__(self, texts: pa.Array):
+        cut = pc.split_pattern(texts.cast(pa.large_string()), "\n")
+        self.text_bounds = cut.offsets.to_numpy().astype(np.int64)
+        words = pc.ascii_split_whitespace(pc.ascii_lower(cut.flatten()))
+        bounds = words.offsets.to_numpy().astype(np.int64)
+        coded = words.flatten().dictionary_encode()
+        different = coded.dictionary.to_pylist()
+        self.word = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        self.line = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+        if "" in different:  # blanks at the ends of a line
+            kept = self.word != different.index("")
+            self.word, self.line = self.word[kept], self.line[kept]
+        self.hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, different), np.uint64, len(different))
+
+    @staticmethod
+    def of(batches):
+        """(rows, words) for parts of the batches' last column of a few megabytes."""
+        for b in batches:
+            size = np.cumsum(pc.binary_length(b.column(b.num_columns - 1)).to_numpy(zero_copy_only=False).astype(np.int64))
+            first = 0
+            while first < b.num_rows:
+                last = max(first + 1, int(np.searchsorted(size, (size[first - 1] if first else 0) + AT_ONCE, side="right")))
+                part = b.slice(first, last - first)
+                yield part, Words(part.column(part.num_columns - 1))
+                first = last
+
+
+def word_frequencies(rows: DataFrame) -> np.ndarray:
+    """Occurrences by hash bucket of the words."""
 
     def count(batches):
-        total, known = np.zeros(BUCKETS, np.int64), {}
-        for b in batches:
-            for text in b.column(0).to_pylist():
-                for line in text.encode().split(b"\n"):
-                    words = line_words(line)
-                    if len(words) >= min_words:
-                        for w in words:
-                            known[w] = known.get(w, 0) + 1
-                if len(known) > 300_000:
-                    _add(total, known)
-                    known = {}
-        _add(total, known)
+        total = np.zeros(BUCKETS, np.int64)
+        for _, w in Words.of(batches):
+            np.add.at(total, (w.hashes % np.uint64(BUCKETS)).astype(np.int64), np.bincount(w.word, minlength=len(w.hashes)))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["bucket", "n"])
 
@@ -72,65 +98,50 @@ def word_frequencies(rows: DataFrame, min_words: int) -> np.ndarray:
     return out
 
 
-def _add(total: np.ndarray, known: dict) -> None:
-    if known:
-        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, known), np.uint64, len(known))
-        np.add.at(total, hashes % np.uint64(BUCKETS), np.fromiter(known.values(), np.int64, len(known)))
-
-
-def prefix_length(n: int) -> int:
-    return n - -(-4 * n // 5) + 1
+def _mixed(h: np.ndarray, step: int) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(step)
+    return h ^ (h >> np.uint64(29))
 
 
 def line_sets(rows: DataFrame, frequency: np.ndarray, min_words: int) -> DataFrame:
     """id, mark, line, s1 and s2 (128 bits for the set), size, bits (parities), prefix (32-bit hashes, rarest first)."""
     shared = rows.sparkSession.sparkContext.broadcast(frequency)
     schema = pa.schema([("id", pa.int64()), ("mark", pa.int64()), ("line", pa.int32()), ("s1", pa.int64()), ("s2", pa.int64()), ("size", pa.int32()), ("bits", pa.int64()), ("prefix", pa.list_(pa.int32()))])
-    one = np.uint64(1)
 
     def sets(batches):
-        known: dict[bytes, int] = {}
-        digest, frequent = xxhash.xxh3_64_intdigest, shared.value
-
-        def hash_of(w):
-            h = known.get(w)
-            if h is None:
-                known[w] = h = digest(w)
-            return h
-
-        for b in batches:
-            for i in range(0, b.num_rows, 500):
-                if len(known) > 500_000:
-                    known.clear()
-                out: list = [[] for _ in schema]
-                for doc, mark, text in zip(*(c.to_pylist() for c in b.slice(i, 500).columns)):
-                    for number, line in enumerate(text.encode().split(b"\n")):
-                        words = line_words(line)
-                        n = len(words)
-                        if n < min_words:
-                            continue
-                        h = np.sort(np.fromiter(map(hash_of, words), np.uint64, n))
-                        both = xxhash.xxh3_128_intdigest(h.tobytes())
-                        first = np.argsort(frequent[h % np.uint64(BUCKETS)], kind="stable")[: prefix_length(n)]
-                        bits = np.bitwise_xor.reduce(one << (h >> np.uint64(58)))
-                        row = (doc, mark, number, both & (1 << 64) - 1, both >> 64, n, int(bits), (h[first] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32))
-                        for column, value in zip(out, row):
-                            column.append(value)
-                for k in (3, 4, 6):
-                    out[k] = np.array(out[k], np.uint64).view(np.int64)
-                yield table(schema, **dict(zip(schema.names, out)))
+        for part, w in Words.of(batches):
+            # rank of each different word by rarity, then each line's different words in this order
+            order = np.lexsort((w.hashes, shared.value[(w.hashes % np.uint64(BUCKETS)).astype(np.int64)]))
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            pairs = np.unique(w.line * len(order) + rank[w.word]) if len(order) else np.zeros(0, np.int64)
+            line, h = (pairs // len(order), w.hashes[order[pairs % len(order)]]) if len(order) else (pairs, w.hashes)
+            sizes = np.bincount(line, minlength=int(w.text_bounds[-1]))
+            kept = sizes[line] >= min_words
+            line, h = line[kept], h[kept]
+            if not len(line):
+                continue
+            starts = np.flatnonzero(np.concatenate(([True], np.diff(line) > 0)))
+            lines, n = line[starts], np.diff(np.append(starts, len(line)))
+            text = np.searchsorted(w.text_bounds, lines, side="right") - 1
+            many = n + 4 * n // -5 + 1
+            inside = np.arange(len(line)) - np.repeat(starts, n)
+            prefix = h[inside < np.repeat(many, n)].astype(np.uint32).view(np.int32)
+            bits = np.bitwise_xor.reduceat(np.uint64(1) << (h >> np.uint64(58)), starts)
+            s1, s2 = (np.add.reduceat(_mixed(h, k), starts).view(np.int64) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(many))).astype(np.int32)), pa.array(prefix))
+            where = pa.array(text)
+            yield table(schema, id=part.column(0).take(where), mark=part.column(1).take(where), line=(lines - w.text_bounds[text]).astype(np.int32), s1=s1, s2=s2, size=n.astype(np.int32), bits=bits.view(np.int64), prefix=lists)
 
     return rows.mapInArrow(sets, "id long, mark long, line int, s1 long, s2 long, size int, bits long, prefix array<int>")
 
 
 def _candidates(batches, k: int):
-    """Rows (word, i, j, meta, set, bits, ask) sorted by the first three: (later, earlier, more) pairs that pass the filters."""
+    """Rows (word, i, j, meta, set, bits, ask) sorted by the first three and the set: (later, earlier, more) pairs that pass the filters."""
     held: list[np.ndarray] = []
 
     def pairs(rows: np.ndarray):
         group = np.concatenate(([0], np.cumsum((np.diff(rows[:, :3], axis=0) != 0).any(axis=1))))
-        order = np.lexsort((rows[:, 4], group))  # in order of place inside a group
-        rows, group = rows[order], group[order]
         size, place, numbers, ask = rows[:, 3] >> 20, rows[:, 3] & _FULL, rows[:, 4], rows[:, 6] > 0
         bits = np.ascontiguousarray(rows[:, 5]).view(np.uint64)
         found, named = [], np.zeros(len(rows), np.int64)
@@ -168,9 +179,10 @@ def _candidates(batches, k: int):
         held.append(rows)
         size += len(rows)
         ends = np.flatnonzero((rows[:, :3] != rows[-1, :3]).any(axis=1))
-        if len(ends):
+        if len(ends) and size >= ROWS_AT_ONCE:
             yield pairs(np.concatenate([*held[:-1], rows[: ends[-1] + 1]]))
             held = [rows[ends[-1] + 1 :]]
+            size = len(held[0])
     if held:
         yield pairs(np.concatenate(held))
 
@@ -182,7 +194,7 @@ def _grouped(index: DataFrame) -> DataFrame:
     placed = index.join(crowded, "word", "left").withColumn("k", chunks).withColumn("mine", F.pmod(F.xxhash64("set"), F.col("k")))
     placed = placed.select("word", "meta", "set", "bits", "ask", "mine", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)).alias("other"))
     groups = placed.select("word", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "meta", "set", "bits", "ask")
-    return groups.repartition("word", "i", "j").sortWithinPartitions("word", "i", "j")
+    return groups.repartition("word", "i", "j").sortWithinPartitions("word", "i", "j", "set")
 
 
 def _words_of(rows: DataFrame, sets: DataFrame) -> DataFrame:
@@ -235,7 +247,7 @@ def matched_sets(rows: DataFrame, sets: DataFrame) -> DataFrame:
 def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """id, mark and ``gone``: the numbers (from 0) of each text's lines that match an earlier one."""
     rows = _keyed(docs)
-    lines = staged(line_sets(rows, word_frequencies(rows, min_words), min_words), "lines")
+    lines = staged(line_sets(rows, word_frequencies(rows), min_words), "lines")
     first = lines.groupBy("s1", "s2").agg(F.min(F.struct("id", "mark", "line")).alias("at"), F.first("size").alias("size"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
     in_order = first.select("s1", "s2", "at.*", "size", "bits", "prefix").orderBy("id", "mark", "line")
     sets = staged(in_order.withColumn("set", F.monotonically_increasing_id()), "line-sets")
@@ -246,9 +258,22 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return gone.groupBy("id", "mark").agg(F.array_sort(F.collect_set("line")).alias("gone"))
 
 
-def _without(text, gone):
-    left = F.filter(F.split(text, "\n", -1), lambda _, i: ~F.array_contains(gone, i))
-    return F.when(gone.isNull(), text).otherwise(F.array_join(left, "\n"))
+def _taken_out(joined: DataFrame) -> DataFrame:
+    """``joined`` (text and gone last) with the text left, null where nothing went, and the number of lines."""
+    names = joined.columns
+    schema = joined.select(*names[:-2], F.lit(None).cast("string").alias("kept"), F.lit(None).cast("long").alias("n_lines")).schema
+
+    def run(batches):
+        for b in batches:
+            kept, n = [], []
+            for text, gone in zip(b.column(b.num_columns - 2).to_pylist(), b.column(b.num_columns - 1).to_pylist()):
+                lines = (text or "").split("\n")
+                n.append(len(lines))
+                late = set(gone or ())
+                kept.append("\n".join(x for i, x in enumerate(lines) if i not in late) if late else None)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-2], pa.array(kept, pa.string()), pa.array(n, pa.int64())], names=[*b.schema.names[:-2], "kept", "n_lines"])
+
+    return joined.mapInArrow(run, schema)
 
 
 def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -256,18 +281,17 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     gone = removed_lines(docs, min_words)
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text"))
     rows = rows.withColumn("id", F.coalesce("doc_id", F.lit(-1).cast("long"))).withColumn("mark", F.xxhash64("text"))
-    out = rows.join(gone, ["id", "mark"], "left")
-    n_lines = F.size(F.split("text", "\n", -1)).cast("long")
-    return out.select("doc_id", n_lines.alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), _without(F.col("text"), F.col("gone")).alias("kept"))
+    out = rows.join(gone, ["id", "mark"], "left").select("doc_id", "text", F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), "gone")
+    out = _taken_out(out.select("doc_id", "n_removed", "text", F.col("text").alias("whole"), "gone"))
+    return out.select("doc_id", "n_lines", "n_removed", F.coalesce("kept", "text").alias("kept"))
 
 
 def keep_new_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with the matching lines taken out of ``text``; rows that thus lose their last word go."""
     gone = removed_lines(docs, min_words)
-    text = text_of(docs)
-    here = (F.coalesce(docs["doc_id"].cast("long"), F.lit(-1).cast("long")) == gone["id"]) & (F.xxhash64(text) == gone["mark"])
+    here = (F.coalesce(docs["doc_id"].cast("long"), F.lit(-1).cast("long")) == gone["id"]) & (F.xxhash64(text_of(docs)) == gone["mark"])
     joined = docs.join(gone, here, "left")
-    left = F.when(gone["gone"].isNull(), docs["text"]).otherwise(_without(text, gone["gone"]))
-    columns = [left.alias("text") if c == "text" else docs[c] for c in docs.columns]
-    blank = gone["gone"].isNotNull() & ~left.rlike(r"[^ \t-\r]")
-    return joined.where(~blank).select(columns)
+    row, text = F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs["text"].alias("whole")
+    out = _taken_out(joined.select(row, text, gone["gone"])).where("kept is null or kept rlike '[^ \\\\t-\\\\r]'")
+    columns = [F.coalesce("kept", "row.text").alias("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns]
+    return out.select(columns)
