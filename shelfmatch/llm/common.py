@@ -53,6 +53,16 @@ def slices(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer((bounds * width).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(values))]).cast(pa.binary())
 
 
+#: Rows of a table of a few numbers that a join may send to every task.
+SMALL_ROWS = 100_000
+
+
+def small_side(df: DataFrame, name: str) -> DataFrame:
+    """``df``, written once, to be joined: sent to every task if it has few rows, left to the planner if not."""
+    df = staged(df, name)
+    return F.broadcast(df) if df.count() <= SMALL_ROWS else df
+
+
 def by_batch(fn: Callable[..., dict], schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A mapInArrow function from one that takes the columns of a batch as lists and returns columns."""
 

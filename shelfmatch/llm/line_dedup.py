@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, table, text_of
+from .common import small_side, staged, table, text_of
 
 MIN_WORDS = 5
 #: Entries of the table of word frequencies.
@@ -189,7 +189,7 @@ def _candidates(batches, k: int):
 
 def _grouped(index: DataFrame) -> DataFrame:
     """word, i, j: groups of bounded size in which every two sets of a word meet."""
-    crowded = index.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") > CHUNK)
+    crowded = small_side(index.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") > CHUNK), "crowded")
     chunks = F.coalesce(F.ceil(F.col("n") / CHUNK), F.lit(1)).cast("long")
     placed = index.join(crowded, "word", "left").withColumn("k", chunks).withColumn("mine", F.pmod(F.xxhash64("set"), F.col("k")))
     placed = placed.select("word", "meta", "set", "bits", "ask", "mine", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)).alias("other"))

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_batch, links_to_roots, staged, text_of
+from .common import by_batch, links_to_roots, small_side, staged, text_of
 
 MAX_BITS = 3
 #: Fingerprints of a cell that a task compares with each other, or chunk with chunk.
@@ -149,7 +149,7 @@ def near_links(prints: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(codes.reshape(-1)), pa.array(np.repeat(x, codes.shape[1]))], names=["cell", "print"])
 
     rows = prints.mapInArrow(expand, "cell long, print long")
-    crowded = rows.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > CHUNK)
+    crowded = small_side(rows.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > CHUNK), "crowded")
     chunks = F.coalesce(F.ceil(F.col("n") / CHUNK), F.lit(1)).cast("long")
     placed = rows.join(crowded, "cell", "left").select("cell", "print", chunks.alias("k")).withColumn("mine", F.pmod(F.xxhash64("print"), F.col("k")))
     placed = placed.select("cell", "print", "mine", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)).alias("other"))
