@@ -232,8 +232,7 @@ def valid_countries(spark, sf):
 
 
 @query("date_summary", f"""
-select case when min(date) is null then 0 when min(date) = max(date) then 1 else 2 end as at_least_dates,
-       min(date) as first_date, max(date) as last_date from ({I.PRICES})""")
+select count(distinct date) as n_dates, min(date) as first_date, max(date) as last_date from ({I.PRICES})""")
 def date_summary(spark, sf):
     return checks.date_summary(I.read(spark, sf, I.PRICES))
 
@@ -268,7 +267,7 @@ select country, date, sku, price from new n where not exists (select 1 from old
 def insert_if_absent(spark, sf):
     new = I.read(spark, sf, I.PRICES)
     old = new.where("region_name = 'ASIA' and l_linenumber < 3")
-    return tables.absent_rows(new, old).select("country", "date", "sku", "price")
+    return tables.absent_rows(new, old, given={"country": "MX"}).select("country", "date", "sku", "price")
 
 
 @query("skip_processed", f"""
@@ -335,13 +334,14 @@ def union_sources(spark, sf):
 @query("source_rules", f"""
 with s as (select company, zone, {price_sql('price')} as price, {price_sql('specialPrice')} as unit_price, row_key from ({I.SCRAPED})),
 g as (select company, count(*) filter (price is null) as gaps from s group by 1)
-select row_key, s.company, case when gaps > 10 then unit_price else price end as price
+select row_key, case when gaps > 10 then 'Unit store' else s.company end as company, case when gaps > 10 then unit_price else price end as price
 from s join g on s.company = g.company where s.company <> 'competitor_1' or zone = 'north'""")
 def source_rules(spark, sf):
     rows = I.read(spark, sf, I.SCRAPED).select(
         "row_key", "company", "zone", C.parse_price(F.col("price")).alias("price"), C.parse_price(F.col("specialPrice")).alias("unit_price"))
-    priced = delimited.price_from_unit(rows, "company", "price", "unit_price", limit=10)
-    return delimited.keep_state(priced, F.col("company") == "competitor_1", "zone", "north").select("row_key", "company", "price")
+    priced = delimited.price_from_unit(rows.withColumn("store", F.col("company")), "company", "price", "unit_price", limit=10, store="store", store_name="Unit store")
+    kept = delimited.keep_state(priced, F.col("company") == "competitor_1", "zone", "north")
+    return kept.select("row_key", F.col("store").alias("company"), "price")
 
 
 @query("eval_size", f"""

@@ -93,7 +93,7 @@ def price_report(spark, sf):
     rows = scraped.select(
         F.col("row_key").alias("scrap_id"), F.col("company").alias("competitor_name"), F.col("name").alias("competitor_sku_name"),
         C.parse_price(F.col("price")).alias("competitor_price"), F.col("url").alias("competitor_url"), "comp_sku_name_clean")
-    return reports.price_report(rows, own, matches, F.lit("2026-01-05").cast("date"))
+    return reports.price_report(rows, own, matches, F.lit("2026-01-05").cast("date"), ordered=True)
 
 
 @query("top_confidence", f"select * from ({best_sql(SCRAPED_CLEAN, 0.4)}) order by confidence desc, comp_sku_name_clean limit 20")
@@ -160,7 +160,7 @@ select competitor_name, sku as mkp_sku_id, sku_name as mkp_sku_name, round(price
        round(confidence, 5) as "%_confidence", date '2026-01-05' as scraping_date
 from ({LONG_SQL}) where price > 0""")
 def long_report(spark, sf):
-    return reports.long_report(wide_to_long(spark, sf), F.lit("2026-01-05").cast("date"))
+    return reports.long_report(wide_to_long(spark, sf), F.lit("2026-01-05").cast("date"), ordered=True)
 
 
 @query("competitor_counts", f"""

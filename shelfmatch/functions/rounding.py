@@ -27,8 +27,8 @@ def round_exact(col: Column, digits: int) -> Column:
         .when(past_half < 0, 0.0)
         .otherwise(F.abs(low % 2))
     )
-    # beyond 2^44 a double has no digits left to round
-    return F.when(F.abs(x) < 1.7e13, (low + step) / scale).otherwise(x)
+    # from 2^53 / scale on doubles lie further apart than the digits asked for
+    return F.when(F.abs(x) < 2.0**53 / scale, (low + step) / scale).otherwise(x)
 
 
 def round_scaled(col: Column, digits: int) -> Column:

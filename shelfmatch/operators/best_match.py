@@ -23,6 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, IntegralType
 
 from ..functions import similarity as S
 from ..functions.lcs import encode, indel_percents, lcs_pairs
@@ -82,13 +83,13 @@ def _reach(least_raw: float, dice_weight: float) -> int:
 
 
 def _salted(names: DataFrame, form_names: int) -> DataFrame:
-    """Add ``h``, the hash a name is placed by: of its form, and of its units where a form has many names."""
+    """Add ``h``, the hash a name is placed by: of its form, and of all else where a form has many names."""
     hot = (
         names.groupBy("form_text", "form_chars").agg(F.count("*").alias("n"))
         .where(F.col("n") > form_names)
         .select("form_text", "form_chars", F.ceil(F.col("n") / form_names).alias("salts"))
     )
-    salt = F.pmod(F.xxhash64("units"), F.coalesce("salts", F.lit(1)))
+    salt = F.pmod(F.xxhash64("units", "grp", "key"), F.coalesce("salts", F.lit(1)))
     return (
         names.join(hot, ["form_text", "form_chars"], "left")
         .withColumn("h", F.xxhash64("form_text", "form_chars", salt))
@@ -291,6 +292,19 @@ def score_block(left: pd.DataFrame, right: pd.DataFrame, scoring: Scoring, thres
 # ---------------------------------------------------------------- the operator
 
 
+def _as_text(ident: Column, kind: DataType) -> Column:
+    """An id as text of the same order; whole numbers are shifted above zero and padded."""
+    if isinstance(kind, IntegralType):
+        return F.lpad((ident.cast("decimal(20,0)") + F.lit(2**63).cast("decimal(20,0)")).cast("decimal(20,0)").cast("string"), 20, "0")
+    return ident.cast("string")
+
+
+def _from_text(text: Column, kind: DataType) -> Column:
+    if isinstance(kind, IntegralType):
+        text = text.cast("decimal(20,0)") - F.lit(2**63).cast("decimal(20,0)")
+    return text.cast(kind)
+
+
 def _no_match(left: DataFrame, right: DataFrame, left_name: str, right_id: str, by: str | None) -> DataFrame:
     keys = [F.col(left_name)] if by is None else [F.col(left_name), F.lit(None).cast(right.schema[by].dataType).alias(by)]
     return left.where(F.lit(False)).select(
@@ -309,7 +323,7 @@ def best_match(
     block_chars: int = BLOCK_CHARS,
     form_names: int = FORM_NAMES,
 ) -> DataFrame:
-    """One row per distinct left name with a match: left_name, [by,] right_id (a string), confidence.
+    """One row per distinct left name with a match: left_name, [by,] right_id (in its own type), confidence.
 
     With ``by``, a column of ``right``, every left name gets one match per value of it.
     """
@@ -319,7 +333,7 @@ def best_match(
     names = (
         right.where(F.col(right_name).isNotNull() & group.isNotNull())
         .groupBy(group.cast("string").alias("grp"), F.col(right_name).alias("name"))
-        .agg(F.min(right_id).alias("key"))
+        .agg(_as_text(F.min(right_id), right.schema[right_id].dataType).alias("key"))
     )
     rhs = cut_lineage(name_features(spread(names, "grp", "name"), "name"))
     own, other = plan_blocks(lhs, rhs, block_chars)
@@ -345,7 +359,8 @@ def best_match(
 
     scored = rows.groupBy("lc", "lb", "rc", "rb").applyInPandas(score, "name string, grp string, id string, confidence double")
     best = scored.groupBy("name", "grp").agg(F.min(F.struct((-F.col("confidence")).alias("c"), "id")).alias("b"))
+    ident = _from_text(F.col("b.id"), right.schema[right_id].dataType).alias(right_id)
     keys = [F.col("name").alias(left_name)]
     if by is not None:
         keys.append(F.col("grp").cast(right.schema[by].dataType).alias(by))
-    return best.select(*keys, F.col("b.id").alias(right_id), (-F.col("b.c")).alias("confidence"))
+    return best.select(*keys, ident, (-F.col("b.c")).alias("confidence"))

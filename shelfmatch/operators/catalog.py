@@ -42,8 +42,8 @@ def dedup_first(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
 
 
 def row_key(*columns: str) -> Column:
-    """A stable surrogate id: the same content has the same id in every run."""
-    return F.xxhash64(*columns)
+    """A stable surrogate id: the same content, nulls and their places included, has the same id in every run."""
+    return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
 
 
 def evaluation_size(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -15,19 +15,16 @@ class DataCheckError(ValueError):
 
 
 def date_summary(df: DataFrame, column: str = "date") -> DataFrame:
-    """n_dates, first_date, last_date; min and max replace a distinct count of all rows."""
-    first, last = F.min(column), F.max(column)
-    return df.agg(
-        F.when(first.isNull(), 0).when(first == last, 1).otherwise(2).alias("at_least_dates"),
-        first.alias("first_date"), last.alias("last_date"),
-    )
+    """n_dates (different ones), first_date, last_date; dates are grouped before they are counted."""
+    dates = df.groupBy(F.col(column).alias("date")).agg(F.count("*").alias("n"))
+    return dates.agg(F.count("date").alias("n_dates"), F.min("date").alias("first_date"), F.max("date").alias("last_date"))
 
 
 def check_single_date(df: DataFrame, day: dt.date, column: str = "date") -> None:
     """Exactly one date, and the requested one."""
     row = date_summary(df, column).first()
-    if row.at_least_dates != 1 or row.first_date != day:
-        raise DataCheckError(f"expected the single date {day}, found {row.first_date} to {row.last_date}")
+    if row.n_dates != 1 or row.first_date != day:
+        raise DataCheckError(f"expected the single date {day}, found {row.n_dates}, {row.first_date} to {row.last_date}")
 
 
 def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:

@@ -7,6 +7,9 @@ distinct scores.
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -68,9 +71,12 @@ def score_points(df: DataFrame, label: str = "label", score: str = "score") -> D
         df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
         .groupBy(F.col(score).alias("score"))
         .agg(F.count_if(F.col(label) == 1).alias("n_pos"), F.count_if(F.col(label) != 1).alias("n_neg"))
-        .withColumn("band", F.least(F.greatest(F.floor(F.col("score") * BANDS), F.lit(-1)), F.lit(BANDS + 1)).cast("int"))
     )
-    # at most BANDS + 3 rows, whatever the data
+    # bands that hold about as many distinct scores each, wherever the scores lie
+    cuts = sorted(set(by_score.approxQuantile("score", [i / BANDS for i in range(1, BANDS)], 0.1 / BANDS)))
+    bucketed = Bucketizer(splits=[-math.inf, *(c for c in cuts if math.isfinite(c)), math.inf], inputCol="_score", outputCol="band", handleInvalid="keep")
+    by_score = bucketed.transform(by_score.withColumn("_score", F.col("score").cast("double"))).drop("_score")
+    # at most BANDS + 1 rows, whatever the data
     above = Window.orderBy(F.desc("band")).rowsBetween(Window.unboundedPreceding, -1)
     everywhere = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     bands = (

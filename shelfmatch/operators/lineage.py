@@ -2,24 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the reliable checkpoint folder and read it from there.
 
-    The folder is the one in ``spark.checkpoint.dir``.  Only a local session that
-    names none gets a temporary folder of this machine.
+    The folder is the one in ``spark.checkpoint.dir``; a session that names none uses one
+    in its warehouse, which driver and executors share as well.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="shelfmatch-checkpoint-")
-        sc.setCheckpointDir(folder)
+        shared = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or shared)
     return df.checkpoint()

@@ -15,6 +15,9 @@ PRICE_REPORT = [
     "confidence", "mkp_price", "competitor_price", "price_diff", "price_index",
     "mkp_sku_name_clean", "comp_sku_name_clean", "competitor_url",
 ]
+# competitors a wide report has columns for
+WIDE_COMPETITORS = 1000
+
 LONG_REPORT = [
     "competitor_name", "mkp_sku_id", "mkp_sku_name", "mkp_price", "competitor_sku_name", "competitor_url",
     "competitor_price", "price_diff", "%_price_diff", "%_confidence", "scraping_date",
@@ -27,13 +30,13 @@ def matched_rows(scraped: DataFrame, matches: DataFrame, name: str = "comp_sku_n
     return scraped.join(kept, name).drop(name)
 
 
-def price_report(scraped: DataFrame, catalog: DataFrame, matches: DataFrame, scraping_date: Column) -> DataFrame:
-    """Matches with both sides' prices, their difference and index.
+def price_report(scraped: DataFrame, catalog: DataFrame, matches: DataFrame, scraping_date: Column, ordered: bool = False) -> DataFrame:
+    """Matches with both sides' prices, their difference and index; ``ordered`` by own id, then confidence, best first.
 
     ``scraped``: scrap_id, competitor_*, comp_sku_name_clean.  ``catalog``: mkp_sku_id,
     mkp_sku_name, mkp_price, mkp_sku_name_clean.  ``matches``: comp_sku_name_clean, mkp_sku_id, confidence.
     """
-    return (
+    report = (
         scraped.join(matches, "comp_sku_name_clean").join(catalog, "mkp_sku_id")
         .withColumn("scraping_date", scraping_date)
         .withColumn("price_diff", price_diff(F.col("mkp_price"), F.col("competitor_price")))
@@ -41,6 +44,7 @@ def price_report(scraped: DataFrame, catalog: DataFrame, matches: DataFrame, scr
         .fillna("", ["competitor_url"])
         .select(*PRICE_REPORT)
     )
+    return report.orderBy("mkp_sku_id", F.desc("confidence")) if ordered else report
 
 
 def reverse_match(
@@ -81,15 +85,29 @@ def competitor_counts(matches: DataFrame, scraped: DataFrame, catalog_rows: Colu
 
 
 def competitor_list(scraped: DataFrame) -> list[str]:
-    """Competitor names in order; a column per name is made of them, so they are few."""
-    return [r[0] for r in scraped.select("competitor_name").where("competitor_name is not null").distinct().orderBy(F.col("competitor_name")).collect()]
+    """Competitor names in order, at most ``WIDE_COMPETITORS``, as each becomes columns of a wide report."""
+    names = scraped.select("competitor_name").where("competitor_name is not null").distinct()
+    rows = names.orderBy("competitor_name").limit(WIDE_COMPETITORS + 1).collect()
+    if len(rows) > WIDE_COMPETITORS:
+        raise ValueError(f"more than {WIDE_COMPETITORS} competitors: a wide report would have too many columns")
+    return [r[0] for r in rows]
+
+
+def column_names(competitors: list[str]) -> dict[str, str]:
+    """The column name of each competitor; two competitors with one name are an error."""
+    names = {c: sanitize_name(c) for c in competitors}
+    if len(set(names.values())) < len(names):
+        clash = sorted(c for c, n in names.items() if list(names.values()).count(n) > 1)
+        raise ValueError(f"competitors share a column name: {', '.join(clash)}")
+    return names
 
 
 def match_wide(catalog: DataFrame, matches: DataFrame, competitors: list[str]) -> DataFrame:
     """One row per own product; sku, conf, price and url of every competitor, null without a match."""
+    names = column_names(competitors)
     cells = {"sku": "competitor_sku_name", "conf": "confidence", "price": "competitor_price", "url": "competitor_url"}
     wide = matches.groupBy("sku").agg(*[
-        F.max(F.when(F.col("competitor_name") == c, F.col(value))).alias(f"c_{sanitize_name(c)}_{cell}")
+        F.max(F.when(F.col("competitor_name") == c, F.col(value))).alias(f"c_{names[c]}_{cell}")
         for c in competitors for cell, value in cells.items()
     ])
     return catalog.select("sku", "sku_name", "price").join(wide, "sku", "left")
@@ -97,13 +115,14 @@ def match_wide(catalog: DataFrame, matches: DataFrame, competitors: list[str]) -
 
 def wide_to_long(wide: DataFrame, competitors: list[str]) -> DataFrame:
     """A wide report back to one row per own product and competitor, unmatched pairs dropped."""
+    names = column_names(competitors)
     cells = F.array(*[
         F.struct(
-            F.lit(sanitize_name(c)).alias("competitor_name"),
-            F.col(f"c_{sanitize_name(c)}_sku").alias("competitor_sku_name"),
-            F.col(f"c_{sanitize_name(c)}_conf").alias("confidence"),
-            F.col(f"c_{sanitize_name(c)}_price").alias("competitor_price"),
-            F.col(f"c_{sanitize_name(c)}_url").alias("competitor_url"),
+            F.lit(names[c]).alias("competitor_name"),
+            F.col(f"c_{names[c]}_sku").alias("competitor_sku_name"),
+            F.col(f"c_{names[c]}_conf").alias("confidence"),
+            F.col(f"c_{names[c]}_price").alias("competitor_price"),
+            F.col(f"c_{names[c]}_url").alias("competitor_url"),
         )
         for c in competitors
     ])
@@ -114,10 +133,13 @@ def wide_to_long(wide: DataFrame, competitors: list[str]) -> DataFrame:
     )
 
 
-def long_report(long: DataFrame, scraping_date: Column) -> DataFrame:
-    """The first version's report: priced rows, difference to 5 decimals, share of the own price."""
+def long_report(long: DataFrame, scraping_date: Column, ordered: bool = False) -> DataFrame:
+    """The first version's report: priced rows, difference to 5 decimals, share of the own price.
+
+    ``ordered``: by competitor, the best matches first.
+    """
     diff = F.round(F.col("price") - F.col("competitor_price"), 5)
-    return (
+    report = (
         long.where("price > 0")
         .withColumnsRenamed({"sku": "mkp_sku_id", "sku_name": "mkp_sku_name"})
         .withColumn("price_diff", diff)
@@ -129,3 +151,4 @@ def long_report(long: DataFrame, scraping_date: Column) -> DataFrame:
         .fillna("Pending", ["competitor_url"])
         .select(*[F.col(f"`{c}`") for c in LONG_REPORT])
     )
+    return report.orderBy("competitor_name", F.desc("`%_confidence`")) if ordered else report

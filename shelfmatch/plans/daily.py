@@ -65,7 +65,7 @@ def load_prices(spark: SparkSession, prices_root: str, country: str, day: dt.dat
         raise DataCheckError(f"the price file was rejected: {rejected.reason}")
     check_single_date(rows, day)
     tables.ensure_database(spark, database)
-    tables.insert_if_absent(rows, f"{database}.{PRICES}")
+    tables.insert_if_absent(rows, f"{database}.{PRICES}", given={"country": country, "date": day})
 
 
 def run_day(

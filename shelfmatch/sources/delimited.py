@@ -23,11 +23,14 @@ def keep_state(df: DataFrame, source: Column, state: str, wanted: str) -> DataFr
     return df.where(~source | F.coalesce(F.col(state) == wanted, F.lit(False)))
 
 
-def price_from_unit(df: DataFrame, by: str, price: str = "Price", unit_price: str = "Unit_price", limit: int = 100) -> DataFrame:
-    """Take the unit price in sources where more than ``limit`` prices are missing."""
+def price_from_unit(df: DataFrame, by: str, price: str = "Price", unit_price: str = "Unit_price", limit: int = 100,
+                    store: str | None = None, store_name: str | None = None) -> DataFrame:
+    """Take the unit price, and set the store name if one is given, in sources where more than ``limit`` prices are missing."""
     gaps = df.groupBy(by).agg(F.count_if(F.col(price).isNull()).alias("_gaps"))
-    chosen = F.when(F.col("_gaps") > limit, F.col(unit_price)).otherwise(F.col(price))
-    return df.join(gaps, by).withColumn(price, chosen).drop("_gaps")
+    new = {price: F.when(F.col("_gaps") > limit, F.col(unit_price)).otherwise(F.col(price))}
+    if store is not None:
+        new[store] = F.when(F.col("_gaps") > limit, F.lit(store_name)).otherwise(F.col(store))
+    return df.join(gaps, by).withColumns(new).drop("_gaps")
 
 
 def read_expected(spark: SparkSession, path: str) -> DataFrame:

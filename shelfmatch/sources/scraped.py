@@ -40,9 +40,6 @@ SCRAPED_SCHEMA = StructType([
     StructField("gift_or_extra_prod", StringType()),
 ])
 
-# headers are broadcast up to this many characters in total
-BROADCAST_CHARS = 8_000_000
-
 
 class ScrapedScan(NamedTuple):
     """Clean rows, one report row per file, and the rows dropped with their reason."""
@@ -132,10 +129,6 @@ def read_scraped(
     required = F.array(*[F.lit(c) for c in REQUIRED])
     checked = headers.withColumn("missing", F.array_except(required, F.col("header")))
     good = checked.where(F.size("missing") == 0).select("file", "header_line", "header")
-    # a header per file: broadcast only after adding up what would be sent
-    chars = good.agg(F.sum(F.length("header_line") + F.length("file"))).first()[0] or 0
-    if chars <= BROADCAST_CHARS:
-        good = F.broadcast(good)
     data = big_enough.join(good, "file").where("line != '' and line != header_line")
     fields = split_lines(data.select("file", "file_name", "line", "header"), sep)
     cleaned = clean_scraped(fields, ["file", "file_name", "too_long"]).withColumn(

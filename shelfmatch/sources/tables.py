@@ -21,16 +21,22 @@ def append_table(df: DataFrame, table: str, partition_by: tuple[str, ...] = ("co
     df.write.format(fmt).mode("append").partitionBy(*partition_by).saveAsTable(table)
 
 
-def insert_if_absent(df: DataFrame, table: str, keys: tuple[str, ...] = ("country", "date"), fmt: str = "parquet") -> None:
-    """Append the rows whose key combination is not in the table yet."""
+def insert_if_absent(df: DataFrame, table: str, keys: tuple[str, ...] = ("country", "date"), fmt: str = "parquet",
+                     given: dict[str, object] | None = None) -> None:
+    """Append the rows whose key combination is not in the table yet; ``given`` as in ``absent_rows``."""
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
-        df = absent_rows(df, spark.table(table), keys)
+        df = absent_rows(df, spark.table(table), keys, given)
     append_table(df, table, keys, fmt)
 
 
-def absent_rows(df: DataFrame, existing: DataFrame, keys: tuple[str, ...] = ("country", "date")) -> DataFrame:
-    """Rows of ``df`` whose keys do not occur in ``existing``."""
+def absent_rows(df: DataFrame, existing: DataFrame, keys: tuple[str, ...] = ("country", "date"), given: dict[str, object] | None = None) -> DataFrame:
+    """Rows of ``df`` whose keys do not occur in ``existing``.
+
+    ``given``: key values that all rows of ``df`` have; only these partitions of ``existing`` are read.
+    """
+    for column, value in (given or {}).items():
+        existing = existing.where(F.col(column) == F.lit(value))
     return df.join(existing.select(*keys).distinct(), list(keys), "left_anti")
 
 

@@ -102,3 +102,19 @@ def test_no_pairing_operator_in_the_plan(sides):
     _, _, ldf, rdf = sides
     plan = best_match(ldf, rdf)._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_numeric_ids_keep_their_type_and_order(spark):
+    left = spark.createDataFrame([("leche lala 1lt",)], "comp_sku_name_clean string")
+    right = spark.createDataFrame([(10, "leche lala 1lt"), (9, "leche lala 1lt"), (-3, "pan"), (2, "lala leche 1lt")], "sku bigint, mkp_sku_name_clean string")
+    found = best_match(left, right.where("sku > 2"))
+    assert [tuple(r) for r in found.select("comp_sku_name_clean", "sku").collect()] == [("leche lala 1lt", 9)]
+    none = best_match(left, right.where("false"))
+    assert none.schema.simpleString() == found.schema.simpleString() and none.count() == 0
+
+
+def test_one_name_in_many_groups(spark):
+    left = spark.createDataFrame([("pan bimbo 600g",), ("agua 1lt",)], "comp_sku_name_clean string")
+    right = spark.range(3000).select(F.col("id").cast("string").alias("sku"), F.lit("pan bimbo 600g").alias("mkp_sku_name_clean"), F.concat(F.lit("shop"), "id").alias("shop"))
+    found = best_match(left, right, by="shop", block_chars=20_000, form_names=100)
+    assert found.where("comp_sku_name_clean = 'pan bimbo 600g' and confidence = 1 and shop = concat('shop', sku)").count() == 3000

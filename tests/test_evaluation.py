@@ -64,3 +64,11 @@ def test_explained_pair(spark):
     assert row.a_clean == "boing" * 5 + "\x03fresa 500ml 24pz" and row.b_clean == "boing" * 5 + "\x03500ml 24pz"
     assert row.a_units == row.b_units == ["500ml", "24pz"] and row.jac_conf == 1.0
     assert 0 < row.comb_conf < 1 and not math.isnan(row.lvd_conf)
+
+
+def test_no_band_holds_more_than_its_share(spark):
+    rows = [(i % 2, float(i) / 200) for i in range(20_000)]  # scores from 0 to 100
+    points = E.score_points(spark.createDataFrame(rows, "label int, score double"))
+    assert points.count() == 20_000
+    last = points.orderBy("score").first()
+    assert (last.tp, last.fp, last.positives, last.negatives) == (10_000, 10_000, 10_000, 10_000)

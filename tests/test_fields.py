@@ -87,3 +87,22 @@ def test_lookback_excludes_the_fifteenth_day_back(apply):
 def test_local_today(apply):
     now = [dt.datetime(2026, 1, 5, 5, 59), dt.datetime(2026, 1, 5, 6, 0)]
     assert apply(D.local_today, now, "x timestamp") == [dt.date(2026, 1, 4), dt.date(2026, 1, 5)]
+
+
+def test_large_values_are_rounded(apply):
+    assert apply(lambda x: round_exact(x, 2), [20000000000000.00390625, 9e15, float("inf")], "x double") == [20000000000000.0, 9e15, float("inf")]
+
+
+def test_row_key_keeps_nulls_apart(spark):
+    from shelfmatch.operators.catalog import row_key
+
+    rows = spark.createDataFrame([("a", None), (None, "a"), ("a", ""), ("a", None)], "x string, y string")
+    assert rows.select(row_key("x", "y")).distinct().count() == 3
+
+
+def test_competitors_of_one_column_name_are_an_error(spark):
+    from shelfmatch.operators.reports import column_names
+
+    assert column_names(["a b", "c"]).keys() == {"a b", "c"}
+    with pytest.raises(ValueError, match="a-b, ab"):
+        column_names(["ab", "a-b", "c"])

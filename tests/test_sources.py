@@ -155,3 +155,19 @@ def test_sinks(spark, tmp_path):
     tables.write_csv(df, str(tmp_path / "csv"))
     tables.write_parquet(df, str(tmp_path / "pq"))
     assert spark.read.csv(str(tmp_path / "csv"), header=True).count() == spark.read.parquet(str(tmp_path / "pq")).count() == 2
+
+
+def test_insert_reads_the_given_partitions_only(spark):
+    df = spark.createDataFrame([("MX", dt.date(2026, 1, 5), 1)], "country string, date date, v int")
+    tables.ensure_database(spark, "sinks")
+    tables.append_table(df, "sinks.pruned")
+    rows = tables.absent_rows(df, spark.table("sinks.pruned"), given={"country": "MX", "date": dt.date(2026, 1, 5)})
+    plan = rows._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(country" in plan and "(date" in plan
+    assert rows.count() == 0
+
+
+def test_store_name_of_unit_prices(spark):
+    rows = spark.createDataFrame([("a", None, "1", "s"), ("b", "9", "4", "t")], "file string, Price string, Unit_price string, Store string")
+    filled = delimited.price_from_unit(rows, "file", limit=0, store="Store", store_name="Other")
+    assert {(r.file, r.Price, r.Store) for r in filled.collect()} == {("a", "1", "Other"), ("b", "9", "t")}
