@@ -25,8 +25,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from .common import small_side, staged, table, text_of
 
@@ -82,6 +84,26 @@ class Words:
                 first = last
 
 
+def _packed(df: DataFrame, column: str = "text") -> DataFrame:
+    """``df`` with a text column compressed, for a shuffle; null stays null."""
+    at = df.columns.index(column)
+    schema = df.schema
+    schema = StructType([StructField(f.name, BinaryType()) if i == at else f for i, f in enumerate(schema)])
+
+    def run(batches):
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for b in batches:
+            packed = pa.array([None if t is None else pack(t.encode()) for t in b.column(at).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*b.columns[:at], packed, *b.columns[at + 1 :]], names=b.schema.names)
+
+    return df.mapInArrow(run, schema)
+
+
+def _unpacked(values: list) -> list[bytes | None]:
+    read = zstandard.ZstdDecompressor().decompress
+    return [None if v is None else read(v) for v in values]
+
+
 def word_frequencies(rows: DataFrame) -> np.ndarray:
     """Occurrences by hash bucket of the words."""
 
@@ -114,8 +136,9 @@ def line_sets(rows: DataFrame, frequency: np.ndarray, min_words: int) -> DataFra
             order = np.lexsort((w.hashes, shared.value[(w.hashes % np.uint64(BUCKETS)).astype(np.int64)]))
             rank = np.empty(len(order), np.int64)
             rank[order] = np.arange(len(order))
-            pairs = np.unique(w.line * len(order) + rank[w.word]) if len(order) else np.zeros(0, np.int64)
-            line, h = (pairs // len(order), w.hashes[order[pairs % len(order)]]) if len(order) else (pairs, w.hashes)
+            pairs = np.sort(w.line * len(order) + rank[w.word])
+            pairs = pairs[np.diff(pairs, prepend=-1) > 0]
+            line, h = pairs // max(1, len(order)), w.hashes[order[pairs % max(1, len(order))]]
             sizes = np.bincount(line, minlength=int(w.text_bounds[-1]))
             kept = sizes[line] >= min_words
             line, h = line[kept], h[kept]
@@ -205,15 +228,16 @@ def _words_of(rows: DataFrame, sets: DataFrame) -> DataFrame:
         for b in batches:
             for i in range(0, b.num_rows, 500):
                 out: list = [[], []]
-                for text, wanted in zip(*(c.to_pylist() for c in b.slice(i, 500).columns)):
-                    lines = text.encode().split(b"\n")
+                texts, many = (c.to_pylist() for c in b.slice(i, 500).columns)
+                for text, wanted in zip(_unpacked(texts), many):
+                    lines = text.split(b"\n")
                     for w in wanted:
                         out[0].append(w["set"])
                         out[1].append(sorted(line_words(lines[w["line"]])))
                 yield table(schema, set=out[0], words=out[1])
 
     wanted = sets.groupBy("id", "mark").agg(F.collect_list(F.struct("set", "line")).alias("wanted"))
-    texts = rows.join(wanted, ["id", "mark"]).select("text", "wanted")
+    texts = _packed(rows).join(wanted, ["id", "mark"]).select("text", "wanted")
     return texts.mapInArrow(read, "set long, words array<binary>").dropDuplicates(["set"])
 
 
@@ -259,19 +283,23 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def _taken_out(joined: DataFrame) -> DataFrame:
-    """``joined`` (text and gone last) with the text left, null where nothing went, and the number of lines."""
-    names = joined.columns
-    schema = joined.select(*names[:-2], F.lit(None).cast("string").alias("kept"), F.lit(None).cast("long").alias("n_lines")).schema
+    """``joined`` (with ``text`` packed, and ``gone`` last) with the text left, and the number of lines in place of ``gone``."""
+    at = joined.columns.index("text")
+    fields = [StructField(f.name, StringType()) if i == at else f for i, f in enumerate(joined.schema)]
+    schema = StructType([*fields[:-1], StructField("n_lines", LongType())])
 
     def run(batches):
         for b in batches:
             kept, n = [], []
-            for text, gone in zip(b.column(b.num_columns - 2).to_pylist(), b.column(b.num_columns - 1).to_pylist()):
-                lines = (text or "").split("\n")
+            for text, gone in zip(_unpacked(b.column(at).to_pylist()), b.column(b.num_columns - 1).to_pylist()):
+                lines = (text or b"").split(b"\n")
                 n.append(len(lines))
-                late = set(gone or ())
-                kept.append("\n".join(x for i, x in enumerate(lines) if i not in late) if late else None)
-            yield pa.RecordBatch.from_arrays([*b.columns[:-2], pa.array(kept, pa.string()), pa.array(n, pa.int64())], names=[*b.schema.names[:-2], "kept", "n_lines"])
+                if gone:
+                    late = set(gone)
+                    text = b"\n".join(x for i, x in enumerate(lines) if i not in late)
+                kept.append(None if text is None else text.decode())
+            columns = [pa.array(kept, pa.string()) if i == at else c for i, c in enumerate(b.columns[:-1])]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64())], names=[*b.schema.names[:-1], "n_lines"])
 
     return joined.mapInArrow(run, schema)
 
@@ -281,17 +309,17 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     gone = removed_lines(docs, min_words)
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text"))
     rows = rows.withColumn("id", F.coalesce("doc_id", F.lit(-1).cast("long"))).withColumn("mark", F.xxhash64("text"))
-    out = rows.join(gone, ["id", "mark"], "left").select("doc_id", "text", F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), "gone")
-    out = _taken_out(out.select("doc_id", "n_removed", "text", F.col("text").alias("whole"), "gone"))
-    return out.select("doc_id", "n_lines", "n_removed", F.coalesce("kept", "text").alias("kept"))
+    joined = _packed(rows).join(gone, ["id", "mark"], "left")
+    out = _taken_out(joined.select("doc_id", "text", F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), "gone"))
+    return out.select("doc_id", "n_lines", "n_removed", F.col("text").alias("kept"))
 
 
 def keep_new_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with the matching lines taken out of ``text``; rows that thus lose their last word go."""
     gone = removed_lines(docs, min_words)
-    here = (F.coalesce(docs["doc_id"].cast("long"), F.lit(-1).cast("long")) == gone["id"]) & (F.xxhash64(text_of(docs)) == gone["mark"])
-    joined = docs.join(gone, here, "left")
-    row, text = F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs["text"].alias("whole")
-    out = _taken_out(joined.select(row, text, gone["gone"])).where("kept is null or kept rlike '[^ \\\\t-\\\\r]'")
-    columns = [F.coalesce("kept", "row.text").alias("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns]
-    return out.select(columns)
+    rest = F.struct(*(docs[c] for c in docs.columns if c != "text"), F.lit(0).alias("_")).alias("rest")
+    text = text_of(docs)
+    rows = docs.select(F.coalesce(docs["doc_id"].cast("long"), F.lit(-1).cast("long")).alias("id"), F.xxhash64(text).alias("mark"), rest, docs["text"])
+    joined = _packed(rows).join(gone, ["id", "mark"], "left").select("rest", F.col("gone").isNotNull().alias("shorter"), "text", "gone")
+    out = _taken_out(joined).where("not shorter or text rlike '[^ \\\\t-\\\\r]'")
+    return out.select(*(F.col("text") if c == "text" else F.col("rest").getField(c).alias(c) for c in docs.columns))
