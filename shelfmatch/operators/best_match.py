@@ -295,13 +295,13 @@ def score_block(left: pd.DataFrame, right: pd.DataFrame, scoring: Scoring, thres
 def _as_text(ident: Column, kind: DataType) -> Column:
     """An id as text of the same order; whole numbers are shifted above zero and padded."""
     if isinstance(kind, IntegralType):
-        return F.lpad((ident.cast("decimal(20,0)") + F.lit(2**63).cast("decimal(20,0)")).cast("decimal(20,0)").cast("string"), 20, "0")
+        return F.lpad((ident.cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)")).cast("decimal(20,0)").cast("string"), 20, "0")
     return ident.cast("string")
 
 
 def _from_text(text: Column, kind: DataType) -> Column:
     if isinstance(kind, IntegralType):
-        text = text.cast("decimal(20,0)") - F.lit(2**63).cast("decimal(20,0)")
+        text = text.cast("decimal(20,0)") - F.lit(str(2**63)).cast("decimal(20,0)")
     return text.cast(kind)
 
 
