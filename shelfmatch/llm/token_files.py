@@ -62,18 +62,18 @@ def decode_numbers(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out.reshape(-1).view("<u4")[:n]
 
 
-def numbers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def numbers(column: pa.Array, width: str = "<u4") -> tuple[np.ndarray, np.ndarray]:
     """Where each row's numbers begin (and the end), and all rows' numbers, of a binary column."""
-    sizes = pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64) // 4
+    sizes = pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64) // np.dtype(width).itemsize
     raw = column.buffers()[2]
     first = column.buffers()[1]
     at = int(np.frombuffer(first, "<i4", 1, 4 * column.offset)[0]) if len(column) else 0
     bounds = np.concatenate(([0], np.cumsum(sizes)))
-    return bounds, np.frombuffer(raw, "<u4", int(bounds[-1]), at) if bounds[-1] else np.zeros(0, "<u4")
+    return bounds, np.frombuffer(raw, width, int(bounds[-1]), at) if bounds[-1] else np.zeros(0, width)
 
 
-def token_ids(docs: DataFrame, path: str, end_id: int | None = 0) -> DataFrame:
-    """doc_id and ``ids``: little-endian unsigned 32-bit ids of the whole text, then ``end_id``."""
+def token_ids(docs: DataFrame, path: str, end_id: int | None = 0, width: str = "<u4") -> DataFrame:
+    """doc_id and ``ids``: little-endian unsigned ids of the whole text, then ``end_id``."""
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
 
     def run(batches):
@@ -82,18 +82,18 @@ def token_ids(docs: DataFrame, path: str, end_id: int | None = 0) -> DataFrame:
             flat, bounds = encode(text_array(b.column(1)))
             if end_id is not None:
                 flat, bounds = np.insert(flat, bounds[1:], end_id), bounds + np.arange(len(bounds))
-            yield table(schema, doc_id=b.column(0), ids=slices(flat.astype("<u4"), bounds))
+            yield table(schema, doc_id=b.column(0), ids=slices(flat.astype(width), bounds))
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text")).mapInArrow(run, "doc_id long, ids binary")
 
 
-def frequency_ranks(tokens: DataFrame) -> np.ndarray:
+def frequency_ranks(tokens: DataFrame, width: str = "<u4") -> np.ndarray:
     """The corpus's ids, most frequent first (ties: smaller id).  As long as the vocabulary, whatever the corpus."""
 
     def count(batches):
         total = np.zeros(0, np.int64)
         for b in batches:
-            n = np.bincount(numbers(b.column(0))[1])
+            n = np.bincount(numbers(b.column(0), width)[1])
             if len(n) < len(total):
                 n, total = total, n
             n[: len(total)] += total
@@ -109,8 +109,9 @@ def frequency_ranks(tokens: DataFrame) -> np.ndarray:
 def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int = 0) -> None:
     """Tokenize ``docs`` and write the files and the rank table under ``folder``."""
     spark = docs.sparkSession
-    tokens = staged(token_ids(docs, path, end_id), "token-ids")
-    order = frequency_ranks(tokens)
+    narrow = "<u2" if max(len(encoder(path).bytes), end_id + 1) <= 1 << 16 else "<u4"
+    tokens = staged(token_ids(docs, path, end_id, narrow), "token-ids")
+    order = frequency_ranks(tokens, narrow)
     rank = np.zeros(int(order.max()) + 1 if len(order) else 1, np.uint32)
     rank[order] = np.arange(len(order), dtype=np.uint32)
     known = spark.sparkContext.broadcast(rank)
@@ -120,7 +121,7 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int = 0)
 
     def renumber(batches):
         for b in batches:
-            bounds, ids = numbers(b.column(1))
+            bounds, ids = numbers(b.column(1), narrow)
             yield table(small, doc_id=b.column(0), n=np.diff(bounds), ranks=slices(known.value[ids].astype(width), bounds))
 
     def blocks(batches):

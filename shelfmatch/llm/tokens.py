@@ -15,6 +15,7 @@ from __future__ import annotations
 import functools
 import json
 import os
+import re
 from array import array
 
 import numpy as np
@@ -28,6 +29,9 @@ REMEMBERED = 1_000_000
 AT_ONCE = 16 << 20
 
 _WHITE = r"[\t-\r \x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: Punctuation that closes words, and words that can be asked for together.
+_CLOSING = ".,;:!?)]|*$%&#"
+_SOLID = re.compile(r"[^\s<\x1c-\x1f\x85]+")
 _UNSURE = f"{_WHITE} (?:{_WHITE}|\\z)"
 
 
@@ -54,20 +58,59 @@ class TextEncoder:
         self.library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             self.cut = _cut(json.load(f))
+        vocabulary = self.library.get_vocab()
+        self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():  # a character stands for a byte in both
+            self.bytes[i] = len(token.removesuffix("</w>") if self.cut == "white" else token)
         self.words: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _joined(self, words: list[str]) -> list[bytes]:
+        """Ids of ASCII or byte-level words without white space, asked for in one text and told apart by their bytes."""
+        out: list[bytes] = []
+        for k in range(0, len(words), 5_000):
+            some = words[k : k + 5_000]
+            text = "".join(some) if self.cut == "blank" else " ".join(some)
+            ids = np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
+            ends = np.cumsum(self.bytes[ids])
+            wanted = np.cumsum(np.fromiter((len(w.encode()) for w in some), np.int64, len(some)))
+            at = np.searchsorted(ends, wanted)
+            if len(ids) and at[-1] < len(ids) and (ends[at] == wanted).all():
+                at = at + 1
+                raw, bounds = ids.tobytes(), np.concatenate(([0], at)) * 4
+                out += [raw[i:j] for i, j in zip(bounds.tolist(), bounds[1:].tolist())]
+            else:
+                out += self._apart(some)
+        return out
+
+    def _apart(self, words: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _learn(self, words: list[str]) -> None:
+        """Remember the ids of new words; a word's closing punctuation is a piece of its own."""
+        cut = {}
+        for w in words:
+            core = w.rstrip(_CLOSING)
+            if len(core) < len(w) and core[-1:].isalnum() and "<|" not in w:
+                cut[w] = core, w[len(core) :]
+        new = list({x for w in words for x in cut.get(w, (w,))} - set(filter(self.words.__contains__, (x for w in words for x in cut.get(w, (w,))))))
+        blank = self.cut == "blank"
+        simple = [x[:1] == " " and _SOLID.fullmatch(x, 1) is not None if blank else x.isascii() and _SOLID.fullmatch(x) is not None for x in new]
+        together, apart = [x for x, y in zip(new, simple) if y], [x for x, y in zip(new, simple) if not y]
+        self.words.update(zip(together, self._joined(together)))
+        self.words.update(zip(apart, self._apart(apart)))
+        self.words.update((w, self.words[x] + self.words[y]) for w, (x, y) in cut.items())
+
     def _known(self, words: list[str]) -> list[bytes]:
         if len(self.words) > REMEMBERED:
             self.words.clear()
         ids = list(map(self.words.get, words))
         new = [i for i, x in enumerate(ids) if x is None]
-        for k in range(0, len(new), 10_000):
-            some = new[k : k + 10_000]
-            for i, e in zip(some, self.library.encode_batch_fast([words[i] for i in some], add_special_tokens=False)):
-                self.words[words[i]] = ids[i] = array("I", e.ids).tobytes()
+        self._learn([words[i] for i in new])
+        for i in new:
+            ids[i] = self.words[words[i]]
         return ids
 
     def _numbered(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
