@@ -10,8 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bytes of text that a Python step looks at together.
-CHUNK_BYTES = 4 << 20
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,10 +24,21 @@ def work_folder(spark: SparkSession, name: str) -> str:
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and go on from the files; later failures do not compute it again."""
+    """Write ``df`` once to the shared folder and go on from the files; later failures do not compute it again.
+
+    The shuffle files of the job are removed when it is done, as nothing needs them any more.
+    """
     spark = df.sparkSession
     folder = work_folder(spark, name)
-    df.write.option("compression", "zstd").parquet(folder)
+    before = spark.conf.get(_CLEAN_UP, None)
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(folder)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEAN_UP)
+        else:
+            spark.conf.set(_CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(folder)
 
 
