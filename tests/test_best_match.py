@@ -118,3 +118,14 @@ def test_one_name_in_many_groups(spark):
     right = spark.range(3000).select(F.col("id").cast("string").alias("sku"), F.lit("pan bimbo 600g").alias("mkp_sku_name_clean"), F.concat(F.lit("shop"), "id").alias("shop"))
     found = best_match(left, right, by="shop", block_chars=20_000, form_names=100)
     assert found.where("comp_sku_name_clean = 'pan bimbo 600g' and confidence = 1 and shop = concat('shop', sku)").count() == 3000
+
+
+@pytest.mark.parametrize("scoring", [Scoring(), Scoring.first_version()])
+def test_confidence_equals_the_column(spark, sides, scoring):
+    """The blocks score with arrays what ``score_pairs`` scores with Columns: bit for bit the same."""
+    from shelfmatch.functions.similarity import score_pairs
+
+    _, _, ldf, rdf = sides
+    found = best_match(ldf, rdf, threshold=0.05, scoring=scoring).withColumnRenamed("confidence", "found")
+    pairs = score_pairs(found.join(rdf, "sku"), "comp_sku_name_clean", "mkp_sku_name_clean", scoring)
+    assert pairs.count() > 50 and pairs.where("found != confidence").count() == 0
