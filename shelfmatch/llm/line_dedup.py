@@ -251,8 +251,8 @@ def matched_sets(rows: DataFrame, sets: DataFrame) -> DataFrame:
         if asked is None:
             current = index.withColumn("ask", F.lit(1).cast("long"))
         else:  # only the groups of sets that still ask
-            current = index.join(asked.withColumn("ask", F.lit(1).cast("long")), "set", "left").fillna(0, ["ask"])
-            current = current.join(current.where("ask = 1").select("word").distinct(), "word", "left_semi")
+            words_asked = small_side(index.join(asked, "set", "left_semi").select("word").distinct(), "asked-words")
+            current = index.join(words_asked, "word", "left_semi").join(asked.withColumn("ask", F.lit(1).cast("long")), "set", "left").fillna(0, ["ask"])
         named = _grouped(current).mapInArrow(lambda b, k=k: _candidates(b, k), "later long, earlier long, more boolean")
         named = staged(named.groupBy("later", "earlier").agg(F.max("more").alias("more")), "named-pairs")
         ids = named.select(F.col("later").alias("set")).union(named.select("earlier")).distinct()
@@ -262,10 +262,10 @@ def matched_sets(rows: DataFrame, sets: DataFrame) -> DataFrame:
         found = staged(pairs.groupBy("later").agg(F.max(same).alias("match"), F.max("more").alias("more")), "verdicts")
         match = found.where("match").select(F.col("later").alias("set"))
         done = match if done is None else done.union(match)
-        asked = found.where("more and not match").select(F.col("later").alias("set"))
+        asked = small_side(found.where("more and not match").select(F.col("later").alias("set")), "asked")
         if asked.isEmpty():
             return done
-        k *= 16
+        k *= 64
 
 
 def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
