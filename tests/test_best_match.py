@@ -127,5 +127,5 @@ def test_confidence_equals_the_column(spark, sides, scoring):
 
     _, _, ldf, rdf = sides
     found = best_match(ldf, rdf, threshold=0.05, scoring=scoring).withColumnRenamed("confidence", "found")
-    pairs = score_pairs(found.join(rdf, "sku"), "comp_sku_name_clean", "mkp_sku_name_clean", scoring)
+    pairs = score_pairs(found.join(rdf.dropna(), "sku"), "comp_sku_name_clean", "mkp_sku_name_clean", scoring)
     assert pairs.count() > 50 and pairs.where("found != confidence").count() == 0
