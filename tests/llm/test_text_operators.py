@@ -226,3 +226,30 @@ def test_lm_score(spark, docs, none):
     assert found[4]["difference"] is None and found[1]["difference"] < found[2]["difference"]
     assert lm_score.lm_score(none, docs).count() == 0
     assert lm_score.lm_score(docs, none).count() == len(ODD)
+
+
+@pytest.mark.parametrize("size", [4, 12, 2048])
+def test_lm_score_knows_every_word(spark, monkeypatch, size):
+    """Losses of the whole vocabulary, however many words are in the tables that every task gets."""
+    monkeypatch.setattr(lm_score, "BUCKET_TOKENS", 100)
+    rng = random.Random(12)
+    word = lambda: f"w{int(rng.expovariate(0.08))}"
+    rows = [(i, " ".join(word() for _ in range(rng.randint(1, 30)))) for i in range(60)]
+    rows += [(100, " same  rare\nrare ends rare"), (101, "same rare rare ends rare"), (102, None), (103, " \n"), (None, "w1 odd w2"), (104, "w1 zero w2"), (105, "w1 zeta w2"), (5, rows[5][1])]
+    chosen = {*range(20), 100, 104}
+    found = lm_score.lm_score(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i,) for i in chosen], "doc_id long"), size=size, prior=3.0).collect()
+    pairs = {t: list(zip(["", *t.split()], t.split())) for t in (t or "" for _, t in rows)}
+    every = [p for _, t in rows for p in pairs[t or ""]]
+    target = [p for i, t in rows if i in chosen for p in pairs[t or ""]]
+    n_words = len({b for _, b in every})
+
+    def loss(text, seen, scale):
+        share = lambda w: (sum(b == w for _, b in seen) * scale + 1) / (len(seen) * scale + n_words + 1)
+        return -np.log([(seen.count((a, b)) * scale + 3 * share(b)) / (sum(x == a for x, _ in seen) * scale + 3) for a, b in pairs[text]]).mean()
+
+    wanted = [(i, len(pairs[t or ""]), *((loss(t, target, 1), loss(t, every, len(target) / len(every))) if pairs[t or ""] else (None, None))) for i, t in rows]
+    got = sorted(((r["doc_id"], r["n_tokens"], r["target_loss"], r["background_loss"]) for r in found), key=lambda r: str(r[:2]))
+    for a, b in zip(got, sorted(wanted, key=lambda r: str(r[:2])), strict=True):
+        assert a[:2] == b[:2] and (a[2:] == b[2:] if b[2] is None else np.allclose(a[2:], b[2:], atol=1e-5))
+    by = {r["doc_id"]: r["target_loss"] for r in found}
+    assert by[104] < by[105]  # they differ in a rare word only
