@@ -5,7 +5,8 @@ Texts are compared in lower case with white space as single blanks.  A test item
 at least untouched, so a scan for all pieces at once (Aho-Corasick) misses nothing.  Each hit names a stretch of the
 document; Myers' bit-parallel algorithm finds the least distance of the item to any part of it.
 
-The benchmark is the stated query set.  It is taken in blocks of bounded size, each of which goes to every task.
+The benchmark is the stated query set.  It is taken in blocks of bounded size, each of which goes to every task; each
+row of the documents passes all blocks in turn, so its result does not depend on how the benchmark is cut.
 
 Null and empty items match nothing; a null or empty text holds no item.  Equal items all match.  Repeated rows get the
 same result.  Empty tables give results without matches.  Other columns are left alone.
@@ -114,24 +115,23 @@ def blocks(benchmark: DataFrame, per_edit: int = PER_EDIT) -> Iterator[Items]:
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, per_edit: int = PER_EDIT) -> DataFrame:
-    """doc_id, text_chars and ``items``: (item_id, distance, end), one row for each document and block of items."""
+    """doc_id and ``items``: (item_id, distance, end), one row for each row of ``docs``, whatever the number of blocks."""
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("distance", pa.int32()), ("end", pa.int64())]))
-    schema = pa.schema([("doc_id", pa.int64()), ("items", kind)])
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
-    out = None
-    for block in blocks(benchmark, per_edit):
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("items", kind)])
+    none = F.array().cast("array<struct<item_id: long, distance: int, end: long>>")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"), none.alias("items"))
+    for block in blocks(benchmark, per_edit):  # the rows go through the blocks in turn
         shared = docs.sparkSession.sparkContext.broadcast(block.__dict__)
 
         def run(batches, shared=shared):
             known = Items.__new__(Items)
             known.__dict__ = shared.value
             for b in batches:
-                found = [known.matches(t) for t in b.column(1).to_pylist()]
-                yield table(schema, doc_id=b.column(0), items=[[dict(zip(("item_id", "distance", "end"), x)) for x in f] for f in found])
+                found = [[dict(zip(("item_id", "distance", "end"), x)) for x in known.matches(t)] for t in b.column(1).to_pylist()]
+                yield table(schema, doc_id=b.column(0), text=b.column(1), items=[x + f for x, f in zip(b.column(2).to_pylist(), found)])
 
-        one = rows.mapInArrow(run, "doc_id long, items array<struct<item_id: long, distance: int, end: long>>")
-        out = one if out is None else out.union(one)
-    return out
+        rows = rows.mapInArrow(run, "doc_id long, text string, items array<struct<item_id: long, distance: int, end: long>>")
+    return rows.select("doc_id", "items")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, per_edit: int = PER_EDIT) -> DataFrame:

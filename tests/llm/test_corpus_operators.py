@@ -219,6 +219,22 @@ def test_decontamination(spark, docs, none, corpus):
     assert kept.columns == docs.columns and kept.count() == len(corpus)
 
 
+def test_blocks_of_a_benchmark_are_one(spark, monkeypatch):
+    """The same rows, one for each document, however many blocks the benchmark is cut into."""
+    rng = random.Random(9)
+    items = [(k, "".join(rng.choice("abcdefgh ") for _ in range(60))) for k in range(12)] + [(12, None)]
+    texts = [(i, f"before {items[i % 12][1]} between {items[5 * i % 12][1]} after") for i in range(20)]
+    texts += [(3, texts[3][1]), (None, texts[4][1]), (100, "nothing here"), (101, None)]
+    docs, benchmark = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id int, text string")
+    columns = "doc_id", "n_items", "least_distance", "item_ids"
+    whole = rows_of(decontaminate.contamination(docs, benchmark), *columns)
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 200)
+    assert len([b for b in decontaminate.blocks(benchmark) if b.items]) > 1
+    assert rows_of(decontaminate.contamination(docs, benchmark), *columns) == whole
+    assert len(whole) == len(texts) and any(r[1] > 1 for r in whole)
+    assert sorted(r["doc_id"] for r in decontaminate.keep_clean(docs, benchmark).collect()) == [100, 101]
+
+
 def test_pipeline_keeps_clean_documents_and_drops_planted_ones(spark, tmp_path):
     rng = random.Random(21)
     word = lambda: "".join(rng.choice(("ba", "ko", "ri", "tu", "ne", "lo", "sam", "wip")) for _ in range(rng.randint(2, 5)))
