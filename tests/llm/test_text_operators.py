@@ -138,6 +138,24 @@ def test_common_lines_deplete_all_but_the_first(spark):
     assert all(kept[i] for i in kept if i >= 100)
 
 
+def test_kept_documents_lose_common_lines(spark):
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(3000)]
+    common, own = "Click here 4 more of this page", lambda: " ".join(rng.sample(words, 40))
+    rows = [(i, f"{own()}\n{common.replace('4', str(i % 10))}\n\n {own()} ", "h") for i in range(8)]
+    rows += [(50, rows[3][1], "h"), (51, rows[0][1], "h"), (60, f"{own()}\n{common}\n{own()}", "other"), (61, None, "h"), (62, "\n".join([own(), *[common] * 5]), "h")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    left = {i: t if i in (0, 51, 60) or t is None else "\n".join(x for x in t.split("\n") if not x.startswith("Click")) for i, t, _ in rows}  # the first document keeps its copy
+    found = {r["doc_id"]: r for r in quality.quality_rules(frame, max_documents=5).collect()}
+    for i, text, _ in rows:
+        assert found[i]["removed_words"] == len((text or "").split()) - len((left[i] or "").split())
+        assert found[i]["kept_sha256"] == hashlib.sha256((left[i] or "").encode()).hexdigest()
+    kept = quality.keep_good(frame, max_documents=5)
+    assert kept.schema == frame.schema
+    assert {r["doc_id"]: r["text"] for r in kept.collect()} == {i: t for i, t in left.items() if i != 61}
+    assert found[62]["removed_words"] == 35 and quality.keep_good(frame).count() == len(rows) - 1
+
+
 def brute_secrets(text):
     found = []
     for m in re.finditer(r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text):
