@@ -12,6 +12,8 @@ from .decontaminate import contamination
 from .line_dedup import line_dedup
 from .lm_score import lm_score
 from .packing import pack
+from .periodic_runs import digest as runs_digest
+from .periodic_runs import periodic_runs, repeat_tail
 from .quality import quality_rules
 from .secrets import digest, find_secrets
 from .simhash import hex_print, simhash
@@ -83,3 +85,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_folder(spark, "token-files")
     write_token_files(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), folder)
     return crc_of(read_token_files(spark, folder))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs_digest(periodic_runs(documents(spark, sf_dir), repeat_tail))
