@@ -11,6 +11,7 @@ from .common import documents, work_folder
 from .decontaminate import contamination
 from .line_dedup import line_dedup
 from .lm_score import lm_score
+from .minhash import near_duplicates
 from .packing import pack
 from .periodic_runs import digest as runs_digest
 from .periodic_runs import periodic_runs, repeat_tail
@@ -90,3 +91,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs_digest(periodic_runs(documents(spark, sf_dir), repeat_tail))
+
+
+@query
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir))
