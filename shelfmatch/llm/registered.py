@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import toxicity
+from .collocations import collocations
 from .common import documents, work_folder
 from .decontaminate import contamination
 from .line_dedup import line_dedup
@@ -93,6 +94,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs_digest(periodic_runs(documents(spark, sf_dir), repeat_tail))
 
 
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(documents(spark, sf_dir))
+
+
 @query
 def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
