@@ -6,17 +6,21 @@ Everything is per language (null: ``und``).  A phrase of up to ``SIZE`` words is
 (l occurrences) and a rest (r).  Candidates inside a longer one with at least half their occurrences are dropped.
 
 1. *Candidate search, level by level.*  A phrase of k words can be frequent only if both its phrases of k - 1 words are.
-   Each task hashes the phrases that pass the levels before, pre-aggregates their counts, and Spark sums them; hashes
-   with ``LEAST`` or more set their bit in a map of ``2 ** BITS`` bits (16 MB whatever the corpus, the only thing of a
-   level that travels).  Collisions let phrases through and never keep one back, so the candidates are safe.
-2. *Exact counts.*  The distinct phrases that pass all maps are written down and dealt by hash into blocks of about ``BLOCK``.
-   Each block becomes a double-array trie over language and word numbers (``tries``), which is broadcast: that
-   many phrases, and as many words, bound it.  Every text position starts in its language's state; numpy moves
-   all positions one word further at a time, and accepting states are counted by ``bincount``.  A task returns
-   the sums of its shard, Spark adds the shards up.  A larger corpus means more blocks, each a pass over the texts, not a
-   larger trie.
-3. *Scores.*  Counts of parts are joined (they are in the tries too, being frequent themselves), in decimals of 38 digits.
-   The first phrases of a language are ranked within 64 salted parts of it first.
+   Each task counts the phrases that pass the level before, by the hashes of their words, and Spark sums these counts;
+   those of ``LEAST`` or more set a bit in a map of ``2 ** BITS`` bits (16 MB whatever the corpus), which the next level
+   reads.  Collisions let phrases through and raise sums, but never keep one back: the sums are upper bounds.
+2. *Order.*  With the counts of its first and last word a candidate's sum bounds its score from above.  Candidates are
+   taken in the order of these bounds, ``AHEAD`` times the wanted number of each language at first, more as long as
+   one that was not taken could still be listed.  So the number of candidates in a trie does not grow with the corpus.
+3. *Counts.*  The candidates taken, the longer ones around them and all their parts become double-array tries over
+   language and word numbers (``tries``), at most about ``BLOCK`` phrases in one, which are broadcast.  Every text
+   position starts in its language's state; numpy moves all positions one word further at a time, and accepting states
+   are counted by ``bincount``.  A task returns the sums of its shard, Spark adds the shards up.  All that
+   is returned, and the longer phrases that push others out, come from these counts.
+4. *Scores* are taken in decimals of 38 digits.  First phrases are found within salted parts of a language first.
+
+Hashes of words have 64 bits.  Frequent words that share one, or a candidate whose count falls short of its sum, start the
+search again with another seed.
 
 Null and empty texts hold no words.  Repeated rows count as often as they occur.  A language without a candidate, and an
 empty table, give no rows.  Columns other than text and lang are not read.
@@ -30,7 +34,6 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
@@ -46,13 +49,19 @@ SHARE = 50
 SCALE = 1_000_000
 #: Bits of the map of frequent hashes, as a power of two.
 BITS = 27
+#: Candidates that are counted at first, as a multiple of the phrases wanted.
+AHEAD = 8
 #: Phrases of one trie, and bytes of them.
 BLOCK, BLOCK_BYTES = 500_000, 16_000_000
 #: Words of documents that are looked at together.
 TOGETHER = 1 << 20
+#: Parts of a language whose first phrases are found on their own.
+PARTS = 64
 
 _ENDS = b".,;:!?\n\x0b\x0c\r"
-_PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + _ENDS, b"abcdefghijklmnopqrstuvwxyz" + b"\n" * len(_ENDS))
+#: Bytes that no text contains: the end of a piece, and that of a document.
+_PIECE, _TEXT = b"\xff", b"\xfe"
+_PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + _ENDS, b"abcdefghijklmnopqrstuvwxyz" + _PIECE * len(_ENDS))
 _ODD = np.array([xxhash.xxh64_intdigest(str(k), 21) | 1 for k in range(SIZE + 1)], np.uint64)
 
 
@@ -72,43 +81,35 @@ class Words:
     langs: list[str]
     joined: np.ndarray  # whether the next word is in the same piece
 
-    def phrases(self, starts: np.ndarray, size: int) -> pa.Array:
-        """The space-joined phrases of ``size`` words from ``starts`` on."""
-        vocabulary = pa.array(self.vocabulary, pa.binary()).cast(pa.string())
-        words = [vocabulary.take(pa.array(self.codes[starts + k])) for k in range(size)]
-        return words[0] if size == 1 else pc.binary_join_element_wise(*words, " ")
-
 
 def read_words(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
     """Rows (lang, text) as words of about ``TOGETHER`` at a time."""
-    numbers, langs = _Numbers(), _Numbers()
-    words: list[bytes] = []
-    ends: list[int] = []
-    owners: list[tuple[int, int]] = []
 
-    def taken():
+    def taken(langs: list[str], texts: list[bytes]) -> Words:
+        plain = _TEXT.join(texts).translate(_PLAIN)
+        words = plain.replace(_PIECE, b" \xff ").replace(_TEXT, b" \xfe ").split()
+        numbers, lang_numbers = _Numbers(), _Numbers()
+        ends = numbers[_PIECE], numbers[_TEXT]
         codes = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
-        joined = np.ones(len(words), bool)
-        joined[np.array(ends, np.int64) - 1] = False
-        bounds = np.array([b for _, b in owners])
-        lang = np.repeat([n for n, _ in owners], np.diff(bounds, prepend=0))
-        out = Words(codes, list(numbers), lang, list(langs), joined)
-        for held in (numbers, langs, words, ends, owners):
-            held.clear()
-        return out
-
+        of_text = np.fromiter(map(lang_numbers.__getitem__, langs), np.int64, len(langs))
+        at = np.flatnonzero(codes >= len(ends))
+        joined = np.append(np.diff(at) == 1, False)[: len(at)]
+        lang = of_text[np.cumsum(codes == ends[1])[at]]
+        return Words(codes[at] - len(ends), list(numbers)[len(ends) :], lang, list(lang_numbers), joined)
+
+    langs: list[str] = []
+    texts: list[bytes] = []
+    size = 0
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            for piece in text.as_py().encode().translate(_PLAIN).split(b"\n"):
-                found = piece.split()
-                if found:
-                    words += found
-                    ends.append(len(words))
-            owners.append((langs[lang], len(words)))
-            if len(words) >= TOGETHER:
-                yield taken()
-    if words:
-        yield taken()
+            langs.append(lang)
+            texts.append(text.as_py().encode())
+            size += len(texts[-1]) // 6 + 1
+            if size >= TOGETHER:
+                yield taken(langs, texts)
+                langs, texts, size = [], [], 0
+    if texts:
+        yield taken(langs, texts)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -117,45 +118,81 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _positions(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - BITS)).astype(np.int64)
+def _together(hashes: list[np.ndarray]) -> np.ndarray:
+    """One hash for phrases whose words have ``hashes``."""
+    return _mixed(sum((h * odd for h, odd in zip(hashes, _ODD)), np.zeros(len(hashes[0]), np.uint64)))
+
+
+def _in_map(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = (hashes >> np.uint64(64 - BITS)).astype(np.int64)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def word_hashes(words: Words, seed: int) -> np.ndarray:
+    """A hash of language and word for each position."""
+    of_word = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words.vocabulary), np.uint64, len(words.vocabulary))
+    of_lang = np.array([xxhash.xxh64_intdigest(s, seed) for s in words.langs], np.uint64)
+    return _mixed(of_word[words.codes] + of_lang[words.lang] * _ODD[SIZE])
+
 
+def frequent_starts(words: Words, of_word: np.ndarray, maps: list[np.ndarray]) -> np.ndarray:
+    """Where the phrases of one word more than there are maps start that all the maps let through."""
+    starts = np.arange(len(of_word))
+    for size, bits in enumerate(maps, 1):
+        passed = np.zeros(len(of_word) + 1, bool)
+        passed[starts] = _in_map(bits, _together([of_word[starts + k] for k in range(size)]))
+        starts = starts[passed[starts] & words.joined[starts + size - 1] & passed[starts + 1]]
+    return starts
 
-def levels(words: Words, maps: list[np.ndarray], last: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(size, starts, hashes) of the phrases up to ``last`` words that the maps of shorter ones let through."""
-    of_word = np.fromiter(map(xxhash.xxh64_intdigest, words.vocabulary), np.uint64, len(words.vocabulary))[words.codes]
-    of_lang = np.array([xxhash.xxh64_intdigest(s) for s in words.langs], np.uint64)[words.lang]
-    starts, sums = np.arange(len(words.codes)), of_lang * _ODD[SIZE]
-    for size in range(1, last + 1):
-        sums = sums + of_word[starts + size - 1] * _ODD[size - 1]
-        hashes = _mixed(sums)
-        yield size, starts, hashes
-        if size == last:
-            return
-        at = _positions(hashes)
-        passed = np.zeros(len(words.codes) + 1, bool)
-        passed[starts] = (maps[size - 1][at >> 3] >> (at & 7).astype(np.uint8)) & 1
-        on = passed[starts] & words.joined[starts + size - 1] & passed[starts + 1]
-        starts, sums = starts[on], sums[on]
 
+def _word_counts(docs: DataFrame, seed: int) -> DataFrame:
+    """(lang, word, h, a) of all words, written down; without word each language's number of words."""
 
-def _hash_counts(docs: DataFrame, maps: Broadcast, size: int) -> DataFrame:
-    """(hash, n) of the phrases of ``size`` words, at least ``LEAST`` of each hash."""
+    def count_batches(batches):
+        for words in read_words(batches):
+            hashes = word_hashes(words, seed)
+            key = words.codes * len(words.langs) + words.lang
+            found, first, n = np.unique(key, return_index=True, return_counts=True)
+            total = np.bincount(words.lang, minlength=len(words.langs))
+            langs, vocabulary = pa.array(words.langs), pa.array(words.vocabulary, pa.binary()).cast(pa.string())
+            of_lang = pa.concat_arrays([langs.take(pa.array(words.lang[first])), langs])
+            word = pa.concat_arrays([vocabulary.take(pa.array(words.codes[first])), pa.nulls(len(langs), pa.string())])
+            h = np.concatenate((hashes[first].view(np.int64), np.zeros(len(langs), np.int64)))
+            yield pa.RecordBatch.from_arrays([of_lang, word, pa.array(h), pa.array(np.concatenate((n, total)))], names=["lang", "word", "h", "a"])
+
+    rows = docs.mapInArrow(count_batches, "lang string, word string, h long, a long")
+    counts = rows.groupBy("lang", "word", "h").agg(F.sum("a").alias("a"))
+    return staged(counts.where(F.col("word").isNull() | (F.col("a") >= LEAST)), "word-counts")
+
+
+def _phrase_sums(docs: DataFrame, maps: Broadcast, size: int, seed: int) -> DataFrame:
+    """(key, most): the sums, ``LEAST`` or more, of the phrases of ``size`` words; key are the words' hashes."""
+    names = [f"h{k}" for k in range(size)]
 
     def count_batches(batches):
         for words in read_words(batches):
-            *_, (_, _, hashes) = levels(words, maps.value, size)
-            found, n = np.unique(hashes, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], names=["hash", "n"])
+            of_word = word_hashes(words, seed)
+            starts = frequent_starts(words, of_word, maps.value)
+            hashes = [of_word[starts + k] for k in range(size)]
+            _, first, n = np.unique(_together(hashes), return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays([*(pa.array(h[first].view(np.int64)) for h in hashes), pa.array(n)], names=[*names, "n"])
+
+    rows = docs.mapInArrow(count_batches, ", ".join(f"{c} long" for c in [*names, "n"]))
+    sums = rows.groupBy(*names).agg(F.sum("n").alias("most")).where(F.col("most") >= LEAST)
+    return staged(sums.select(F.array(*names).alias("key"), "most"), "phrase-sums")
+
 
-    rows = docs.mapInArrow(count_batches, "hash long, n long")
-    return rows.groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
+def _bit_map(keys: DataFrame, size: int) -> np.ndarray:
+    """The map of the first bits of ``key``: at most 2 ** BITS / 32768 rows of 4 kB reach the driver."""
 
+    def positions(batches):
+        for batch in batches:
+            hashes = batch.column(0).flatten().to_numpy().view(np.uint64).reshape(-1, size)
+            at = _together(list(hashes.T)) >> np.uint64(64 - BITS)
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64) + 1)], names=["at"])
 
-def _bit_map(hashes: DataFrame) -> np.ndarray:
-    """The map of the hashes' first bits: at most 2 ** BITS / 32768 rows of 4 kB reach the driver."""
-    at = F.shiftrightunsigned("hash", 64 - BITS) + 1
-    parts = hashes.select(F.bitmap_bucket_number(at).alias("part"), F.bitmap_bit_position(at).alias("bit"))
+    at = keys.select("key").mapInArrow(positions, "at long")
+    parts = at.select(F.bitmap_bucket_number("at").alias("part"), F.bitmap_bit_position("at").alias("bit"))
     out = np.zeros(1 << (BITS - 3), np.uint8)
     for part, bits in parts.groupBy("part").agg(F.bitmap_construct_agg("bit")).toLocalIterator():
         here = out[(part - 1) * 4096 : part * 4096]
@@ -163,38 +200,26 @@ def _bit_map(hashes: DataFrame) -> np.ndarray:
     return out
 
 
-def candidates(docs: DataFrame) -> DataFrame:
-    """(id, lang, size, phrase, n): phrases that may be frequent, each with n 0; of size 0 and without phrase each
-    language's number of words."""
+def candidates(docs: DataFrame, words: DataFrame, seed: int) -> DataFrame:
+    """(key, size, lang, most, bound): every phrase that may be frequent, and what its count and its score are at most."""
     sc = docs.sparkSession.sparkContext
-    maps: list[np.ndarray] = []
-    for size in range(1, SIZE + 1):
+    maps = [_bit_map(words.select(F.array("h").alias("key")), 1)]
+    levels = None
+    for size in range(2, SIZE + 1):
         known = sc.broadcast(maps)
-        maps = [*maps, _bit_map(_hash_counts(docs, known, size))]
+        sums = _phrase_sums(docs, known, size, seed)
+        if size < SIZE:
+            maps = [*maps, _bit_map(sums, size)]
         known.destroy()
-    known = sc.broadcast(maps)
-
-    def rows(batches):
-        names = ["lang", "size", "phrase", "n"]
-        for words in read_words(batches):
-            langs = pa.array(words.langs)
-            total = np.bincount(words.lang, minlength=len(words.langs))
-            none = pa.nulls(len(langs), pa.string())
-            yield pa.RecordBatch.from_arrays([langs, pa.array(np.zeros(len(langs), np.int32)), none, pa.array(total)], names=names)
-            for size, starts, hashes in levels(words, known.value, SIZE):
-                at = _positions(hashes)
-                on = (known.value[size - 1][at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-                _, first = np.unique(hashes[on], return_index=True)
-                first = starts[on][first]
-                yield pa.RecordBatch.from_arrays(
-                    [langs.take(pa.array(words.lang[first])), pa.array(np.full(len(first), size, np.int32)), words.phrases(first, size), pa.array(np.zeros(len(first), np.int64))],
-                    names=names,
-                )
-
-    found = docs.mapInArrow(rows, "lang string, size int, phrase string, n long")
-    out = staged(found.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n")).withColumn("id", F.monotonically_increasing_id()), "candidates")
-    known.destroy()
-    return out
+        sums = sums.withColumn("size", F.lit(size))
+        levels = sums if levels is None else levels.unionByName(sums)
+    first = words.select("lang", F.col("h").alias("first"), F.col("a").alias("l"))
+    last = words.select(F.col("h").alias("last"), F.col("a").alias("r"))
+    ends = levels.select("*", F.col("key")[0].alias("first"), F.element_at("key", -1).alias("last")).join(first, "first").join(last, "last")
+    # a part has at least the phrase's own occurrences; a pair's parts are just its words
+    pair = ends.withColumn("above", _whole("most") * _whole("most") * _scale()).withColumn("below", (_whole("l") * _whole("r")).cast("decimal(38,0)"))
+    bound = F.when(F.col("size") == 2, F.expr("cast(above as decimal(38,0)) div below")).otherwise(F.expr(f"({SCALE} * most) div greatest(l, r)"))
+    return staged(pair.select("key", "size", "lang", "most", bound.alias("bound")), "candidates")
 
 
 @dataclass
@@ -275,28 +300,23 @@ def _block_counts(docs: DataFrame, block: Broadcast) -> DataFrame:
     return docs.mapInArrow(count_batches, "id long, a long").groupBy("id").agg(F.sum("a").alias("a"))
 
 
-def phrase_counts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(lang, size, phrase, a) of the phrases that occur ``LEAST`` times or more, and (lang, n) words per language."""
+def count_phrases(docs: DataFrame, phrases: DataFrame) -> DataFrame:
+    """(lang, size, phrase, a): the occurrences of distinct ``phrases`` (lang, size, phrase)."""
     sc = docs.sparkSession.sparkContext
-    rows = docs.select(F.coalesce(docs["lang"], F.lit("und")).alias("lang"), text_of(docs).alias("text"))
-    found = candidates(rows)
-    phrases = found.where("size > 0")
+    phrases = staged(phrases.withColumn("id", F.monotonically_increasing_id()), "phrases")
     n, size = phrases.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("phrase")), F.lit(0))).first()
+    if not n:
+        return docs.sparkSession.createDataFrame([], "lang string, size int, phrase string, a long")
     blocks = max(1, -(-n // BLOCK), -(-size // BLOCK_BYTES))
     counts = None
-    for k in range(blocks if n else 0):
+    for k in range(blocks):
         here = phrases.where(F.pmod(F.xxhash64("lang", "phrase"), F.lit(blocks)) == k).select("id", "lang", "phrase").toArrow()
-        if not here.num_rows:
-            continue
-        block = sc.broadcast(Block.of(here))
-        part = staged(_block_counts(rows, block), "phrase-counts")
-        block.destroy()
-        counts = part if counts is None else counts.unionByName(part)
-    totals = found.where("size = 0").select("lang", "n")
-    if counts is None:
-        return docs.sparkSession.createDataFrame([], "lang string, size int, phrase string, a long"), totals
-    frequent = phrases.join(counts.where(F.col("a") >= LEAST), "id").select("lang", "size", "phrase", "a")
-    return staged(frequent, "frequent-phrases"), totals
+        if here.num_rows:
+            block = sc.broadcast(Block.of(here))
+            part = staged(_block_counts(docs, block), "phrase-counts")
+            block.destroy()
+            counts = part if counts is None else counts.unionByName(part)
+    return staged(phrases.join(counts, "id").select("lang", "size", "phrase", "a"), "counted-phrases")
 
 
 def _part(words: Column, start: Column, length: Column) -> Column:
@@ -307,6 +327,10 @@ def _whole(col: str) -> Column:
     return F.col(col).cast("decimal(18,0)")
 
 
+def _scale() -> Column:
+    return F.lit(SCALE).cast("decimal(7,0)")
+
+
 def scored(frequent: DataFrame) -> DataFrame:
     """(lang, phrase, a, l, r, score) of the phrases of two words or more that no longer one stands for."""
     words = F.split("phrase", " ")
@@ -320,8 +344,8 @@ def scored(frequent: DataFrame) -> DataFrame:
     left = frequent.select("lang", F.col("phrase").alias("first"), F.col("a").alias("l"))
     right = frequent.select("lang", F.col("phrase").alias("rest"), F.col("a").alias("r"))
     cut = parts.join(left, ["lang", "first"]).join(right, ["lang", "rest"])
-    square = _whole("a") * _whole("a") * F.lit(SCALE).cast("decimal(7,0)")
-    cut = cut.withColumn("square", square.cast("decimal(38,0)")).withColumn("product", (_whole("l") * _whole("r")).cast("decimal(38,0)"))
+    square = (_whole("a") * _whole("a") * _scale()).cast("decimal(38,0)")
+    cut = cut.withColumn("square", square).withColumn("product", (_whole("l") * _whole("r")).cast("decimal(38,0)"))
     cut = cut.withColumn("score", F.expr("square div product"))
     best = cut.groupBy("lang", "phrase").agg(F.max("a").alias("a"), F.min(F.struct("score", "k", "l", "r")).alias("cut"))
 
@@ -333,11 +357,71 @@ def scored(frequent: DataFrame) -> DataFrame:
     return kept.select("lang", "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), F.col("cut.score").alias("score"))
 
 
+def _first(rows: DataFrame, order: list[Column], top: int, salt: str) -> DataFrame:
+    """The first ``top`` rows of each lang with their rank, found within parts (by ``salt``) first."""
+    parts = rows.withColumn("part", F.pmod(F.xxhash64(salt), F.lit(PARTS)))
+    within = parts.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("rank") <= top)
+    return within.drop("part").withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top)
+
+
+def _around(pool: DataFrame, taken: DataFrame) -> DataFrame:
+    """Longer candidates with a taken one inside that could push it out."""
+    inside = pool.where("size > 2").select("key", "size", "most", F.explode(F.expr("sequence(2, size - 1)")).alias("length"))
+    inside = inside.select("key", "most", "length", F.explode(F.expr("sequence(1, size - length + 1)")).alias("start"))
+    inside = inside.select(F.col("key").alias("around"), F.col("most").alias("around_most"), F.expr("slice(key, start, length)").alias("key"))
+    found = inside.join(taken.select("key", "most"), "key").where(F.expr(f"100 * around_most >= {SHARE} * most"))
+    return found.select(F.col("around").alias("key"))
+
+
+def _with_parts(keys: DataFrame) -> DataFrame:
+    """The distinct keys and all their contiguous parts."""
+    lengths = keys.select("key", F.explode(F.expr("sequence(1, size(key))")).alias("length"))
+    starts = lengths.select("key", "length", F.explode(F.expr("sequence(1, size(key) - length + 1)")).alias("start"))
+    return starts.select(F.expr("slice(key, start, length)").alias("key")).distinct()
+
+
+def _spelled(keys: DataFrame, words: DataFrame) -> DataFrame:
+    """(key, lang, size, phrase) of distinct keys."""
+    placed = keys.select("key", F.posexplode("key").alias("place", "h")).join(words.select("h", "lang", "word"), "h")
+    spelled = placed.groupBy("key").agg(F.min("lang").alias("lang"), F.sort_array(F.collect_list(F.struct("place", "word"))).alias("words"))
+    return spelled.select("key", "lang", F.size("key").alias("size"), F.array_join(F.col("words.word"), " ").alias("phrase"))
+
+
 def collocations(docs: DataFrame, top: int = 2000) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the first ``top`` phrases of each language."""
-    frequent, totals = phrase_counts(docs)
-    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    parts = scored(frequent).withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(64)))
-    first = parts.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("rank") <= top)
-    ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top)
+    rows = docs.select(F.coalesce(docs["lang"], F.lit("und")).alias("lang"), text_of(docs).alias("text"))
+    for seed in count():
+        found = _search(rows, top, seed)
+        if found is not None:
+            return found
+
+
+def _search(rows: DataFrame, top: int, seed: int) -> DataFrame | None:
+    """The result, or None if two words turn out to share a hash."""
+    counts = _word_counts(rows, seed)
+    words, totals = counts.where("word is not null"), counts.where("word is null").select("lang", F.col("a").alias("n"))
+    if not words.groupBy("h").count().where("count > 1").isEmpty():
+        return None
+    pool = candidates(rows, words, seed)
+    best = [F.desc("bound"), F.desc("most"), F.asc("key")]
+    ahead, known = AHEAD * top, None
+    while True:
+        first = staged(_first(pool, best, ahead + 1, "key"), "first-candidates")
+        taken, beyond = first.where(F.col("rank") <= ahead), first.where(F.col("rank") > ahead)
+        keys = _with_parts(taken.select("key").union(_around(pool, taken)).distinct())
+        spelled = staged(_spelled(keys, words), "spelled")
+        wanted = spelled.select("lang", "size", "phrase")
+        new = wanted if known is None else wanted.join(known, ["lang", "phrase"], "left_anti")
+        counted = count_phrases(rows, new)
+        known = counted if known is None else known.unionByName(counted)
+        listed = spelled.join(taken.select("key", "most"), "key").select("lang", "phrase", "most")
+        scores = staged(scored(known.where(F.col("a") >= LEAST)).join(listed, ["lang", "phrase"]), "scores")
+        if not listed.join(known, ["lang", "phrase"]).where("a < most").isEmpty():
+            return None
+        safe = scores.join(beyond.select("lang", "bound", F.col("most").alias("next")), "lang")
+        enough = safe.groupBy("lang").agg(F.count_if(F.expr("score > bound or (score = bound and a > next)")).alias("n"))
+        if beyond.join(enough, "lang", "left").where(F.expr(f"n is null or n < {top}")).isEmpty():
+            break
+        ahead *= 4
+    ranked = _first(scores, [F.desc("score"), F.desc("a"), F.asc("phrase")], top, "phrase")
     return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

@@ -81,6 +81,26 @@ def test_blocks_chunks_and_crowded_maps_change_nothing(spark, rows, monkeypatch)
     assert collected(C.collocations(as_docs(spark, rows[:300]))) == brute(rows[:300])
 
 
+def test_more_candidates_are_counted_until_none_could_be_listed(spark, rows, monkeypatch):
+    monkeypatch.setattr(C, "AHEAD", 1)
+    tries = []
+    whole = C.count_phrases
+    monkeypatch.setattr(C, "count_phrases", lambda docs, phrases: tries.append(1) or whole(docs, phrases))
+    assert collected(C.collocations(as_docs(spark, rows), top=3)) == brute(rows, top=3)
+    assert len(tries) > 1
+
+
+def test_words_that_share_a_hash_start_the_search_again(spark, rows, monkeypatch):
+    whole = C.word_hashes
+
+    def crowded(words, seed):
+        hashes = whole(words, seed)
+        return hashes % np.uint64(50) if seed == 0 else hashes
+
+    monkeypatch.setattr(C, "word_hashes", crowded)
+    assert collected(C.collocations(as_docs(spark, rows[:300]), top=50)) == brute(rows[:300], top=50)
+
+
 def test_first_of_each_language(spark, rows):
     assert collected(C.collocations(as_docs(spark, rows), top=5)) == brute(rows, top=5)
 
