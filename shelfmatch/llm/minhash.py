@@ -13,9 +13,10 @@ more, and a document's component is what links reach.
 3. *Small nodes.*  Nodes of at most ``SMALL`` sets are compared exhaustively on their tokens; larger ones branch again.
    After ``DEPTH`` levels a node that is still large (sets that are alike throughout) is split into pairs of
    chunks, each of which is compared as a small node is.
-4. *Confirmation.*  Sets that the tokens tie together inside a node (at ``NEAR`` of them or more) form a cell.  A cell's
-   full sets are brought together and every pair of them is intersected; a task returns a spanning forest of the links
-   that hold, never the list of pairs.
+4. *Confirmation.*  Sets that the tokens tie together inside a node (at ``NEAR`` of them or more) form a cell.  The full
+   sets of those in a cell are made from the texts again (a map of ``2 ** BITS`` bits, 16 MB whatever the corpus, tells
+   nearly all others apart), brought together, and every pair of a cell is intersected; a task returns a
+   spanning forest of the links that hold, never the list of pairs.
 5. *Recall.*  ``TREES`` independent trees repeat this.  A pair at 0.85 survives a level with probability 0.87 (0.85 with
    one place, 0.98 with two), so at four levels a tree finds it with probability 0.57 and eight miss it with 0.001; pairs of
    higher similarity, and nodes that become small earlier, are found more often.  The test measures it.
@@ -51,6 +52,8 @@ TREES = 8
 BRANCHES = 100 / SIMILAR
 SMALL = 512
 DEPTH = 8
+#: Bits of the map of sets in cells, as a power of two.
+BITS = 27
 #: Words of documents whose sets are made together.
 TOGETHER = 1 << 19
 
@@ -103,37 +106,74 @@ def minwise(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-_SETS = "doc_id long, key binary, n long, tokens binary, members binary"
+_SETS = "doc_id long, key binary, n long, tokens binary"
+
+
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.ndarray], list[bytes | None]]]:
+    """Ids, sets and keys of some documents (doc_id, text) at a time; an empty set has no key."""
+    for batch in batches:
+        ids, texts, size = [], [], 0
+        for k, (doc_id, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1)), 1):
+            ids.append(doc_id)
+            texts.append(text.as_py())
+            size += len(texts[-1]) // 6 + 1
+            if size >= TOGETHER or k == batch.num_rows:
+                sets = shingle_sets(texts)
+                yield ids, sets, [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
+                ids, texts, size = [], [], 0
 
 
 def _make_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def rows(ids, texts):
-        sets = shingle_sets(texts)
+    for ids, sets, keys in _together(batches):
         full = [s for s in sets if len(s)]
         tokens = iter(minwise(full)) if full else iter(())
-        members = [s.tobytes() for s in sets]
-        return pa.RecordBatch.from_arrays(
+        yield pa.RecordBatch.from_arrays(
             [
                 pa.array(ids, pa.int64()),
-                pa.array([xxhash.xxh3_128_digest(m) if m else None for m in members], pa.binary()),
+                pa.array(keys, pa.binary()),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([next(tokens).tobytes() if len(s) else None for s in sets], pa.binary()),
-                pa.array([m or None for m in members], pa.binary()),
             ],
-            names=["doc_id", "key", "n", "tokens", "members"],
+            names=["doc_id", "key", "n", "tokens"],
         )
 
-    for batch in batches:
-        ids, texts, size = [], [], 0
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            ids.append(doc_id)
-            texts.append(text.as_py())
-            size += len(texts[-1]) // 6 + 1
-            if size >= TOGETHER:
-                yield rows(ids, texts)
-                ids, texts, size = [], [], 0
-        if ids:
-            yield rows(ids, texts)
+
+def _bit_of(key: bytes) -> int:
+    return int.from_bytes(key[:8], "little") >> (64 - BITS)
+
+
+def _key_map(keys: DataFrame) -> np.ndarray:
+    """A bit for each key: at most 2 ** BITS / 32768 rows of 4 kB reach the driver."""
+
+    def positions(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([_bit_of(k) + 1 for k in batch.column(0).to_pylist()], pa.int64())], names=["at"])
+
+    at = keys.select("key").mapInArrow(positions, "at long")
+    parts = at.select(F.bitmap_bucket_number("at").alias("part"), F.bitmap_bit_position("at").alias("bit"))
+    out = np.zeros(1 << (BITS - 3), np.uint8)
+    for part, bits in parts.groupBy("part").agg(F.bitmap_construct_agg("bit")).toLocalIterator():
+        out[(part - 1) * 4096 : part * 4096] = np.frombuffer(bits, np.uint8)
+    return out
+
+
+def _members(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """(key, members) of the documents (doc_id, text) whose sets are among the distinct ``keys``, one row for each key."""
+    known = rows.sparkSession.sparkContext.broadcast(_key_map(keys))
+
+    def pick(batches):
+        seen = set()
+        for _, sets, own in _together(batches):
+            found = [(k, s) for k, s in zip(own, sets) if k is not None and known.value[_bit_of(k) >> 3] >> (_bit_of(k) & 7) & 1]
+            new = {k: s.tobytes() for k, s in found if k not in seen}
+            seen.update(new)
+            if new:
+                yield pa.RecordBatch.from_arrays([pa.array(list(new), pa.binary()), pa.array(list(new.values()), pa.binary())], names=["key", "members"])
+
+    picked = rows.mapInArrow(pick, "key binary, members binary").join(keys, "key", "left_semi")
+    out = staged(picked.groupBy("key").agg(F.any_value("members").alias("members")), "cell-members")
+    known.destroy()
+    return out
 
 
 def _tokens(column: pa.Array) -> np.ndarray:
@@ -277,15 +317,10 @@ def _chunk_pairs(rows: DataFrame) -> DataFrame:
     return copies.select("path", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "key", "tokens")
 
 
-def near_links(sets: DataFrame, members: DataFrame, trees: int = TREES) -> DataFrame:
-    """Links (a, b) between keys.
-
-    ``sets`` has key and tokens of the distinct sets that are not empty, ``members`` the key and members of those and,
-    it may be, of others.  Only members of sets that are in a cell are moved.
-    """
+def near_links(sets: DataFrame, rows: DataFrame, trees: int = TREES) -> DataFrame:
+    """Links (a, b) between the keys of ``sets`` (key, tokens: the distinct ones that are not empty) of documents ``rows``."""
     cells = staged(candidate_cells(sets, trees).distinct(), "distinct-cells")
-    wanted = small_side(cells.select("key").distinct(), "cell-keys")
-    full = staged(members.join(wanted, "key", "left_semi"), "cell-members")
+    full = _members(rows, small_side(cells.select("key").distinct(), "cell-keys"))
     head, tail = F.xxhash64("cell").alias("head"), F.xxhash64("cell", F.lit(1)).alias("tail")
     by_cell = cells.join(full, "key").select(head, tail, "key", "members")
     return by_cell.repartition("head", "tail").sortWithinPartitions("head", "tail").mapInArrow(_confirm, "a binary, b binary")
@@ -300,7 +335,7 @@ def near_duplicates(docs: DataFrame, trees: int = TREES) -> DataFrame:
     distinct = staged(distinct, "distinct-sets")
     first = distinct.select("row")
     sets = staged(named.select("row", "key", "tokens").join(first, "row", "left_semi").select("key", "tokens"), "distinct-tokens")
-    roots = links_to_roots(staged(near_links(sets, _first_rows(named, distinct), trees), "links"))
+    roots = links_to_roots(staged(near_links(sets, rows, trees), "links"))
     labels = distinct.join(roots.withColumnRenamed("node", "key"), "key", "left").where("copies > 1 or root is not null")
     labels = staged(labels.select("key", "first_doc", F.coalesce("root", "key").alias("root")), "labels")
     ids = labels.groupBy("root").agg(F.min("first_doc").alias("component_id"))
@@ -309,10 +344,3 @@ def near_duplicates(docs: DataFrame, trees: int = TREES) -> DataFrame:
     component = F.when(F.col("shared"), F.col("component_id")).otherwise(F.col("doc_id"))
     out = found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-
-
-def _first_rows(named: DataFrame, distinct: DataFrame) -> DataFrame:
-    """Key and members, of every set that occurs once, and of the first row of one that occurs again."""
-    again = small_side(distinct.where("copies > 1").select("key", F.col("row").alias("first_row")), "copied-sets")
-    rows = named.select("row", "key", "members").join(again, "key", "left")
-    return rows.where("first_row is null or row = first_row").select("key", "members")
