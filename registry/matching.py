@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from shelfmatch.functions import fields as C
+from shelfmatch.functions.scorer import Scorer, common_bound
 from shelfmatch.operators import reports
 from shelfmatch.operators.best_match import best_match
 from shelfmatch.operators.lineage import cut_lineage
@@ -61,6 +66,49 @@ def best_match_strict(spark, sf):
     return best_match(_scraped(spark, sf), _catalog(spark, sf), threshold=0.9)
 
 
+class TokenOverlap(Scorer):
+    """Jaccard similarity of the distinct tokens: a measure of a caller's own."""
+
+    columns = ("tokens",)
+    buckets = 31
+
+    def prepared(self, names, text):
+        return names.withColumn("tokens", F.array_distinct(F.split(text, " ")))
+
+    def features(self, texts):
+        """How many tokens, and how many in each bucket of a hash."""
+        out = np.zeros((len(texts), 1 + self.buckets), np.int64)
+        for row, tokens in enumerate(texts["tokens"]):
+            out[row, 0] = len(tokens)
+            for t in tokens:
+                out[row, 1 + zlib.crc32(t.encode()) % self.buckets] += 1
+        return out
+
+    def bound(self, low_a, high_a, low_b, high_b):
+        common = common_bound(low_a[..., 1:], high_a[..., 1:], low_b[..., 1:], high_b[..., 1:])
+        union = np.maximum(np.maximum(low_a[..., 0], low_b[..., 0]), low_a[..., 0] + low_b[..., 0] - common)
+        return np.minimum(1.0, common / np.maximum(union, 1))
+
+    def score(self, a: pd.DataFrame, b: pd.DataFrame):
+        common = np.array([len({*x} & {*y}) for x, y in zip(a["tokens"], b["tokens"])], np.float64)
+        return common / (a["tokens"].str.len().to_numpy() + b["tokens"].str.len().to_numpy() - common)
+
+
+def _tokens_sql(source: str, columns: str) -> str:
+    return f"select {columns}, unnest(list_distinct(string_split(name, ' '))) as t, len(list_distinct(string_split(name, ' '))) as n from ({source})"
+
+
+@query("best_match_custom", f"""
+with l as materialized ({_tokens_sql(f"select distinct name from ({SCRAPED_CLEAN})", "name")}),
+r as materialized ({_tokens_sql(CATALOG_CLEAN, "name, sku")}),
+p as (select l.name, r.sku, count(*) / (any_value(l.n) + any_value(r.n) - count(*)) as j from l join r using (t) group by 1, 2)
+select name as comp_sku_name_clean, sku, c as confidence
+from (select *, row_number() over (partition by name order by c desc, sku) as rn from (select *, round_even(j, 4) as c from p)) where rn = 1 and c >= 0.5""")
+def best_match_custom(spark, sf):
+    """Best catalogue product by a scorer of the caller."""
+    return best_match(_scraped(spark, sf), _catalog(spark, sf), threshold=0.5, scorer=TokenOverlap())
+
+
 CLEANED = FQ.SQL["scraped_clean"]
 CLEANED_NAMES = D.normalize(f"select distinct competitor_sku_name from ({CLEANED})", "competitor_sku_name")
 

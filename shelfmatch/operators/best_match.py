@@ -1,40 +1,42 @@
 """Best-match join: for every left name the right name of highest confidence.
 
-The score of a pair is ``closeness - unit_weight * unit_distance``, and closeness
-depends on the names *without* their units only, their forms.  Names are hashed
-into blocks of bounded size, one task scores one block of each side, and all it
-returns is the best right name per left name; so neither the pairs of names nor
-those of forms are ever listed.  Inside a task
+Names are cut into blocks of like texts, pairs of blocks that cannot hold a match are
+skipped (see ``blocks``), one task scores one block of each side, and all it returns is the
+best right name per left name; so neither the pairs of names nor those of forms
+are ever listed.  Any ``Scorer`` can be the measure.
+
+The confidence of a pair is ``closeness - unit_weight * unit_distance``, calibrated, and closeness
+depends on the names *without* their units only, their forms.  Inside a task
 
 1. matrix products of character counts bound the closeness of all forms,
 2. an exact LCS runs where the bound can still win,
 3. units are compared only for names whose forms are close enough to win,
    whatever their units.
 
-The result is exact.  Ties in the rounded confidence go to the smallest id.
+The result is exact.  Ties in the rounded confidence go to the smallest id, in the order of the id's own type.
 """
 
 from __future__ import annotations
 
-import math
 import re
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, IntegralType
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
-from ..functions import similarity as S
 from ..functions.lcs import encode, indel_percents, lcs_pairs
 from ..functions.names import distinct_texts, spread
-from ..functions.similarity import Scoring
+from ..functions.scorer import Scorer, common_bound
+from ..functions.similarity import Scoring, mix_distances, percent_to_distance
+from .blocks import cut_side, kept_pairs, with_partners
 from .lineage import cut_lineage
 
-# characters of unit-free text in one block: 2^20 are 32k names of 32 characters
+# characters of text in one block: 2^20 are 32k names of 32 characters
 BLOCK_CHARS = 1 << 20
-# names of one form that stay together; a form with more is salted by its units
-FORM_NAMES = 1024
 # rows x columns of one matrix of forms inside a task
 TILE = (512, 4096)
 # name pairs compared at once inside a task
@@ -43,87 +45,102 @@ PAIRS = 1 << 20
 SLACK = 1e-6
 
 
-def name_features(df: DataFrame, name: str) -> DataFrame:
-    """Add ``form_text``, ``form_chars`` (what closeness depends on), ``units`` and the length class ``cls``."""
-    base = S.remove_units(F.col(name))
-    return (
-        df.withColumn("_base", base)
-        .withColumn("form_text", S.token_sort(F.col("_base")))
-        .withColumn("form_chars", F.array_join(S.char_set(F.col("_base")), ""))
-        .withColumn("units", S.extract_units(F.col(name)))
-        .withColumn("cls", _length_class(F.col("form_text")))
-        .drop("_base")
-    )
+# ---------------------------------------------------------------- the confidence as a scorer
 
+# letters whose counts are features of their own; all other characters share the last one
+_LETTERS = " 0123456789abcdefghijklmnopqrstuvwxyz"
 
-def _length_class(text: Column) -> Column:
-    """0 for empty, else 1 + floor(log2(length)): at most 32 classes."""
-    n = F.length(text)
-    return F.when(n == 0, 0).otherwise(1 + F.floor(F.log2(n.cast("double")))).cast("int")
 
+@dataclass(frozen=True)
+class ConfidenceScorer(Scorer):
+    """The match confidence of two normalised names."""
 
-def plan_blocks(left: DataFrame, right: DataFrame, block_chars: int = BLOCK_CHARS) -> tuple[dict[int, int], dict[int, int]]:
-    """Blocks per length class of both sides; two rows per class reach the driver."""
-    rows = (
-        left.select(F.lit("l").alias("side"), "cls").unionByName(right.select(F.lit("r").alias("side"), "cls"))
-        .groupBy("side", "cls").agg(F.count("*").alias("n")).collect()
-    )
-    l, r = ({x.cls: max(1, math.ceil(x.n * 2**x.cls / block_chars)) for x in rows if x.side == side} for side in "lr")
-    return l, r
-
-
-def _reach(least_raw: float, dice_weight: float) -> int:
-    """Length classes apart at which a pair can still reach ``least_raw``."""
-    lev_weight = (2 - dice_weight) / 2
-    ratio = 1 - (1 - least_raw) / lev_weight - 0.005
-    if ratio <= 0:
-        return 32
-    # the longer text may be at most (2 - r) / r times the shorter one
-    return int(math.floor(math.log2((2 - ratio) / ratio))) + 1
-
-
-def _salted(names: DataFrame, form_names: int) -> DataFrame:
-    """Add ``h``, the hash a name is placed by: of its form, and of all else where a form has many names."""
-    hot = (
-        names.groupBy("form_text", "form_chars").agg(F.count("*").alias("n"))
-        .where(F.col("n") > form_names)
-        .select("form_text", "form_chars", F.ceil(F.col("n") / form_names).alias("salts"))
-    )
-    salt = F.pmod(F.xxhash64("units", "grp", "key"), F.coalesce("salts", F.lit(1)))
-    return (
-        names.join(hot, ["form_text", "form_chars"], "left")
-        .withColumn("h", F.xxhash64("form_text", "form_chars", salt))
-        .drop("salts")
-    )
+    scoring: Scoring = Scoring()
+    columns = ("form_text", "form_chars", "units")
 
+    @property
+    def digits(self) -> int:
+        return self.scoring.digits
 
-def _placed(names: DataFrame, own: dict[int, int], other: dict[int, int], side: str, reach: int) -> DataFrame:
-    """One row per name and per pair of blocks it takes part in."""
-    own_n = F.create_map(*[F.lit(x) for item in own.items() for x in item])
-    partners = F.array(*[F.struct(F.lit(c).alias("cls"), F.lit(n).alias("n")) for c, n in other.items()])
-    rows = (
-        names.withColumn("own_block", F.pmod(F.col("h"), F.element_at(own_n, F.col("cls"))).cast("int"))
-        .withColumn("p", F.explode(F.filter(partners, lambda p: F.abs(p["cls"] - F.col("cls")) <= reach)))
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("p.n") - 1)))
-    )
-    mine, partner = [F.col("cls"), F.col("own_block")], [F.col("p.cls"), F.col("block")]
-    keys = mine + partner if side == "l" else partner + mine
-    return rows.select(
-        *[c.alias(k) for c, k in zip(keys, ["lc", "lb", "rc", "rb"])],
-        F.lit(side).alias("side"), "grp", "key", "form_text", "form_chars", "units",
-    )
+    def prepared(self, names: DataFrame, text: str) -> DataFrame:
+        """Add ``form_text`` and ``form_chars`` (what closeness depends on) and ``units``."""
+        from ..functions import similarity as S  # here: a scorer is sent to the tasks, these Columns are not
+
+        base = F.col("_base")
+        featured = names.withColumn("_base", S.remove_units(F.col(text)))
+        return featured.withColumns({
+            "form_text": S.token_sort(base), "form_chars": F.array_join(S.char_set(base), ""), "units": S.extract_units(F.col(text)),
+        }).drop("_base")
+
+    def features(self, texts: pd.DataFrame) -> np.ndarray:
+        """Length of the form, and how often it has each letter."""
+        forms = texts["form_text"].tolist()
+        out = np.zeros((len(forms), len(_LETTERS) + 2), np.int64)
+        lengths = np.fromiter(map(len, forms), np.int64, len(forms))
+        points = np.frombuffer("".join(forms).encode("utf-32-le", "surrogatepass"), np.uint32)
+        column = np.full(128, len(_LETTERS) + 1)
+        column[[ord(c) for c in _LETTERS]] = np.arange(len(_LETTERS)) + 1
+        np.add.at(out, (np.repeat(np.arange(len(forms)), lengths), column[np.minimum(points, 127)]), 1)
+        out[:, 0] = lengths
+        return out
+
+    def bound(self, low_a, high_a, low_b, high_b):
+        """Closeness at most, with as much in common as the letters allow, and all units equal."""
+        common = common_bound(low_a[..., 1:], high_a[..., 1:], low_b[..., 1:], high_b[..., 1:])
+        la, lb = low_a[..., 0], low_b[..., 0]
+        # the texts have at least their least length, and at least what they have in common
+        total = np.maximum(la, common) + np.maximum(lb, common)
+        # lengths that do not meet: the longer text cannot be matched in full
+        shorter = np.minimum(high_a[..., 0], high_b[..., 0])
+        longer = np.maximum(la, lb)
+        ratio = np.where(total == 0, 1.0, 2.0 * common / np.maximum(np.where(common < longer, la + lb, total), 1))
+        apart = np.where(shorter < longer, 2.0 * shorter / np.maximum(shorter + longer, 1), 1.0)
+        percent = np.rint(np.minimum(np.minimum(ratio, apart), 1.0) * 100 + SLACK) + 1e-9
+        lev = percent_to_distance(np.minimum(percent, 100.0))
+        closeness = 1 - mix_distances(lev, 0.0, self.scoring.dice_weight)
+        return np.where(closeness > 0, np.exp(1 - np.maximum(closeness, 1e-3) ** -self.scoring.decay), 0.0)
+
+    def least(self, threshold: float) -> float:
+        return threshold - 0.5 * 10**-self.digits - SLACK
+
+    def score(self, a: pd.DataFrame, b: pd.DataFrame) -> np.ndarray:
+        """The confidences, pair by pair: by the arrays that ``match`` uses."""
+        codes, lengths, k = encode([*a["form_text"], *b["form_text"]])
+        pairs = np.arange(len(a)), np.arange(len(a)) + len(a)
+        total = (lengths[: len(a)] + lengths[len(a) :]).astype(np.float64)
+        chars = [(set(x), set(y)) for x, y in zip(a["form_chars"], b["form_chars"])]
+        sizes = np.array([len(x) + len(y) for x, y in chars], np.float64)
+        shared = np.array([len(x & y) for x, y in chars], np.float64)
+        dice = np.where(sizes == 0, 0.0, 1 - shared * 2.0 / np.maximum(sizes, 1))
+        close = _closeness(lcs_pairs(codes, lengths, k, *pairs), total, dice, self.scoring)
+        units = _Units(a["units"].tolist(), b["units"].tolist())
+        return _confidence(close - units.distance(np.arange(len(a)), np.arange(len(a))) * self.scoring.unit_weight, self.scoring)
+
+    def match(self, left: pd.DataFrame, right: pd.DataFrame, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return score_block(left, right, self.scoring, threshold)
 
 
 # ---------------------------------------------------------------- inside a task
 
 
-def _presence(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    codes, lengths, k = encode(texts)
-    flat = np.zeros((len(texts), k + 1), np.float32)
-    rows = np.repeat(np.arange(len(texts)), codes.shape[1])
-    flat[rows, codes.reshape(-1)] = 1
+def _presence(codes: np.ndarray, k: int) -> np.ndarray:
+    """Which characters each row of codes has."""
+    flat = np.zeros((len(codes), k + 1), np.float32)
+    flat[np.repeat(np.arange(len(codes)), codes.shape[1]), codes.reshape(-1)] = 1
     flat[:, 0] = 0
-    return flat, lengths
+    return flat
+
+
+def _most_shared(codes: np.ndarray, k: int, n_left: int) -> np.ndarray:
+    """How often each character can be shared: an occurrence the other side never has cannot."""
+    most = np.zeros((2, k + 1), np.int64)
+    for start in range(0, len(codes), TILE[1]):
+        for side, part in enumerate((codes[start : min(start + TILE[1], n_left)], codes[max(start, n_left) : start + TILE[1]])):
+            if len(part):
+                rows = np.repeat(np.arange(len(part)), part.shape[1])
+                counts = np.bincount(rows * (k + 1) + part.reshape(-1), minlength=len(part) * (k + 1)).reshape(len(part), k + 1)
+                np.maximum(most[side], counts.max(axis=0), out=most[side])
+    return most.min(axis=0)
 
 
 def _counted(codes: np.ndarray, k: int, most: np.ndarray) -> np.ndarray:
@@ -143,9 +160,11 @@ def _dice(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.nd
 
 def _closeness(lcs: np.ndarray, total: np.ndarray, dice: np.ndarray, scoring: Scoring) -> np.ndarray:
     """The closeness of ``similarity``, on arrays and with the same operations."""
-    lev = (100 - indel_percents(lcs, total)) * 0.01
-    w = scoring.dice_weight
-    return 1 - (lev * (2 - w) + dice * w) / 2
+    return 1 - mix_distances(percent_to_distance(indel_percents(lcs, total)), dice, scoring.dice_weight)
+
+
+def _confidence(raw: np.ndarray, scoring: Scoring) -> np.ndarray:
+    return np.where(raw > 0, np.exp(1 - np.maximum(raw, 1e-3) ** -scoring.decay), 0.0)
 
 
 def _least_closeness(raw: np.ndarray, scoring: Scoring, least_raw: float) -> np.ndarray:
@@ -220,20 +239,14 @@ def _name_pairs(fi: np.ndarray, gi: np.ndarray, left: _Members, right: _Members)
 
 
 def score_block(left: pd.DataFrame, right: pd.DataFrame, scoring: Scoring, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per left name with a match: its position, the position of the best right name, the confidence."""
+    """Per left name with a match: its position, the position of the best right name (the first at a tie), the confidence."""
     least_raw = scoring.least_raw(threshold)
-    right_order = np.argsort(right.key.to_numpy(object), kind="stable")
-    id_rank = np.empty(len(right), np.int64)
-    id_rank[right_order] = np.arange(len(right))
     lf, left_forms = pd.factorize(pd.MultiIndex.from_frame(left[["form_text", "form_chars"]]))
     rf, right_forms = pd.factorize(pd.MultiIndex.from_frame(right[["form_text", "form_chars"]]))
     nl, nr = len(left_forms), len(right_forms)
     codes, lengths, k = encode([f[0] for f in left_forms] + [f[0] for f in right_forms])
-    sets, set_sizes = _presence([f[1] for f in left_forms] + [f[1] for f in right_forms])
-    counts = np.zeros((nl + nr, k + 1), np.int64)
-    np.add.at(counts, (np.repeat(np.arange(nl + nr), codes.shape[1]), codes.reshape(-1)), 1)
-    # an occurrence the other side never has cannot be shared
-    most = np.minimum(counts[:nl].max(axis=0), counts[nl:].max(axis=0))
+    sets, set_sizes, letters = encode([f[1] for f in left_forms] + [f[1] for f in right_forms])
+    most = _most_shared(codes, k, nl)
     lm, rm = _Members(lf, nl), _Members(rf, nr)
     units = _Units(left.units.tolist(), right.units.tolist())
     reached = np.full(len(left), -np.inf)
@@ -246,9 +259,8 @@ def score_block(left: pd.DataFrame, right: pd.DataFrame, scoring: Scoring, thres
             hopeful = c >= _least_closeness(reached[li], scoring, least_raw)
             li, ri = li[hopeful], ri[hopeful]
             raw = c[hopeful] - units.distance(li, ri) * scoring.unit_weight
-            value = np.where(raw > 0, np.exp(1 - np.maximum(raw, 1e-3) ** -scoring.decay), 0.0)
-            rounded = np.rint(value * 10**scoring.digits).astype(np.int64)
-            np.maximum.at(best, li, rounded * len(right) + (len(right) - 1 - id_rank[ri]))
+            rounded = np.rint(_confidence(raw, scoring) * 10**scoring.digits).astype(np.int64)
+            np.maximum.at(best, li, rounded * len(right) + (len(right) - 1 - ri))
             np.maximum.at(reached, li, raw)
 
     def needed() -> np.ndarray:
@@ -260,11 +272,12 @@ def score_block(left: pd.DataFrame, right: pd.DataFrame, scoring: Scoring, thres
     for r0 in range(0, nr, TILE[1]):
         r1 = min(nr, r0 + TILE[1])
         tall_r = _counted(codes[nl + r0 : nl + r1], k, most)
+        sets_r = _presence(sets[nl + r0 : nl + r1], letters)
         for l0 in range(0, nl, TILE[0]):
             l1 = min(nl, l0 + TILE[0])
             total = (lengths[l0:l1, None] + lengths[None, nl + r0 : nl + r1]).astype(np.float64)
             shared = (_counted(codes[l0:l1], k, most) @ tall_r.T).astype(np.float64)
-            dice = _dice(sets[l0:l1], sets[nl + r0 : nl + r1], set_sizes[l0:l1], set_sizes[nl + r0 : nl + r1])
+            dice = _dice(_presence(sets[l0:l1], letters), sets_r, set_sizes[l0:l1], set_sizes[nl + r0 : nl + r1])
             bound = _closeness(shared, total, dice, scoring)
 
             def exact(fi, gi):
@@ -286,31 +299,30 @@ def score_block(left: pd.DataFrame, right: pd.DataFrame, scoring: Scoring, thres
 
     confidence = (best // len(right)) / 10**scoring.digits
     li = np.flatnonzero((best >= 0) & (confidence >= threshold))
-    return li, right_order[len(right) - 1 - best[li] % len(right)], confidence[li]
+    return li, len(right) - 1 - best[li] % len(right), confidence[li]
 
 
 # ---------------------------------------------------------------- the operator
 
 
-def _as_text(ident: Column, kind: DataType) -> Column:
-    """An id as text of the same order; whole numbers are shifted above zero and padded."""
-    if isinstance(kind, IntegralType):
-        return F.lpad((ident.cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)")).cast("decimal(20,0)").cast("string"), 20, "0")
-    return ident.cast("string")
-
-
-def _from_text(text: Column, kind: DataType) -> Column:
-    if isinstance(kind, IntegralType):
-        text = text.cast("decimal(20,0)") - F.lit(str(2**63)).cast("decimal(20,0)")
-    return text.cast(kind)
-
-
 def _no_match(left: DataFrame, right: DataFrame, left_name: str, right_id: str, by: str | None) -> DataFrame:
     keys = [F.col(left_name)] if by is None else [F.col(left_name), F.lit(None).cast(right.schema[by].dataType).alias(by)]
     return left.where(F.lit(False)).select(
         *keys, F.lit(None).cast(right.schema[right_id].dataType).alias(right_id), F.lit(None).cast("double").alias("confidence"))
 
 
+def _described(names: DataFrame, scorer: Scorer) -> DataFrame:
+    """``names`` (text, ...) with the scorer's columns, ``size``, the hash ``h`` and ``features``, written down."""
+    rows = scorer.prepared(names, "text").withColumns({"size": scorer.size("text").cast("long"), "h": F.xxhash64(*names.columns)})
+    schema = StructType(list(rows.schema.fields)).add("features", ArrayType(IntegerType()))
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(features=list(scorer.features(batch).astype(np.int32)))
+
+    return cut_lineage(rows.mapInPandas(add, schema))
+
+
 def best_match(
     left: DataFrame,
     right: DataFrame,
@@ -321,46 +333,43 @@ def best_match(
     scoring: Scoring = Scoring(),
     by: str | None = None,
     block_chars: int = BLOCK_CHARS,
-    form_names: int = FORM_NAMES,
+    scorer: Scorer | None = None,
 ) -> DataFrame:
     """One row per distinct left name with a match: left_name, [by,] right_id (in its own type), confidence.
 
-    With ``by``, a column of ``right``, every left name gets one match per value of it.
+    With ``by``, a column of ``right``, every left name gets one match per value of it.  ``scorer`` may be any measure;
+    without one it is the confidence with the weights of ``scoring``.
     """
+    scorer = scorer or ConfidenceScorer(scoring)
+    id_type = right.schema[right_id].dataType
     group = F.lit("") if by is None else F.col(by)
-    texts = distinct_texts(left, left_name).select(F.col(left_name).alias("key"), F.lit("").alias("grp"))
-    lhs = cut_lineage(name_features(texts, "key"))
+    texts = distinct_texts(left, left_name).select(F.col(left_name).alias("text"))
     names = (
-        right.where(F.col(right_name).isNotNull() & group.isNotNull())
-        .groupBy(group.cast("string").alias("grp"), F.col(right_name).alias("name"))
-        .agg(_as_text(F.min(right_id), right.schema[right_id].dataType).alias("key"))
+        right.where(F.col(right_name).isNotNull() & group.isNotNull() & F.col(right_id).isNotNull())
+        .groupBy(group.cast("string").alias("grp"), F.col(right_name).alias("text"))
+        .agg(F.min(right_id).alias("id"))
     )
-    rhs = cut_lineage(name_features(spread(names, "grp", "name"), "name"))
-    own, other = plan_blocks(lhs, rhs, block_chars)
-    if not (own and other):
+    ours = cut_side(_described(texts, scorer), block_chars)
+    theirs = cut_side(_described(spread(names, "grp", "text"), scorer), block_chars)
+    if ours is None or theirs is None:
         return _no_match(left, right, left_name, right_id, by)
-    reach = _reach(scoring.least_raw(threshold), scoring.dice_weight)
-    rows = _placed(_salted(lhs, form_names), own, other, "l", reach).unionByName(
-        _placed(_salted(rhs, form_names), other, own, "r", reach)
-    )
-
-    def score(pdf: pd.DataFrame) -> pd.DataFrame:
-        is_left = (pdf.side == "l").to_numpy()
-        a = pdf[is_left].reset_index(drop=True)
-        columns = {"name": [], "grp": [], "id": [], "confidence": []}
-        for g, b in pdf[~is_left].groupby("grp") if len(a) else []:
-            b = b.reset_index(drop=True)
-            li, ri, confidence = score_block(a, b, scoring, threshold)
-            columns["name"] += a.key.to_numpy(object)[li].tolist()
-            columns["grp"] += [g] * len(li)
-            columns["id"] += b.key.to_numpy(object)[ri].tolist()
-            columns["confidence"] += confidence.tolist()
-        return pd.DataFrame({c: np.array(v, object if c != "confidence" else np.float64) for c, v in columns.items()})
-
-    scored = rows.groupBy("lc", "lb", "rc", "rb").applyInPandas(score, "name string, grp string, id string, confidence double")
+    kept = kept_pairs(ours, theirs, scorer.bound, scorer.least(threshold))
+
+    def score(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        for g, rows in b.sort_values("id", kind="stable").groupby("grp") if len(a) else []:
+            rows = rows.reset_index(drop=True)
+            li, ri, confidence = scorer.match(a, rows, threshold)
+            found.append(pd.DataFrame({"name": a.text.to_numpy(object)[li], "grp": g, "id": rows.id.iloc[ri].array, "confidence": confidence}))
+        return pd.concat(found, ignore_index=True) if found else pd.DataFrame({"name": [], "grp": [], "id": b.id.iloc[:0], "confidence": []})
+
+    columns = ["text", *scorer.columns]
+    mine = with_partners(ours, theirs, kept).select(F.col("own").alias("l"), F.col("partner").alias("r"), *columns)
+    other = with_partners(theirs, ours, kept.T).select(F.col("partner").alias("l"), F.col("own").alias("r"), "grp", "id", *columns)
+    schema = StructType().add("name", "string").add("grp", "string").add("id", id_type).add("confidence", "double")
+    scored = mine.groupBy("l", "r").cogroup(other.groupBy("l", "r")).applyInPandas(score, schema)
     best = scored.groupBy("name", "grp").agg(F.min(F.struct((-F.col("confidence")).alias("c"), "id")).alias("b"))
-    ident = _from_text(F.col("b.id"), right.schema[right_id].dataType).alias(right_id)
     keys = [F.col("name").alias(left_name)]
     if by is not None:
         keys.append(F.col("grp").cast(right.schema[by].dataType).alias(by))
-    return best.select(*keys, ident, (-F.col("b.c")).alias("confidence"))
+    return best.select(*keys, F.col("b.id").alias(right_id), (-F.col("b.c")).alias("confidence"))

@@ -1,8 +1,16 @@
+import datetime
 import random
+from decimal import Decimal
 
+import numpy as np
+import pandas as pd
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from registry.matching import TokenOverlap
+from shelfmatch.functions.scorer import bound_violations
 from shelfmatch.functions.similarity import Scoring
 from shelfmatch.operators import best_match as B
 from shelfmatch.operators.best_match import best_match
@@ -67,14 +75,13 @@ def test_one_match_per_group(spark, sides):
     assert got == expected
 
 
-@pytest.mark.parametrize("form_names", [1024, 20])
-def test_one_form_for_all_names(spark, form_names):
+def test_one_form_for_all_names(spark):
     """All names share one unit-free form: the hottest key there can be."""
     left = [f"agua {m}ml {p}pz" for m in range(1, 30) for p in range(1, 8)]
     right = [(f"{i:05d}", f"agua {m * 2}ml {p * 3}pz") for i, (m, p) in enumerate((m, p) for m in range(1, 40) for p in range(1, 6))]
     ldf = spark.createDataFrame([(x,) for x in left], "comp_sku_name_clean string")
     rdf = spark.createDataFrame(right, "sku string, mkp_sku_name_clean string")
-    assert collect(best_match(ldf, rdf, form_names=form_names, block_chars=1000)) == brute.best(left, right, 0.4)
+    assert collect(best_match(ldf, rdf, block_chars=1000)) == brute.best(left, right, 0.4)
 
 
 def test_long_names(spark):
@@ -116,7 +123,7 @@ def test_numeric_ids_keep_their_type_and_order(spark):
 def test_one_name_in_many_groups(spark):
     left = spark.createDataFrame([("pan bimbo 600g",), ("agua 1lt",)], "comp_sku_name_clean string")
     right = spark.range(3000).select(F.col("id").cast("string").alias("sku"), F.lit("pan bimbo 600g").alias("mkp_sku_name_clean"), F.concat(F.lit("shop"), "id").alias("shop"))
-    found = best_match(left, right, by="shop", block_chars=20_000, form_names=100)
+    found = best_match(left, right, by="shop", block_chars=20_000)
     assert found.where("comp_sku_name_clean = 'pan bimbo 600g' and confidence = 1 and shop = concat('shop', sku)").count() == 3000
 
 
@@ -129,3 +136,106 @@ def test_confidence_equals_the_column(spark, sides, scoring):
     found = best_match(ldf, rdf, threshold=0.05, scoring=scoring).withColumnRenamed("confidence", "found")
     pairs = score_pairs(found.join(rdf.dropna(), "sku"), "comp_sku_name_clean", "mkp_sku_name_clean", scoring)
     assert pairs.count() > 50 and pairs.where("found != confidence").count() == 0
+
+
+# ------------------------------------------------------------- scorers and blocks
+
+
+def described(texts):
+    """The columns that the scorers read, made without Spark."""
+    base = [brute.without_units(t) for t in texts]
+    return pd.DataFrame({
+        "text": texts, "form_text": [brute.token_sort(b) for b in base], "form_chars": ["".join(sorted(set(b))) for b in base],
+        "units": [brute.units(t) for t in texts], "tokens": [list(dict.fromkeys(t.split(" "))) for t in texts],
+    })
+
+
+some_names = st.lists(st.text("ab lo1 2ml", max_size=25) | st.sampled_from(names(60, 5)), min_size=2, max_size=12)
+
+
+@given(some_names, some_names)
+@settings(max_examples=150, deadline=None)
+def test_no_score_is_above_its_bound(left, right):
+    pairs = [(a.strip(), b.strip()) for a in left for b in right]
+    a, b = described([p[0] for p in pairs]), described([p[1] for p in pairs])
+    for scorer in (B.ConfidenceScorer(), B.ConfidenceScorer(Scoring.first_version()), TokenOverlap()):
+        assert not len(bound_violations(scorer, a, b))
+
+
+def test_scores_of_the_confidence_scorer():
+    left, right = names(40, 7), names(40, 8)
+    got = np.round(B.ConfidenceScorer().score(described(left), described(right)), 4)
+    assert got.tolist() == [brute.confidence(a, b) for a, b in zip(left, right)]
+
+
+def test_a_bound_that_is_too_low_is_found():
+    class Wrong(TokenOverlap):
+        def bound(self, *ends):
+            return super().bound(*ends) * 0.9
+
+    rows = described(["pan bimbo", "agua"])
+    assert bound_violations(Wrong(), rows, rows).tolist() == [0, 1]
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.6])
+def test_a_scorer_of_the_caller(sides, threshold):
+    left, catalog, ldf, rdf = sides
+
+    def overlap(a, b):
+        a, b = set(a.split(" ")), set(b.split(" "))
+        return round(len(a & b) / len(a | b), 4)
+
+    expected = {}
+    for a in left:
+        score, sku = min((-overlap(a, b), i) for i, b in catalog)
+        if -score >= threshold:
+            expected[a] = (sku, -score)
+    assert collect(best_match(ldf, rdf, threshold=threshold, scorer=TokenOverlap(), block_chars=500)) == expected
+
+
+@pytest.mark.parametrize("scorer", [None, TokenOverlap()])
+def test_skipped_pairs_of_blocks_hold_no_match(sides, monkeypatch, scorer):
+    """Making all pairs of blocks changes nothing, and there are fewer without."""
+    _, _, ldf, rdf = sides
+    kept = B.kept_pairs
+    shares = []
+
+    def some(*args):
+        pairs = kept(*args)
+        shares.append(pairs.mean())
+        return pairs
+
+    monkeypatch.setattr(B, "kept_pairs", some)
+    found = collect(best_match(ldf, rdf, threshold=0.8, scorer=scorer, block_chars=200))
+    monkeypatch.setattr(B, "kept_pairs", lambda *args: np.ones_like(kept(*args)))
+    assert collect(best_match(ldf, rdf, threshold=0.8, scorer=scorer, block_chars=200)) == found
+    assert shares[0] < 0.9
+
+
+def test_blocks_are_even(spark, sides, monkeypatch):
+    """No pair of blocks has more than its share, one form of a third of all names included."""
+    groups = []
+    kept = B.kept_pairs
+
+    def sizes(a, b, *args):
+        groups.append([np.repeat(s.texts / s.parts, s.parts) for s in (a, b)])
+        return kept(a, b, *args)
+
+    monkeypatch.setattr(B, "kept_pairs", sizes)
+    rows = spark.createDataFrame([(f"agua {k}ml",) for k in range(400)] + [(f"{n} {k}",) for k, n in enumerate(names(800, 3))], "name string").selectExpr("name", "name as id")
+    best_match(rows, rows, left_name="name", right_name="name", right_id="id", threshold=0.9)
+    left, right = groups[0]
+    assert np.outer(left, right).max() / np.outer(left, right).sum() < 1 / (2 * spark.sparkContext.defaultParallelism)
+
+
+@pytest.mark.parametrize(("kind", "ids"), [
+    ("decimal(10,1)", [Decimal("10.0"), Decimal("9.5"), Decimal("-3.0")]),
+    ("date", [datetime.date(2026, 2, 1), datetime.date(999, 1, 1), datetime.date(2025, 1, 1)]),
+    ("double", [10.0, 9.0, 1e-7]),
+])
+def test_ids_of_other_types_keep_their_order(spark, kind, ids):
+    left = spark.createDataFrame([("leche lala 1lt",)], "comp_sku_name_clean string")
+    right = spark.createDataFrame([(i, "leche lala 1lt") for i in ids] + [(None, "leche lala 1lt")], f"sku {kind}, mkp_sku_name_clean string")
+    found = best_match(left, right)
+    assert found.schema["sku"].dataType == right.schema["sku"].dataType
+    assert [r["sku"] for r in found.collect()] == [min(ids)]
