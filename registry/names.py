@@ -41,7 +41,7 @@ select doc_id, string_agg(w, ' ' order by i) as text from f group by 1""")
 def normalize_basic(spark, sf):
     """Lower case, accents, white space and repeated tokens of whole texts."""
     text = N.dedup_tokens(N.squeeze(N.fold_accents(F.lower(F.trim(F.col("text"))))))
-    return I.read(spark, sf, DOCUMENTS).select("doc_id", text.alias("text"))
+    return N.spread(I.read(spark, sf, DOCUMENTS)).select("doc_id", text.alias("text"))
 
 
 @query("normalize_specials", D.chain(DOCUMENTS, "text", D.steps(R.SPECIAL)).replace("select * from s1", "select doc_id, x as text from s1"))
@@ -74,7 +74,7 @@ _stage("normalize_sizes", D.steps(R.SIZES), N.homogenize_sizes)
 
 @query("normalize_name", f"select id, x as name from ({D.normalize(NAMES, 'name')})")
 def normalize_name(spark, sf):
-    return N.spread(_names(spark, sf)).select("id", N.normalize_name(F.col("name")).alias("name"))
+    return N.normalize_names(N.spread(_names(spark, sf)), "name", "name").select("id", "name")
 
 
 @query("normalize_texts", f"select conv_id, turn, x as text from ({D.normalize('select conv_id, turn, text from conversations', 'text')})")

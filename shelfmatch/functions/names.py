@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 import unicodedata
 from dataclasses import dataclass, field, replace
 from weakref import WeakKeyDictionary
@@ -48,8 +49,78 @@ class NameRules:
         return list(words) + R.EXTRA_STOP_WORDS
 
 
+#: Rules behind one test for the words they need.
+GUARDED = 10
+#: Letters that a word must have to be tested for; shorter ones are in most names.
+TELLING = 3
+
+
+def needed_words(pattern: str) -> set[str] | None:
+    """Texts of which every match of a pattern contains one; None if it has no such texts of ``TELLING`` letters."""
+    try:
+        from re import _constants as op
+        from re import _parser
+
+        tree = _parser.parse(pattern)
+    except (ImportError, re.error):  # a pattern of another dialect, or another Python: the rule goes without a test
+        return None
+
+    def needs(items) -> set[str] | None:
+        found, run = [], ""
+        for kind, value in [*items, (None, None)]:
+            if kind is op.LITERAL:
+                run += chr(value)
+                continue
+            if run:
+                found.append({run})
+                run = ""
+            if kind is op.SUBPATTERN:
+                found.append(needs(value[3]))
+            elif kind is op.MAX_REPEAT and value[0] > 0:
+                found.append(needs(value[2]))
+            elif kind is op.BRANCH:
+                parts = [needs(branch) for branch in value[1]]
+                found.append(None if None in parts else set().union(*parts))
+        return max((f for f in found if f), key=lambda f: min(map(len, f)), default=None)
+
+    words = needs(tree)
+    return words if words and min(map(len, words)) >= TELLING else None
+
+
+def grouped(rules: list) -> list[tuple[set[str] | None, list]]:
+    """The rules in order, neighbouring ones that need a word together: (the words, up to ``GUARDED`` rules)."""
+    out: list[tuple[set[str] | None, list]] = []
+    for rule in rules:
+        words = needed_words(rule[0]) if type(rule) is tuple else None
+        if words and out and out[-1][0] and len(out[-1][1]) < GUARDED:
+            out[-1][0].update(words)
+            out[-1][1].append(rule)
+        else:
+            out.append((words, [rule]))
+    return out
+
+
 def apply_rules(col: Column, rules: list, names: NameRules | None = None) -> Column:
-    """Fold a rule table over a column, in table order."""
+    """Fold a rule table over a column, in table order.
+
+    Neighbouring rules that need a word stand behind one test for all these words.  Where a text has none of them the first
+    rule leaves it as it is, and so every other one finds it as it was: skipping them changes nothing.
+    """
+    for words, some in grouped(rules):
+        if words and len(some) > 1:
+            col = _if_any(col, words, lambda v, some=some: _apply(v, some, names))
+        else:
+            col = _apply(col, some, names)
+    return col
+
+
+def _if_any(col: Column, words, change) -> Column:
+    """``change`` where the text contains one of the words."""
+    test = "|".join(sorted(re.escape(w) for w in words))
+    return let(col, lambda v: F.when(v.rlike(test), change(v)).otherwise(v))
+
+
+def _apply(col: Column, rules: list, names: NameRules | None = None) -> Column:
     names = names or NameRules()
     for rule in rules:
         match rule:
@@ -152,10 +223,14 @@ def dedup_tokens(col: Column) -> Column:
 
 def weigh_brands(col: Column, names: NameRules | None = None) -> Column:
     names = names or NameRules()
-    for brand in names.brands:
-        times = next(n for longest, n in R.BRAND_REPEATS if longest is None or len(brand) <= longest)
-        col = F.regexp_replace(col, rf"(\s|^)({brand})(\s|$)", "$1" + brand * times + names.brand_joint)
-    return col
+
+    def weigh(v: Column) -> Column:
+        for brand in names.brands:
+            times = next(n for longest, n in R.BRAND_REPEATS if longest is None or len(brand) <= longest)
+            v = F.regexp_replace(v, rf"(\s|^)({brand})(\s|$)", "$1" + brand * times + names.brand_joint)
+        return v
+
+    return _if_any(col, names.brands, weigh)
 
 
 def fix_vocabulary(col: Column, names: NameRules | None = None) -> Column:

@@ -66,3 +66,12 @@ def with_group_max(df: DataFrame, keys: list[str], column: str, target: str) ->
     """Add the largest value of every key.  Aggregated before the shuffle and joined
     back, so a hot key does not end up in one window task."""
     return df.join(df.groupBy(*keys).agg(F.max(column).alias(target)), keys)
+
+
+def sample_rows(df: DataFrame, n: int, *keys: str, seed: int = 0) -> DataFrame:
+    """``n`` rows at random, always the same ones for the same rows and seed, however they are partitioned.
+
+    They are the rows of smallest md5 of their key columns, so a top-n: every task keeps n rows at most.
+    """
+    order = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]))
+    return df.orderBy(order, *keys).limit(n)

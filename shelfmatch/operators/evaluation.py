@@ -1,23 +1,19 @@
 """Quality of a match against labels (0/1) and scores.
 
-Scores are grouped first, then cumulated.  The running totals are taken in two
-levels, inside fixed score bands and over the bands, so that no task holds all
-distinct scores.
+Scores are grouped first, then cumulated.  The running totals are taken in two levels: the distinct scores are dealt by
+range, each partition is summed up inside, and the totals of the partitions before it are added.  So no task holds all
+distinct scores, whatever their distribution, and nothing of them passes through the driver.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import similarity as S
-from ..functions.names import NameRules, normalize_name
+from ..functions.names import NameRules, distinct_texts, normalize_names
 from ..functions.similarity import Scoring
-
-BANDS = 1000
+from .lineage import cut_lineage
 
 
 def confusion(df: DataFrame, label: str = "label", score: str = "score", threshold: float = 0.8) -> DataFrame:
@@ -72,28 +68,26 @@ def score_points(df: DataFrame, label: str = "label", score: str = "score") -> D
         .groupBy(F.col(score).alias("score"))
         .agg(F.count_if(F.col(label) == 1).alias("n_pos"), F.count_if(F.col(label) != 1).alias("n_neg"))
     )
-    # bands that hold about as many distinct scores each, wherever the scores lie
-    cuts = sorted(set(by_score.approxQuantile("score", [i / BANDS for i in range(1, BANDS)], 0.1 / BANDS)))
-    bucketed = Bucketizer(splits=[-math.inf, *(c for c in cuts if math.isfinite(c)), math.inf], inputCol="_score", outputCol="band", handleInvalid="keep")
-    by_score = bucketed.transform(by_score.withColumn("_score", F.col("score").cast("double"))).drop("_score")
-    # at most BANDS + 1 rows, whatever the data
-    above = Window.orderBy(F.desc("band")).rowsBetween(Window.unboundedPreceding, -1)
+    # written down with the partition, as ranges are cut anew whenever they are computed
+    parts = cut_lineage(by_score.repartitionByRange(F.desc("score")).withColumn("part", F.spark_partition_id()))
+    # a row for each partition
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     everywhere = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    bands = (
-        by_score.groupBy("band").agg(F.sum("n_pos").alias("bp"), F.sum("n_neg").alias("bn"))
+    totals = (
+        parts.groupBy("part").agg(F.sum("n_pos").alias("p"), F.sum("n_neg").alias("n"))
         .select(
-            "band",
-            F.coalesce(F.sum("bp").over(above), F.lit(0)).alias("tp_above"),
-            F.coalesce(F.sum("bn").over(above), F.lit(0)).alias("fp_above"),
-            F.sum("bp").over(everywhere).alias("positives"),
-            F.sum("bn").over(everywhere).alias("negatives"),
+            "part",
+            F.coalesce(F.sum("p").over(before), F.lit(0)).alias("tp_before"),
+            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("fp_before"),
+            F.sum("p").over(everywhere).alias("positives"),
+            F.sum("n").over(everywhere).alias("negatives"),
         )
     )
-    inside = Window.partitionBy("band").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    return by_score.join(F.broadcast(bands), "band").select(
+    inside = Window.partitionBy("part").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    return parts.join(F.broadcast(totals), "part").select(
         "score", "n_pos", "n_neg",
-        (F.col("tp_above") + F.sum("n_pos").over(inside)).alias("tp"),
-        (F.col("fp_above") + F.sum("n_neg").over(inside)).alias("fp"),
+        (F.col("tp_before") + F.sum("n_pos").over(inside)).alias("tp"),
+        (F.col("fp_before") + F.sum("n_neg").over(inside)).alias("fp"),
         "positives", "negatives",
     )
 
@@ -137,9 +131,22 @@ def positive_rate(df: DataFrame, label: str = "label") -> DataFrame:
     return df.agg(F.avg(F.col(label).cast("double")).alias("positive_rate"))
 
 
+def with_normalized(df: DataFrame, names: dict[str, str], rules: NameRules | None = None) -> DataFrame:
+    """Add the normalised form of several columns (source to target); each distinct text is normalised once."""
+    texts = None
+    for source in names:
+        own = df.select(F.col(source).alias("_name"))
+        texts = own if texts is None else texts.union(own)
+    done = cut_lineage(normalize_names(distinct_texts(texts, "_name"), "_name", "_normal", rules))
+    for source, target in names.items():
+        known = done.select(F.col("_name").alias(f"_{target}"), F.col("_normal").alias(target))
+        df = df.join(known, df[source] == F.col(f"_{target}"), "left").drop(f"_{target}")
+    return df
+
+
 def explain_pairs(pairs: DataFrame, a: str, b: str, rules: NameRules | None = None, scoring: Scoring = Scoring()) -> DataFrame:
     """Normalised names, partial and combined scores and units of every pair."""
-    cleaned = pairs.withColumns({"a_clean": normalize_name(F.col(a), rules), "b_clean": normalize_name(F.col(b), rules)})
+    cleaned = with_normalized(pairs, {a: "a_clean", b: "b_clean"}, rules)
     scored = S.score_pairs(cleaned, "a_clean", "b_clean", scoring)
     return scored.select(
         *cleaned.columns,
@@ -153,9 +160,7 @@ def explain_pairs(pairs: DataFrame, a: str, b: str, rules: NameRules | None = No
 
 def check_expected(expected: DataFrame, rules: NameRules | None = None, scoring: Scoring = Scoring()) -> DataFrame:
     """Expected pairs with their confidence and ``passed``; an unknown operator does not pass."""
-    cleaned = expected.withColumns({
-        "_a": normalize_name(F.col("own_name"), rules), "_b": normalize_name(F.col("competitor_name"), rules),
-    })
+    cleaned = with_normalized(expected, {"own_name": "_a", "competitor_name": "_b"}, rules)
     passed = (
         F.when(F.col("op") == "==", F.col("confidence") == F.col("expected"))
         .when(F.col("op") == "<=", F.col("confidence") <= F.col("expected"))

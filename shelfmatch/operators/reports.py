@@ -136,7 +136,7 @@ def wide_to_long(wide: DataFrame, competitors: list[str]) -> DataFrame:
 def long_report(long: DataFrame, scraping_date: Column, ordered: bool = False) -> DataFrame:
     """The first version's report: priced rows, difference to 5 decimals, share of the own price.
 
-    ``ordered``: by competitor, the best matches first.
+    ``ordered``: by competitor, then by confidence, both ascending.
     """
     diff = F.round(F.col("price") - F.col("competitor_price"), 5)
     report = (
@@ -151,4 +151,4 @@ def long_report(long: DataFrame, scraping_date: Column, ordered: bool = False) -
         .fillna("Pending", ["competitor_url"])
         .select(*[F.col(f"`{c}`") for c in LONG_REPORT])
     )
-    return report.orderBy("competitor_name", F.desc("`%_confidence`")) if ordered else report
+    return report.orderBy("competitor_name", "`%_confidence`") if ordered else report

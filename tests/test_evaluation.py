@@ -72,3 +72,18 @@ def test_no_band_holds_more_than_its_share(spark):
     assert points.count() == 20_000
     last = points.orderBy("score").first()
     assert (last.tp, last.fp, last.positives, last.negatives) == (10_000, 10_000, 10_000, 10_000)
+
+
+def test_no_partition_holds_all_scores(spark):
+    """Running totals are taken inside ranges of scores, one crowded range included."""
+    from pyspark.sql import functions as F
+
+    df = spark.range(40_000).select((F.col("id") % 3 == 0).cast("int").alias("label"), F.when(F.col("id") % 2 == 0, F.col("id") * 1e-12).otherwise(F.col("id") * 1.0).alias("score"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # few rows would share a task
+    try:
+        points = E.score_points(df)
+        assert points.withColumn("part", F.spark_partition_id()).groupBy("part").count().agg(F.max("count")).first()[0] < 20_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    last = points.orderBy("score").first()
+    assert (last.tp, last.fp) == (last.positives, last.negatives) == (13334, 26666)

@@ -99,3 +99,36 @@ def test_rules_agree_with_another_regex_engine(apply):
 def test_own_normalizer(spark):
     df = spark.createDataFrame([("AbC",)], "n string")
     assert N.normalize_names(df, "n", "c", normalizer=F.lower).first().c == "abc"
+
+
+def test_rules_behind_a_test_change_nothing(spark):
+    """Every text gives what the rules give one after the other, and texts without a word pass no rule."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from shelfmatch.functions import name_rules as R
+    from shelfmatch.functions import names as N
+
+    rng = random.Random(4)
+    words = sorted({w for rules in (R.UNITS, R.VOCABULARY, R.COLORS, R.SIZES) for needed, _ in N.grouped(rules) for w in needed or ()} | set(R.BRANDS))
+    words += ["leche", "12", "355ml", "a", "1lt", "s", "negra", "rojo", "x6", "pz", "verde valle", "queretaro", "teq 1800"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(1, 7))) for _ in range(1500)] + ["", " ", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    names = N.NameRules()
+    for rules in (R.UNITS, R.VOCABULARY, R.COLORS, R.SIZES):
+        plain = F.col("t")
+        for rule in rules:
+            plain = N._apply(plain, [rule], names)
+        assert df.where(~N.apply_rules(F.col("t"), rules, names).eqNullSafe(plain)).isEmpty()
+
+
+def test_needed_words():
+    from shelfmatch.functions.names import needed_words
+
+    assert needed_words(r"(\s|^)(comida|alimento)(\s|$)") == {"comida", "alimento"}
+    assert needed_words(r"(\s|^)estandar|standard(\s|$)") == {"estandar", "standard"}
+    assert needed_words(r"(\s|^)(agua )*(santa maria)(\s|$)") == {"santa maria"}
+    assert needed_words(r"(promo)?(\s|$)") is None
+    assert needed_words(r"(\d|\s|^)(p|pieza)(\s|$)") is None
+    assert needed_words(r"(?<n>\d)\d(ml)") is None

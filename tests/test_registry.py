@@ -15,7 +15,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
 TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE", "boolean": "BOOLEAN"}
-NO_SQL = {"sample_names"}
+NO_SQL: set[str] = set()
 QUERIES = {name: fn for m in entry_points.LIBRARY for name, fn in m.SPARK.items()}
 
 
@@ -75,3 +75,13 @@ def test_imports_from_a_zip(tmp_path):
     env = os.environ | {"PYTHONPATH": f"{archive}{os.pathsep}{root}"}
     done = subprocess.run([sys.executable, "-c", code], env=env, cwd=tmp_path, capture_output=True, text=True, timeout=120)
     assert done.returncode == 0, done.stderr
+
+
+@pytest.mark.parametrize("package", ["xxhash", "public_tokenizers", "zstandard", "ahocorasick"])
+def test_a_missing_package_of_the_corpus_operators_leaves_the_rest(package):
+    import subprocess
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"import sys; sys.modules[{package!r}] = None; import __spark_entry__ as e; assert e.LIBRARY == e.MODULES; print(len(e.queries()))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0 and int(done.stdout) == len(QUERIES), done.stderr

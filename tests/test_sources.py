@@ -171,3 +171,27 @@ def test_store_name_of_unit_prices(spark):
     rows = spark.createDataFrame([("a", None, "1", "s"), ("b", "9", "4", "t")], "file string, Price string, Unit_price string, Store string")
     filled = delimited.price_from_unit(rows, "file", limit=0, store="Store", store_name="Other")
     assert {(r.file, r.Price, r.Store) for r in filled.collect()} == {("a", "1", "Other"), ("b", "9", "t")}
+
+
+def test_a_sample_of_a_given_size_does_not_depend_on_partitions(spark):
+    from shelfmatch.operators.catalog import sample_rows
+
+    df = spark.range(1000).select(F.col("id").cast("string").alias("k"))
+    one = sorted(r.k for r in sample_rows(df.coalesce(1), 50, "k").collect())
+    assert len(one) == 50 and sorted(r.k for r in sample_rows(df.repartition(17), 50, "k").collect()) == one
+    assert sorted(r.k for r in sample_rows(df, 50, "k", seed=1).collect()) != one
+    assert sample_rows(df, 2000, "k").count() == 1000
+
+
+def test_reports_come_in_order(spark):
+    from shelfmatch.operators import reports
+
+    rows = [("1", "x", 10.0, c, n, conf, 9.0, None) for c, n, conf in [("b", "m", 0.9), ("a", "n", 0.8), ("b", "o", 0.75), ("a", "p", 1.0), ("c", "q", 0.8)]]
+    long = spark.createDataFrame(rows, "sku string, sku_name string, price double, competitor_name string, competitor_sku_name string, confidence double, competitor_price double, competitor_url string")
+    report = reports.long_report(long.repartition(5), F.lit("2026-01-05").cast("date"), ordered=True)
+    assert [(r[0], r[9]) for r in report.collect()] == [("a", 0.8), ("a", 1.0), ("b", 0.75), ("b", 0.9), ("c", 0.8)]
+    own = spark.createDataFrame([("1", "x", 10.0, "nx"), ("2", "y", 5.0, "ny")], "mkp_sku_id string, mkp_sku_name string, mkp_price double, mkp_sku_name_clean string")
+    scraped = spark.createDataFrame([(k, "shop", f"n{k}", 9.0, None, f"c{k}") for k in range(4)], "scrap_id int, competitor_name string, competitor_sku_name string, competitor_price double, competitor_url string, comp_sku_name_clean string")
+    matches = spark.createDataFrame([("c0", "2", 0.5), ("c1", "1", 0.6), ("c2", "2", 0.9), ("c3", "1", 0.7)], "comp_sku_name_clean string, mkp_sku_id string, confidence double")
+    report = reports.price_report(scraped.repartition(3), own, matches, F.lit("2026-01-05").cast("date"), ordered=True)
+    assert [(r.mkp_sku_id, r.confidence) for r in report.collect()] == [("1", 0.7), ("1", 0.6), ("2", 0.9), ("2", 0.5)]
