@@ -201,6 +201,13 @@ def wide_to_long(spark, sf):
     return reports.wide_to_long(reports.match_wide(own, matches, competitors), competitors)
 
 
+@query("best_match_map", LONG_SQL)
+def best_match_map(spark, sf):
+    """The report of any number of competitors, there and back."""
+    own, _, matches = _reverse(spark, sf)
+    return reports.map_to_long(reports.match_map(own, matches))
+
+
 @query("long_report", f"""
 select competitor_name, sku as mkp_sku_id, sku_name as mkp_sku_name, round(price, 5) as mkp_price, competitor_sku_name,
        coalesce(competitor_url, 'Pending') as competitor_url, round(competitor_price, 5) as competitor_price,

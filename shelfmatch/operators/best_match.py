@@ -356,12 +356,14 @@ def best_match(
     kept = kept_pairs(ours, theirs, scorer.bound, scorer.least(threshold))
 
     def score(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        found = []
+        columns = {"name": [np.zeros(0, object)], "grp": [np.zeros(0, object)], "id": [b.id.to_numpy()[:0]], "confidence": [np.zeros(0)]}
         for g, rows in b.sort_values("id", kind="stable").groupby("grp") if len(a) else []:
-            rows = rows.reset_index(drop=True)
-            li, ri, confidence = scorer.match(a, rows, threshold)
-            found.append(pd.DataFrame({"name": a.text.to_numpy(object)[li], "grp": g, "id": rows.id.iloc[ri].array, "confidence": confidence}))
-        return pd.concat(found, ignore_index=True) if found else pd.DataFrame({"name": [], "grp": [], "id": b.id.iloc[:0], "confidence": []})
+            li, ri, confidence = scorer.match(a, rows.reset_index(drop=True), threshold)
+            for column, values in zip(columns.values(), (a.text.to_numpy(object)[li], np.full(len(li), g, object), rows.id.to_numpy()[ri], confidence)):
+                column.append(values)
+        # plain arrays: pandas may hold texts in chunks, which a struct cannot be made of
+        joined = {c: np.concatenate(v) for c, v in columns.items()}
+        return pd.DataFrame({c: pd.Series(v, dtype=v.dtype) for c, v in joined.items()})
 
     columns = ["text", *scorer.columns]
     mine = with_partners(ours, theirs, kept).select(F.col("own").alias("l"), F.col("partner").alias("r"), *columns)

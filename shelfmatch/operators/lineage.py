@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder under ``spark.checkpoint.dir``, or the warehouse of a session that names none."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the reliable checkpoint folder and read it from there.
 
-    The folder is the one in ``spark.checkpoint.dir``; a session that names none uses one
-    in its warehouse, which driver and executors share as well.
+    The folder is the one in ``spark.checkpoint.dir``.  A session that names none, as on a single machine, uses one in
+    its warehouse; on a cluster the setting must name a folder that driver and executors share.
     """
     spark = df.sparkSession
     sc = spark.sparkContext

@@ -133,6 +133,22 @@ def wide_to_long(wide: DataFrame, competitors: list[str]) -> DataFrame:
     )
 
 
+def match_map(catalog: DataFrame, matches: DataFrame) -> DataFrame:
+    """One row per own product with ``matches``, a map from competitor to its product: a wide report of any width.
+
+    Nothing is asked of the driver, and a new competitor is a new entry, not new columns.
+    """
+    cell = F.struct("competitor_sku_name", "confidence", "competitor_price", "competitor_url")
+    entries = matches.groupBy("sku").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("competitor_name", cell.alias("match"))))).alias("matches"))
+    return catalog.select("sku", "sku_name", "price").join(entries, "sku", "left")
+
+
+def map_to_long(wide: DataFrame) -> DataFrame:
+    """The map report back to one row per own product and competitor."""
+    rows = wide.select("sku", "sku_name", "price", F.explode("matches").alias("competitor_name", "match"))
+    return rows.select("sku", "sku_name", "price", "competitor_name", "match.*")
+
+
 def long_report(long: DataFrame, scraping_date: Column, ordered: bool = False) -> DataFrame:
     """The first version's report: priced rows, difference to 5 decimals, share of the own price.
 

@@ -1,7 +1,8 @@
 """The daily job: one country and day, from files to the match table.
 
 Running a day twice adds nothing: prices are inserted only where their country
-and day are absent, and competitors already matched that day are skipped.
+and day are absent, and competitors already matched that day are skipped.  Both tables are
+written by whole partitions (``put_rows``), so a job that was killed between or inside the two writes can run again.
 """
 
 from __future__ import annotations
@@ -65,7 +66,7 @@ def load_prices(spark: SparkSession, prices_root: str, country: str, day: dt.dat
         raise DataCheckError(f"the price file was rejected: {rejected.reason}")
     check_single_date(rows, day)
     tables.ensure_database(spark, database)
-    tables.insert_if_absent(rows, f"{database}.{PRICES}", given={"country": country, "date": day})
+    tables.put_if_absent(rows, f"{database}.{PRICES}", given={"country": country, "date": day})
 
 
 def run_day(
@@ -81,8 +82,8 @@ def run_day(
     require_files(list_files(spark, folder, "*.txt"), f"there are no scrape files for {day}")
     processed = tables.processed_competitors(spark, f"{database}.{MATCHES}", country, day)
     scan = read_scraped(spark, folder, processed=processed)
-    rows = cut_lineage(scan.rows.where(F.col("country") == country))
-    check_not_empty(scan.rows, f"no scrape data to process for {day}")
+    rows = scan.rows.where(F.col("country") == country)
+    check_not_empty(rows, f"no scrape data to process for {day}")
     matched = cut_lineage(match_day(rows, catalog, threshold, rules, scoring).select(*rows.columns, "sku", "confidence"))
-    tables.append_table(matched, f"{database}.{MATCHES}")
+    tables.put_rows(matched, f"{database}.{MATCHES}", ("country", "date", "competitor_name"))
     return DailyResult(matched, scan.files)

@@ -1,8 +1,8 @@
 """Scan of scraped product lists: text files with a header and a long separator.
 
-The files are read as lines, so a large file is split over many tasks.  The
-header of a file is the first line of its first block and is joined back to the
-lines; the rest is one projection.
+The files are read as lines, so a large file is split over many tasks.  One pass finds the headers (the first line of
+a file's first block), a second one splits and cleans all lines and writes them down with the reason why a line is
+dropped; the rows, the dropped lines and the report of every file are read from there.
 """
 
 from __future__ import annotations
@@ -134,6 +134,7 @@ def read_scraped(
     cleaned = clean_scraped(fields, ["file", "file_name", "too_long"]).withColumn(
         "reason", F.when(F.col("too_long"), "too many fields").otherwise(F.col("reason"))
     )
+    cleaned = cut_lineage(cleaned)
     rows = cleaned.where("reason is null").select(*SCRAPED_SCHEMA.fieldNames())
     counts = cleaned.groupBy("file").agg(
         F.count("*").alias("n_rows"),

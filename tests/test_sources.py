@@ -195,3 +195,38 @@ def test_reports_come_in_order(spark):
     matches = spark.createDataFrame([("c0", "2", 0.5), ("c1", "1", 0.6), ("c2", "2", 0.9), ("c3", "1", 0.7)], "comp_sku_name_clean string, mkp_sku_id string, confidence double")
     report = reports.price_report(scraped.repartition(3), own, matches, F.lit("2026-01-05").cast("date"), ordered=True)
     assert [(r.mkp_sku_id, r.confidence) for r in report.collect()] == [("1", 0.7), ("1", 0.6), ("2", 0.9), ("2", 0.5)]
+
+
+def test_rows_put_twice_are_there_once(spark):
+    tables.ensure_database(spark, "sinks")
+    schema = "v int, country string, date date"
+    day = dt.date(2026, 1, 5)
+    first = spark.createDataFrame([(1, "MX", day), (1, "MX", day), (2, "CO", day), (None, None, day)], schema)
+    more = spark.createDataFrame([(1, "MX", day), (3, "MX", day), (4, "PE", day)], schema)
+    for df in (first, first, more, more, first.where("false")):
+        tables.put_rows(df, "sinks.put")
+    got = sorted(map(tuple, spark.table("sinks.put").select("v", "country").collect()), key=str)
+    assert got == sorted([(1, "MX"), (1, "MX"), (3, "MX"), (2, "CO"), (4, "PE"), (None, None)], key=str)
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode", "STATIC").upper() == "STATIC"
+    with pytest.raises(ValueError, match="partitioned by country, date"):
+        tables.put_rows(first, "sinks.put", ("country",))
+
+
+def test_tables_dealt_by_a_key_are_joined_without_a_shuffle(spark):
+    tables.ensure_database(spark, "sinks")
+    left = spark.range(500).select(F.col("id").cast("string").alias("sku"), "id")
+    tables.write_bucketed(left, "sinks.left", "sku", 4)
+    tables.write_bucketed(left.withColumnRenamed("id", "other"), "sinks.right", "sku", 4)
+    joined = spark.table("sinks.left").join(spark.table("sinks.right").hint("merge"), "sku")
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.where("id = other").count() == 500
+
+
+def test_the_map_report_holds_any_number_of_competitors(spark):
+    from shelfmatch.operators import reports
+
+    own = spark.createDataFrame([("1", "x", 10.0), ("2", "y", 5.0)], "sku string, sku_name string, price double")
+    found = spark.range(3000).selectExpr("'1' as sku", "concat('shop ', id) as competitor_name", "concat('n', id) as competitor_sku_name", "0.9 as confidence", "1.0 as competitor_price", "cast(null as string) as competitor_url")
+    report = reports.match_map(own, found)
+    assert {(r.sku, -1 if r.matches is None else len(r.matches)) for r in report.collect()} == {("1", 3000), ("2", -1)}
+    assert reports.map_to_long(report).select(*found.columns).exceptAll(found).isEmpty() and reports.map_to_long(report).count() == 3000
