@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,6 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructType
+from pyspark.util import inheritable_thread_target
 
 from ..functions.lcs import encode, indel_percents, lcs_pairs
 from ..functions.names import distinct_texts, spread
@@ -349,8 +351,10 @@ def best_match(
         .groupBy(group.cast("string").alias("grp"), F.col(right_name).alias("text"))
         .agg(F.min(right_id).alias("id"))
     )
-    ours = cut_side(_described(texts, scorer), block_chars)
-    theirs = cut_side(_described(spread(names, "grp", "text"), scorer), block_chars)
+    # the sides do not depend on each other: their jobs run side by side
+    with ThreadPoolExecutor(2) as pool:
+        jobs = [pool.submit(inheritable_thread_target(lambda side=side: cut_side(_described(side, scorer), block_chars))) for side in (texts, spread(names, "grp", "text"))]
+        ours, theirs = (job.result() for job in jobs)
     if ours is None or theirs is None:
         return _no_match(left, right, left_name, right_id, by)
     kept = kept_pairs(ours, theirs, scorer.bound, scorer.least(threshold))
