@@ -7,13 +7,17 @@ of the corpus (by doc_id, then place in the text) matches it.
 * Words are ordered by rarity: by how often the corpus has the words of their hash bucket, then by hash.  The table
   has ``BUCKETS`` entries, whatever the corpus; any order gives right results, a good one short groups.
 * Equal sets are one set with its earliest place.  Sets are numbered in order of place.
-* Prefix filter: sets that match share one of their rarest ``n - ceil(0.8 n) + 1`` words.  A set goes to the group of
-  each of these words; crowded groups are split into pairs of chunks.
+* Prefix filter: sets that match share one of their rarest ``n - ceil(0.8 n) + 1`` words, or two of one more.  A set
+  goes to the group of each of these words but those that the corpus has once only.
 * In a group, pairs must pass the length filter, the positional filter (the words behind the shared one must still
-  suffice) and a bitmap filter (64 parities of hashed words differ in no more places than the sets may).
-* A group names for each set the earliest ``k`` partners, and says if there were more.  Named pairs are verified on
-  the words themselves.  Sets without a match so far for which there were more are asked again with a larger ``k``
-  until none is left, so nothing is cut off, and a group of thousands of variants names no quadratic list.
+  suffice) and a bitmap filter (256 parities of hashed words differ in no more places than the sets may).
+* Three steps, each for the sets that the one before left open; a match is decided on the words themselves:
+
+  1. Groups of a word, a crowded one dealt over chunks.  A set names its earliest partner of each chunk, so the
+     variants of one line, thousands or not, are settled by the few that come first.
+  2. Sets whose partner failed, or that have a crowded word: a crowded word's group is cut by the second shared word,
+     and what is still crowded into pairs of chunks.  Only the open sets look for partners, 16 in each group.
+  3. Sets with still more partners: the groups get the words along and verify on the spot, naming no pairs.
 
 Null texts have no lines.  Rows alike in doc_id and text are one document.  A null doc_id counts as -1 in the order.
 Empty and blank lines stay.  An empty table gives an empty result.  Other columns are left alone.
@@ -43,6 +47,10 @@ AT_ONCE = 8 << 20
 ROWS_AT_ONCE = 100_000
 
 _FULL = (1 << 20) - 1
+#: Longs of parities of a set.
+SIGNATURE = ["b0", "b1", "b2", "b3"]
+#: Partners that an open set names in each group before the groups verify on the spot.
+PARTNERS = 16
 
 
 def line_words(line: bytes) -> set[bytes]:
@@ -126,48 +134,65 @@ def _mixed(h: np.ndarray, step: int) -> np.ndarray:
 
 
 def line_sets(rows: DataFrame, frequency: np.ndarray, min_words: int) -> DataFrame:
-    """id, mark, line, s1 and s2 (128 bits for the set), size, bits (parities), prefix (32-bit hashes, rarest first)."""
+    """id, mark, line, s1 and s2 (128 bits for the set), size, parities, prefix (32-bit hashes, rarest first, 0 for words that no other line has)."""
     shared = rows.sparkSession.sparkContext.broadcast(frequency)
-    schema = pa.schema([("id", pa.int64()), ("mark", pa.int64()), ("line", pa.int32()), ("s1", pa.int64()), ("s2", pa.int64()), ("size", pa.int32()), ("bits", pa.int64()), ("prefix", pa.list_(pa.int32()))])
+    schema = pa.schema([("id", pa.int64()), ("mark", pa.int64()), ("line", pa.int32()), ("s1", pa.int64()), ("s2", pa.int64()), ("size", pa.int32()), *((c, pa.int64()) for c in SIGNATURE), ("prefix", pa.list_(pa.int32()))])
 
     def sets(batches):
         for part, w in Words.of(batches):
             # rank of each different word by rarity, then each line's different words in this order
-            order = np.lexsort((w.hashes, shared.value[(w.hashes % np.uint64(BUCKETS)).astype(np.int64)]))
+            often = shared.value[(w.hashes % np.uint64(BUCKETS)).astype(np.int64)]
+            order = np.lexsort((w.hashes, often))
             rank = np.empty(len(order), np.int64)
             rank[order] = np.arange(len(order))
             pairs = np.sort(w.line * len(order) + rank[w.word])
             pairs = pairs[np.diff(pairs, prepend=-1) > 0]
-            line, h = pairs // max(1, len(order)), w.hashes[order[pairs % max(1, len(order))]]
+            line, word = pairs // max(1, len(order)), order[pairs % max(1, len(order))]
             sizes = np.bincount(line, minlength=int(w.text_bounds[-1]))
             kept = sizes[line] >= min_words
-            line, h = line[kept], h[kept]
+            line, word = line[kept], word[kept]
             if not len(line):
                 continue
+            h = w.hashes[word]
             starts = np.flatnonzero(np.concatenate(([True], np.diff(line) > 0)))
             lines, n = line[starts], np.diff(np.append(starts, len(line)))
             text = np.searchsorted(w.text_bounds, lines, side="right") - 1
-            many = n + 4 * n // -5 + 1
+            many = np.minimum(n, n + 4 * n // -5 + 2)
             inside = np.arange(len(line)) - np.repeat(starts, n)
-            prefix = h[inside < np.repeat(many, n)].astype(np.uint32).view(np.int32)
-            bits = np.bitwise_xor.reduceat(np.uint64(1) << (h >> np.uint64(58)), starts)
+            prefix = np.where(often[word] > 1, h.astype(np.uint32).view(np.int32), 0)[inside < np.repeat(many, n)]
+            bit, place = np.uint64(1) << (h >> np.uint64(58)), (h >> np.uint64(56)) & np.uint64(3)
+            bits = {c: np.bitwise_xor.reduceat(np.where(place == k, bit, np.uint64(0)), starts).view(np.int64) for k, c in enumerate(SIGNATURE)}
             s1, s2 = (np.add.reduceat(_mixed(h, k), starts).view(np.int64) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(many))).astype(np.int32)), pa.array(prefix))
             where = pa.array(text)
-            yield table(schema, id=part.column(0).take(where), mark=part.column(1).take(where), line=(lines - w.text_bounds[text]).astype(np.int32), s1=s1, s2=s2, size=n.astype(np.int32), bits=bits.view(np.int64), prefix=lists)
+            yield table(schema, id=part.column(0).take(where), mark=part.column(1).take(where), line=(lines - w.text_bounds[text]).astype(np.int32), s1=s1, s2=s2, size=n.astype(np.int32), prefix=lists, **bits)
+
+    return rows.mapInArrow(sets, f"id long, mark long, line int, s1 long, s2 long, size int, {', '.join(f'{c} long' for c in SIGNATURE)}, prefix array<int>")
+
+
+_ROW = ["key", "i", "j", "meta", "set", *SIGNATURE, "asks"]
+#: Values of ``asks``: a set that others may find, one that looks for an earlier one, and one that does both.
+_FOUND, _LOOKS, _BOTH = 1, 2, 3
+
 
-    return rows.mapInArrow(sets, "id long, mark long, line int, s1 long, s2 long, size int, bits long, prefix array<int>")
+def _alike(a, b) -> bool:
+    """Jaccard similarity of 0.8 or more, of sorted arrays of different words' hashes."""
+    return 9 * len(np.intersect1d(a, b, assume_unique=True)) >= 4 * (len(a) + len(b))
 
 
-def _candidates(batches, k: int):
-    """Rows (word, i, j, meta, set, bits, ask) sorted by the first three and the set: (later, earlier, more) pairs that pass the filters."""
-    held: list[np.ndarray] = []
+def _candidates(batches, k: int | None):
+    """Rows of ``_ROW`` sorted by the first three and the set: (later, earlier, more) pairs that pass the filters, up to
+    ``k`` and one for each later set of a group.  Without ``k`` the rows end with the sets' words, and the pairs are verified ones."""
+    held: list = []
 
-    def pairs(rows: np.ndarray):
+    def pairs(parts: list):
+        rows = np.concatenate([r for r, _ in parts])
+        words = [w for _, part in parts for w in part] if k is None else None
         group = np.concatenate(([0], np.cumsum((np.diff(rows[:, :3], axis=0) != 0).any(axis=1))))
-        size, place, numbers, ask = rows[:, 3] >> 20, rows[:, 3] & _FULL, rows[:, 4], rows[:, 6] > 0
-        bits = np.ascontiguousarray(rows[:, 5]).view(np.uint64)
-        found, named = [], np.zeros(len(rows), np.int64)
+        size, place, numbers = rows[:, 3] >> 20, rows[:, 3] & _FULL, rows[:, 4]
+        bits = np.ascontiguousarray(rows[:, 5:9]).view(np.uint64)
+        found_by, looks = (rows[:, 9] & _FOUND) > 0, (rows[:, 9] & _LOOKS) > 0
+        found, named, most = [], np.zeros(len(rows), np.int64), k or 0
         start = np.flatnonzero(np.concatenate(([True], np.diff(group) != 0)))
         length = np.diff(np.append(start, len(rows)))
         # the p-th entry of each group is offered to all that stand behind it
@@ -178,51 +203,49 @@ def _candidates(batches, k: int):
             live, many = live[many > 0], many[many > 0]
             if not len(live):
                 break
-            a = np.repeat(start[live] + p, many)
-            b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(many) - many, many)
-            fit = ask[b] & (named[b] <= k)
+            known = found_by[start[live] + p]
+            a = np.repeat(start[live] + p, np.where(known, many, 0))
+            b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(many[known]) - many[known], many[known])
+            fit = looks[b] & (named[b] <= most)
             a, b = a[fit], b[fit]
             sa, sb = size[a], size[b]
             need = -(-4 * (sa + sb) // 9)
             fit = (5 * np.minimum(sa, sb) >= 4 * np.maximum(sa, sb)) & (numbers[a] != numbers[b])
             fit &= 1 + np.minimum(sa - place[a] - 1, sb - place[b] - 1) >= need
-            fit &= np.bitwise_count(bits[a] ^ bits[b]).astype(np.int64) <= sa + sb - 2 * need
+            a, b, spare = a[fit], b[fit], (sa + sb - 2 * need)[fit]
+            fit = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64) <= spare
             a, b = a[fit], b[fit]
+            if words is not None:
+                fit = np.fromiter((_alike(words[x], words[y]) for x, y in zip(a, b)), bool, len(a))
+                a, b = a[fit], b[fit]
             named[b] += 1
-            found.append((numbers[b], numbers[a], named[b] > k))
+            if len(b):
+                found.append((numbers[b], numbers[a], named[b] > most))
             p += 1
         later, earlier, more = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool))
         return pa.RecordBatch.from_arrays([pa.array(later), pa.array(earlier), pa.array(more)], names=["later", "earlier", "more"])
 
     size = 0
     for batch in batches:
-        rows = np.stack([c.to_numpy() for c in batch.columns], axis=1)
+        rows = np.stack([c.to_numpy() for c in batch.columns[: len(_ROW)]], axis=1)
         if not len(rows):
             continue
-        held.append(rows)
+        words = [] if k is not None else [np.array(w, np.int64) for w in batch.column(len(_ROW)).to_pylist()]
+        held.append((rows, words))
         size += len(rows)
         ends = np.flatnonzero((rows[:, :3] != rows[-1, :3]).any(axis=1))
         if len(ends) and size >= ROWS_AT_ONCE:
-            yield pairs(np.concatenate([*held[:-1], rows[: ends[-1] + 1]]))
-            held = [rows[ends[-1] + 1 :]]
-            size = len(held[0])
+            cut = ends[-1] + 1
+            yield pairs([*held[:-1], (rows[:cut], words[:cut])])
+            held = [(rows[cut:], words[cut:])]
+            size = len(rows) - cut
     if held:
-        yield pairs(np.concatenate(held))
-
-
-def _grouped(index: DataFrame) -> DataFrame:
-    """word, i, j: groups of bounded size in which every two sets of a word meet."""
-    crowded = small_side(index.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") > CHUNK), "crowded")
-    chunks = F.coalesce(F.ceil(F.col("n") / CHUNK), F.lit(1)).cast("long")
-    placed = index.join(crowded, "word", "left").withColumn("k", chunks).withColumn("mine", F.pmod(F.xxhash64("set"), F.col("k")))
-    placed = placed.select("word", "meta", "set", "bits", "ask", "mine", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)).alias("other"))
-    groups = placed.select("word", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "meta", "set", "bits", "ask")
-    return groups.repartition("word", "i", "j").sortWithinPartitions("word", "i", "j", "set")
+        yield pairs(held)
 
 
 def _words_of(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """set, words: the words of the given sets (set, id, mark, line), from the texts."""
-    schema = pa.schema([("set", pa.int64()), ("words", pa.list_(pa.binary()))])
+    """set, words: the sorted hashes of the words of the given sets (set, id, mark, line), from the texts."""
+    schema = pa.schema([("set", pa.int64()), ("words", pa.list_(pa.int64()))])
 
     def read(batches):
         for b in batches:
@@ -232,48 +255,109 @@ def _words_of(rows: DataFrame, sets: DataFrame) -> DataFrame:
                 for text, wanted in zip(_unpacked(texts), many):
                     lines = text.split(b"\n")
                     for w in wanted:
+                        words = line_words(lines[w["line"]])
                         out[0].append(w["set"])
-                        out[1].append(sorted(line_words(lines[w["line"]])))
+                        out[1].append(np.sort(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).view(np.int64)))
                 yield table(schema, set=out[0], words=out[1])
 
     wanted = sets.groupBy("id", "mark").agg(F.collect_list(F.struct("set", "line")).alias("wanted"))
-    texts = _packed(rows).join(wanted, ["id", "mark"]).select("text", "wanted")
-    return texts.mapInArrow(read, "set long, words array<binary>").dropDuplicates(["set"])
+    wanted = small_side(wanted, "wanted")
+    texts = _packed(rows.join(wanted.select("id", "mark"), ["id", "mark"], "left_semi")).join(wanted, ["id", "mark"]).select("text", "wanted")
+    return texts.mapInArrow(read, "set long, words array<long>").dropDuplicates(["set"])
+
+
+def _verified(batches):
+    """Rows (later, more, a, b): later, match, more."""
+    for batch in batches:
+        later, more, a, b = batch.columns
+        a, b = ([np.array(x, np.int64) for x in c.to_pylist()] for c in (a, b))
+        match = np.fromiter(map(_alike, a, b), bool, len(a))
+        yield pa.RecordBatch.from_arrays([later, pa.array(match), more], names=["later", "match", "more"])
+
+
+def _sorted_groups(entries: DataFrame) -> DataFrame:
+    return entries.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "set")
+
+
+def _chunks(n):
+    return F.coalesce(F.ceil(F.col(n) / CHUNK), F.lit(1)).cast("long")
+
+
+def _part(of: str):
+    return F.pmod(F.xxhash64("set"), F.col(of))
+
+
+def _dealt(entries: DataFrame, asked: DataFrame) -> DataFrame:
+    """Groups of bounded size in which each asked set meets every set that shares a key with it."""
+    keys = entries.join(asked, "set", "left_semi").groupBy("key").agg(F.count("*").alias("n_asked"))
+    entries = entries.join(staged(keys, "asked-keys"), "key")
+    entries = staged(entries, "asked-entries")
+    crowded = small_side(entries.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CHUNK), "crowded-keys")
+    entries = entries.join(crowded, "key", "left").select("key", "meta", "set", *SIGNATURE, _chunks("n").alias("k"), _chunks("n_asked").alias("k_asked"))
+    every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    rest = ["meta", "set", *SIGNATURE]
+    found = entries.select("key", _part("k").alias("i"), every("k_asked").alias("j"), *rest, F.lit(_FOUND).cast("long").alias("asks"))
+    looks = entries.join(asked, "set", "left_semi").select("key", every("k").alias("i"), _part("k_asked").alias("j"), *rest, F.lit(_LOOKS).cast("long").alias("asks"))
+    return found.union(looks)
 
 
 def matched_sets(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """The sets that match one of an earlier place."""
-    word = F.posexplode("prefix").alias("place", "word")
-    index = sets.select("set", "size", "bits", word)
-    index = index.select(F.col("word").cast("long").alias("word"), (F.shiftleft(F.col("size").cast("long"), 20) + F.least(F.col("place"), F.lit(_FULL))).alias("meta"), "set", "bits")
-    asked, done, k = None, None, 1
-    while True:
-        if asked is None:
-            current = index.withColumn("ask", F.lit(1).cast("long"))
-        else:  # only the groups of sets that still ask
-            words_asked = small_side(index.join(asked, "set", "left_semi").select("word").distinct(), "asked-words")
-            current = index.join(words_asked, "word", "left_semi").join(asked.withColumn("ask", F.lit(1).cast("long")), "set", "left").fillna(0, ["ask"])
-        named = _grouped(current).mapInArrow(lambda b, k=k: _candidates(b, k), "later long, earlier long, more boolean")
+    prefix = "size - (4 * size + 4) div 5 + 1"  # words of which one is shared
+    index = sets.where("size > 3").select("set", "size", *SIGNATURE, "prefix", F.posexplode(F.expr(f"slice(prefix, 1, cast({prefix} as int))")).alias("place", "word")).where("word != 0")
+    meta = (F.shiftleft(F.col("size").cast("long"), 20) + F.least("place", F.lit(_FULL))).alias("meta")
+    columns = [F.col("word").cast("long").alias("key"), meta, "set", *SIGNATURE]
+    crowded = small_side(index.groupBy(F.col("word").cast("long").alias("key")).agg(F.count("*").alias("n")).where(F.col("n") > CHUNK), "crowded")
+
+    def settled(named: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The later sets of verified pairs, and those without such a pair that have more."""
         named = staged(named.groupBy("later", "earlier").agg(F.max("more").alias("more")), "named-pairs")
         ids = named.select(F.col("later").alias("set")).union(named.select("earlier")).distinct()
         words = staged(_words_of(rows, sets.join(ids, "set").select("set", "id", "mark", "line")), "words")
         pairs = named.join(words.select(F.col("set").alias("later"), F.col("words").alias("a")), "later").join(words.select(F.col("set").alias("earlier"), F.col("words").alias("b")), "earlier")
-        same = 9 * F.size(F.array_intersect("a", "b")) >= 4 * (F.size("a") + F.size("b"))
-        found = staged(pairs.groupBy("later").agg(F.max(same).alias("match"), F.max("more").alias("more")), "verdicts")
-        match = found.where("match").select(F.col("later").alias("set"))
-        done = match if done is None else done.union(match)
-        asked = small_side(found.where("more and not match").select(F.col("later").alias("set")), "asked")
-        if asked.isEmpty():
-            return done
-        k *= 64
+        verdicts = pairs.select("later", "more", "a", "b").mapInArrow(_verified, "later long, match boolean, more boolean")
+        found = staged(verdicts.groupBy(F.col("later").alias("set")).agg(F.max("match").alias("match"), F.max("more").alias("more")), "verdicts")
+        return found.where("match").select("set"), found.where("more and not match").select("set")
+
+    def named_in(groups: DataFrame, k: int | None) -> DataFrame:
+        return _sorted_groups(groups).mapInArrow(lambda b: _candidates(b, k), "later long, earlier long, more boolean")
+
+    home = index.select(*columns).join(crowded, "key", "left").withColumn("k", _chunks("n"))
+    home = home.select("key", _part("k").alias("i"), F.lit(0).cast("long").alias("j"), "meta", "set", *SIGNATURE, F.lit(_BOTH).cast("long").alias("asks"))
+    done, asked = settled(named_in(home, 1))
+    crowds = not crowded.isEmpty()
+    if crowds:
+        asked = asked.union(index.select(*columns).join(crowded, "key", "left_semi").select("set").distinct().join(done, "set", "left_anti")).distinct()
+    asked = small_side(asked, "asked")
+    if asked.isEmpty():
+        return done
+
+    entries = index.select(*columns)
+    if crowds:
+        entries = entries.join(crowded, "key", "left_anti")
+        among = index.withColumn("key", F.col("word").cast("long")).join(crowded, "key", "left_semi")
+        second = among.select("word", "place", "size", "set", *SIGNATURE, F.explode(F.expr("slice(prefix, place + 2, size)")).alias("second")).where("second != 0")
+        entries = entries.union(second.select(F.xxhash64("word", "second").alias("key"), meta, "set", *SIGNATURE))
+    groups = staged(_dealt(entries, asked), "asked-groups")
+    found, asked = settled(named_in(groups, PARTNERS))
+    done = done.union(found)
+    asked = small_side(asked, "still-asked")
+    if asked.isEmpty():
+        return done
+
+    groups = _dealt(entries.join(asked.select("set"), "set", "left_semi").select("key").distinct().join(entries, "key"), asked)
+    words = _words_of(rows, sets.join(groups.select("set").distinct(), "set", "left_semi").select("set", "id", "mark", "line"))
+    groups = groups.join(words, "set").select(*_ROW, "words")
+    found = staged(named_in(groups, None).select(F.col("later").alias("set")).distinct(), "verified")
+    return done.union(found)
 
 
 def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """id, mark and ``gone``: the numbers (from 0) of each text's lines that match an earlier one."""
     rows = _keyed(docs)
     lines = staged(line_sets(rows, word_frequencies(rows), min_words), "lines")
-    first = lines.groupBy("s1", "s2").agg(F.min(F.struct("id", "mark", "line")).alias("at"), F.first("size").alias("size"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
-    in_order = first.select("s1", "s2", "at.*", "size", "bits", "prefix").orderBy("id", "mark", "line")
+    first = lines.groupBy("s1", "s2").agg(F.min(F.struct("id", "mark", "line")).alias("at"), *(F.first(c).alias(c) for c in ["size", *SIGNATURE, "prefix"]))
+    in_order = first.select("s1", "s2", "at.*", "size", *SIGNATURE, "prefix").orderBy("id", "mark", "line")
     sets = staged(in_order.withColumn("set", F.monotonically_increasing_id()), "line-sets")
     matched = matched_sets(rows, sets).withColumn("late", F.lit(True))
     known = sets.select("s1", "s2", "set", F.struct("id", "mark", "line").alias("at")).join(matched, "set", "left")
