@@ -43,7 +43,7 @@ BUCKETS = 1 << 20
 CHUNK = 2048
 
 #: Bytes of text whose words are looked at together, and rows whose groups are.
-AT_ONCE = 8 << 20
+AT_ONCE = 2 << 20
 ROWS_AT_ONCE = 100_000
 
 _FULL = (1 << 20) - 1
