@@ -41,6 +41,8 @@ MIN_WORDS = 5
 BUCKETS = 1 << 20
 #: Sets of a word's group that a task compares with each other, or chunk with chunk.
 CHUNK = 2048
+#: As many times larger are the chunks in which only open sets look for partners.
+WIDER = 8
 
 #: Bytes of text whose words are looked at together, and rows whose groups are.
 AT_ONCE = 2 << 20
@@ -279,8 +281,8 @@ def _sorted_groups(entries: DataFrame) -> DataFrame:
     return entries.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "set")
 
 
-def _chunks(n):
-    return F.coalesce(F.ceil(F.col(n) / CHUNK), F.lit(1)).cast("long")
+def _chunks(n: str, wider: int = 1):
+    return F.coalesce(F.ceil(F.col(n) / (wider * CHUNK)), F.lit(1)).cast("long")
 
 
 def _part(of: str):
@@ -292,8 +294,8 @@ def _dealt(entries: DataFrame, asked: DataFrame) -> DataFrame:
     keys = entries.join(asked, "set", "left_semi").groupBy("key").agg(F.count("*").alias("n_asked"))
     entries = entries.join(staged(keys, "asked-keys"), "key")
     entries = staged(entries, "asked-entries")
-    crowded = small_side(entries.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CHUNK), "crowded-keys")
-    entries = entries.join(crowded, "key", "left").select("key", "meta", "set", *SIGNATURE, _chunks("n").alias("k"), _chunks("n_asked").alias("k_asked"))
+    crowded = small_side(entries.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > WIDER * CHUNK), "crowded-keys")
+    entries = entries.join(crowded, "key", "left").select("key", "meta", "set", *SIGNATURE, _chunks("n", WIDER).alias("k"), _chunks("n_asked", WIDER).alias("k_asked"))
     every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
     rest = ["meta", "set", *SIGNATURE]
     found = entries.select("key", _part("k").alias("i"), every("k_asked").alias("j"), *rest, F.lit(_FOUND).cast("long").alias("asks"))
