@@ -52,6 +52,14 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores in front of it until no column of ``docs`` is called so."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def text_array(column: pa.Array) -> pa.Array:
     """A text column as an array with 64-bit offsets, whatever its length."""
     return column.cast(pa.large_string())

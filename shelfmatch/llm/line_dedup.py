@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from .common import small_side, staged, table, text_of
+from .common import free_name, small_side, staged, table, text_of
 
 MIN_WORDS = 5
 #: Entries of the table of word frequencies.
@@ -403,7 +403,7 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def keep_new_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with the matching lines taken out of ``text``; rows that thus lose their last word go."""
     gone = removed_lines(docs, min_words)
-    rest = F.struct(*(docs[c] for c in docs.columns if c != "text"), F.lit(0).alias("_")).alias("rest")
+    rest = F.struct(*(docs[c] for c in docs.columns if c != "text"), F.lit(0).alias(free_name(docs, "_"))).alias("rest")
     text = text_of(docs)
     rows = docs.select(F.coalesce(docs["doc_id"].cast("long"), F.lit(-1).cast("long")).alias("id"), F.xxhash64(text).alias("mark"), rest, docs["text"])
     joined = _packed(rows).join(gone, ["id", "mark"], "left").select("rest", F.col("gone").isNotNull().alias("shorter"), "text", "gone")

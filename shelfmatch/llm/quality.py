@@ -3,11 +3,12 @@
 Lines are normalised (lower case, digits as 0, single blanks) and hashed to 128 bits.  Per host (``source``) the
 distinct documents of each line are counted; exact copies of a text are one document there, so copies do not condemn
 each other.  A line in more than ``max_documents`` documents of a host is removed from all of them but the first
-(smallest doc_id): ``keep_good`` returns the texts without it, ``quality_rules`` their digests.  A document left with less than ``min_share`` of its words is depleted and rejected, and so is one
-that fails the base rules: fewer than 50 words, or over half its words in repeated windows of three.
+(smallest doc_id, a null one last; of texts with the same, smallest MD5): ``keep_good`` returns the texts without it,
+``quality_rules`` their digests.  A document left with less than ``min_share`` of its words is depleted and rejected, and
+so is one that fails the base rules: fewer than 50 words, or over half its words in repeated windows of three.
 
 Null text: no words, so rejected.  Null source: the host ''.  Repeated rows get the same verdict.  An empty table gives
-an empty result.  Other columns of ``docs`` are left alone.
+an empty result.  Other columns of ``docs`` are left alone, whatever their names and though they may tell of the whole text.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import by_batch, small_side, staged, text_key, text_of
+from .common import by_batch, free_name, small_side, staged, text_key, text_of
 
 #: Distinct documents of a host that may share a line.
 MAX_DOCUMENTS = 100
@@ -94,7 +95,9 @@ def lost_lines(features: DataFrame, max_documents: int = MAX_DOCUMENTS, min_shar
     common = per_text.groupBy("host", "line").agg(F.count("*").alias("n"), F.min("first_doc").alias("first_doc")).where(F.col("n") > max_documents)
     texts = features.select("host", "key", "n_words", "lines", "doc_id").groupBy("host", "key").agg(F.min("doc_id").alias("own_doc"), F.first("n_words").alias("n_words"), F.first("lines").alias("lines"))
     own = texts.select("host", "key", "own_doc", "n_words", F.explode("lines").alias("x")).select("host", "key", "own_doc", "n_words", F.col("x.line").alias("line"), F.col("x.words").alias("words"))
-    lost = own.join(common.select("host", "line", "first_doc"), ["host", "line"]).where(~F.col("own_doc").eqNullSafe(F.col("first_doc")))
+    above = staged(own.join(common.select("host", "line", "first_doc"), ["host", "line"]), "lines-above")
+    firsts = above.where(F.col("own_doc").eqNullSafe(F.col("first_doc"))).groupBy("host", "line").agg(F.min("key").alias("first_key"))
+    lost = above.join(firsts, ["host", "line"]).where("key != first_key")
     lost = lost.groupBy("host", "key").agg(F.sum("words").alias("removed_words"), F.first("n_words").alias("n_words"), F.collect_set("line").alias("gone"))
     return lost.select("host", "key", "removed_words", "gone", (F.col("n_words") - F.col("removed_words") < min_share * F.col("n_words")).alias("depleted"))
 
@@ -153,9 +156,10 @@ def keep_good(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, min_share: fl
     """The rows of ``docs`` that pass, without the lines above the limit in their texts, the other columns as they are."""
     verdicts, lost = _verdicts(docs, max_documents, min_share)
     host, key = _keys(docs)
-    verdicts = verdicts.where("kept").select(F.col("host").alias("_host"), F.col("key").alias("_key")).distinct()
-    good = docs.join(verdicts, (host == verdicts["_host"]) & (key == verdicts["_key"]), "left_semi")
-    lost = lost.select(F.col("host").alias("_host"), F.col("key").alias("_key"), F.col("gone").alias("_gone"))
+    kept = verdicts.where("kept").select(F.col("host").alias("kept_host"), F.col("key").alias("kept_key")).distinct()
+    good = docs.join(kept, (host == kept["kept_host"]) & (key == kept["kept_key"]), "left_semi")
+    gone = free_name(docs, "gone")
+    lost = lost.select(F.col("host").alias("lost_host"), F.col("key").alias("lost_key"), F.col("gone").alias(gone))
     host, key = _keys(good)
-    joined = good.join(lost, (host == lost["_host"]) & (key == lost["_key"]), "left").select(*(good[c] for c in good.columns), lost["_gone"])
+    joined = good.join(lost, (host == lost["lost_host"]) & (key == lost["lost_key"]), "left").select(*(good[c] for c in good.columns), lost[gone])
     return _taken_out(joined, "text")

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_batch, links_to_roots, small_side, staged, text_of
+from .common import by_batch, free_name, links_to_roots, small_side, staged, text_key, text_of
 
 MAX_BITS = 3
 #: Fingerprints of a cell that a task compares with each other, or chunk with chunk.
@@ -157,20 +157,25 @@ def near_links(prints: DataFrame) -> DataFrame:
     return groups.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j").mapInArrow(_find_links, "a long, b long")
 
 
-def simhash(docs: DataFrame) -> DataFrame:
-    """doc_id, print (long), component_id (smallest doc_id reachable) per document."""
-    schema = pa.schema([("doc_id", pa.int64()), ("print", pa.int64())])
+def _labelled(docs: DataFrame) -> DataFrame:
+    """doc_id, mark (stands for the text), print (long), component_id (smallest doc_id reachable) and root of its component per document."""
+    schema = pa.schema([("doc_id", pa.int64()), ("mark", pa.binary()), ("print", pa.int64())])
 
-    def prints_of(doc_id, text):
-        return {"doc_id": doc_id, "print": np.array([fingerprint(t) for t in text], np.uint64).view(np.int64)}
+    def prints_of(doc_id, mark, text):
+        return {"doc_id": doc_id, "mark": mark, "print": np.array([fingerprint(t) for t in text], np.uint64).view(np.int64)}
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
-    own = staged(rows.mapInArrow(by_batch(prints_of, schema), "doc_id long, print long"), "prints")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(text_of(docs)).alias("mark"), text_of(docs).alias("text"))
+    own = staged(rows.mapInArrow(by_batch(prints_of, schema), "doc_id long, mark binary, print long"), "prints")
     distinct = staged(own.groupBy("print").agg(F.min("doc_id").alias("first_doc")), "distinct-prints")
     roots = links_to_roots(near_links(distinct.select("print")))
     labels = distinct.join(roots, distinct["print"] == roots["node"], "left").select("print", "first_doc", F.coalesce("root", "print").alias("root"))
     ids = labels.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    return own.join(labels.join(ids, "root").select("print", "component_id"), "print").select("doc_id", "print", "component_id")
+    return own.join(labels.join(ids, "root").select("print", "root", "component_id"), "print")
+
+
+def simhash(docs: DataFrame) -> DataFrame:
+    """doc_id, print (long), component_id (smallest doc_id reachable) per document."""
+    return _labelled(docs).select("doc_id", "print", "component_id")
 
 
 def hex_print(col):
@@ -178,9 +183,27 @@ def hex_print(col):
 
 
 def keep_one_each(docs: DataFrame) -> DataFrame:
-    """One row of ``docs`` for each component, that of the smallest doc_id; rows without doc_id stay."""
-    found = simhash(docs).where("doc_id = component_id").select("doc_id").distinct()
-    ids = found["doc_id"]
-    named = docs.where(docs["doc_id"].isNotNull())
-    kept = named.join(found, named["doc_id"] == ids, "left_semi").dropDuplicates(["doc_id"])
-    return kept.union(docs.where(docs["doc_id"].isNull()))
+    """One row of ``docs`` for each component: that of the smallest doc_id, a null one last; of several texts with this
+    doc_id the one of smallest MD5; of rows alike in both any one.
+
+    Texts stay where they are unless the rows to drop are many: what is joined with them is doc_id and MD5 of those.
+    """
+    rows = staged(_labelled(docs).groupBy("root", "doc_id", "mark").agg(F.count("*").alias("n")), "labelled")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark")
+    first = rows.groupBy("root").agg(F.min(order).alias("at")).select(F.col("root").alias("first_root"), "at.doc_id", "at.mark")
+    same = (rows["root"] == first["first_root"]) & rows["doc_id"].eqNullSafe(first["doc_id"]) & (rows["mark"] == first["mark"])
+    kept = rows.join(first, same, "left_semi")
+    late = small_side(rows.join(first, same, "left_anti").select("doc_id", "mark"), "late")
+    repeated = small_side(kept.where("n > 1").select("doc_id", "mark"), "repeated")
+
+    def is_in(keys: DataFrame):
+        return docs["doc_id"].cast("long").eqNullSafe(keys["doc_id"]) & (text_key(text_of(docs)) == keys["mark"])
+
+    out = docs.join(late, is_in(late), "left_anti")
+    if repeated.isEmpty():
+        return out
+    twice = docs.join(repeated, is_in(repeated), "left_semi")
+    id_name, text_name = free_name(docs, "id_key"), free_name(docs, "text_key")
+    one_each = twice.withColumns({id_name: twice["doc_id"].cast("long"), text_name: text_key(text_of(twice))}).dropDuplicates([id_name, text_name]).drop(id_name, text_name)
+    once = late.union(repeated)
+    return docs.join(once, is_in(once), "left_anti").union(one_each)

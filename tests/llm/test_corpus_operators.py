@@ -126,6 +126,28 @@ def test_lines_of_many_variants(spark):
     assert found == {i for i, _ in gone}
 
 
+def test_lines_beside_columns_of_any_name(spark):
+    line = "one line of seven quite different words"
+    rows = [(1, line, 5, "a"), (2, f"{line}\nand another line that has enough words", 6, "b"), (3, f"{line} {line}", 7, "c")]
+    kept = line_dedup.keep_new_lines(spark.createDataFrame(rows, "doc_id long, text string, _ int, gone string"))
+    assert sorted(map(tuple, kept.collect())) == [(1, line, 5, "a"), (2, "and another line that has enough words", 6, "b")]
+
+
+@pytest.mark.parametrize("chunk", [2, 64])
+def test_crowded_words_and_open_sets(spark, monkeypatch, chunk):
+    """Lines that share all their rare words and mostly just fail, so that every step of the join has work."""
+    monkeypatch.setattr(line_dedup, "CHUNK", chunk)
+    monkeypatch.setattr(line_dedup, "WIDER", 1)
+    monkeypatch.setattr(line_dedup, "PARTNERS", 1)
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(26)]
+    rows = [(i, " ".join(rng.sample(words, rng.randint(19, 22)))) for i in range(90)]
+    gone = brute_lines(rows)
+    assert 0 < len(gone) < len(rows)
+    found = {r["doc_id"] for r in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).where("n_removed > 0").collect()}
+    assert found == {i for i, _ in gone}
+
+
 def brute_print(text):
     words = (text or "").encode().lower().split()
     shingles = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
@@ -156,6 +178,13 @@ def test_simhash(docs, none, corpus):
     assert sorted(r["doc_id"] for r in kept.where("doc_id is not null").collect()) == sorted({x for x in least.values() if x is not None})
 
 
+def test_one_of_each_component_whatever_the_ids(spark):
+    t, u, v, w = ("here is a text of several words", "some entirely other text with more words", "a third one unlike them both", "the last of four")
+    rows = [(2, t, 1), (2, u, 2), (5, u, 3), (7, t, 4), (None, t, 5), (None, v, 6), (None, v, 6), (8, w, 7), (8, w, 7), (None, w, 8)]
+    kept = simhash.keep_one_each(spark.createDataFrame(rows, "doc_id long, text string, id_key int"))
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(2, t, 1), (2, u, 2), (None, v, 6), (8, w, 7)], key=str)
+
+
 @pytest.mark.parametrize("chunk", [1024, 4])
 def test_links_between_fingerprints(spark, monkeypatch, chunk):
     monkeypatch.setattr(simhash, "CHUNK", chunk)

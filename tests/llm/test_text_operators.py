@@ -138,6 +138,20 @@ def test_common_lines_deplete_all_but_the_first(spark):
     assert all(kept[i] for i in kept if i >= 100)
 
 
+def test_common_lines_of_documents_without_ids_beside_columns_of_any_name(spark):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(3000)]
+    common = "Click here 4 more of this page"
+    rows = [(None, f"{' '.join(rng.sample(words, 60))}\n{common}", "h", i, "x") for i in range(8)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, gone int, _gone string")
+    kept = quality.keep_good(frame, max_documents=5)
+    assert kept.schema == frame.schema
+    found = kept.collect()
+    assert sorted(r["gone"] for r in found) == list(range(8)) and {r["_gone"] for r in found} == {"x"}
+    first = min(rows, key=lambda r: hashlib.md5(r[1].encode()).digest())
+    assert [r["gone"] for r in found if common in r["text"]] == [first[3]]
+
+
 def test_kept_documents_lose_common_lines(spark):
     rng = random.Random(7)
     words = [f"w{i}" for i in range(3000)]
