@@ -5,7 +5,8 @@ A model gives a letter after the ``ORDER - 1`` before it (in its word) its disco
 discount frees goes to the shared backoff, a Kneser-Ney model over both classes together whose lower orders count in
 how many contexts a letter was seen.  Rare expressions thus rest on counts that both models share and say little, while
 a stem that the toxic documents favour speaks in all its forms.  A text's score is the difference of its log-likelihoods
-per word, put on the scale of probabilities by a logistic fit on labelled documents that the counts did not see.
+per word, put on the scale of probabilities by a logistic fit on labelled documents that the counts did not see.  The
+same documents choose the discount of the classes, by the likelihood of their labels.
 
 The models are fitted on at most ``MAX_LABELLED`` documents of each class, those of the smallest hash of their id, so
 that their size does not follow the corpus.
@@ -31,8 +32,8 @@ from .common import staged, table, text_of
 #: Labelled documents of each class that the models are fitted on.
 MAX_LABELLED = 4000
 ORDER = 7
-#: Taken off each count of a class; off the shared counts ``SHARED_DISCOUNT``.
-DISCOUNT = 2.0
+#: Taken off each count of a class: the one of these that rates labelled documents best.  ``SHARED_DISCOUNT`` goes off the shared counts.
+DISCOUNTS = (0.75, 1.25, 2.0, 3.0)
 SHARED_DISCOUNT = 0.75
 #: Words whose differences a worker remembers.
 REMEMBERED = 500_000
@@ -84,7 +85,7 @@ def _contexts(counts: dict, discount: float) -> dict[str, tuple[float, float]]:
 class Model:
     """Differences of the classes' log-likelihoods by gram, and by context for letters not seen after it."""
 
-    def __init__(self, counts: list[tuple[str, int, int]]):
+    def __init__(self, counts: list[tuple[str, int, int]], discount: float):
         shared = {g: a + b for g, a, b in counts}
         orders = [shared]
         for _ in range(ORDER - 1):
@@ -92,7 +93,7 @@ class Model:
         orders = [(x, _contexts(x, SHARED_DISCOUNT)) for x in reversed(orders)]
         letters = len(orders[0][0]) + 1
         classes = [{g: n for g, *both in counts if (n := both[c])} for c in (0, 1)]
-        contexts = [_contexts(x, DISCOUNT) for x in classes]
+        contexts = [_contexts(x, discount) for x in classes]
 
         def backoff(gram: str) -> float:
             p = 1 / letters
@@ -109,7 +110,7 @@ class Model:
             chance = []
             for c in (0, 1):
                 n, freed = contexts[c].get(g[:-1], (1, 1.0))
-                chance.append(max(classes[c].get(g, 0) - DISCOUNT, 0) / n + freed * p)
+                chance.append(max(classes[c].get(g, 0) - discount, 0) / n + freed * p)
             self.gram[g] = math.log(chance[1] / chance[0])
         self.context = {c: math.log(x[1] / x[0]) for c, x in free.items()}
         self.scale, self.shift = 1.0, 0.0
@@ -151,6 +152,12 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, f
     return float(max(a, 0.0) / unit), float(b)
 
 
+def log_loss(x: np.ndarray, y: np.ndarray, weight: np.ndarray, scale: float, shift: float) -> float:
+    """Weighted mean of -log of the chance that the logistic curve gives each y."""
+    z = np.clip(scale * x + shift, -60, 60)
+    return float((weight * (np.logaddexp(0, z) - y * z)).sum() / weight.sum())
+
+
 def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None) -> Model | float:
     """A model from the labelled documents, or the share of toxic labels where a class has none."""
     spark = docs.sparkSession
@@ -168,20 +175,26 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None) -> Mod
     counts = list(zip(*(counts.column(c).to_pylist() for c in ("gram", "n0", "n1"))))
     if not all(any(r[k] for r in counts) for k in (1, 2)):
         return n.get(1, 0) / max(1, sum(n.values()))
-    model = Model(counts)
-    shared = spark.sparkContext.broadcast(model)
-
-    def rate(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shared.value.difference(x) for x in b.column(1).to_pylist()])], names=["toxic", "x"])
-
-    held = known.where("held").select("toxic", "text").mapInArrow(rate, "toxic int, x double").collect()  # a bounded sample
-    x, y = np.array([r["x"] for r in held]), np.array([float(r["toxic"]) for r in held])
-    if len(set(y.tolist())) == 2:
-        share = y.mean()
-        true = n[1] / (n[0] + n[1])
-        model.scale, model.shift = logistic(x, y, np.where(y == 1, true / share, (1 - true) / (1 - share)))
-    return model
+    held = known.where("held").select("toxic", "text")
+    tried = []
+    for discount in DISCOUNTS:
+        model = Model(counts, discount)
+        shared = spark.sparkContext.broadcast(model)
+
+        def rate(batches, shared=shared):
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shared.value.difference(x) for x in b.column(1).to_pylist()])], names=["toxic", "x"])
+
+        rated = held.mapInArrow(rate, "toxic int, x double").collect()  # of a bounded sample
+        shared.unpersist()
+        x, y = np.array([r["x"] for r in rated]), np.array([float(r["toxic"]) for r in rated])
+        if len(set(y.tolist())) < 2:  # nothing to choose or to calibrate by
+            return model
+        share, true = y.mean(), n[1] / (n[0] + n[1])
+        weight = np.where(y == 1, true / share, (1 - true) / (1 - share))
+        model.scale, model.shift = logistic(x, y, weight)
+        tried.append((log_loss(x, y, weight, model.scale, model.shift), discount, model))
+    return min(tried, key=lambda t: t[:2])[2]
 
 
 def score(docs: DataFrame, model: Model | float) -> DataFrame:
