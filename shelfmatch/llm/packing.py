@@ -8,9 +8,11 @@ whatever the corpus:
    together holding every length as often as it occurs.
 2. Multiplicative weights solve it: a length weighs exponentially less the more of its demand is met.  A knapsack
    dynamic program prices the lengths by their weights; it gives the best configuration and, for each length, the best
-   one that holds it.  Those near the best are raised a little, and the weights follow.
-3. Rounding: the amounts are rounded down, and what is left over is placed by best-fit decreasing, first into the room
-   that the chosen configurations leave, then into new sequences.
+   one that holds it.  Those near the best are raised a little, and the weights follow.  Every pricing bounds the
+   number of sequences from below.
+3. Rounding: amounts are rounded down, and the program is solved again for what is left, from the weights that it
+   ended with; once little is rounded down, fractions are rounded up, full sequences first.  When no configuration fits any more,
+   the few pieces left go by best-fit decreasing into the room of the sequences made, then into new ones.
 
 Each piece finds its place by its rank among the pieces of its length.  Ranks are counted per task and offset by the
 counts of earlier tasks, so a length that a third of all pieces share meets in no task.
@@ -22,6 +24,7 @@ Null text: empty, one end id.  Repeated rows are packed each.  An empty table pa
 from __future__ import annotations
 
 import zlib
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -34,67 +37,153 @@ from .tokens import encoder
 
 CAPACITY = 2048
 
+#: Phases of the program, (rate at which weights follow what is met, rounds): the first time, and for what rounding leaves.
+PHASES = ((1.0, 60), (0.3, 40))
+PHASES_AGAIN = ((0.3, 20),)
+#: Distance from the dual bound at which a phase ends.
+GAP = 0.01
+#: Share of a length's demand that a round meets at most; configurations this near the best are raised.
+STEP = 0.2
+NEAR = 0.03
+#: Share of a sequence from which it counts as full when fractions are rounded up.
+FULL = 0.99
+
 Pattern = tuple[tuple[int, int], ...]
 
 
-def knapsack(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each room: the highest price that fits, and which length to take for it (-1: none)."""
-    best, take = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-    fits = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
-    for room in range(1, capacity + 1):
-        best[room], take[room] = best[room - 1], -2
-        if k := fits[room]:
-            price = best[room - lengths[:k]] + prices[:k]
-            i = int(price.argmax())
-            if price[i] > best[room]:
-                best[room], take[room] = price[i], i
-    return best, take
-
-
-def _configuration(lengths: np.ndarray, take: np.ndarray, room: int, first: int) -> dict[int, int]:
-    """Index -> copies: ``first`` and then what the knapsack takes for the room left."""
-    chosen = {first: 1}
-    room -= int(lengths[first])
-    while room > 0 and take[room] != -1:
-        i = int(take[room])
-        if i == -2:
-            room -= 1
+def knapsack(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each room: the highest price that fits, the length (index) to take first for it, and the room that this fills at most."""
+    least = int(lengths[0])
+    price, number = np.full(capacity + 1, -1.0), np.full(capacity + 1, -1)
+    price[lengths], number[lengths] = prices, np.arange(len(lengths))
+    best, take, used = np.zeros(capacity + 1), np.full(capacity + 1, -1), np.zeros(capacity + 1, np.int64)
+    for room in range(least, capacity + 1):
+        sums = best[room - least :: -1] + price[least : room + 1]
+        i = int(sums.argmax())
+        if sums[i] > best[room - 1]:
+            best[room], take[room], used[room] = sums[i], number[i + least], room
         else:
+            best[room], used[room] = best[room - 1], used[room - 1]
+    return best, take, used
+
+
+class Fill:
+    """Configurations that the knapsack takes, with no more copies of a length than there are pieces of it."""
+
+    def __init__(self, lengths: list[int], pieces: list[int], prices: np.ndarray, best: np.ndarray, take: np.ndarray, used: np.ndarray):
+        self.lengths, self.pieces, self.prices, self.best = lengths, pieces, prices, best
+        self.take, self.used, self.sizes = take.tolist(), used.tolist(), np.array(lengths)
+
+    def _other(self, room: int, chosen: dict[int, int]) -> int:
+        """The best length for a room where those of ``chosen`` that are used up cannot be taken; -1: none fits."""
+        fits = int(np.searchsorted(self.sizes, room, side="right"))
+        worth = self.prices[:fits] + self.best[room - self.sizes[:fits]]
+        worth[[i for i, n in chosen.items() if i < fits and n >= self.pieces[i]]] = -1.0
+        i = int(worth.argmax()) if fits else -1
+        return i if i >= 0 and worth[i] >= 0 else -1
+
+    def around(self, first: int, capacity: int) -> dict[int, int]:
+        """Index -> copies: ``first`` and then what is best for the room left."""
+        chosen = {first: 1}
+        room = self.used[capacity - self.lengths[first]]
+        while room:
+            i = self.take[room]
+            if chosen.get(i, 0) >= self.pieces[i]:
+                if (i := self._other(room, chosen)) < 0:
+                    break
             chosen[i] = chosen.get(i, 0) + 1
-            room -= int(lengths[i])
-    return chosen
+            room = self.used[room - self.lengths[i]]
+        return chosen
+
+
+class Solution(NamedTuple):
+    """Amounts of configurations (index, copies), the sequences they stand for, the dual bound and the prices behind it."""
+
+    amounts: dict[Pattern, float]
+    sequences: float
+    bound: float
+    prices: np.ndarray
 
 
-def solve(lengths: np.ndarray, demand: np.ndarray, capacity: int, step: float = 0.5, near: float = 0.3, sharp: float = 6.0, rounds: int = 400) -> dict[Pattern, float]:
-    """Fractional amounts of configurations (index, copies) towards the demand, by multiplicative weights.
+def solve(lengths: np.ndarray, demand: np.ndarray, capacity: int, prices: np.ndarray | None = None, phases: tuple = PHASES, gap: float = GAP) -> Solution:
+    """The configuration program, by multiplicative weights in phases of ever smaller steps.
 
-    A round costs one knapsack.  What ``rounds`` of them leave unmet is small and is left to the rounding.
+    Prices begin in proportion to the lengths (or at ``prices``), and each phase at the best ones so far.  Any prices
+    bound the program from below: what all pieces are worth, by what one sequence can be worth.  Amounts are scaled to
+    meet the demand on average; what they leave unmet counts as sequences of one length.  A phase ends within ``gap``
+    of the bound or after its rounds, the program with the last phase.
     """
-    met = np.zeros(len(lengths))
-    amounts: dict[Pattern, float] = {}
-    for _ in range(rounds):
-        if (met >= 1).all():
+    weight = lengths * demand / (lengths @ demand)
+    alone = demand / (capacity // lengths)
+    sizes, wanted = lengths.tolist(), demand.tolist()
+    prices, bound = lengths.astype(float) if prices is None else prices, 0.0
+    for rate, rounds in phases:
+        base, met, amounts, mean = prices, np.zeros(len(lengths)), {}, np.zeros(len(lengths))
+        for r in range(rounds + 1):
+            last = r == rounds  # the mean prices of a phase are tried once, for the bound only
+            now = mean / rounds if last else base * np.exp(-rate * (met - weight @ met))
+            mean += now
+            best, take, used = knapsack(lengths, now, capacity)
+            if (value := float(now @ demand / best[capacity])) > bound:
+                bound, prices = value, now
+            if last:
+                break
+            fill, gained = Fill(sizes, wanted, now, best, take, used), [0.0] * len(sizes)
+            value = now + best[capacity - lengths]
+            order = np.argsort(-value, kind="stable")
+            for first in order[value[order] >= (1 - NEAR) * best[capacity]].tolist():
+                if gained[first] >= STEP:
+                    continue
+                chosen = fill.around(first, capacity)
+                amount = min((STEP - gained[i]) * wanted[i] / n for i, n in chosen.items())
+                if amount > 0:
+                    for i, n in chosen.items():
+                        gained[i] += amount * n / wanted[i]
+                    key = tuple(sorted(chosen.items()))
+                    amounts[key] = amounts.get(key, 0.0) + amount
+            met += gained
+            scale = float(weight @ met)
+            sequences = sum(amounts.values()) / scale + float(alone @ np.maximum(1 - met / scale, 0))
+            if sequences <= (1 + gap) * bound:
+                break
+    return Solution({k: x / scale for k, x in amounts.items()}, sequences, bound, prices)
+
+
+def _rounded(solution: Solution, lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[tuple[Pattern, int]]:
+    """Whole sequences of the configurations, taken off ``left``.
+
+    Amounts are rounded down; where that makes less than three quarters of the bound, fractions are rounded up until it
+    does: full sequences first, of these the ones with the longest pieces, as short ones fill what is made later.
+    """
+    chosen, made = [], 0
+    by_amount = sorted(solution.amounts.items(), key=lambda x: -x[1])
+    by_fill = sorted(by_amount, key=lambda x: (sum(int(lengths[i]) * c for i, c in x[0]) < FULL * capacity, -x[0][-1][0], -x[1]))
+    for up, candidates in ((False, by_amount), (True, by_fill)):
+        for key, amount in candidates:
+            if up and made >= 0.75 * solution.bound:
+                break
+            n = min(1 if up else int(amount + 1e-9), *(int(left[i]) // c for i, c in key))
+            if n > 0:
+                for i, c in key:
+                    left[i] -= n * c
+                chosen.append((key, n))
+                made += n
+    return chosen
+
+
+def configurations(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
+    """[(length -> copies, sequences)]: the program solved and rounded again and again, until its configurations no longer fit what is ``left``."""
+    groups, prices, phases = [], lengths.astype(float), PHASES
+    while left.any():
+        has = np.flatnonzero(left)
+        some = left[has]
+        solution = solve(lengths[has], some.astype(float), capacity, prices[has], phases)
+        chosen = _rounded(solution, lengths[has], some, capacity)
+        if not chosen:
             break
-        prices = np.where(met < 1, np.exp(-sharp * met), 0.0) / demand
-        # a covered length still fills room, for next to nothing
-        prices += 1e-9 * prices.max() * lengths / capacity
-        best, take = knapsack(lengths, prices, capacity)
-        value = prices + best[capacity - lengths]
-        order = np.argsort(-value, kind="stable")
-        gained = np.zeros(len(lengths))
-        for i in order[value[order] >= (1 - near) * value[order[0]]].tolist():
-            if met[i] >= 1 or gained[i] >= step:
-                continue
-            chosen = _configuration(lengths, take, capacity, i)
-            index, copies = np.array(list(chosen)), np.array(list(chosen.values()))
-            amount = float(((step - gained[index]) * demand[index] / copies)[met[index] < 1].min())
-            if amount <= 0:
-                continue
-            gained[index] += amount * copies / demand[index]
-            key = tuple(sorted(chosen.items()))
-            amounts[key] = amounts.get(key, 0.0) + amount
-        met += gained
-    return amounts
+        prices[has], left[has], phases = solution.prices, some, PHASES_AGAIN
+        groups += [({int(lengths[has[i]]): c for i, c in key}, n) for key, n in chosen]
+    return groups
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Pattern, int]]:
@@ -103,17 +192,9 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Patt
         return []
     lengths = np.array(sorted(histogram))
     left = np.array([histogram[n] for n in lengths.tolist()], np.int64)
-    amounts = solve(lengths, left.astype(float), capacity)
-    groups: list[tuple[dict[int, int], int, int]] = []  # copies of each length, room, sequences
-    for chosen, amount in sorted(amounts.items(), key=lambda x: -x[1]):
-        n = min(int(amount + 1e-9), *(int(left[i]) // c for i, c in chosen))
-        if n > 0:
-            for i, c in chosen:
-                left[i] -= n * c
-            groups.append(({int(lengths[i]): c for i, c in chosen}, capacity - sum(int(lengths[i]) * c for i, c in chosen), n))
     by_room: dict[int, list[tuple[dict[int, int], int]]] = {}
-    for copies, room, n in groups:
-        by_room.setdefault(room, []).append((copies, n))
+    for copies, n in configurations(lengths, left, capacity):
+        by_room.setdefault(capacity - sum(x * c for x, c in copies.items()), []).append((copies, n))
 
     def put(copies, room, n, length, many):
         filled = {**copies, length: copies.get(length, 0) + many}

@@ -1,9 +1,11 @@
 """Operators on single texts, files and models: against brute force, exact round trips or held-out accuracy."""
 
+import bisect
 import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +16,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from shelfmatch.llm import lm_score, quality, secrets, token_files, toxicity
-from shelfmatch.llm.packing import Places, pack, plan
+from shelfmatch.llm.packing import Places, configurations, pack, plan, solve
 from shelfmatch.llm.tokens import encoder
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -93,6 +95,52 @@ def test_plan_places_every_piece_once(lengths):
     assert len(by) <= -(-sum(lengths) // 2048) * 1.5 + 1
 
 
+def fewest(pieces, capacity):
+    """The least number of sequences, by trying for each set of pieces which piece comes last."""
+    best = {0: (0, 0)}  # set -> (full sequences, room taken in the open one)
+    for chosen in range(1, 1 << len(pieces)):
+        ways = []
+        for i, n in enumerate(pieces):
+            if chosen >> i & 1:
+                full, taken = best[chosen ^ 1 << i]
+                ways.append((full, taken + n) if taken + n <= capacity else (full + 1, n))
+        best[chosen] = min(ways)
+    full, taken = best[(1 << len(pieces)) - 1]
+    return full + (taken > 0)
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_plan_against_every_packing(seed):
+    pieces = np.random.default_rng(seed).integers(1, 21, 10).tolist()
+    histogram = Counter(pieces)
+    lengths = np.array(sorted(histogram))
+    least = fewest(pieces, 30)
+    assert solve(lengths, np.array([histogram[n] for n in lengths.tolist()], float), 30).bound <= least + 1e-9
+    assert least <= sum(n for _, n in plan(histogram, 30)) <= least + (least > 4)
+
+
+def best_fit(histogram, capacity):
+    rooms, sequences = [], 0
+    for n in sorted(histogram, reverse=True):
+        for _ in range(histogram[n]):
+            k = bisect.bisect_left(rooms, n)
+            sequences += k == len(rooms)
+            bisect.insort(rooms, (rooms.pop(k) if k < len(rooms) else capacity) - n)
+    return sequences
+
+
+@pytest.mark.parametrize("low, high", [(1, 700), (300, 1500), (600, 1100)])
+def test_plan_comes_from_configurations(low, high):
+    histogram = Counter(np.random.default_rng(1).integers(low, high, 2500).tolist())
+    lengths = np.array(sorted(histogram))
+    left = np.array([histogram[n] for n in lengths.tolist()])
+    bound = solve(lengths, left.astype(float), 2048).bound
+    made = sum(n for _, n in configurations(lengths, left, 2048))
+    total = sum(n for _, n in plan(histogram))
+    assert made > 0.9 * total
+    assert bound <= total <= 1.005 * best_fit(histogram, 2048)
+
+
 def test_pack(docs, none):
     rows = pack(docs, WORD).collect()
     assert len({(r["sequence_id"], r["offset"]) for r in rows}) == len(rows)
