@@ -23,6 +23,7 @@ Null text: empty, one end id.  Repeated rows are packed each.  An empty table pa
 
 from __future__ import annotations
 
+import bisect
 import zlib
 from typing import NamedTuple
 
@@ -73,14 +74,18 @@ class Fill:
     def __init__(self, lengths: list[int], pieces: list[int], prices: np.ndarray, best: np.ndarray, take: np.ndarray, used: np.ndarray):
         self.lengths, self.pieces, self.prices, self.best = lengths, pieces, prices, best
         self.take, self.used, self.sizes = take.tolist(), used.tolist(), np.array(lengths)
+        self.others: dict[tuple, int] = {}
 
     def _other(self, room: int, chosen: dict[int, int]) -> int:
         """The best length for a room where those of ``chosen`` that are used up cannot be taken; -1: none fits."""
-        fits = int(np.searchsorted(self.sizes, room, side="right"))
-        worth = self.prices[:fits] + self.best[room - self.sizes[:fits]]
-        worth[[i for i, n in chosen.items() if i < fits and n >= self.pieces[i]]] = -1.0
-        i = int(worth.argmax()) if fits else -1
-        return i if i >= 0 and worth[i] >= 0 else -1
+        fits = bisect.bisect_right(self.lengths, room)
+        gone = tuple(sorted(i for i, n in chosen.items() if i < fits and n >= self.pieces[i]))
+        if (found := self.others.get((room, gone))) is None:
+            worth = self.prices[:fits] + self.best[room - self.sizes[:fits]]
+            worth[list(gone)] = -1.0
+            found = int(worth.argmax()) if len(gone) < fits else -1
+            self.others[room, gone] = found
+        return found
 
     def around(self, first: int, capacity: int) -> dict[int, int]:
         """Index -> copies: ``first`` and then what is best for the room left."""
