@@ -51,7 +51,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-#: Tokens, fingerprints and edit distances are beyond SQL; tests hold run() against a brute-force version.
+#: Tokens, fingerprints and edit distances are beyond SQL; tests hold the operators against brute force and run() against planted documents.
 ORACLE_SQL = None
 
 SPARK = {"pipeline": run}
