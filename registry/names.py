@@ -59,7 +59,10 @@ def _stage(name: str, expressions: list[str], fn):
     SQL[name] = f"select id, x as name from ({chained})"
 
     def run(spark, sf):
-        return _names(spark, sf).select("id", fn(N.squeeze(N.fold_accents(F.lower("name")))).alias("name"))
+        names = _names(spark, sf)
+        # each distinct name once, over all cores: a small file of many names is one task
+        texts = N.distinct_texts(names, "name").withColumn("staged", fn(N.squeeze(N.fold_accents(F.lower("name")))))
+        return names.join(texts, "name", "left").select("id", F.col("staged").alias("name"))
 
     run.__name__ = name
     SPARK[name] = run
