@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmatch.operators import evaluation
-from shelfmatch.operators.lineage import work_folder
+from shelfmatch.operators.lineage import cut_to_files, work_folder
 from shelfmatch.plans.daily import with_clean_names
 from shelfmatch.sources import delimited, listing, tables
 from shelfmatch.sources.prices import clean_prices, price_file, read_prices
@@ -117,7 +117,8 @@ def csv_files(spark, sf):
 def _price_files(spark: SparkSession, sf: str):
     """Prices without repeated keys as one set of files per country; those of CO have a date that is none."""
     root, day = work_folder(spark, "price-files"), dt.date(2026, 1, 5)
-    rows = clean_prices(I.read(spark, sf, I.PRICES), F.col("country"), [], F.struct(*FQ.PRICE_ORDER.split(", ")))
+    # every country reads them
+    rows = cut_to_files(clean_prices(I.read(spark, sf, I.PRICES), F.col("country"), [], F.struct(*FQ.PRICE_ORDER.split(", "))))
     scans = []
     for country in ("MX", "CO", "XX"):
         own = rows.where(F.col("country") == country).drop("country")
@@ -175,6 +176,7 @@ def _table(spark: SparkSession, name: str) -> str:
 def repeated_append(spark, sf):
     """Rows added in two steps, the first of them twice, as by a job that was killed and ran again."""
     rows = clean_prices(I.read(spark, sf, I.PRICES), F.col("country"), [], F.struct(*FQ.PRICE_ORDER.split(", "))).select("region_name", "sku", "price", "country", F.trunc("date", "year").alias("year"), "date")
+    rows = cut_to_files(rows)
     table = _table(spark, "appended")
     some = rows.where("region_name in ('ASIA', 'EUROPE')")
     for part in (some, some, rows.where("region_name not in ('ASIA', 'EUROPE')")):
@@ -188,6 +190,8 @@ select country, date, region_name, sku, price from new where (country = 'MX' and
 def insert_given(spark, sf):
     """Prices of a country and year, inserted where the table has none of them; a second insert of that year adds nothing."""
     rows = clean_prices(I.read(spark, sf, I.PRICES), F.col("country"), [], F.struct(*FQ.PRICE_ORDER.split(", "))).select("date", "region_name", "sku", "price", "country", F.year("date").alias("y"))
+    # one join and aggregation for the three of them
+    rows = cut_to_files(rows.where("(country = 'MX' and y in (1995, 1996)) or (region_name = 'ASIA' and y = 1996)"))
     table = _table(spark, "inserted")
     tables.put_rows(rows.where("region_name = 'ASIA' and y = 1996"), table, ("country", "y"))
     for year in (1995, 1996):
