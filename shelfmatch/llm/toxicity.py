@@ -176,7 +176,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None) -> Mod
     if not all(any(r[k] for r in counts) for k in (1, 2)):
         return n.get(1, 0) / max(1, sum(n.values()))
     held = known.where("held").select("toxic", "text")
-    tried = []
+    best: tuple[tuple[float, float], Model] | None = None
     for discount in DISCOUNTS:
         model = Model(counts, discount)
         shared = spark.sparkContext.broadcast(model)
@@ -186,15 +186,18 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None) -> Mod
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shared.value.difference(x) for x in b.column(1).to_pylist()])], names=["toxic", "x"])
 
         rated = held.mapInArrow(rate, "toxic int, x double").collect()  # of a bounded sample
-        shared.unpersist()
+        shared.destroy()  # the driver's copies, too
         x, y = np.array([r["x"] for r in rated]), np.array([float(r["toxic"]) for r in rated])
         if len(set(y.tolist())) < 2:  # nothing to choose or to calibrate by
             return model
         share, true = y.mean(), n[1] / (n[0] + n[1])
         weight = np.where(y == 1, true / share, (1 - true) / (1 - share))
         model.scale, model.shift = logistic(x, y, weight)
-        tried.append((log_loss(x, y, weight, model.scale, model.shift), discount, model))
-    return min(tried, key=lambda t: t[:2])[2]
+        loss = log_loss(x, y, weight, model.scale, model.shift), discount
+        # the others are let go: each is as large as the counts
+        best = (loss, model) if best is None or loss < best[0] else best
+        del model, shared, rate
+    return best[1]
 
 
 def score(docs: DataFrame, model: Model | float) -> DataFrame:
