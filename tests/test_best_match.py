@@ -9,10 +9,12 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from registry import inputs as I
 from registry.matching import TokenOverlap
 from shelfmatch.functions.scorer import bound_violations
 from shelfmatch.functions.similarity import Scoring
 from shelfmatch.operators import best_match as B
+from shelfmatch.operators import reports
 from shelfmatch.operators.best_match import best_match
 
 from . import brute
@@ -239,3 +241,25 @@ def test_ids_of_other_types_keep_their_order(spark, kind, ids):
     found = best_match(left, right)
     assert found.schema["sku"].dataType == right.schema["sku"].dataType
     assert [r["sku"] for r in found.collect()] == [min(ids)]
+
+
+def test_reverse_match_pairs_names_not_rows(spark, monkeypatch):
+    rows = [("c1", "coca cola 355ml", "Coca", float(1 + i % 7), f"u{i % 5}") for i in range(200)] + [("c2", "coca cola 600ml", "Cola", 3.0, None)] * 50
+    scraped = spark.createDataFrame(rows, "competitor_name string, sku_name_clean string, competitor_sku_name string, competitor_price double, competitor_url string")
+    own = spark.createDataFrame([("1", "coca cola 355ml"), ("2", "coca cola 355ml"), ("2", "coca cola 355ml")], "sku string, sku_name_clean string")
+    seen = []
+    monkeypatch.setattr(reports, "best_match", lambda left, right, **options: seen.append(right.count()) or best_match(left, right, **options))
+    got = sorted(map(tuple, reports.reverse_match(own, scraped, threshold=0.5).collect()))
+    assert seen == [2]
+    first = [r for r in got if r[1] == "c1"]
+    assert first == [(sku, "c1", "Coca", 1.0, "u0", 1.0) for sku in ("1", "2", "2")]
+    assert [r[:5] for r in got if r[1] == "c2"] == [(sku, "c2", "Cola", 3.0, None) for sku in ("1", "2", "2")]
+
+
+def test_rows_of_one_small_file_are_dealt_over_all_cores(spark, tmp_path):
+    part = spark.range(40).selectExpr("id as p_partkey", "'blue ring' as p_name", "'SMALL' as p_type", "cast(id % 9 as int) as p_size", "cast(id as double) as p_retailprice")
+    part.coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    for sql in (I.CATALOG, I.SCRAPED):
+        plain, dealt = (I.read(spark, str(tmp_path), sql, **options) for options in ({}, {"dealt": True}))
+        assert plain.rdd.getNumPartitions() == 1 and dealt.rdd.getNumPartitions() == 8
+        assert sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect()))
