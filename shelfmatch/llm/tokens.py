@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 REMEMBERED = 1_000_000
 
 #: Bytes of text that are split at a time.
-AT_ONCE = 16 << 20
+AT_ONCE = 4 << 20
 
 _WHITE = r"[\t-\r \x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 #: Punctuation that closes words, and words that can be asked for together.
