@@ -34,6 +34,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
@@ -61,7 +62,9 @@ PARTS = 64
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 #: Bytes that no text contains: the end of a piece, and that of a document.
 _PIECE, _TEXT = b"\xff", b"\xfe"
-_PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + _ENDS, b"abcdefghijklmnopqrstuvwxyz" + _PIECE * len(_ENDS))
+_PLAIN = bytes.maketrans(b"\tABCDEFGHIJKLMNOPQRSTUVWXYZ" + _ENDS, b" abcdefghijklmnopqrstuvwxyz" + _PIECE * len(_ENDS))
+#: What stands before the texts, so that the ends and the empty word between two blanks have the numbers 0, 1 and 2.
+_BEFORE = _PIECE + b" " + _TEXT + b"  "
 _ODD = np.array([xxhash.xxh64_intdigest(str(k), 21) | 1 for k in range(SIZE + 1)], np.uint64)
 
 
@@ -87,15 +90,16 @@ def read_words(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
 
     def taken(langs: list[str], texts: list[bytes]) -> Words:
         plain = _TEXT.join(texts).translate(_PLAIN)
-        words = plain.replace(_PIECE, b" \xff ").replace(_TEXT, b" \xfe ").split()
-        numbers, lang_numbers = _Numbers(), _Numbers()
-        ends = numbers[_PIECE], numbers[_TEXT]
-        codes = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+        plain = _BEFORE + plain.replace(_PIECE, b" \xff ").replace(_TEXT, b" \xfe ")
+        words = pc.split_pattern(pa.array([plain], pa.large_binary()), b" ").flatten().dictionary_encode()
+        codes = words.indices.to_numpy()[3:]
+        codes = codes[codes != 2].astype(np.int64)
+        lang_numbers = _Numbers()
         of_text = np.fromiter(map(lang_numbers.__getitem__, langs), np.int64, len(langs))
-        at = np.flatnonzero(codes >= len(ends))
+        at = np.flatnonzero(codes > 2)
         joined = np.append(np.diff(at) == 1, False)[: len(at)]
-        lang = of_text[np.cumsum(codes == ends[1])[at]]
-        return Words(codes[at] - len(ends), list(numbers)[len(ends) :], lang, list(lang_numbers), joined)
+        lang = of_text[np.cumsum(codes == 1)[at]]
+        return Words(codes[at] - 3, words.dictionary.to_pylist()[3:], lang, list(lang_numbers), joined)
 
     langs: list[str] = []
     texts: list[bytes] = []
