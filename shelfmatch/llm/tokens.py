@@ -13,10 +13,9 @@ remembers the ids of those it has seen, and the text's ids are gathered by numbe
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import os
-import re
-from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +27,18 @@ REMEMBERED = 1_000_000
 #: Bytes of text that are split at a time.
 AT_ONCE = 4 << 20
 
-_WHITE = r"[\t-\r \x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_SPACES = r"\t-\r \x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_WHITE = f"[{_SPACES}]"
 #: Punctuation that closes words, and words that can be asked for together.
 _CLOSING = ".,;:!?)]|*$%&#"
-_SOLID = re.compile(r"[^\s<\x1c-\x1f\x85]+")
+_SOLID = f"[^<{_SPACES}]+"
 _UNSURE = f"{_WHITE} (?:{_WHITE}|\\z)"
+#: Words that are asked for in one text.
+TOGETHER = 500
+
+
+def _where(mask: pa.Array) -> np.ndarray:
+    return mask.to_numpy(zero_copy_only=False).astype(bool)
 
 
 def _cut(config: dict) -> str:
@@ -62,76 +68,126 @@ class TextEncoder:
         self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():  # a character stands for a byte in both
             self.bytes[i] = len(token.removesuffix("</w>") if self.cut == "white" else token)
-        self.words: dict[str, bytes] = {}
+        self._forget()
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _joined(self, words: list[str]) -> list[bytes]:
-        """Ids of ASCII or byte-level words without white space, asked for in one text and told apart by their bytes."""
-        out: list[bytes] = []
-        for k in range(0, len(words), 5_000):
-            some = words[k : k + 5_000]
-            text = "".join(some) if self.cut == "blank" else " ".join(some)
-            ids = np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
-            ends = np.cumsum(self.bytes[ids])
-            wanted = np.cumsum(np.fromiter((len(w.encode()) for w in some), np.int64, len(some)))
-            at = np.searchsorted(ends, wanted)
-            if len(ids) and at[-1] < len(ids) and (ends[at] == wanted).all():
-                at = at + 1
-                raw, bounds = ids.tobytes(), np.concatenate(([0], at)) * 4
-                out += [raw[i:j] for i, j in zip(bounds.tolist(), bounds[1:].tolist())]
+    def _forget(self) -> None:
+        """The places of known words, their ids one after the other, and where each word's begin (and the end)."""
+        self.words: dict[str, int] = {}
+        self.ids, self.bounds = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def _add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The places that the words get."""
+        first = len(self.bounds) - 1
+        self.words.update(zip(words, range(first, first + len(words))))
+        self.ids = np.concatenate([self.ids, ids])
+        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(sizes)])
+        return np.arange(first, first + len(words))
+
+    def _joined(self, words: list[str], lengths: np.ndarray, between: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words without white space inside, and how many each has: asked for in one text and told apart by their bytes.
+
+        What stands between words is a piece of its own, or white space that the vocabulary drops.
+        """
+        gap = 1 if between == "\n" else 0
+        texts = [between.join(words[k : k + TOGETHER]) for k in range(0, len(words), TOGETHER)]
+        ids, sizes = [], []
+        for k, e in enumerate(self.library.encode_batch_fast(texts, add_special_tokens=False)):
+            some = slice(k * TOGETHER, (k + 1) * TOGETHER)
+            got = np.array(e.ids, np.uint32)
+            ends = np.cumsum(self.bytes[got])
+            last = np.cumsum(lengths[some] + gap) - gap
+            at = np.searchsorted(ends, last)
+            fits = len(got) > 0 and at[-1] == len(got) - 1 and (ends[at] == last).all()
+            if fits and gap:  # one id stands for what is between
+                fits = (ends[at[:-1] + 1] == last[:-1] + 1).all()
+                keep = np.ones(len(got), bool)
+                keep[at[:-1] + 1] = False
+                got, at = got[keep], at - np.arange(len(at))
+            if fits:
+                ids.append(got)
+                sizes.append(np.diff(at, prepend=-1))
             else:
-                out += self._apart(some)
-        return out
-
-    def _apart(self, words: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
-
-    def _learn(self, words: list[str]) -> None:
-        """Remember the ids of new words; a word's closing punctuation is a piece of its own."""
-        cut = {}
-        for w in words:
-            core = w.rstrip(_CLOSING)
-            if len(core) < len(w) and core[-1:].isalnum() and "<|" not in w:
-                cut[w] = core, w[len(core) :]
-        new = list({x for w in words for x in cut.get(w, (w,))} - set(filter(self.words.__contains__, (x for w in words for x in cut.get(w, (w,))))))
+                for part, out in zip(self._apart(words[some]), (ids, sizes)):
+                    out.append(part)
+        return np.concatenate([*ids, np.zeros(0, np.uint32)]), np.concatenate([*sizes, np.zeros(0, np.int64)]).astype(np.int64)
+
+    def _apart(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = self.whole(words)
+        return np.concatenate([*ids, np.zeros(0, np.uint32)]), np.fromiter(map(len, ids), np.int64, len(ids))
+
+    def _taken(self, places: np.ndarray) -> pa.Array:
+        """A list of ids for each place."""
+        return pa.LargeListArray.from_arrays(pa.array(self.bounds), pa.array(self.ids)).take(pa.array(places))
+
+    def _composed(self, words: list[str], *parts: pa.Array) -> np.ndarray:
+        """Add words whose parts, one after the other, have their ids."""
+        different = pa.chunked_array(parts).combine_chunks().dictionary_encode()
+        places = self._places(different.dictionary)[different.indices.to_numpy()]
+        ids = self._taken(places.reshape(len(parts), -1).T.reshape(-1))
+        return self._add(words, ids.flatten().to_numpy(), np.diff(ids.offsets.to_numpy()[:: len(parts)]))
+
+    def _learn(self, words: pa.Array, listed: list[str]) -> np.ndarray:
+        """The places of new words, each different, in Arrow and as a list.
+
+        A word's closing punctuation is a piece of its own, and so is a single end of line between two words.
+        """
         blank = self.cut == "blank"
-        simple = [x[:1] == " " and _SOLID.fullmatch(x, 1) is not None if blank else x.isascii() and _SOLID.fullmatch(x) is not None for x in new]
-        together, apart = [x for x, y in zip(new, simple) if y], [x for x, y in zip(new, simple) if not y]
-        self.words.update(zip(together, self._joined(together)))
-        self.words.update(zip(apart, self._apart(apart)))
-        self.words.update((w, self.words[x] + self.words[y]) for w, (x, y) in cut.items())
-
-    def _known(self, words: list[str]) -> list[bytes]:
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
-        ids = list(map(self.words.get, words))
-        new = [i for i, x in enumerate(ids) if x is None]
-        self._learn([words[i] for i in new])
-        for i in new:
-            ids[i] = self.words[words[i]]
-        return ids
+        special = _where(pc.match_substring(words, "<|"))
+        lines = _where(pc.match_substring_regex(words, f"\\A ?{_SOLID}\n{_SOLID}\\z")) & ~special if blank else np.zeros(len(words), bool)
+        core = pc.utf8_rtrim(words, characters=_CLOSING)
+        closed = _where(pc.less(pc.binary_length(core), pc.binary_length(words))) & _where(pc.utf8_is_alnum(pc.utf8_slice_codeunits(core, -1))) & ~special
+        closed &= ~_where(pc.match_substring(words, "\n"))
+        after = _where(pc.starts_with(words, " "))
+        solid = _where(pc.match_substring_regex(words, f"\\A ?{_SOLID}\\z" if blank else f"\\A{_SOLID}\\z"))
+        if not blank:
+            solid &= _where(pc.string_is_ascii(words))
+        places, lengths = np.empty(len(words), np.int64), pc.binary_length(words).to_numpy().astype(np.int64)
+        rest = ~(lines | closed)
+        for mask, between in ((rest & solid & after, ""), (rest & solid & ~after, "\n")) if blank else ((rest & solid, " "),):
+            if mask.any():
+                some = list(itertools.compress(listed, mask.tolist()))
+                places[mask] = self._add(some, *self._joined(some, lengths[mask], between))
+        mask = rest & ~solid
+        if mask.any():
+            some = list(itertools.compress(listed, mask.tolist()))
+            places[mask] = self._add(some, *self._apart(some))
+        if closed.any():
+            some, cores = list(itertools.compress(listed, closed.tolist())), core.filter(pa.array(closed))
+            ends = pa.array([w[n:] for w, n in zip(some, pc.utf8_length(cores).to_pylist())], pa.large_string())
+            places[closed] = self._composed(some, cores, ends)
+        if lines.any():
+            halves = pc.split_pattern(words.filter(pa.array(lines)), "\n").flatten()
+            at = np.arange(0, len(halves), 2)
+            places[lines] = self._composed(list(itertools.compress(listed, lines.tolist())), halves.take(pa.array(at)), pa.array(["\n"] * len(at), pa.large_string()), halves.take(pa.array(at + 1)))
+        return places
+
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """Where each of some different words is remembered."""
+        listed = words.to_pylist()
+        at = np.fromiter(map(self.words.get, listed, itertools.repeat(-1)), np.int64, len(listed))
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            at[new] = self._learn(words.take(pa.array(new)), [listed[i] for i in new.tolist()])
+        return at
 
     def _numbered(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.words) > REMEMBERED:
+            self._forget()
         blank = self.cut == "blank"
         cut = pc.split_pattern(texts, " ") if blank else pc.ascii_split_whitespace(pc.ascii_lower(texts))
         bounds = cut.offsets.to_numpy().astype(np.int64)
         coded = cut.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
+        words = coded.dictionary
         number = coded.indices.to_numpy().astype(np.int64)
         if blank:  # the first word of a text has no blank before it
-            opening = coded.dictionary.take(coded.indices.take(pa.array(bounds[:-1]))).to_pylist()
-            number[bounds[:-1]] = len(words) + np.arange(len(opening))
-            words = [" " + w for w in words] + opening
-        ids = self._known(words)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        flat = np.frombuffer(b"".join(ids), np.uint32)
-        begin = np.cumsum(sizes) - sizes
-        many = sizes[number]
-        ends = np.cumsum(many)
-        gathered = flat[np.repeat(begin[number] - (ends - many), many) + np.arange(int(many.sum()))]
-        return gathered, np.concatenate(([0], ends))[bounds]
+            opening = words.take(coded.indices.take(pa.array(bounds[:-1]))).dictionary_encode()
+            number[bounds[:-1]] = len(words) + opening.indices.to_numpy()
+            words = pa.concat_arrays([pc.binary_join_element_wise(pa.scalar("", pa.large_string()), words, pa.scalar(" ", pa.large_string())), opening.dictionary])
+        ids = self._taken(self._places(words)[number])
+        return ids.flatten().to_numpy(), ids.offsets.to_numpy()[bounds]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         parts, starts, total = [], [np.zeros(1, np.int64)], 0
