@@ -261,14 +261,14 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        encode = encoder(path).encode
+        parts = encoder(path).parts
         task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for b in batches:
-            if b.num_rows:
+            docs = b.column(0).to_pylist()
+            for begin, flat, bounds in parts(text_array(b.column(1))):
                 rows = []
-                flat, bounds = encode(text_array(b.column(1)))
                 raw, bounds = flat.astype("<u4").tobytes(), (4 * bounds).tolist()
-                for doc, first, last in zip(b.column(0).to_pylist(), bounds, bounds[1:]):
+                for doc, first, last in zip(docs[begin:], bounds, bounds[1:]):
                     ids = raw[first:last] + end
                     for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[at : at + 4 * capacity]

@@ -2,7 +2,7 @@
 
 Ids are numbered anew by how often the corpus uses them (0 the most frequent), so that most take one byte.  Four
 numbers share a control byte with two bits each for their lengths in bytes; control bytes and data bytes of a block
-are separate byte strings.  Decoding takes four numbers at a time from a table by control byte.
+are separate byte strings.  Decoding takes the lengths of four numbers at a time from a table by control byte.
 
 A file holds blocks of whole documents in ascending doc_id (null first); blocks are rows of Parquet files that
 Spark's committer publishes, so a lost executor leaves nothing half-written.  The rank table is a file of its own.
@@ -28,20 +28,25 @@ from .tokens import encoder
 #: Ids in a block, about; a document is never split.
 BLOCK_IDS = 1 << 18
 
-_LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
-#: Bytes of the data that a control byte stands for.
-TAKES = _LENGTHS.sum(axis=1)
-_STARTS = np.cumsum(_LENGTHS, axis=1) - _LENGTHS
-_BYTE = np.arange(4)
-#: For each control byte, where each of the 16 bytes of its four numbers lies; 16 for a zero byte.
-SPREAD = np.where(_BYTE < _LENGTHS[:, :, None], _STARTS[:, :, None] + _BYTE, 16).reshape(256, 16)
+#: For each control byte, how many bytes each of its four numbers has behind the first.
+_MORE = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8)
+
+
+def _places(more: np.ndarray) -> np.ndarray:
+    """Where in the data each number begins (and the end)."""
+    return np.concatenate(([0], np.cumsum(more, dtype=np.int64) + np.arange(1, len(more) + 1)))
 
 
 def encode_numbers(x: np.ndarray) -> tuple[bytes, bytes]:
     """(control bytes, data bytes) of unsigned 32-bit numbers."""
     x = np.ascontiguousarray(x, "<u4")
     more = (x > 0xFF).astype(np.uint8) + (x > 0xFFFF) + (x > 0xFFFFFF)
-    data = x.view(np.uint8).reshape(-1, 4)[_BYTE <= more[:, None]]
+    at = _places(more)
+    data = np.empty(int(at[-1]), np.uint8)
+    data[at[:-1]] = x.astype(np.uint8)
+    for k in (1, 2, 3):
+        has = np.flatnonzero(more >= k)
+        data[at[has] + k] = (x[has] >> np.uint32(8 * k)).astype(np.uint8)
     four = np.zeros(-(-len(x) // 4) * 4, np.uint8)
     four[: len(x)] = more
     control = four.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)
@@ -49,17 +54,13 @@ def encode_numbers(x: np.ndarray) -> tuple[bytes, bytes]:
 
 
 def decode_numbers(control: bytes, data: bytes, n: int) -> np.ndarray:
-    c = np.frombuffer(control, np.uint8)
-    padded = np.frombuffer(data + bytes(17), np.uint8)
-    out = np.empty((len(c), 16), np.uint8)
-    at = np.concatenate(([0], np.cumsum(TAKES[c])[:-1])) if len(c) else np.zeros(0, np.int64)
-    zero = len(data)
-    for i in range(0, len(c), 1 << 16):
-        spread = SPREAD[c[i : i + (1 << 16)]]
-        places = at[i : i + (1 << 16), None] + spread
-        # padding bytes of the last group are read as data of length one; they lie behind the n numbers
-        out[i : i + (1 << 16)] = padded[np.where(spread == 16, zero, np.minimum(places, zero))]
-    return out.reshape(-1).view("<u4")[:n]
+    more = _MORE[np.frombuffer(control, np.uint8)].reshape(-1)[:n]
+    at, data = _places(more)[:-1], np.frombuffer(data, np.uint8)
+    out = data[at].astype("<u4")
+    for k in (1, 2, 3):
+        has = np.flatnonzero(more >= k)
+        out[has] |= data[at[has] + k].astype("<u4") << np.uint32(8 * k)
+    return out
 
 
 def numbers(column: pa.Array, width: str = "<u4") -> tuple[np.ndarray, np.ndarray]:
@@ -77,12 +78,12 @@ def token_ids(docs: DataFrame, path: str, end_id: int | None = 0, width: str = "
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
 
     def run(batches):
-        encode = encoder(path).encode
+        parts = encoder(path).parts
         for b in batches:
-            flat, bounds = encode(text_array(b.column(1)))
-            if end_id is not None:
-                flat, bounds = np.insert(flat, bounds[1:], end_id), bounds + np.arange(len(bounds))
-            yield table(schema, doc_id=b.column(0), ids=slices(flat.astype(width), bounds))
+            for first, flat, bounds in parts(text_array(b.column(1))):
+                if end_id is not None:
+                    flat, bounds = np.insert(flat, bounds[1:], end_id), bounds + np.arange(len(bounds))
+                yield table(schema, doc_id=b.column(0).slice(first, len(bounds) - 1), ids=slices(flat.astype(width), bounds))
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text")).mapInArrow(run, "doc_id long, ids binary")
 

@@ -13,9 +13,9 @@ remembers the ids of those it has seen, and the text's ids are gathered by numbe
 from __future__ import annotations
 
 import functools
-import itertools
 import json
 import os
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +31,16 @@ _SPACES = r"\t-\r \x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2
 _WHITE = f"[{_SPACES}]"
 #: Punctuation that closes words, and words that can be asked for together.
 _CLOSING = ".,;:!?)]|*$%&#"
+_ENDS = r"(?P<end>[.,;:!?)\]|*$%&#]+)\z"
 _SOLID = f"[^<{_SPACES}]+"
 _UNSURE = f"{_WHITE} (?:{_WHITE}|\\z)"
 #: Words that are asked for in one text.
 TOGETHER = 500
 
+_POWER = np.uint64(0x9E3779B97F4A7C15)
+#: What each byte stands for in the hash of a word.
+_SPELLING = np.random.default_rng(7).integers(1, 1 << 63, 256, np.uint64)
+
 
 def _where(mask: pa.Array) -> np.ndarray:
     return mask.to_numpy(zero_copy_only=False).astype(bool)
@@ -54,6 +59,108 @@ def _cut(config: dict) -> str:
     return "never"
 
 
+def _spelled(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all words one after the other, and where each word's begin (and the end)."""
+    _, bounds, data = words.buffers()
+    if not len(words):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    bounds = np.frombuffer(bounds, np.int64)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return data[bounds[0] : bounds[-1]], bounds - bounds[0]
+
+
+def _hashes(words: pa.Array) -> np.ndarray:
+    data, bounds = _spelled(words)
+    sizes = np.diff(bounds)
+    powers = np.cumprod(np.full(int(sizes.max(initial=0)) + 1, _POWER))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_SPELLING[data] * powers[np.arange(len(data)) - np.repeat(bounds[:-1], sizes)], out=sums[1:])
+    h = sums[bounds[1:]] - sums[bounds[:-1]]
+    h = (h ^ (h >> np.uint64(31))) * _POWER
+    return h ^ (h >> np.uint64(29))
+
+
+class Grown:
+    """An array that values are put behind, with room ahead for more."""
+
+    def __init__(self, dtype: type, first: tuple = ()):
+        self.room, self.size = np.empty(1 << 10, dtype), 0
+        self.extend(np.array(first, dtype))
+
+    def extend(self, values: np.ndarray) -> None:
+        size = self.size + len(values)
+        if size > len(self.room):
+            room = np.empty(max(size, len(self.room) * 3 // 2), self.room.dtype)
+            room[: self.size] = self.values
+            self.room = room
+        self.room[self.size : size] = values
+        self.size = size
+
+    @property
+    def values(self) -> np.ndarray:
+        return self.room[: self.size]
+
+
+class Known:
+    """Words, each with its place, and their ids: a table of places by hash, in arrays instead of Python objects.
+
+    A word found by its hash is compared with the one remembered, so words that share a hash are told apart.
+    """
+
+    def __init__(self):
+        self.hashes, self.ids, self.bounds = Grown(np.uint64), Grown(np.uint32), Grown(np.int64, (0,))
+        self.data, self.starts = Grown(np.uint8), Grown(np.int64, (0,))
+        self.slots = np.full(1 << 16, -1, np.int32)
+
+    def __len__(self) -> int:
+        return self.hashes.size
+
+    def _enter(self, places: np.ndarray) -> None:
+        last = len(self.slots) - 1
+        slot = (self.hashes.values[places] & np.uint64(last)).astype(np.int64)
+        while len(places):
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = places[free]
+            lost = self.slots[slot] != places
+            places, slot = places[lost], (slot[lost] + 1) & last
+
+    def add(self, words: pa.Array, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The places that the words get."""
+        data, bounds = _spelled(words)
+        places = np.arange(len(self), len(self) + len(words))
+        self.data.extend(data)
+        self.starts.extend(self.starts.values[-1] + bounds[1:])
+        self.ids.extend(ids)
+        self.bounds.extend(self.bounds.values[-1] + np.cumsum(sizes))
+        self.hashes.extend(hashes)
+        if 2 * len(self) > len(self.slots):
+            self.slots = np.full(1 << (4 * len(self) - 1).bit_length(), -1, np.int32)
+            self._enter(np.arange(len(self)))
+        else:
+            self._enter(places)
+        return places
+
+    def places(self, words: pa.Array, hashes: np.ndarray) -> np.ndarray:
+        """The words' places, -1 for those not remembered."""
+        last, known = len(self.slots) - 1, self.hashes.values
+        at, row, slot = np.full(len(words), -1), np.arange(len(words)), (hashes & np.uint64(last)).astype(np.int64)
+        while len(row):
+            place = self.slots[slot]
+            used = place >= 0
+            row, slot, place = row[used], slot[used], place[used]
+            same = known[place] == hashes[row]
+            at[row[same]] = place[same]
+            row, slot = row[~same], (slot[~same] + 1) & last
+        hits = np.flatnonzero(at >= 0)
+        remembered = pa.LargeStringArray.from_buffers(len(self), pa.py_buffer(self.starts.values), pa.py_buffer(self.data.values))
+        at[hits[~_where(pc.equal(words.take(pa.array(hits)), remembered.take(pa.array(at[hits]))))]] = -1
+        return at
+
+    def taken(self, places: np.ndarray) -> pa.Array:
+        """A list of ids for each place."""
+        return pa.LargeListArray.from_arrays(pa.array(self.bounds.values), pa.array(self.ids.values)).take(pa.array(places))
+
+
 class TextEncoder:
     """``encode(texts)``: the ids of all texts one after the other, and where each text's begin (and the end)."""
 
@@ -68,31 +175,19 @@ class TextEncoder:
         self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():  # a character stands for a byte in both
             self.bytes[i] = len(token.removesuffix("</w>") if self.cut == "white" else token)
-        self._forget()
+        self.known = Known()
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _forget(self) -> None:
-        """The places of known words, their ids one after the other, and where each word's begin (and the end)."""
-        self.words: dict[str, int] = {}
-        self.ids, self.bounds = np.zeros(0, np.uint32), np.zeros(1, np.int64)
-
-    def _add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """The places that the words get."""
-        first = len(self.bounds) - 1
-        self.words.update(zip(words, range(first, first + len(words))))
-        self.ids = np.concatenate([self.ids, ids])
-        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(sizes)])
-        return np.arange(first, first + len(words))
-
-    def _joined(self, words: list[str], lengths: np.ndarray, between: str) -> tuple[np.ndarray, np.ndarray]:
+    def _joined(self, words: pa.Array, lengths: np.ndarray, between: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words without white space inside, and how many each has: asked for in one text and told apart by their bytes.
 
         What stands between words is a piece of its own, or white space that the vocabulary drops.
         """
         gap = 1 if between == "\n" else 0
-        texts = [between.join(words[k : k + TOGETHER]) for k in range(0, len(words), TOGETHER)]
+        cuts = pa.array([*range(0, len(words), TOGETHER), len(words)], pa.int32())
+        texts = pc.binary_join(pa.ListArray.from_arrays(cuts, words), pa.scalar(between, pa.large_string())).to_pylist()
         ids, sizes = [], []
         for k, e in enumerate(self.library.encode_batch_fast(texts, add_special_tokens=False)):
             some = slice(k * TOGETHER, (k + 1) * TOGETHER)
@@ -110,27 +205,23 @@ class TextEncoder:
                 ids.append(got)
                 sizes.append(np.diff(at, prepend=-1))
             else:
-                for part, out in zip(self._apart(words[some]), (ids, sizes)):
+                for part, out in zip(self._apart(words.slice(k * TOGETHER, TOGETHER)), (ids, sizes)):
                     out.append(part)
         return np.concatenate([*ids, np.zeros(0, np.uint32)]), np.concatenate([*sizes, np.zeros(0, np.int64)]).astype(np.int64)
 
-    def _apart(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = self.whole(words)
+    def _apart(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        ids = self.whole(words.to_pylist())
         return np.concatenate([*ids, np.zeros(0, np.uint32)]), np.fromiter(map(len, ids), np.int64, len(ids))
 
-    def _taken(self, places: np.ndarray) -> pa.Array:
-        """A list of ids for each place."""
-        return pa.LargeListArray.from_arrays(pa.array(self.bounds), pa.array(self.ids)).take(pa.array(places))
-
-    def _composed(self, words: list[str], *parts: pa.Array) -> np.ndarray:
-        """Add words whose parts, one after the other, have their ids."""
+    def _composed(self, *parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words whose parts, one after the other, have their ids, and how many each has."""
         different = pa.chunked_array(parts).combine_chunks().dictionary_encode()
         places = self._places(different.dictionary)[different.indices.to_numpy()]
-        ids = self._taken(places.reshape(len(parts), -1).T.reshape(-1))
-        return self._add(words, ids.flatten().to_numpy(), np.diff(ids.offsets.to_numpy()[:: len(parts)]))
+        ids = self.known.taken(places.reshape(len(parts), -1).T.reshape(-1))
+        return ids.flatten().to_numpy(), np.diff(ids.offsets.to_numpy()[:: len(parts)])
 
-    def _learn(self, words: pa.Array, listed: list[str]) -> np.ndarray:
-        """The places of new words, each different, in Arrow and as a list.
+    def _learn(self, words: pa.Array, hashes: np.ndarray) -> np.ndarray:
+        """The places of new words, each different.
 
         A word's closing punctuation is a piece of its own, and so is a single end of line between two words.
         """
@@ -146,36 +237,37 @@ class TextEncoder:
             solid &= _where(pc.string_is_ascii(words))
         places, lengths = np.empty(len(words), np.int64), pc.binary_length(words).to_numpy().astype(np.int64)
         rest = ~(lines | closed)
-        for mask, between in ((rest & solid & after, ""), (rest & solid & ~after, "\n")) if blank else ((rest & solid, " "),):
+
+        def learn(mask: np.ndarray, ids_of: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]) -> None:
             if mask.any():
-                some = list(itertools.compress(listed, mask.tolist()))
-                places[mask] = self._add(some, *self._joined(some, lengths[mask], between))
-        mask = rest & ~solid
-        if mask.any():
-            some = list(itertools.compress(listed, mask.tolist()))
-            places[mask] = self._add(some, *self._apart(some))
-        if closed.any():
-            some, cores = list(itertools.compress(listed, closed.tolist())), core.filter(pa.array(closed))
-            ends = pa.array([w[n:] for w, n in zip(some, pc.utf8_length(cores).to_pylist())], pa.large_string())
-            places[closed] = self._composed(some, cores, ends)
-        if lines.any():
-            halves = pc.split_pattern(words.filter(pa.array(lines)), "\n").flatten()
-            at = np.arange(0, len(halves), 2)
-            places[lines] = self._composed(list(itertools.compress(listed, lines.tolist())), halves.take(pa.array(at)), pa.array(["\n"] * len(at), pa.large_string()), halves.take(pa.array(at + 1)))
+                some = words.filter(pa.array(mask))
+                places[mask] = self.known.add(some, hashes[mask], *ids_of(some))
+
+        for mask, between in ((rest & solid & after, ""), (rest & solid & ~after, "\n")) if blank else ((rest & solid, " "),):
+            learn(mask, lambda some: self._joined(some, lengths[mask], between))
+        learn(rest & ~solid, self._apart)
+        learn(closed, lambda some: self._composed(core.filter(pa.array(closed)), pc.extract_regex(some, _ENDS).field("end")))
+
+        def halves(some: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+            both = pc.split_pattern(some, "\n").flatten()
+            at = np.arange(0, len(both), 2)
+            return self._composed(both.take(pa.array(at)), pa.array(["\n"] * len(at), pa.large_string()), both.take(pa.array(at + 1)))
+
+        learn(lines, halves)
         return places
 
     def _places(self, words: pa.Array) -> np.ndarray:
         """Where each of some different words is remembered."""
-        listed = words.to_pylist()
-        at = np.fromiter(map(self.words.get, listed, itertools.repeat(-1)), np.int64, len(listed))
+        hashes = _hashes(words)
+        at = self.known.places(words, hashes)
         new = np.flatnonzero(at < 0)
         if len(new):
-            at[new] = self._learn(words.take(pa.array(new)), [listed[i] for i in new.tolist()])
+            at[new] = self._learn(words.take(pa.array(new)), hashes[new])
         return at
 
     def _numbered(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.words) > REMEMBERED:
-            self._forget()
+        if len(self.known) > REMEMBERED:
+            self.known = Known()
         blank = self.cut == "blank"
         cut = pc.split_pattern(texts, " ") if blank else pc.ascii_split_whitespace(pc.ascii_lower(texts))
         bounds = cut.offsets.to_numpy().astype(np.int64)
@@ -186,11 +278,11 @@ class TextEncoder:
             opening = words.take(coded.indices.take(pa.array(bounds[:-1]))).dictionary_encode()
             number[bounds[:-1]] = len(words) + opening.indices.to_numpy()
             words = pa.concat_arrays([pc.binary_join_element_wise(pa.scalar("", pa.large_string()), words, pa.scalar(" ", pa.large_string())), opening.dictionary])
-        ids = self._taken(self._places(words)[number])
+        ids = self.known.taken(self._places(words)[number])
         return ids.flatten().to_numpy(), ids.offsets.to_numpy()[bounds]
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        parts, starts, total = [], [np.zeros(1, np.int64)], 0
+    def parts(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """The texts in stretches of a few megabytes: the first one's number, their ids, and where each text's begin (and the end)."""
         size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
         first = 0
         while first < len(texts):
@@ -208,14 +300,18 @@ class TextEncoder:
                     ids[i] = flat[bounds[k] : bounds[k + 1]]
                 for i, x in zip(np.flatnonzero(unsure), self.whole(some.filter(pa.array(unsure)).to_pylist())):
                     ids[i] = x
-                flat, bounds = np.concatenate(ids), np.concatenate(([0], np.cumsum([len(x) for x in ids])))
+                yield first, np.concatenate(ids), np.concatenate(([0], np.cumsum([len(x) for x in ids])))
             else:
-                flat, bounds = self._numbered(some)
-            parts.append(flat)
+                yield first, *self._numbered(some)
+            first = last
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        flats, starts, total = [np.zeros(0, np.uint32)], [np.zeros(1, np.int64)], 0
+        for _, flat, bounds in self.parts(texts):
+            flats.append(flat)
             starts.append(bounds[1:] + total)
             total += len(flat)
-            first = last
-        return np.concatenate([*parts, np.zeros(0, np.uint32)]), np.concatenate(starts)
+        return np.concatenate(flats), np.concatenate(starts)
 
 
 @functools.cache

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -48,3 +50,27 @@ def test_words_on_both_sides_of_an_end_of_line_are_remembered_apart():
     flat, _ = encoder.encode(pa.array([text], pa.large_string()))
     assert np.array_equal(flat, library.encode(text, add_special_tokens=False).ids)
     assert len(asked) < 10 and sum(map(len, asked)) < 1_000  # 900 words from 60 parts
+
+
+def test_words_that_share_a_hash_are_told_apart(monkeypatch):
+    hashes = tokens._hashes
+    monkeypatch.setattr(tokens, "_hashes", lambda words: hashes(words) % np.uint64(5))
+    monkeypatch.setattr(tokens, "AT_ONCE", 500)
+    encoder = tokens.TextEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = _texts(60)
+    flat, bounds = encoder.encode(pa.array(texts, pa.large_string()))
+    for i, whole in enumerate(encoder.whole(texts)):
+        assert np.array_equal(flat[bounds[i] : bounds[i + 1]], whole), repr(texts[i])
+
+
+def test_remembered_words_are_no_python_objects():
+    words = [f" word{i}" for i in range(200_000)]
+    encoder = tokens.TextEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    encoder.encode(pa.array(["".join(words[:10])], pa.large_string()))
+    gc.collect()
+    tracemalloc.start()
+    encoder.encode(pa.array(["".join(words)], pa.large_string()))
+    gc.collect()
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 100 * len(words)  # 143 with a dictionary of words
