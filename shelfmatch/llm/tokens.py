@@ -283,6 +283,7 @@ class TextEncoder:
 
     def parts(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """The texts in stretches of a few megabytes: the first one's number, their ids, and where each text's begin (and the end)."""
+        texts = texts.cast(pa.large_string())
         size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
         first = 0
         while first < len(texts):
