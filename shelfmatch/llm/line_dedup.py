@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from .common import free_name, small_side, staged, table, text_of
+from .common import free_name, lean, small_side, staged, table, text_of, word_hashes
 
 MIN_WORDS = 5
 #: Entries of the table of word frequencies.
@@ -73,13 +73,13 @@ class Words:
         words = pc.ascii_split_whitespace(pc.ascii_lower(cut.flatten()))
         bounds = words.offsets.to_numpy().astype(np.int64)
         coded = words.flatten().dictionary_encode()
-        different = coded.dictionary.to_pylist()
         self.word = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         self.line = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-        if "" in different:  # blanks at the ends of a line
-            kept = self.word != different.index("")
+        empty = np.flatnonzero(pc.binary_length(coded.dictionary).to_numpy() == 0)
+        if len(empty):  # blanks at the ends of a line
+            kept = self.word != empty[0]
             self.word, self.line = self.word[kept], self.line[kept]
-        self.hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, different), np.uint64, len(different))
+        self.hashes = word_hashes(coded.dictionary)
 
     @staticmethod
     def of(batches):
@@ -106,7 +106,7 @@ def _packed(df: DataFrame, column: str = "text") -> DataFrame:
             packed = pa.array([None if t is None else pack(t.encode()) for t in b.column(at).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*b.columns[:at], packed, *b.columns[at + 1 :]], names=b.schema.names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)
 
 
 def _unpacked(values: list) -> list[bytes | None]:
@@ -124,7 +124,7 @@ def word_frequencies(rows: DataFrame) -> np.ndarray:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["bucket", "n"])
 
-    counts = rows.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    counts = rows.select("text").mapInArrow(lean(count), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(BUCKETS, np.int64)
     out[counts.column("bucket").to_numpy()] = counts.column("n").to_numpy()
     return out
@@ -169,7 +169,7 @@ def line_sets(rows: DataFrame, frequency: np.ndarray, min_words: int) -> DataFra
             where = pa.array(text)
             yield table(schema, id=part.column(0).take(where), mark=part.column(1).take(where), line=(lines - w.text_bounds[text]).astype(np.int32), s1=s1, s2=s2, size=n.astype(np.int32), prefix=lists, **bits)
 
-    return rows.mapInArrow(sets, f"id long, mark long, line int, s1 long, s2 long, size int, {', '.join(f'{c} long' for c in SIGNATURE)}, prefix array<int>")
+    return rows.mapInArrow(lean(sets), f"id long, mark long, line int, s1 long, s2 long, size int, {', '.join(f'{c} long' for c in SIGNATURE)}, prefix array<int>")
 
 
 _ROW = ["key", "i", "j", "meta", "set", *SIGNATURE, "asks"]
@@ -265,7 +265,7 @@ def _words_of(rows: DataFrame, sets: DataFrame) -> DataFrame:
     wanted = sets.groupBy("id", "mark").agg(F.collect_list(F.struct("set", "line")).alias("wanted"))
     wanted = small_side(wanted, "wanted")
     texts = _packed(rows.join(wanted.select("id", "mark"), ["id", "mark"], "left_semi")).join(wanted, ["id", "mark"]).select("text", "wanted")
-    return texts.mapInArrow(read, "set long, words array<long>").dropDuplicates(["set"])
+    return texts.mapInArrow(lean(read), "set long, words array<long>").dropDuplicates(["set"])
 
 
 def _verified(batches):
@@ -387,7 +387,7 @@ def _taken_out(joined: DataFrame) -> DataFrame:
             columns = [pa.array(kept, pa.string()) if i == at else c for i, c in enumerate(b.columns[:-1])]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64())], names=[*b.schema.names[:-1], "n_lines"])
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(lean(run), schema)
 
 
 def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

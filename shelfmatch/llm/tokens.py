@@ -21,6 +21,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from .common import spelled, word_hashes
+
 #: Words a worker remembers before it starts anew.
 REMEMBERED = 1_000_000
 
@@ -37,10 +39,6 @@ _UNSURE = f"{_WHITE} (?:{_WHITE}|\\z)"
 #: Words that are asked for in one text.
 TOGETHER = 500
 
-_POWER = np.uint64(0x9E3779B97F4A7C15)
-#: What each byte stands for in the hash of a word.
-_SPELLING = np.random.default_rng(7).integers(1, 1 << 63, 256, np.uint64)
-
 
 def _where(mask: pa.Array) -> np.ndarray:
     return mask.to_numpy(zero_copy_only=False).astype(bool)
@@ -59,27 +57,6 @@ def _cut(config: dict) -> str:
     return "never"
 
 
-def _spelled(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of all words one after the other, and where each word's begin (and the end)."""
-    _, bounds, data = words.buffers()
-    if not len(words):
-        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
-    bounds = np.frombuffer(bounds, np.int64)[words.offset : words.offset + len(words) + 1]
-    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-    return data[bounds[0] : bounds[-1]], bounds - bounds[0]
-
-
-def _hashes(words: pa.Array) -> np.ndarray:
-    data, bounds = _spelled(words)
-    sizes = np.diff(bounds)
-    powers = np.cumprod(np.full(int(sizes.max(initial=0)) + 1, _POWER))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_SPELLING[data] * powers[np.arange(len(data)) - np.repeat(bounds[:-1], sizes)], out=sums[1:])
-    h = sums[bounds[1:]] - sums[bounds[:-1]]
-    h = (h ^ (h >> np.uint64(31))) * _POWER
-    return h ^ (h >> np.uint64(29))
-
-
 class Grown:
     """An array that values are put behind, with room ahead for more."""
 
@@ -126,7 +103,7 @@ class Known:
 
     def add(self, words: pa.Array, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """The places that the words get."""
-        data, bounds = _spelled(words)
+        data, bounds = spelled(words)
         places = np.arange(len(self), len(self) + len(words))
         self.data.extend(data)
         self.starts.extend(self.starts.values[-1] + bounds[1:])
@@ -258,7 +235,7 @@ class TextEncoder:
 
     def _places(self, words: pa.Array) -> np.ndarray:
         """Where each of some different words is remembered."""
-        hashes = _hashes(words)
+        hashes = word_hashes(words)
         at = self.known.places(words, hashes)
         new = np.flatnonzero(at < 0)
         if len(new):

@@ -53,8 +53,8 @@ def test_words_on_both_sides_of_an_end_of_line_are_remembered_apart():
 
 
 def test_words_that_share_a_hash_are_told_apart(monkeypatch):
-    hashes = tokens._hashes
-    monkeypatch.setattr(tokens, "_hashes", lambda words: hashes(words) % np.uint64(5))
+    hashes = tokens.word_hashes
+    monkeypatch.setattr(tokens, "word_hashes", lambda words: hashes(words) % np.uint64(5))
     monkeypatch.setattr(tokens, "AT_ONCE", 500)
     encoder = tokens.TextEncoder(public_tokenizers.path("byte_bpe_50k.json"))
     texts = _texts(60)
