@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, text_of
+from .common import lean, table, text_of
 
 #: Characters of an item for each edit allowed.
 PER_EDIT = 15
@@ -130,7 +130,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, per_edit: int = PER_EDIT) ->
                 found = [[dict(zip(("item_id", "distance", "end"), x)) for x in known.matches(t)] for t in b.column(1).to_pylist()]
                 yield table(schema, doc_id=b.column(0), text=b.column(1), items=[x + f for x, f in zip(b.column(2).to_pylist(), found)])
 
-        rows = rows.mapInArrow(run, "doc_id long, text string, items array<struct<item_id: long, distance: int, end: long>>")
+        rows = rows.mapInArrow(lean(run), "doc_id long, text string, items array<struct<item_id: long, distance: int, end: long>>")
     return rows.select("doc_id", "items")
 
 
@@ -153,5 +153,5 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, per_edit: int = PER_EDIT)
             for b in batches:
                 yield b.filter(pa.array([not known.matches(t or "") for t in b.column(text_at).to_pylist()], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(lean(run), docs.schema)
     return docs

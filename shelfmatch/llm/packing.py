@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged, table, text_array, text_of
+from .common import lean, staged, table, text_array, text_of
 from .tokens import encoder
 
 CAPACITY = 2048
@@ -278,7 +278,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0
                 yield table(schema, **dict(zip(schema.names, map(list, zip(*rows)))))
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long, task long, nth long")
+    return rows.mapInArrow(lean(run), "doc_id long, piece int, start long, length long, ids_crc32 long, task long, nth long")
 
 
 def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:

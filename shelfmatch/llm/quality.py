@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import by_batch, free_name, small_side, staged, text_key, text_of
+from .common import by_batch, free_name, lean, small_side, staged, text_key, text_of
 
 #: Distinct documents of a host that may share a line.
 MAX_DOCUMENTS = 100
@@ -121,7 +121,7 @@ def _taken_out(joined: DataFrame, column: str) -> DataFrame:
             columns = [pa.array(left, b.schema.field(at).type) if i == at else c for i, c in enumerate(b.columns[:-1])]
             yield pa.RecordBatch.from_arrays(columns, names=b.schema.names[:-1])
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(lean(run), schema)
 
 
 def _keys(docs: DataFrame) -> tuple:

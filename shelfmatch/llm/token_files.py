@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, staged, table, text_array, text_of
+from .common import lean, slices, staged, table, text_array, text_of
 from .tokens import encoder
 
 #: Ids in a block, about; a document is never split.
@@ -85,7 +85,7 @@ def token_ids(docs: DataFrame, path: str, end_id: int | None = 0, width: str = "
                     flat, bounds = np.insert(flat, bounds[1:], end_id), bounds + np.arange(len(bounds))
                 yield table(schema, doc_id=b.column(0).slice(first, len(bounds) - 1), ids=slices(flat.astype(width), bounds))
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text")).mapInArrow(run, "doc_id long, ids binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text")).mapInArrow(lean(run), "doc_id long, ids binary")
 
 
 def frequency_ranks(tokens: DataFrame, width: str = "<u4") -> np.ndarray:
