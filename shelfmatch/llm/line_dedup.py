@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from .common import free_name, lean, small_side, staged, table, text_of, word_hashes
+from .common import free_name, in_parts, lean, small_side, staged, table, text_of, word_hashes
 
 MIN_WORDS = 5
 #: Entries of the table of word frequencies.
@@ -102,7 +102,7 @@ def _packed(df: DataFrame, column: str = "text") -> DataFrame:
 
     def run(batches):
         pack = zstandard.ZstdCompressor(level=1).compress
-        for b in batches:
+        for b in in_parts(batches):
             packed = pa.array([None if t is None else pack(t.encode()) for t in b.column(at).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*b.columns[:at], packed, *b.columns[at + 1 :]], names=b.schema.names)
 
@@ -317,12 +317,12 @@ def matched_sets(rows: DataFrame, sets: DataFrame) -> DataFrame:
         ids = named.select(F.col("later").alias("set")).union(named.select("earlier")).distinct()
         words = staged(_words_of(rows, sets.join(ids, "set").select("set", "id", "mark", "line")), "words")
         pairs = named.join(words.select(F.col("set").alias("later"), F.col("words").alias("a")), "later").join(words.select(F.col("set").alias("earlier"), F.col("words").alias("b")), "earlier")
-        verdicts = pairs.select("later", "more", "a", "b").mapInArrow(_verified, "later long, match boolean, more boolean")
+        verdicts = pairs.select("later", "more", "a", "b").mapInArrow(lean(_verified), "later long, match boolean, more boolean")
         found = staged(verdicts.groupBy(F.col("later").alias("set")).agg(F.max("match").alias("match"), F.max("more").alias("more")), "verdicts")
         return found.where("match").select("set"), found.where("more and not match").select("set")
 
     def named_in(groups: DataFrame, k: int | None) -> DataFrame:
-        return _sorted_groups(groups).mapInArrow(lambda b: _candidates(b, k), "later long, earlier long, more boolean")
+        return _sorted_groups(groups).mapInArrow(lean(lambda b: _candidates(b, k)), "later long, earlier long, more boolean")
 
     home = index.select(*columns).join(crowded, "key", "left").withColumn("k", _chunks("n"))
     home = home.select("key", _part("k").alias("i"), F.lit(0).cast("long").alias("j"), "meta", "set", *SIGNATURE, F.lit(_BOTH).cast("long").alias("asks"))
@@ -375,7 +375,7 @@ def _taken_out(joined: DataFrame) -> DataFrame:
     schema = StructType([*fields[:-1], StructField("n_lines", LongType())])
 
     def run(batches):
-        for b in batches:
+        for b in in_parts(batches):
             kept, n = [], []
             for text, gone in zip(_unpacked(b.column(at).to_pylist()), b.column(b.num_columns - 1).to_pylist()):
                 lines = (text or b"").split(b"\n")

@@ -6,6 +6,7 @@ import sys
 
 import pyarrow as pa
 
+from shelfmatch.llm.common import in_parts
 from shelfmatch.llm.line_dedup import Words, line_words
 
 
@@ -42,3 +43,10 @@ def test_words_are_no_python_objects():
         sys.setprofile(None)
     assert len(w.hashes) == 200_000
     assert most < 10_000
+
+
+def test_batches_of_large_texts_go_in_slices():
+    batch = pa.RecordBatch.from_arrays([pa.array(["x" * 10_000] * 1_000 + [None])], names=["text"])
+    parts = list(in_parts(iter([batch, batch.slice(0, 0), batch.slice(5, 2)])))
+    assert max(p.nbytes for p in parts) <= 3 << 20
+    assert pa.Table.from_batches(parts).column(0).to_pylist() == [*batch.column(0).to_pylist(), *batch.slice(5, 2).column(0).to_pylist()]
